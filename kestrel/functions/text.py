@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the reference for equal results)
@@ -89,7 +90,7 @@ def regex_strip(c: str | Column, pattern: str) -> Column:
     return F.regexp_replace(_c(c), pattern, "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkc_normalize(s: pd.Series) -> pd.Series:
     """Unicode NFKC (no Spark built-in); Arrow-batched."""
     return s.str.normalize("NFKC")
