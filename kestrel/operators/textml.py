@@ -62,6 +62,8 @@ def tokenize_content_words(df: DataFrame, col: str, out: str, result_type: str =
         toks = tx.stoplist_filter(_builtin_tokens(F.col(col), normalize), stoplist)
         return df.withColumn(out, tx.join_tokens(toks, result_type))
 
+    from kestrel.session import ensure_shipped
+    ensure_shipped(df.sparkSession)
     stop = set(stoplist)
     keep = set(keep_pos) if keep_pos else None
 

@@ -61,3 +61,32 @@ def local_path(p: str) -> str:
         while p.startswith("//"):
             p = p[1:]
     return os.path.abspath(p)
+
+
+_SHIPPED: set[int] = set()
+
+
+def ensure_shipped(spark: SparkSession) -> None:
+    """Make ``kestrel`` importable in Python workers (operators whose
+    pandas UDFs call package helpers).  Skipped when workers can already
+    import it (installed package); otherwise the package is zipped once
+    per driver and registered with ``addPyFile``."""
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    import importlib.util
+    import zipfile
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    spec = importlib.util.find_spec("kestrel")
+    installed = spec is not None and "site-packages" in (spec.origin or "")
+    if not installed:
+        zdir = tempfile.mkdtemp(prefix="kestrel-pyfiles-")
+        zpath = os.path.join(zdir, "kestrel.zip")
+        with zipfile.ZipFile(zpath, "w") as z:
+            for root, _, files in os.walk(pkg_dir):
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(root, f)
+                        z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+        sc.addPyFile(zpath)
+    _SHIPPED.add(id(sc))
