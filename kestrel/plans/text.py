@@ -174,3 +174,55 @@ def q_prediction_table(spark, sf):
     from kestrel.operators.ml import prediction_table
     p = _rule_predictions(spark, sf).withColumnRenamed("doc_id", "ID")
     return prediction_table(p, "ID", "label", "prediction")
+
+
+def _review_terms(spark, sf, ngram_max: int = 1):
+    from kestrel.operators.ml import drop_short_tokens
+    from kestrel.operators.relational import recode_correct
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    lb = table(spark, sf, "labels").select("doc_id", recode_correct("quality").alias("CORRECT"))
+    t = tm.tokenize_content_words(d.join(lb, "doc_id"), "text", "toks", "list")
+    t = drop_short_tokens(t, "toks", "terms", 2, ngram_max)
+    from kestrel.operators.ml import HOLDOUT
+    return tm.train_test_split(t.select("doc_id", "CORRECT", "terms"), "doc_id", HOLDOUT, 0)
+
+
+@plan("classify_predict", ops=(81, 79, 80, 82, 76, 75))
+def q_classify_predict(spark, sf):
+    """TF-IDF → 200-component SVD → RBF-like features → SVM on the train
+    part; ID, TARGET, PRED on the hold-out part."""
+    from kestrel.operators.ml import TextClassifier, prediction_table
+    t = _review_terms(spark, sf)
+    model = TextClassifier().fit(t.where(F.col("split") == "train"), "doc_id", "terms", "CORRECT")
+    p = model.transform(t.where(F.col("split") == "test"), "doc_id", "terms")
+    enc = F.array(*[F.lit(x) for x in model.labels])
+    p = p.withColumn("label_index", F.array_position(enc, F.col("CORRECT")) - 1)
+    return prediction_table(p, "doc_id", "label_index", "prediction_index")
+
+
+@plan("grid_search", ops=(83,))
+def q_grid_search(spark, sf):
+    """5-fold search over vocabulary size × regularisation (linear kernel
+    pipeline); one row per parameter combination."""
+    from kestrel.operators.ml import grid_search, label_encode
+    t = _review_terms(spark, sf)
+    train = label_encode(t.where(F.col("split") == "train"), "CORRECT", "label")
+    _, table_ = grid_search(train, "terms", "label")
+    return table_
+
+
+@plan("model_save", ops=(103,))
+def q_model_save(spark, sf):
+    """Fit the linear pipeline, save it to the shared folder, load it
+    back and score the hold-out part with the loaded model."""
+    from pyspark.ml import PipelineModel
+    from kestrel.operators.ml import label_encode, linear_text_pipeline, model_save
+    from kestrel.session import scratch_path
+    t = label_encode(_review_terms(spark, sf), "CORRECT", "label")
+    m = linear_text_pipeline().fit(t.where(F.col("split") == "train"))
+    path = scratch_path(spark, "model")
+    model_save(m, path)
+    loaded = PipelineModel.load(path)
+    return loaded.transform(t.where(F.col("split") == "test")).select(
+        F.col("doc_id").cast("string").alias("ID"), F.col("label").cast("int").alias("TARGET"),
+        F.col("prediction").cast("int").alias("PRED"))
