@@ -16,6 +16,7 @@ single row and cannot skew a bucket.
 from __future__ import annotations
 
 import math
+import sys
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -23,36 +24,40 @@ from pyspark.sql import functions as F
 
 BUCKET = "_kestrel_bucket"
 DEFAULT_KEYS_PER_BUCKET = 2_000_000
+MIN_KEYS_PER_BUCKET = 50_000
 MAX_BUCKETS = 1024
 
 
 def bucket_splits(df: DataFrame, key: str, keys_per_bucket: int = DEFAULT_KEYS_PER_BUCKET,
                   max_buckets: int = MAX_BUCKETS) -> list[float]:
     """Inner split points (strictly increasing) so that each bucket holds
-    about ``keys_per_bucket`` keys.  Runs one aggregate job; the collected
-    result is bounded by ``max_buckets`` numbers."""
-    probs = [i / max_buckets for i in range(1, max_buckets)]
-    row = df.agg(F.count(F.lit(1)).alias("n"),
-                 F.percentile_approx(F.col(key).cast("double"), probs, 4 * max_buckets).alias("q")).first()
-    n = row["n"] or 0
-    nb = min(max_buckets, max(1, math.ceil(n / max(1, keys_per_bucket))))
-    if nb <= 1 or not row["q"]:
+    at most about ``keys_per_bucket`` keys, and -- while buckets keep at
+    least MIN_KEYS_PER_BUCKET keys -- there are enough buckets to occupy
+    every core.  Two small jobs (a count, then only the needed quantiles);
+    the collected result is bounded by ``max_buckets`` numbers."""
+    n = df.count()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    by_size = math.ceil(n / max(1, keys_per_bucket))
+    by_cores = min(cores, n // MIN_KEYS_PER_BUCKET)
+    nb = min(max_buckets, max(1, by_size, by_cores))
+    if nb <= 1:
         return []
-    qs = row["q"]
-    picked = [qs[round(k * max_buckets / nb) - 1] for k in range(1, nb)]
+    probs = [k / nb for k in range(1, nb)]
+    qs = df.agg(F.percentile_approx(F.col(key).cast("double"), probs, 100 * nb).alias("q")).first()["q"]
     out: list[float] = []
-    for v in picked:
+    for v in qs or []:
         if v is not None and not math.isnan(v) and (not out or v > out[-1]):
             out.append(float(v))
     return out
 
 
 def with_bucket(df: DataFrame, key: str, splits: list[float]) -> DataFrame:
-    """Add the bucket number of ``key`` (binary search, JVM side)."""
-    if not splits:
-        return df.withColumn(BUCKET, F.lit(0.0))
+    """Add the bucket number of ``key`` (binary search, JVM side).  Even
+    with one bucket the value comes from the Bucketizer, so joins on it
+    stay equi-joins (a literal would be folded into a cross join)."""
     tmp = "_kestrel_key_double"
-    b = Bucketizer(splits=[-math.inf, *splits, math.inf], inputCol=tmp, outputCol=BUCKET,
+    inner = list(splits) or [sys.float_info.max]  # Bucketizer needs ≥ 3 split points
+    b = Bucketizer(splits=[-math.inf, *inner, math.inf], inputCol=tmp, outputCol=BUCKET,
                    handleInvalid="keep")
     return b.transform(df.withColumn(tmp, F.col(key).cast("double"))).drop(tmp)
 
@@ -60,17 +65,24 @@ def with_bucket(df: DataFrame, key: str, splits: list[float]) -> DataFrame:
 def running_sums(df: DataFrame, key: str, values: dict[str, Column | str], *,
                  splits: list[float] | None = None,
                  keys_per_bucket: int = DEFAULT_KEYS_PER_BUCKET,
-                 with_totals: bool = False) -> DataFrame:
+                 with_totals: bool = False, bucketed: bool = False,
+                 keep_bucket: bool = False) -> DataFrame:
     """Append inclusive running sums ordered by ``key`` ascending.
 
     ``values`` maps output name → column to sum.  With ``with_totals`` the
     grand total of each value is added as ``<name>_total`` (for descending
     forms: ``total - inclusive`` = strictly greater).  ``df`` is read
     twice (bucket totals, then the window); persist it when it is costly.
+    ``bucketed`` means ``df`` already carries the bucket column from an
+    earlier pass (kept with ``keep_bucket``): its cached partitioning and
+    order by (bucket, key) are then reused without a new exchange.
     """
-    if splits is None:
-        splits = bucket_splits(df, key, keys_per_bucket)
-    tagged = with_bucket(df, key, splits)
+    if bucketed:
+        tagged = df
+    else:
+        if splits is None:
+            splits = bucket_splits(df, key, keys_per_bucket)
+        tagged = with_bucket(df, key, splits)
     names = list(values)
     vals = {n: (F.col(c) if isinstance(c, str) else c) for n, c in values.items()}
     tagged = tagged.select("*", *[vals[n].alias(f"_v_{n}") for n in names])
@@ -86,5 +98,5 @@ def running_sums(df: DataFrame, key: str, values: dict[str, Column | str], *,
     inside = Window.partitionBy(BUCKET).orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
     out = tagged.join(F.broadcast(offsets), BUCKET)  # at most MAX_BUCKETS rows
     out = out.select("*", *[(F.col(f"_o_{n}") + F.sum(f"_v_{n}").over(inside)).alias(n) for n in names])
-    drop = [BUCKET] + [f"_v_{n}" for n in names] + [f"_o_{n}" for n in names]
+    drop = ([] if keep_bucket else [BUCKET]) + [f"_v_{n}" for n in names] + [f"_o_{n}" for n in names]
     return out.drop(*drop)

@@ -79,14 +79,14 @@ def hazard_table(df: DataFrame, cycle: str = "CYCLE", event: str = "EVENT",
               F.sum(F.when(F.col(event) == failure, 1).otherwise(0)).cast("bigint").alias("d")))
     g = g.persist(StorageLevel.MEMORY_AND_DISK)
     splits = prefix.bucket_splits(g, cycle, keys_per_bucket)
-    s1 = prefix.running_sums(g, cycle, {"_cum_n": "n"}, splits=splits, with_totals=True)
+    s1 = prefix.running_sums(g, cycle, {"_cum_n": "n"}, splits=splits, with_totals=True, keep_bucket=True)
     s1 = s1.select(
-        cycle, "n", "d",
+        prefix.BUCKET, cycle, "n", "d",
         ((F.col("_cum_n_total") - F.col("_cum_n")).cast("double")
          + (F.col("n").cast("double") + F.lit(1.0)) / F.lit(2.0)).alias("risk"))
     s1 = s1.withColumn("hazard", F.col("d").cast("double") / F.col("risk"))
     s1 = s1.persist(StorageLevel.MEMORY_AND_DISK)
-    return prefix.running_sums(s1, cycle, {"H": "hazard"}, splits=splits)
+    return prefix.running_sums(s1, cycle, {"H": "hazard"}, bucketed=True)
 
 
 def hazard_rows(df: DataFrame, haz: DataFrame, cycle: str = "CYCLE", event: str = "EVENT",

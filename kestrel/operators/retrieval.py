@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kestrel.functions import text as tx
+from kestrel.operators.partitioning import spread
 from kestrel.session import ensure_shipped
 
 # ---------------------------------------------------------------------------
@@ -119,6 +120,7 @@ def html_element_text(pages: DataFrame, class_name: str, html_col: str = "html",
     ``class_name`` and ``out``; the html column is dropped."""
 
     ensure_shipped(pages.sparkSession)
+    pages = spread(pages)
 
     @F.pandas_udf(T.StringType())
     def _extract(s: pd.Series) -> pd.Series:
@@ -147,6 +149,7 @@ def fixed_chunks(df: DataFrame, text: str, size: int, overlap: int, out: str = "
     from 0)."""
     if not 0 <= overlap < size:
         raise ValueError("need 0 <= overlap < size")
+    df = spread(df)
     starts = F.sequence(F.lit(0), F.greatest(F.length(text) - 1, F.lit(0)), F.lit(size - overlap))
     pieces = F.transform(starts, lambda i: F.substring(F.col(text), i + 1, size))
     return df.select("*", F.posexplode(pieces).alias("chunk_no", out)).where(F.length(out) > 0)
@@ -218,6 +221,7 @@ def recursive_chunks(df: DataFrame, key: str, text: str, size: int = 100, overla
                                     T.StructField("chunk", T.StringType())])
     cols = [key, *keep]
     ensure_shipped(df.sparkSession)
+    df = spread(df)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -349,7 +353,7 @@ def similarity_search(store: DataFrame, queries: DataFrame, k: int = DEFAULT_K,
                 out["dist"] = d[qi, xi]
                 yield out
 
-        cand = store.select(store_id, store_vec, *keep).mapInPandas(topk, schema)
+        cand = spread(store.select(store_id, store_vec, *keep)).mapInPandas(topk, schema)
         results.append(cand)
     if not results:
         return store.sparkSession.createDataFrame([], schema.add("rank", T.IntegerType()))

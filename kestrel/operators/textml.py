@@ -58,6 +58,8 @@ def tokenize_content_words(df: DataFrame, col: str, out: str, result_type: str =
     with a user dictionary fits here); it is built once per Python worker.
     Without it, words are runs of letters/digits (built-in regex, JVM side)
     and no part-of-speech filter applies."""
+    from kestrel.operators.partitioning import spread
+    df = spread(df)
     if tokenizer_factory is None:
         toks = tx.stoplist_filter(_builtin_tokens(F.col(col), normalize), stoplist)
         return df.withColumn(out, tx.join_tokens(toks, result_type))

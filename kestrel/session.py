@@ -20,6 +20,7 @@ def get_session(master: str | None = None, app: str = "kestrel",
     b = (b.config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
+         .config("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "false")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
