@@ -104,3 +104,20 @@ def q_parameter_output(spark, sf):
     path = scratch_path(spark, "params")
     ex.parameter_output(weibull_parameter_table(fit, seg), path)
     return spark.read.option("header", True).option("inferSchema", True).csv(path)
+
+
+@plan("stream_ingest", ops=(86, 88, 87, 89), sql="""
+select doc_id, cast(i // 90 as int) as chunk_no, sha256(concat_ws('/', 'documents', doc_id, cast(i // 90 as int))) as id
+from (select doc_id, text, unnest(generate_series(0, greatest(length(text) - 1, 0), 90)) as i from documents)
+where length(substring(text, i + 1, 100)) > 0""")
+def q_stream_ingest(spark, sf):
+    """Documents land in a folder; the streaming job chunks, ids and
+    embeds them into a collection (idempotent micro-batches)."""
+    from kestrel.sources.collection import collection_scan
+    from kestrel.streaming.ingest import ingest_documents
+    src = scratch_path(spark, "landing")
+    table(spark, sf, "documents").write.parquet(src)
+    root = scratch_path(spark, "stream-collections")
+    q = ingest_documents(spark, src, root, scratch_path(spark, "stream-ckpt"))
+    q.awaitTermination()
+    return collection_scan(spark, root, "documents").select("doc_id", "chunk_no", "id")
