@@ -113,11 +113,12 @@ def check_domain(df: DataFrame, col: str, expected) -> None:
         raise AssertionError(f"{col}: domain mismatch {[(r.value, r.problem) for r in bad]}")
 
 
-def assert_count(parts: DataFrame, whole: DataFrame, split_col: str = "split") -> DataFrame:
-    """One row: total rows, rows per split summed, and whether they agree."""
-    a = parts.groupBy(split_col).count().agg(F.sum("count").cast("bigint").alias("split_total"))
-    b = whole.agg(F.count(F.lit(1)).cast("bigint").alias("total"))
-    return a.crossJoin(b).withColumn("ok", F.col("split_total") == F.col("total"))  # 1 row each
+def assert_count(parts: DataFrame, split_col: str = "split", names=("train", "test")) -> DataFrame:
+    """One row: all rows, rows that landed in one of the named parts, and
+    whether they agree (one aggregate)."""
+    return parts.agg(F.count(F.when(F.col(split_col).isin(*names), 1)).cast("bigint").alias("split_total"),
+                     F.count(F.lit(1)).cast("bigint").alias("total")) \
+        .withColumn("ok", F.col("split_total") == F.col("total"))
 
 
 SUPPORTED_REPORT_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,

@@ -233,7 +233,8 @@ def _cell_sums(pts: DataFrame, grid: np.ndarray) -> np.ndarray:
 
 
 SEGMENTED_SCHEMA = T.StructType([T.StructField(n, T.DoubleType()) for n in (
-    "c", "a", "b", "d", "sse", "sse_line", "m1", "intercept1", "eta1", "m2", "intercept2", "eta2")])
+    "c", "a", "b", "d", "sse", "sse_line", "m1", "intercept1", "eta1", "m2", "intercept2", "eta2",
+    "m", "intercept", "eta", "b10", "b50")])
 
 
 def weibull_segmented_fit(spark: SparkSession, haz: DataFrame, fit: DataFrame, cycle: str = "CYCLE",
@@ -285,17 +286,20 @@ def weibull_segmented_fit(spark: SparkSession, haz: DataFrame, fit: DataFrame, c
     m_l, b_l = _line_from_sums(n, sx, sy, sxx, sxy)
     sse_line = syy - 2 * (b_l * sy + m_l * sxy) + (b_l * b_l * n + 2 * b_l * m_l * sx + m_l * m_l * sxx)
     i2 = (a - d) * c + b
-    row = (c, a, b, d, sse, float(sse_line), a, b, math.exp(-b / a), d, i2, math.exp(-i2 / d))
+    row = (c, a, b, d, sse, float(sse_line), a, b, math.exp(-b / a), d, i2, math.exp(-i2 / d),
+           f["m"], f["intercept"], f["eta"], f["b10"], f["b50"])
     pts.unpersist()
     return spark.createDataFrame([tuple(float(v) for v in row)], SEGMENTED_SCHEMA)
 
 
-def weibull_parameter_table(fit: DataFrame, seg: DataFrame) -> DataFrame:
+def weibull_parameter_table(seg: DataFrame) -> DataFrame:
     """Three rows (whole, below c, above c): m, eta, b10, b50 and the
     change-point label ``t<…`` / ``t>…`` (c shown as exp(c), rounded half
     to even to one decimal).  b10/b50 of the two-slope fit sit on the part
-    whose line reaches that level on its own side of c; the other is NULL."""
-    j = fit.crossJoin(seg)  # both sides are one row
+    whose line reaches that level on its own side of c; the other is NULL.
+    ``seg`` is the one-row result of ``weibull_segmented_fit`` (it carries
+    the plain fit too), so this is a projection."""
+    j = seg
     c = F.col("c")
 
     def life(level: float):
@@ -352,7 +356,22 @@ def exact_median(df: DataFrame, col: str, keys_per_bucket: int = prefix.DEFAULT_
         ((F.max(F.when(hit1, v)) + F.max(F.when(hit2, v))) / 2).alias("median"))
 
 
-def mean_median(df: DataFrame, col: str = "CYCLE") -> DataFrame:
-    """Mean and exact median of ``col`` (NULLs skipped), one row."""
-    m = df.agg(F.avg(col).alias("mean"), F.count(col).cast("bigint").alias("n"))
-    return m.crossJoin(exact_median(df, col))  # one row each
+def mean_median(df: DataFrame, col: str = "CYCLE",
+                keys_per_bucket: int = prefix.DEFAULT_KEYS_PER_BUCKET) -> DataFrame:
+    """Mean, exact median and count of ``col`` (NULL/NaN skipped), one
+    row, from one grouped table: per-value counts give the totals and the
+    middle ranks."""
+    g = (df.where(F.col(col).isNotNull() & ~F.isnan(F.col(col).cast("double")))
+         .groupBy(col).agg(F.count(F.lit(1)).alias("_n")))
+    g = g.persist(StorageLevel.MEMORY_AND_DISK)
+    v = F.col(col).cast("double")
+    s = prefix.running_sums(g, col, {"_cum": "_n", "_sv": v * F.col("_n")},
+                            keys_per_bucket=keys_per_bucket, with_totals=True)
+    r1 = F.floor((F.col("_cum_total") + 1) / 2)
+    r2 = F.floor(F.col("_cum_total") / 2) + 1
+    hit1 = (F.col("_cum") - F.col("_n") < r1) & (r1 <= F.col("_cum"))
+    hit2 = (F.col("_cum") - F.col("_n") < r2) & (r2 <= F.col("_cum"))
+    return s.where(hit1 | hit2).agg(
+        (F.first("_sv_total") / F.first("_cum_total")).alias("mean"),
+        ((F.max(F.when(hit1, v)) + F.max(F.when(hit2, v))) / 2).alias("median"),
+        F.first("_cum_total").cast("bigint").alias("n"))

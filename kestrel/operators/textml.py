@@ -125,19 +125,25 @@ def tfidf_weights(docs: DataFrame, key: str, tokens: str, smooth_idf_plus_one: b
     a document.  idf = ln((1+N)/(1+df)) (+1 with ``smooth_idf_plus_one``),
     weight = tf·idf scaled to unit L2 norm per document.
 
-    Scale: explode → group (key, term) with partial aggregation; the
-    document-frequency table joins back on term (AQE splits a hot term's
-    partition; the df side has one row per term)."""
-    n_docs = docs.agg(F.count(F.lit(1)).alias("_N"))
-    tf = (docs.select(key, F.explode(tokens).alias("term"))
-          .groupBy(key, "term").agg(F.count(F.lit(1)).cast("double").alias("tf")))
-    dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = dfreq.crossJoin(n_docs).select(  # n_docs is one row
-        "term", (F.ln((F.col("_N") + 1) / (F.col("df") + 1))
-                 + F.lit(1.0 if smooth_idf_plus_one else 0.0)).alias("idf"))
+    Scale: explode → group (key, term) with partial aggregation, persisted
+    once (tokenising is the costly part and feeds two branches); document
+    frequencies group by term (partial aggregation, so a term found in
+    every document is one row per task) and join back (AQE splits a hot
+    term's partition); the norm is a window per document, whose size is
+    bounded by the vocabulary.  N is one counted number."""
+    from pyspark import StorageLevel
+    n_docs = docs.select(key).count()
+    # explode_outer + explicit filter: an inner explode lets the optimizer
+    # infer a size>0 filter and evaluate the token expression twice
+    tf = (docs.select(key, F.explode_outer(tokens).alias("term")).where(F.col("term").isNotNull())
+          .groupBy(key, "term").agg(F.count(F.lit(1)).cast("double").alias("tf"))
+          .persist(StorageLevel.MEMORY_AND_DISK))
+    plus = 1.0 if smooth_idf_plus_one else 0.0
+    idf = tf.groupBy("term").agg(
+        (F.ln(F.lit(float(n_docs + 1)) / (F.count(F.lit(1)) + 1)) + F.lit(plus)).alias("idf"))
     w = tf.join(idf, "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("w"))
-    norm = w.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
-    return w.join(norm, key).select(key, "term", (F.col("w") / F.col("_norm")).alias("weight"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
+    return w.select(key, "term", (F.col("w") / norm).alias("weight"))
 
 
 def rank_terms(weights: DataFrame, key: str, k: int = 10) -> DataFrame:

@@ -141,7 +141,7 @@ def q_assert_count(spark, sf):
     from kestrel.operators.textml import train_test_split
     d = table(spark, sf, "documents").select("doc_id")
     parts = train_test_split(d, "doc_id", 0.25, 42)
-    return rl.assert_count(parts, d)
+    return rl.assert_count(parts, "split")
 
 
 @plan("semi_join_split", ops=(29,), sql="""

@@ -174,7 +174,7 @@ def q_weibull_segmented_fit(spark, sf):
 @plan("weibull_parameter_table", ops=(72,))
 def q_weibull_parameter_table(spark, sf):
     fit, seg = _fit_and_seg(spark, sf)
-    return rel.weibull_parameter_table(fit, seg)
+    return rel.weibull_parameter_table(seg)
 
 
 @plan("weibull_polyline", ops=(72, 97))

@@ -126,7 +126,7 @@ def test_parameter_table_and_polyline(spark):
     haz, x, y = _seg_points(spark)
     fit = rel.weibull_fit(haz, min_log_h=-50)
     seg = rel.weibull_segmented_fit(spark, haz, fit, min_log_h=-50)
-    t = rel.weibull_parameter_table(fit, seg).orderBy("part").collect()
+    t = rel.weibull_parameter_table(seg).orderBy("part").collect()
     assert [r.part for r in t] == [0, 1, 2]
     assert t[1].point_c.startswith("t<") and t[2].point_c.startswith("t>")
     assert (t[1].b10 is None) != (t[2].b10 is None)
