@@ -194,6 +194,9 @@ try:
             self.cap = min(int(options.get("row_cap", MAX_SHEET_ROWS - 1)), MAX_SHEET_ROWS - 1)
             self.header = [f.name for f in schema.fields]
             self.overwrite = overwrite
+            # one id per job, the same in every task attempt: a retried task
+            # rewrites the same file names instead of adding copies
+            self.job = uuid.uuid4().hex[:12]
 
         def write(self, iterator):
             from pyspark import TaskContext
@@ -204,8 +207,8 @@ try:
 
             def flush():
                 nonlocal part
-                name = f"part-{pid:05d}-{part:03d}-{uuid.uuid4().hex[:8]}.xlsx"
-                tmp = os.path.join(self.path, f".{name}.tmp")
+                name = f"part-{pid:05d}-{part:03d}-{self.job}.xlsx"
+                tmp = os.path.join(self.path, f".{name}.{uuid.uuid4().hex[:8]}.tmp")
                 with open(tmp, "wb") as fh:
                     fh.write(workbook_bytes(self.header, buf, self.sheet))
                 os.replace(tmp, os.path.join(self.path, name))
@@ -222,11 +225,11 @@ try:
             return _Written(files)
 
         def commit(self, messages):
-            if self.overwrite:
-                keep = {f for m in messages if m is not None for f in m.files}
-                for f in os.listdir(self.path):
-                    if f.endswith(".xlsx") and f not in keep:
-                        os.remove(os.path.join(self.path, f))
+            keep = {f for m in messages if m is not None for f in m.files}
+            for f in os.listdir(self.path):
+                stale = f.endswith(".xlsx") and f not in keep and (self.overwrite or self.job in f)
+                if stale or f.endswith(".tmp"):
+                    os.remove(os.path.join(self.path, f))
 
         def abort(self, messages):
             for m in messages:
