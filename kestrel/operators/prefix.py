@@ -66,7 +66,7 @@ def running_sums(df: DataFrame, key: str, values: dict[str, Column | str], *,
                  splits: list[float] | None = None,
                  keys_per_bucket: int = DEFAULT_KEYS_PER_BUCKET,
                  with_totals: bool = False, bucketed: bool = False,
-                 keep_bucket: bool = False) -> DataFrame:
+                 keep_bucket: bool = False, group: tuple[str, ...] | list[str] = ()) -> DataFrame:
     """Append inclusive running sums ordered by ``key`` ascending.
 
     ``values`` maps output name → column to sum.  With ``with_totals`` the
@@ -76,7 +76,12 @@ def running_sums(df: DataFrame, key: str, values: dict[str, Column | str], *,
     ``bucketed`` means ``df`` already carries the bucket column from an
     earlier pass (kept with ``keep_bucket``): its cached partitioning and
     order by (bucket, key) are then reused without a new exchange.
+    ``group`` restarts the sums per group (one row per (group, key) in
+    ``df``): buckets are shared, offsets are per (group, bucket) -- a table
+    of at most #groups × #buckets rows, joined (broadcast only when Spark
+    finds it small).
     """
+    group = list(group)
     if bucketed:
         tagged = df
     else:
@@ -87,16 +92,20 @@ def running_sums(df: DataFrame, key: str, values: dict[str, Column | str], *,
     vals = {n: (F.col(c) if isinstance(c, str) else c) for n, c in values.items()}
     tagged = tagged.select("*", *[vals[n].alias(f"_v_{n}") for n in names])
 
-    totals = tagged.groupBy(BUCKET).agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in names])
-    before = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(F.lit(1))
+    totals = tagged.groupBy(*group, BUCKET).agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in names])
+    by = [F.col(g) for g in group] or [F.lit(1)]
+    before = Window.partitionBy(*by).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*by)
     offsets = totals.select(
-        BUCKET,
+        *group, BUCKET,
         *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in names],
         *([F.sum(f"_t_{n}").over(whole).alias(f"{n}_total") for n in names] if with_totals else []))
 
-    inside = Window.partitionBy(BUCKET).orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
-    out = tagged.join(F.broadcast(offsets), BUCKET)  # at most MAX_BUCKETS rows
+    inside = Window.partitionBy(*group, BUCKET).orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
+    if group:
+        out = tagged.join(offsets, [*group, BUCKET])  # ≤ #groups × #buckets rows
+    else:
+        out = tagged.join(F.broadcast(offsets), BUCKET)  # at most MAX_BUCKETS rows
     out = out.select("*", *[(F.col(f"_o_{n}") + F.sum(f"_v_{n}").over(inside)).alias(n) for n in names])
     drop = ([] if keep_bucket else [BUCKET]) + [f"_v_{n}" for n in names] + [f"_o_{n}" for n in names]
     return out.drop(*drop)

@@ -60,7 +60,7 @@ def classify_event(df: DataFrame, reason: str | Column = "REASON_KEY", out: str
 
 def hazard_table(df: DataFrame, cycle: str = "CYCLE", event: str = "EVENT",
                  failure: str = FAILURE, keys_per_bucket: int = prefix.DEFAULT_KEYS_PER_BUCKET,
-                 ) -> DataFrame:
+                 by: tuple[str, ...] | list[str] = ()) -> DataFrame:
     """One row per distinct non-NULL ``cycle``:
 
     * ``n`` rows, ``d`` failures at that value,
@@ -70,32 +70,37 @@ def hazard_table(df: DataFrame, cycle: str = "CYCLE", event: str = "EVENT",
     * ``H`` = running sum of ``hazard`` over values ≤ cycle, so equal
       cycles share one total.
 
-    Runs two small jobs (bucket split points, bucket totals) and persists
-    the grouped table; the result itself is lazy.
+    ``by`` computes separate risk sets and running sums per group (e.g.
+    product); the default pools every row, as the reference does.
+
+    Runs small jobs (count, bucket split points, bucket totals) and
+    persists the grouped table; the result itself is lazy.
     """
+    by = list(by)
     g = (df.where(F.col(cycle).isNotNull())
-         .groupBy(cycle)
+         .groupBy(*by, cycle)
          .agg(F.count(F.lit(1)).cast("bigint").alias("n"),
               F.sum(F.when(F.col(event) == failure, 1).otherwise(0)).cast("bigint").alias("d")))
     g = g.persist(StorageLevel.MEMORY_AND_DISK)
     splits = prefix.bucket_splits(g, cycle, keys_per_bucket)
-    s1 = prefix.running_sums(g, cycle, {"_cum_n": "n"}, splits=splits, with_totals=True, keep_bucket=True)
+    s1 = prefix.running_sums(g, cycle, {"_cum_n": "n"}, splits=splits, with_totals=True, keep_bucket=True,
+                             group=by)
     s1 = s1.select(
-        prefix.BUCKET, cycle, "n", "d",
+        *by, prefix.BUCKET, cycle, "n", "d",
         ((F.col("_cum_n_total") - F.col("_cum_n")).cast("double")
          + (F.col("n").cast("double") + F.lit(1.0)) / F.lit(2.0)).alias("risk"))
     s1 = s1.withColumn("hazard", F.col("d").cast("double") / F.col("risk"))
     s1 = s1.persist(StorageLevel.MEMORY_AND_DISK)
-    return prefix.running_sums(s1, cycle, {"H": "hazard"}, bucketed=True)
+    return prefix.running_sums(s1, cycle, {"H": "hazard"}, bucketed=True, group=by)
 
 
 def hazard_rows(df: DataFrame, haz: DataFrame, cycle: str = "CYCLE", event: str = "EVENT",
-                failure: str = FAILURE) -> DataFrame:
+                failure: str = FAILURE, by: tuple[str, ...] | list[str] = ()) -> DataFrame:
     """Per input row (NULL cycles removed): ``risk`` (average descending
     rank), and for failure rows ``hazard`` = 1/risk, ``H``, ``F`` =
     1-exp(-H), ``log_CYCLE``, ``log_H``.  Survivor rows keep NULL there."""
     is_f = F.col(event) == failure
-    j = df.where(F.col(cycle).isNotNull()).join(haz.select(cycle, "risk", "H"), cycle)
+    j = df.where(F.col(cycle).isNotNull()).join(haz.select(*by, cycle, "risk", "H"), [*by, cycle])
     return (j.withColumn("hazard", F.when(is_f, F.lit(1.0) / F.col("risk")))
             .withColumn("H", F.when(is_f, F.col("H")))
             .withColumn("F", F.lit(1.0) - F.exp(-F.col("H")))
@@ -110,10 +115,10 @@ def weibull_points(rows: DataFrame, event: str = "EVENT", failure: str = FAILURE
                       & F.col("log_CYCLE").isNotNull())
 
 
-def _fit_points(haz: DataFrame, cycle: str, min_log_h: float) -> DataFrame:
+def _fit_points(haz: DataFrame, cycle: str, min_log_h: float, by=()) -> DataFrame:
     """Distinct (x=ln cycle, y=ln H, w=failures) rows that enter the fit."""
     return (haz.where((F.col("d") > 0) & (F.col(cycle) > 0) & (F.col("H") > 0))
-            .select(F.ln(cycle).alias("x"), F.ln("H").alias("y"), F.col("d").cast("double").alias("w"))
+            .select(*by, F.ln(cycle).alias("x"), F.ln("H").alias("y"), F.col("d").cast("double").alias("w"))
             .where(F.col("y") > min_log_h))
 
 
@@ -122,12 +127,15 @@ def _line_from_sums(n, sx, sy, sxx, sxy):
     return slope, (sy - slope * sx) / n
 
 
-def weibull_fit(haz: DataFrame, cycle: str = "CYCLE", min_log_h: float = MIN_LOG_H) -> DataFrame:
-    """Least-squares line of ln H on ln t over failure points (one row):
-    ``n, m, intercept, r, eta, b1, b10, b50``.  Equal cycles are one
-    weighted row, which gives the same sums as one row per failure."""
-    p = _fit_points(haz, cycle, min_log_h)
-    s = p.agg(F.sum("w").alias("n"), F.sum(F.col("w") * F.col("x")).alias("sx"),
+def weibull_fit(haz: DataFrame, cycle: str = "CYCLE", min_log_h: float = MIN_LOG_H,
+                by: tuple[str, ...] | list[str] = ()) -> DataFrame:
+    """Least-squares line of ln H on ln t over failure points (one row, or
+    one per ``by`` group): ``n, m, intercept, r, eta, b1, b10, b50``.
+    Equal cycles are one weighted row, which gives the same sums as one
+    row per failure."""
+    by = list(by)
+    p = _fit_points(haz, cycle, min_log_h, by)
+    s = p.groupBy(*by).agg(F.sum("w").alias("n"), F.sum(F.col("w") * F.col("x")).alias("sx"),
               F.sum(F.col("w") * F.col("y")).alias("sy"),
               F.sum(F.col("w") * F.col("x") * F.col("x")).alias("sxx"),
               F.sum(F.col("w") * F.col("x") * F.col("y")).alias("sxy"),
@@ -138,7 +146,7 @@ def weibull_fit(haz: DataFrame, cycle: str = "CYCLE", min_log_h: float = MIN_LOG
     m = (n * sxy - sx * sy) / vx
     b = (sy - m * sx) / n
     return s.select(
-        n.cast("bigint").alias("n"), m.alias("m"), b.alias("intercept"),
+        *by, n.cast("bigint").alias("n"), m.alias("m"), b.alias("intercept"),
         ((n * sxy - sx * sy) / F.sqrt(vx * vy)).alias("r"),
         F.exp(-b / m).alias("eta"),
         F.exp((F.lit(B1_Y) - b) / m).alias("b1"),

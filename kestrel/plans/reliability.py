@@ -181,3 +181,27 @@ def q_weibull_parameter_table(spark, sf):
 def q_weibull_polyline(spark, sf):
     _, seg = _fit_and_seg(spark, sf)
     return rel.weibull_polyline(seg).select("k", "x", "y", F.ln("x").alias("log_x"))
+
+
+_G_BY = """g as (select l_linestatus as p, l_extendedprice as c, count(*) as n,
+                 sum(case when l_returnflag = 'R' then 1 else 0 end) as d
+          from lineitem where l_extendedprice is not null group by 1, 2)"""
+_R_BY = """r as (select p, c, n, d,
+                 coalesce(sum(n) over (partition by p order by c desc rows between unbounded preceding and 1 preceding), 0)
+                 + cast(n + 1 as double) / 2 as risk from g)"""
+_H_BY = """h as (select p, c, n, d, risk,
+                 sum(d / risk) over (partition by p order by c rows between unbounded preceding and current row) as H from r)"""
+
+
+@plan("weibull_fit_by_product", ops=(69, 67, 96), sql=f"""with {_G_BY}, {_R_BY}, {_H_BY},
+pt as (select h.p, ln(h.c) as x, ln(h.H) as y from lineitem l join h on h.c = l.l_extendedprice and h.p = l.l_linestatus
+       where l.l_returnflag = 'R' and h.c > 0 and h.H > 0 and ln(h.H) > -7),
+f as (select p, count(*) as n, regr_slope(y, x) as m, regr_intercept(y, x) as b from pt group by p)
+select p as PRODUCT, cast(n as bigint) as n, round(m, 6) as m, round(b, 6) as intercept,
+       round(exp(-b / m), 3) as eta, round(exp((-2.250367327 - b) / m), 3) as b10 from f""")
+def q_weibull_fit_by_product(spark, sf):
+    """Separate risk sets and fits per PRODUCT (the reference pools them)."""
+    haz = rel.hazard_table(weibull_input(spark, sf), by=["PRODUCT"])
+    f = rel.weibull_fit(haz, by=["PRODUCT"])
+    return f.select("PRODUCT", "n", F.round("m", 6).alias("m"), F.round("intercept", 6).alias("intercept"),
+                    F.round("eta", 3).alias("eta"), F.round("b10", 3).alias("b10"))

@@ -131,3 +131,23 @@ def test_parameter_table_and_polyline(spark):
     assert t[1].point_c.startswith("t<") and t[2].point_c.startswith("t>")
     assert (t[1].b10 is None) != (t[2].b10 is None)
     assert rel.weibull_polyline(seg).count() in (2, 3)
+
+
+def test_hazard_by_group_equals_each_group_alone(spark):
+    df, c, e = _random(spark, 3000, 11)
+    df = df.withColumn("PRODUCT", (F.col("CYCLE") % 3).cast("int"))
+    both = rel.hazard_table(df, keys_per_bucket=40, by=["PRODUCT"]).toPandas()
+    for p in (0, 1, 2):
+        alone = rel.hazard_table(df.where(F.col("PRODUCT") == p), keys_per_bucket=40).toPandas()
+        got = both[both.PRODUCT == p].sort_values("CYCLE")
+        alone = alone.sort_values("CYCLE")
+        assert np.allclose(got.H.to_numpy(), alone.H.to_numpy())
+        assert np.allclose(got.risk.to_numpy(), alone.risk.to_numpy())
+
+
+def test_h_nondecreasing_and_f_in_unit_interval(spark):
+    df, c, e = _random(spark, 2000, 13)
+    rows = rel.hazard_rows(df, rel.hazard_table(df, keys_per_bucket=50)).where(F.col("H").isNotNull())
+    p = rows.select("CYCLE", "H", "F").toPandas().sort_values("CYCLE")
+    assert (np.diff(p.H.to_numpy()) >= -1e-12).all()
+    assert ((p.F >= 0) & (p.F <= 1)).all()
