@@ -193,11 +193,13 @@ with b as (select case when value <= 0 then 0
            from events where value is not null group by 1),
      e as (select bin, edge, lead(edge) over (order by bin) - edge as width
            from (select cast(i + 1 as int) as bin, pow(10, i * 0.25) as edge from range(21) t(i)))
-select b.bin, cast(b.n as bigint) as n, round(e.edge, 9) as edge, round(e.width, 9) as width
+select b.bin, cast(b.n as bigint) as n, round(e.edge, 9) as edge, round(e.width, 9) as width,
+       round(case when e.bin <= 20 then pow(sin(0.01 * (e.edge - 20)) + 3, 10) end, 6) as formula
 from b left join e on e.bin = b.bin""")
 def q_log_histogram(spark, sf):
-    h = agg.log_histogram(table(spark, sf, "events"), "value")
-    return h.select("bin", "n", F.round("edge", 9).alias("edge"), F.round("width", 9).alias("width"))
+    h = agg.log_histogram(table(spark, sf, "events"), "value", with_formula=True)
+    return h.select("bin", "n", F.round("edge", 9).alias("edge"), F.round("width", 9).alias("width"),
+                    F.round("formula", 6).alias("formula"))
 
 
 @plan("order_by", ops=(46,), sql="select o_orderkey, o_totalprice from orders order by o_totalprice desc, o_orderkey")
