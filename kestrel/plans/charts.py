@@ -23,8 +23,8 @@ def q_scatter_series(spark, sf):
 
 
 @plan("fit_line_series", ops=(97, 70), sql=f"""{_FIT}
-select 'fit' as series, round((-7 - b) / m, 9) as log_x, -7.0 as y from f
-union all select 'fit', round((1 - b) / m, 9), 1.0 from f""")
+select 'fit' as series, round((-7 - b) / m, 9) as log_x, cast(-7 as double) as y from f
+union all select 'fit', round((1 - b) / m, 9), cast(1 as double) from f""")
 def q_fit_line_series(spark, sf):
     f = rel.weibull_fit(rel.hazard_table(weibull_input(spark, sf)))
     s = ch.fit_line_series(rel.weibull_fit_line(f), "fit")

@@ -234,7 +234,7 @@ _PRESPLIT_SQL = f"replace({_PRESPLIT_SQL}, chr(10), '。')".replace("'\n'", "chr
 
 
 @plan("presplit_text", ops=(50,), sql=f"""
-select doc_id, md5({_PRESPLIT_SQL}) as h, length({_PRESPLIT_SQL}) as n from documents""")
+select doc_id, md5({_PRESPLIT_SQL}) as h, cast(length({_PRESPLIT_SQL}) as int) as n from documents""")
 def q_presplit_text(spark, sf):
     d = table(spark, sf, "documents")
     p = tx.presplit_text(F.lower("text"))

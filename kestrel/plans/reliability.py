@@ -136,8 +136,8 @@ def q_linear_regression(spark, sf):
 
 
 @plan("weibull_fit_line", ops=(70,), sql=f"""{_FIT}
-select round(exp((-7 - b) / m), 3) as x, -7.0 as y from f
-union all select round(exp((1 - b) / m), 3) as x, 1.0 as y from f""")
+select round(exp((-7 - b) / m), 3) as x, cast(-7 as double) as y from f
+union all select round(exp((1 - b) / m), 3) as x, cast(1 as double) as y from f""")
 def q_weibull_fit_line(spark, sf):
     f = rel.weibull_fit(rel.hazard_table(weibull_input(spark, sf)))
     return rel.weibull_fit_line(f).select(F.round("x", 3).alias("x"), "y")

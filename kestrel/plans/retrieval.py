@@ -109,7 +109,8 @@ def q_similarity_search_cosine(spark, sf):
 with a as ({_KNN_SQL.format(dist=_L2)}), b as ({_KNN_SQL.format(dist=_COS)}),
      j as (select coalesce(a.qid, b.qid) as qid, a.vec_id as va, b.vec_id as vb
            from a full outer join b on a.qid = b.qid and a.vec_id = b.vec_id)
-select qid, count(va) as n_a, count(vb) as n_b, sum(case when va is not null and vb is not null then 1 else 0 end) as overlap
+select qid, count(va) as n_a, count(vb) as n_b,
+       cast(sum(case when va is not null and vb is not null then 1 else 0 end) as bigint) as overlap
 from j group by qid""")
 def q_retrieval_compare(spark, sf):
     return rt.retrieval_compare(_knn(spark, sf, "l2"), _knn(spark, sf, "cosine"), "vec_id")

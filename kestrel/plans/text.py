@@ -158,11 +158,12 @@ m as (select cast(c as varchar) as cls,
              case when support > 0 then tp / support else 0 end as recall, support, tp from s),
 f as (select *, case when precision + recall > 0 then 2 * precision * recall / (precision + recall) else 0 end as f1 from m)
 select cls, round(precision, 9) as precision, round(recall, 9) as recall, round(f1, 9) as f1, support from f
-union all select 'accuracy', null, null, round(sum(tp) / sum(support), 9), sum(support) from f
-union all select 'macro avg', round(avg(precision), 9), round(avg(recall), 9), round(avg(f1), 9), sum(support) from f
+union all select 'accuracy', null, null, round(sum(tp) / sum(support), 9), cast(sum(support) as bigint) from f
+union all select 'macro avg', round(avg(precision), 9), round(avg(recall), 9), round(avg(f1), 9),
+                 cast(sum(support) as bigint) from f
 union all select 'weighted avg', round(sum(precision * support) / sum(support), 9),
                  round(sum(recall * support) / sum(support), 9), round(sum(f1 * support) / sum(support), 9),
-                 sum(support) from f""")
+                 cast(sum(support) as bigint) from f""")
 def q_classification_report(spark, sf):
     r = mt.classification_report(_rule_predictions(spark, sf))
     return r.select("cls", *[F.round(c, 9).alias(c) for c in ("precision", "recall", "f1")], "support")

@@ -11,6 +11,10 @@ import duckdb
 from kestrel.sources.tables import TABLES
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for t in TABLES:
@@ -47,9 +51,14 @@ def compare(spark, sf_dir: str, name: str, fn, sql: str, con=None) -> tuple[bool
     s_cols = df.columns
     s_rows = [tuple(r) for r in df.collect()]
     con = con or duck(sf_dir)
-    res = con.execute(sql)
-    d_cols = [d[0] for d in res.description]
-    d_rows = res.fetchall()
+    rel = con.sql(sql)
+    d_cols = list(rel.columns)
+    d_types = dict(zip(d_cols, [str(t) for t in rel.types]))
+    d_rows = rel.fetchall()
+    for f in df.schema.fields:
+        want = SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+        if d_types.get(f.name) != want:
+            return False, f"type of {f.name}: spark={f.dataType.simpleString()} duck={d_types.get(f.name)}"
     sc, sr = rows_sorted(s_cols, s_rows)
     dc, dr = rows_sorted(d_cols, d_rows)
     if sc != dc:
