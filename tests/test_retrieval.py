@@ -7,13 +7,13 @@ from kestrel.operators import retrieval as rt
 
 
 def test_html_nested_and_class_tokens(spark):
-    html = ('<div class="x">no</div><div class="entry-content hatenablog-entry">A<div>B &amp; C</div>D</div>'
-            '<div class="entry-content hatenablog-entry">second</div>')
-    assert rt.element_text(html, "entry-content hatenablog-entry") == "AB & CD"
+    html = ('<div class="x">no</div><div class="entry-content main-entry">A<div>B &amp; C</div>D</div>'
+            '<div class="entry-content main-entry">second</div>')
+    assert rt.element_text(html, "entry-content main-entry") == "AB & CD"
     assert rt.element_text('<div class="ad big">t</div>', "ad") == "t"
     assert rt.element_text("<p>none</p>", "ad") is None
     df = spark.createDataFrame([(1, html), (2, "<p/>")], "page_id int, html string")
-    out = {r.page_id: r.content for r in rt.html_element_text(df, "entry-content hatenablog-entry").collect()}
+    out = {r.page_id: r.content for r in rt.html_element_text(df, "entry-content main-entry").collect()}
     assert out == {1: "AB & CD", 2: None}
 
 
@@ -59,10 +59,10 @@ def test_similarity_search_exact(spark, metric):
 
 
 def test_prompt_golden_text(spark):
-    ctx = ["こんにちは、技術開発ユニットの三浦です。", "あと作業中には回路の意味を考えるのをいったんやめようと思いました。",
-           "そして高さのあるパーツを最初に付けてしまうと、基盤がぐらぐらして固定できず、後のパーツが付けづらくなることにも気づきました。\nそして小さなほころびが積み重なり・・・",
+    ctx = ["こんにちは、開発チームです。", "作業中は回路の意味を考えないことにしました。",
+           "背の高い部品を先に付けると基板が安定しません。\nそして小さな問題が積み重なります・・・",
            "It's \"quoted\" \\ back"]
-    q = "三浦さんが食べたものを教えて下さい。"
+    q = "作業で使った道具を教えて下さい。"
     hits = spark.createDataFrame([("q1", i + 1, t) for i, t in enumerate(ctx)], "qid string, rank int, chunk string")
     qs = spark.createDataFrame([("q1", q)], "qid string, question string")
     got = rt.prompt_build(hits, qs).first().prompt
