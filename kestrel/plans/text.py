@@ -203,7 +203,7 @@ def q_classify_predict(spark, sf):
 
 @plan("grid_search", ops=(83,))
 def q_grid_search(spark, sf):
-    """5-fold search over vocabulary size × regularisation (linear kernel
+    """5-fold search over n-gram range × regularisation (linear kernel
     pipeline); one row per parameter combination."""
     from kestrel.operators.ml import grid_search, label_encode
     t = _review_terms(spark, sf)
@@ -219,8 +219,9 @@ def q_model_save(spark, sf):
     from pyspark.ml import PipelineModel
     from kestrel.operators.ml import label_encode, linear_text_pipeline, model_save
     from kestrel.session import scratch_path
+    from kestrel.operators.partitioning import right_size
     t = label_encode(_review_terms(spark, sf), "CORRECT", "label")
-    m = linear_text_pipeline().fit(t.where(F.col("split") == "train"))
+    m = linear_text_pipeline().fit(right_size(t.where(F.col("split") == "train")))
     path = scratch_path(spark, "model")
     model_save(m, path)
     loaded = PipelineModel.load(path)
