@@ -46,7 +46,7 @@ def main() -> None:
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     from kestrel.plans import all_plans
-    from kestrel.session import checkpoint_root
+    from kestrel.session import checkpoint_root, release_cached
 
     checkpoint_root(spark)
     plans = all_plans()
@@ -58,6 +58,7 @@ def main() -> None:
     if os.path.isdir(warm_dir) and os.environ.get("BENCH_WARMUP", "1") == "1":
         for w in queries:
             plans[w].fn(spark, warm_dir).write.format("noop").mode("overwrite").save()
+            release_cached()
 
     times: dict[str, float] = {}
     for name in queries:
@@ -65,6 +66,7 @@ def main() -> None:
         df = plans[name].fn(spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
+        release_cached()
         print(f"# {name}: {times[name]}s", file=sys.stderr, flush=True)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "headline_total_sec", "value": round(sum(times.values()), 3), "unit": "sec",

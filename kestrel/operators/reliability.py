@@ -18,13 +18,13 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kestrel.operators import prefix
+from kestrel.session import keep
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the reference for equal results)
@@ -81,7 +81,7 @@ def hazard_table(df: DataFrame, cycle: str = "CYCLE", event: str = "EVENT",
          .groupBy(*by, cycle)
          .agg(F.count(F.lit(1)).cast("bigint").alias("n"),
               F.sum(F.when(F.col(event) == failure, 1).otherwise(0)).cast("bigint").alias("d")))
-    g = g.persist(StorageLevel.MEMORY_AND_DISK)
+    g = keep(g)
     splits = prefix.bucket_splits(g, cycle, keys_per_bucket)
     s1 = prefix.running_sums(g, cycle, {"_cum_n": "n"}, splits=splits, with_totals=True, keep_bucket=True,
                              group=by)
@@ -90,7 +90,7 @@ def hazard_table(df: DataFrame, cycle: str = "CYCLE", event: str = "EVENT",
         ((F.col("_cum_n_total") - F.col("_cum_n")).cast("double")
          + (F.col("n").cast("double") + F.lit(1.0)) / F.lit(2.0)).alias("risk"))
     s1 = s1.withColumn("hazard", F.col("d").cast("double") / F.col("risk"))
-    s1 = s1.persist(StorageLevel.MEMORY_AND_DISK)
+    s1 = keep(s1)
     return prefix.running_sums(s1, cycle, {"H": "hazard"}, bucketed=True, group=by)
 
 
@@ -259,7 +259,7 @@ def weibull_segmented_fit(spark: SparkSession, haz: DataFrame, fit: DataFrame, c
     outside the slope bounds (no admissible start) or there are no points.
     """
     f = fit.first()
-    pts = _fit_points(haz, cycle, min_log_h).persist(StorageLevel.MEMORY_AND_DISK)
+    pts = keep(_fit_points(haz, cycle, min_log_h))
     ext = pts.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()
     none = spark.createDataFrame([tuple([None] * len(SEGMENTED_SCHEMA))], SEGMENTED_SCHEMA)
     if (f is None or f["m"] is None or ext["lo"] is None or not (SLOPE_BOUNDS[0] <= f["m"] <= SLOPE_BOUNDS[1])):
@@ -353,7 +353,7 @@ def exact_median(df: DataFrame, col: str, keys_per_bucket: int = prefix.DEFAULT_
     count, pick the value(s) at the middle rank(s).  One row: ``median``."""
     g = (df.where(F.col(col).isNotNull() & ~F.isnan(F.col(col).cast("double")))
          .groupBy(col).agg(F.count(F.lit(1)).alias("_n")))
-    g = g.persist(StorageLevel.MEMORY_AND_DISK)
+    g = keep(g)
     s = prefix.running_sums(g, col, {"_cum": "_n"}, keys_per_bucket=keys_per_bucket, with_totals=True)
     r1 = F.floor((F.col("_cum_total") + 1) / 2)
     r2 = F.floor(F.col("_cum_total") / 2) + 1
@@ -371,7 +371,7 @@ def mean_median(df: DataFrame, col: str = "CYCLE",
     middle ranks."""
     g = (df.where(F.col(col).isNotNull() & ~F.isnan(F.col(col).cast("double")))
          .groupBy(col).agg(F.count(F.lit(1)).alias("_n")))
-    g = g.persist(StorageLevel.MEMORY_AND_DISK)
+    g = keep(g)
     v = F.col(col).cast("double")
     s = prefix.running_sums(g, col, {"_cum": "_n", "_sv": v * F.col("_n")},
                             keys_per_bucket=keys_per_bucket, with_totals=True)

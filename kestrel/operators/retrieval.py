@@ -18,7 +18,6 @@ Scale notes
 
 from __future__ import annotations
 
-import html as _html
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
@@ -30,7 +29,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kestrel.functions import text as tx
 from kestrel.operators.partitioning import spread
 from kestrel.session import ensure_shipped
 

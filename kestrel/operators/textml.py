@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from kestrel.functions import text as tx
 from kestrel.operators import relational as rl
+from kestrel.session import keep  # noqa: E402
 
 # Default word pattern when no tokenizer plug-in is given: runs of
 # letters, combining marks, digits and underscore (same meaning in the JVM
@@ -131,13 +132,12 @@ def tfidf_weights(docs: DataFrame, key: str, tokens: str, smooth_idf_plus_one: b
     every document is one row per task) and join back (AQE splits a hot
     term's partition); the norm is a window per document, whose size is
     bounded by the vocabulary.  N is one counted number."""
-    from pyspark import StorageLevel
     n_docs = docs.select(key).count()
     # explode_outer + explicit filter: an inner explode lets the optimizer
     # infer a size>0 filter and evaluate the token expression twice
     tf = (docs.select(key, F.explode_outer(tokens).alias("term")).where(F.col("term").isNotNull())
-          .groupBy(key, "term").agg(F.count(F.lit(1)).cast("double").alias("tf"))
-          .persist(StorageLevel.MEMORY_AND_DISK))
+          .groupBy(key, "term").agg(F.count(F.lit(1)).cast("double").alias("tf")))
+    tf = keep(tf)
     plus = 1.0 if smooth_idf_plus_one else 0.0
     idf = tf.groupBy("term").agg(
         (F.ln(F.lit(float(n_docs + 1)) / (F.count(F.lit(1)) + 1)) + F.lit(plus)).alias("idf"))

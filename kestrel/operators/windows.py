@@ -6,11 +6,11 @@ Global orderings use ``prefix.running_sums`` over one row per distinct key
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.operators import prefix
+from kestrel.session import keep
 
 
 def rank_average_desc(df: DataFrame, col: str, out: str = "rank",
@@ -18,7 +18,7 @@ def rank_average_desc(df: DataFrame, col: str, out: str = "rank",
     """Descending rank with ties given the mean of their ranks
     (N_greater + (n_equal+1)/2).  Rows with NULL ``col`` are dropped first."""
     base = df.where(F.col(col).isNotNull())
-    g = base.groupBy(col).agg(F.count(F.lit(1)).alias("_n")).persist(StorageLevel.MEMORY_AND_DISK)
+    g = keep(base.groupBy(col).agg(F.count(F.lit(1)).alias("_n")))
     s = prefix.running_sums(g, col, {"_cum": "_n"}, keys_per_bucket=keys_per_bucket, with_totals=True)
     r = s.select(col, ((F.col("_cum_total") - F.col("_cum")).cast("double")
                        + (F.col("_n").cast("double") + 1.0) / 2.0).alias(out))
@@ -33,7 +33,7 @@ def cumulative_sum_ties(df: DataFrame, key: str, value: str | Column, out: str =
     per distinct key, or every input row when ``per_row``."""
     v = F.col(value) if isinstance(value, str) else value
     base = df.where(F.col(key).isNotNull())
-    g = base.groupBy(key).agg(F.sum(v).alias("_s")).persist(StorageLevel.MEMORY_AND_DISK)
+    g = keep(base.groupBy(key).agg(F.sum(v).alias("_s")))
     s = prefix.running_sums(g, key, {out: "_s"}, keys_per_bucket=keys_per_bucket).drop("_s")
     return base.join(s, key) if per_row else s
 

@@ -91,3 +91,25 @@ def ensure_shipped(spark: SparkSession) -> None:
                         z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
         sc.addPyFile(zpath)
     _SHIPPED.add(id(sc))
+
+
+_KEPT: list = []
+
+
+def keep(df):
+    """Persist an intermediate table (MEMORY_AND_DISK: spills instead of
+    failing, recomputed from lineage if an executor is lost) and remember
+    it so ``release_cached`` can free it once results are written."""
+    from pyspark import StorageLevel
+    out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _KEPT.append(out)
+    return out
+
+
+def release_cached() -> int:
+    """Unpersist every intermediate kept by kestrel operators so far;
+    returns how many were released."""
+    n = len(_KEPT)
+    while _KEPT:
+        _KEPT.pop().unpersist()
+    return n

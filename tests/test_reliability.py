@@ -151,3 +151,11 @@ def test_h_nondecreasing_and_f_in_unit_interval(spark):
     p = rows.select("CYCLE", "H", "F").toPandas().sort_values("CYCLE")
     assert (np.diff(p.H.to_numpy()) >= -1e-12).all()
     assert ((p.F >= 0) & (p.F <= 1)).all()
+
+
+def test_release_cached(spark):
+    from kestrel.session import release_cached
+    df, c, e = _random(spark, 500, 17)
+    rel.hazard_table(df).count()
+    assert release_cached() >= 2
+    assert release_cached() == 0
