@@ -266,9 +266,13 @@ def embed_text(df: DataFrame, text: str, out: str = "embedding", dim: int = 64,
 
 
 def assign_chunk_id(df: DataFrame, collection: str | Column, doc: str, chunk_no: str,
-                    out: str = "id") -> DataFrame:
+                    out: str = "id", random_uuid: bool = False) -> DataFrame:
     """Repeatable id: sha256 of 'collection/doc/chunk_no' (re-runs give
-    the same ids, so appends can skip rows already stored)."""
+    the same ids, so appends can skip rows already stored).  With
+    ``random_uuid`` a fresh UUID per row instead (the non-repeatable
+    behaviour; re-running an insert then stores copies)."""
+    if random_uuid:
+        return df.withColumn(out, F.expr("uuid()"))
     coll = F.lit(collection) if isinstance(collection, str) else collection
     return df.withColumn(out, F.sha2(F.concat_ws("/", coll, F.col(doc).cast("string"),
                                                  F.col(chunk_no).cast("string")), 256))

@@ -104,3 +104,12 @@ def test_embed_text_dimension(spark):
     out = rt.embed_text(df, "t", dim=32).collect()
     assert all(len(r.embedding) == 32 for r in out)
     assert rt.dimension_guard(rt.embed_text(df, "t", dim=32), "embedding", 32).count() == 0
+
+
+def test_chunk_ids_repeatable_or_random(spark):
+    df = spark.createDataFrame([(1, 0), (1, 1)], "d int, c int")
+    a = [r.id for r in rt.assign_chunk_id(df, "col", "d", "c").orderBy("c").collect()]
+    b = [r.id for r in rt.assign_chunk_id(df, "col", "d", "c").orderBy("c").collect()]
+    assert a == b and len(set(a)) == 2 and all(len(x) == 64 for x in a)
+    u = [r.id for r in rt.assign_chunk_id(df, "col", "d", "c", random_uuid=True).collect()]
+    assert len(set(u)) == 2 and all(len(x) == 36 for x in u)
