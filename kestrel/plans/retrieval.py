@@ -193,3 +193,17 @@ def q_strip_prompt_echo(spark, sf):
     ex = _examples(spark, sf).withColumn("generated", F.concat("inputs", "labels"))
     return rt.strip_prompt_echo(ex, "generated", "inputs", "answer").select(
         "conv_id", "turn", F.md5("answer").alias("h"))
+
+
+@plan("embed_text_norms", ops=(87,), sql="""
+with c as (""" + _fixed_sql(100, 10) + """)
+select doc_id, chunk_no, 64 as dim,
+       case when len(regexp_extract_all(lower(chunk), '[\\p{L}\\p{M}\\p{N}_]+')) > 0 then 1.0 else 0.0 end::double as norm
+from c""")
+def q_embed_text_norms(spark, sf):
+    """Default embedder on every fixed chunk: 64 dimensions, unit length
+    when the chunk holds a word, the zero vector otherwise."""
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    e = rt.embed_text(rt.fixed_chunks(d, "text", 100, 10), "chunk", dim=64)
+    sq = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    return e.select("doc_id", "chunk_no", F.size("embedding").alias("dim"), F.round(F.sqrt(sq), 6).alias("norm"))
