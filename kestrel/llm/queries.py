@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import tokens, topk, urlfilter
+from kestrel.llm import mixing, outliers, packing, tokens, topk, urlfilter, warc
 from kestrel.sources.tables import table
 
 #: Fixed values of the query: domain rules, and the globs of hosts to block.
@@ -45,6 +45,48 @@ select page_id, host, path, rule,
 from u left join m using (k)"""
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.archive_and_index(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "capture_rank")
+
+
+OP2_SQL = r"""
+with p as (
+  select page_id, coalesce(html, '') as body, octet_length(encode(coalesce(html, ''))) as n, sha1(coalesce(html, '')) as digest,
+         regexp_replace(url, '[\x00-\x20\x7f]', '', 'g') as u
+  from pages),
+k as (
+  select page_id, n, digest,
+         case when n >= 1000 and count(*) over (partition by digest) > 1 then max(page_id) over (partition by digest) end as first_id,
+         coalesce(array_to_string(list_reverse(string_split(translate(regexp_extract(u, '(?s)^.*?://([^/?#]*)', 1),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '.')), ','), '')
+         || ')' || coalesce(regexp_extract(u, '(?s)^.*?://[^/?#]*([^#]*)', 1), '') as url_key
+  from p)
+select page_id, n::bigint as payload_bytes, digest as payload_digest,
+       case when first_id is not null and page_id is distinct from first_id then 'revisit' else 'response' end as record_type,
+       case when page_id is distinct from first_id then first_id end as refers_to, url_key,
+       row_number() over (order by url_key, page_id % 1000000000, page_id nulls first) as capture_rank
+from k"""
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack_documents(docs, tokenizer("word_bpe_49k.json"), capacity=4096, end_id=2, keep_ids=False)
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return outliers.quality_rules(docs, carry=["doc_id"]).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    rows = mixing.mix(docs, weights=(5, 2, 1), budget=1.5, most=2.0)
+    return rows.groupBy("__row", "doc_id", "size", "source_size", "target").agg(
+        (F.count("shard") * F.col("size")).alias("taken")).drop("__row")
+
+
 def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     emb = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     whole = F.transform("embedding", lambda x: F.floor(256 * x.cast("double")).cast("double"))
@@ -74,11 +116,16 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op2_warc": op2_warc,
+    "op6_packing": op6_packing,
+    "op7_quality_rules": op7_quality_rules,
+    "op8_mixing": op8_mixing,
     "op9_exact_topk": op9_exact_topk,
     "op10_token_counts": op10_token_counts,
 }
 
 ORACLE_SQL = {
     "op1_url_filter": _op1_sql(),
+    "op2_warc": OP2_SQL,
     "op9_exact_topk": OP9_SQL,
 }
