@@ -74,7 +74,7 @@ def text_counts(text: Column) -> Column:
     def of_words(w: Column) -> Column:
         return F.struct(
             F.size(w).alias("n_words"), F.length(F.array_join(w, "")).alias("word_chars"),
-            let(F.transform(w, lambda x: F.xxhash64(x)), _repeat_words).alias("n_repeat_words"))
+            let(F.transform(w, lambda x: F.xxhash64(x)), lambda x: _repeat_words(x)).alias("n_repeat_words"))
 
     def of_lines(x: Column) -> Column:
         return F.struct(F.size(x).alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).alias("n_dup_lines"))

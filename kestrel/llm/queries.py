@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import mixing, outliers, packing, tokens, topk, urlfilter, warc
+from kestrel.llm import mixing, ngramjoin, outliers, packing, tokens, topk, urlfilter, warc
 from kestrel.sources.tables import table
 
 #: Fixed values of the query: domain rules, and the globs of hosts to block.
@@ -69,6 +69,11 @@ select page_id, n::bigint as payload_bytes, digest as payload_digest,
 from k"""
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngramjoin.ngram_join(docs, threshold=0.8, n=5).select("doc_id", "class_id", "n_links")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack_documents(docs, tokenizer("word_bpe_49k.json"), capacity=4096, end_id=2, keep_ids=False)
@@ -117,6 +122,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_warc": op2_warc,
+    "op5_ngram_join": op5_ngram_join,
     "op6_packing": op6_packing,
     "op7_quality_rules": op7_quality_rules,
     "op8_mixing": op8_mixing,
