@@ -203,7 +203,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), budget: float =
     rows = rows.withColumn("draw", F.explode_outer(F.concat(full_passes.cast(kind), partial.cast(kind))))
     rows = rows.select(*keep, "size", "source_size", "target", F.col("draw.pass").alias("pass"), F.col("draw.slot").alias("__slot"),
                        F.col("sid").alias("__sid"), F.struct("sid", "bucket", "n").alias("__row"), "__u")
-    placed = rows.join(slots, ["__sid", "__slot"], "left")
+    # merge: the planner knows nothing of the exploded slots' size
+    placed = rows.join(slots.hint("merge"), ["__sid", "__slot"], "left")
     local = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed), "shard", "pass", "__u"), "pass", "__row")
     placed = placed.withColumn("position", F.when(F.col("shard").isNotNull(), F.row_number().over(local)).cast("long"))
     return placed.select(*keep, *OUTS, "__row")
