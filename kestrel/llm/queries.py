@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import mixing, ngramjoin, outliers, packing, tokens, topk, urlfilter, warc
+from kestrel.llm import mixing, ngramjoin, ngramlm, outliers, packing, tokens, topk, urlfilter, warc
 from kestrel.sources.tables import table
 
 #: Fixed values of the query: domain rules, and the globs of hosts to block.
@@ -69,6 +69,16 @@ select page_id, n::bigint as payload_bytes, digest as payload_digest,
 from k"""
 
 
+def trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of the documents labelled as good."""
+    return table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+
+
+def op3_quality_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return ngramlm.quality(docs, trusted(spark, sf_dir), carry=["doc_id", "lang"])
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return ngramjoin.ngram_join(docs, threshold=0.8, n=5).select("doc_id", "class_id", "n_links")
@@ -122,6 +132,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_warc": op2_warc,
+    "op3_quality_lm": op3_quality_lm,
     "op5_ngram_join": op5_ngram_join,
     "op6_packing": op6_packing,
     "op7_quality_rules": op7_quality_rules,
