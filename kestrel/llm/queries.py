@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import mixing, ngramjoin, ngramlm, outliers, packing, tokens, topk, urlfilter, warc
+from kestrel.llm import mixing, ngramjoin, ngramlm, outliers, packing, tokens, topk, toxicity, urlfilter, warc
 from kestrel.sources.tables import table
 
 #: Fixed values of the query: domain rules, and the globs of hosts to block.
@@ -79,6 +79,14 @@ def op3_quality_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngramlm.quality(docs, trusted(spark, sf_dir), carry=["doc_id", "lang"])
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~held_out).select("doc_id", "toxic")
+    machine = toxicity.learn(docs, labels)
+    return toxicity.score(docs, machine, carry=["doc_id"]).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return ngramjoin.ngram_join(docs, threshold=0.8, n=5).select("doc_id", "class_id", "n_links")
@@ -133,6 +141,7 @@ QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_warc": op2_warc,
     "op3_quality_lm": op3_quality_lm,
+    "op4_toxicity": op4_toxicity,
     "op5_ngram_join": op5_ngram_join,
     "op6_packing": op6_packing,
     "op7_quality_rules": op7_quality_rules,
