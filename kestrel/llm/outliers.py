@@ -174,7 +174,8 @@ def mcd(stats: DataFrame, path: str, subset: float = 0.75, steps: int = 4) -> Da
         whole, so_far = Window.partitionBy("gid"), Window.partitionBy("gid").orderBy("cell")
         border = (cells.select("gid", "cell", F.sum("n").over(so_far).alias("upto"), F.sum("n").over(whole).alias("all"))
                   .where(F.col("upto") >= subset * F.col("all")).groupBy("gid").agg(F.min("cell").alias("border")))
-        near = rows.join(border, "gid").where("cell <= border")
+        border.write.parquet(f"{path}/border{k}")  # a row for each group: its true size decides the join
+        near = rows.join(spark.read.parquet(f"{path}/border{k}"), "gid").where("cell <= border")
         sums = near.groupBy("gid").agg(*[F.avg(x).alias(f"m_{x}") for x in names],
                                        *[F.covar_pop(a, b).alias(f"c_{a}_{b}") for i, a in enumerate(names) for b in names[:i + 1]])
         _with_factor(sums, lambda a, b: F.col(f"c_{a}_{b}") * factor + (floors[a] if a == b else 0.0)).write.parquet(f"{path}/mcd{k + 1}")
