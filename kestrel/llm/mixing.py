@@ -148,10 +148,11 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), budget: float =
 
     # what the whole documents leave open, and single documents that close it
     flips: dict[int, list[int]] = {}
-    light = streamed(ordered).select("sid", "__u", "size", "inside", "rest")
-    gaps = {r["sid"]: r["rest"] - r["w"] for r in light.where("rest > 0").groupBy("sid", "rest").agg(
+    streamed(ordered).where("rest > 0").select("sid", "__u", "size", "inside", "rest").write.parquet(f"{path}/partial")
+    light = spark.read.schema("sid int, __u long, size long, inside boolean, rest double").parquet(f"{path}/partial")
+    gaps = {r["sid"]: r["rest"] - r["w"] for r in light.groupBy("sid", "rest").agg(
         F.sum(F.when(F.col("inside"), F.col("size")).otherwise(0)).alias("w")).collect()}
-    for _ in range(2):
+    for _ in range(4):
         open_gaps = [(s, float(g)) for s, g in gaps.items() if abs(g) >= 1]
         if not open_gaps:
             break
@@ -165,7 +166,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), budget: float =
             flips.setdefault(r["sid"], []).append(r["b"]["__u"])
             gaps[r["sid"]] += r["b"]["size"] if gaps[r["sid"]] < 0 else -r["b"]["size"]
     swapped = spark.createDataFrame([(s, u) for s, us in flips.items() for u in us], "sid int, swap long").groupBy("sid").agg(
-        F.collect_list("swap").alias("swaps"))  # two at most for each source
+        F.collect_list("swap").alias("swaps"))  # four at most for each source
 
     # block quotas, and which run of slots each shard draws
     slots_by = np.array([q[7] * q[6] + q[9] for q in params], np.int64)
