@@ -30,20 +30,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.session import ensure_shipped, scratch_path
 
-WORDS_KEPT = 600_000
-CHARS_AT_ONCE = 2 << 20
+WORDS_KEPT = 1_000_000
+BYTES_AT_ONCE = 8 << 20
 FIRST_FAN, FAN = 4, 16  # partitions, then groups, that merge their open windows
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "ids binary, open boolean, part long")
 _ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
                     ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()),
                     ("ids", pa.binary()), ("open", pa.bool_()), ("part", pa.int64())])
-_ODD_SPACE = re.compile("[\x1c-\x1f]")
+_STOPS = tuple(".,;:!?")
+_ODD_SPACE = "[\x1c-\x1f]"  # split by Arrow, not by the vocabulary's pattern
 
 
 def _drops_white_space(spec: dict) -> bool:
@@ -74,7 +76,17 @@ class WordIds:
         run = getattr(t, "encode_batch_fast", t.encode_batch)
         self.encode = lambda texts: [x.ids for x in run(texts, add_special_tokens=False)]
         with open(path, encoding="utf-8") as f:
-            self.by_word = _drops_white_space(json.load(f))
+            spec = json.load(f)
+        self.by_word = _drops_white_space(spec)
+        special = [a for a in spec.get("added_tokens", []) if a.get("special")]
+        self.fence = (special[-1]["content"], special[-1]["id"]) if special else None
+        suffix = spec["model"].get("end_of_word_suffix")
+        vocab = t.get_vocab(with_added_tokens=False)
+        self.ends = None  # ids that end a pre-token
+        if suffix and vocab:
+            self.ends = np.zeros(max(t.get_vocab().values()) + 1, bool)
+            self.ends[[i for w, i in vocab.items() if w.endswith(suffix)]] = True
+        self.lowers = "Lowercase" in json.dumps(spec.get("normalizer"))
         self._clear()
 
     def _clear(self) -> None:
@@ -82,47 +94,87 @@ class WordIds:
         self.first, self.size = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
         self.flat, self.used = np.zeros(1 << 14, np.uint32), 0
 
-    def _learn(self, words: set[str]) -> None:
+    def _encode_words(self, words: list[str], steps: list[int] | None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids one after another, their number by word).  Words whose number
+        of pre-tokens is known go in one string and are told apart by the ids
+        that end a pre-token; others are fenced by special tokens, which split
+        a text like its ends; both only where the numbers come out right."""
+        if steps and self.ends is not None:
+            ids = np.array(self.encode([" ".join(words)])[0], np.uint32)
+            cuts, last = np.flatnonzero(self.ends[ids]) + 1, np.cumsum(steps)
+            if len(cuts) == last[-1] and cuts[-1] == len(ids):
+                return ids, np.diff(cuts[last - 1], prepend=0)
+        if self.fence and not any(self.fence[0][0] in w for w in words):
+            ids = np.array(self.encode([self.fence[0].join(words)])[0], np.uint32)
+            cuts = np.flatnonzero(ids == self.fence[1])
+            if len(cuts) == len(words) - 1:
+                return np.delete(ids, cuts), np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1
+        ids = self.encode(words)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum())), sizes
+
+    def _at(self, words: list[str]) -> np.ndarray:
+        """Places of distinct words in the table, learnt where unknown."""
         if len(self.index) + len(words) > WORDS_KEPT:
             self._clear()
-        need = [w for w in words if w not in self.index]
-        for a in range(0, len(need), 4096):
-            part = need[a:a + 4096]
-            ids = self.encode(part)
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            n, total = len(self.index), int(sizes.sum())
-            while n + len(part) > len(self.first):
-                self.first, self.size = np.resize(self.first, 2 * len(self.first)), np.resize(self.size, 2 * len(self.size))
-            while self.used + total > len(self.flat):
-                self.flat = np.resize(self.flat, 2 * len(self.flat))
-            self.size[n:n + len(part)] = sizes
-            self.first[n:n + len(part)] = self.used + np.cumsum(sizes) - sizes
-            self.flat[self.used:self.used + total] = np.fromiter((i for x in ids for i in x), np.uint32, total)
-            self.used += total
-            self.index.update(zip(part, range(n, n + len(part))))
-
-    def ids(self, texts: list[str]) -> Iterator[np.ndarray]:
+        get = self.index.get
+        at = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            at[new] = np.arange(len(self.index), len(self.index) + len(new))
+            need = [words[k] for k in new]
+            # letters alone are one pre-token, letters and one stop are two
+            steps = [1 if w.isalpha() else 2 if w[-1:] in _STOPS and w[:-1].isalpha() else 0 for w in need]
+            order = sorted(range(len(need)), key=lambda k: (steps[k] == 0, self.fence is not None and self.fence[0][0] in need[k]))
+            at[new[order]] = at[new].copy()
+            self._add([need[k] for k in order], [steps[k] for k in order])
+        return at
+
+    def _add(self, words: list[str], steps: list[int]) -> None:
+        plain = sum(k > 0 for k in steps)
+        odd = plain + sum(self.fence is None or self.fence[0][0] not in w for w in words[plain:])
+        for lo, hi in ((0, plain), (plain, odd), (odd, len(words))):
+            for a in range(lo, hi, 8192):
+                self._store(words[a:min(a + 8192, hi)], steps[a:min(a + 8192, hi)] if hi == plain else None)
+
+    def _store(self, words: list[str], steps: list[int] | None) -> None:
+        ids, sizes = self._encode_words(words, steps)
+        n = len(self.index)
+        while n + len(words) > len(self.first):
+            self.first, self.size = np.resize(self.first, 2 * len(self.first)), np.resize(self.size, 2 * len(self.size))
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * len(self.flat))
+        self.size[n:n + len(words)] = sizes
+        self.first[n:n + len(words)] = self.used + np.cumsum(sizes) - sizes
+        self.flat[self.used:self.used + len(ids)] = ids
+        self.used += len(ids)
+        self.index.update(zip(words, range(n, n + len(words))))
+
+    def ids(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text (null: none), some megabytes at a time."""
+        texts = pc.fill_null(texts, "")
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
         a = 0
         while a < len(texts):
-            b, chars = a, 0
-            while b < len(texts) and (b == a or chars + len(texts[b]) <= CHARS_AT_ONCE):
-                chars += len(texts[b])
-                b += 1
-            yield from self._ids(texts[a:b])
+            b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + BYTES_AT_ONCE, side="right")))
+            yield from self._ids(texts.slice(a, b - a))
             a = b
 
-    def _ids(self, texts: list[str]) -> Iterator[np.ndarray]:
-        if not self.by_word or any(map(_ODD_SPACE.search, texts)):
-            yield from (np.array(x, np.uint32) for x in self.encode(texts))
+    def _ids(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        if not self.by_word or pc.any(pc.match_substring_regex(texts, _ODD_SPACE)).as_py():
+            yield from (np.array(x, np.uint32) for x in self.encode(texts.to_pylist()))
             return
-        words = [t.split() for t in texts]
-        self._learn(set().union(*words))
-        counts = np.fromiter(map(len, words), np.int64, len(words))
-        at = np.fromiter((i for w in words for i in map(self.index.__getitem__, w)), np.int64, int(counts.sum()))
+        if self.lowers and not (self.fence and pc.any(pc.match_substring(texts, self.fence[0][:2])).as_py()):
+            texts = pc.ascii_lower(texts)  # the vocabulary does so too: fewer distinct words
+        words = pc.utf8_split_whitespace(texts)
+        coded = words.flatten().dictionary_encode()
+        at = self._at(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
         size = self.size[at]
         ends = np.concatenate([[0], np.cumsum(size)])
-        flat = self.flat[np.repeat(self.first[at] - ends[:-1], size) + np.arange(ends[-1])]
-        cuts = ends[np.concatenate([[0], np.cumsum(counts)])]
+        shift = self.first[at] - ends[:-1]
+        flat = self.flat[np.repeat(shift, size) + np.arange(ends[-1])]
+        offsets = words.offsets.to_numpy()
+        cuts = ends[offsets - offsets[0]]
         for i in range(len(texts)):
             yield flat[cuts[i]:cuts[i + 1]]
 
@@ -213,8 +265,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, w
         tok, open_set, emitted = word_ids(tokenizer_path), Windows(capacity, windows), 0
         end = np.array([end_id], np.uint32)
         for b in batches:
-            texts = [t or "" for t in b.column(1).to_pylist()]
-            for doc, ids in zip(b.column(0).to_pylist(), tok.ids(texts)):
+            for doc, ids in zip(b.column(0).to_pylist(), tok.ids(b.column(1))):
                 ids = np.concatenate([ids, end])
                 open_set.place((doc, len(ids)), 0, ids)
                 if len(open_set.done) >= 256:
