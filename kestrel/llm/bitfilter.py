@@ -1,53 +1,53 @@
-"""A bit filter of fixed size for semi and anti joins on wide rows.
+"""Semi and anti joins of wide rows by bit filters of fixed size.
 
 The keys' hashes set bits of a map of ``2 ** log_bits`` bits, built by a
 grouped ``bit_or`` and broadcast: its size is a parameter, not a matter of
-the data.  Rows whose bit is clear surely have no partner; only the others
-meet the keys in an exact join.  More keys than bits make it useless, never
-wrong.
+the data.  A row whose bit is clear in the keys' filter surely has no
+partner.  The rows' keys that pass it wrongly (found by a join of keys
+alone) make a second filter; a row that passes the first and not the second
+surely has a partner.  Only what is left, rows that pass both, is shuffled
+for an exact join.  More keys than bits make the filters useless, never
+wrong.  Null keys have no partner.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.session import ensure_shipped
+LOG_BITS = 22  # a map of 65,536 words of 64 bits
 
-LOG_BITS = 24  # 2 MB
 
+def _bit(on: list[str], log_bits: int) -> Column:
+    return F.pmod(F.xxhash64(*on, F.lit(5)), F.lit(1 << log_bits))
 
-def _hash(keys: list) -> Column:
-    return F.xxhash64(*keys, F.lit(5))
 
+def with_flag(df: DataFrame, keys: DataFrame, on: list[str], flag: str, log_bits: int = LOG_BITS) -> DataFrame:
+    """``df`` with ``flag``: false only where no row of ``keys`` has its key."""
+    word, mask = F.shiftright("__bit", 6), F.expr("shiftleft(1L, cast(__bit & 63 as int))")
+    bits = (keys.select(_bit(on, log_bits).alias("__bit")).groupBy(word.alias("__word")).agg(F.bit_or(mask).alias("__mask")))
+    found = (df.withColumn("__bit", _bit(on, log_bits)).withColumn("__word", word)
+             .join(F.broadcast(bits), "__word", "left"))  # 2 ** (log_bits - 6) rows at most
+    return found.withColumn(flag, F.coalesce(F.col("__mask").bitwiseAND(mask) != 0, F.lit(False))).drop("__bit", "__word", "__mask")
 
-def maybe_in(df: DataFrame, keys: DataFrame, on: list[str], log_bits: int = LOG_BITS) -> Column:
-    """A predicate over ``df``: false only where no row of ``keys`` has its key."""
-    spark = df.sparkSession
-    ensure_shipped(spark)
-    bit = F.pmod(_hash([F.col(c) for c in on]), F.lit(1 << log_bits))
-    words = (keys.select(bit.alias("bit")).select(F.shiftright("bit", 6).alias("word"), F.expr("shiftleft(1L, cast(bit & 63 as int))").alias("mask"))
-             .groupBy("word").agg(F.bit_or("mask").alias("mask")).toPandas())
-    bits = np.zeros(1 << (log_bits - 6), np.int64)
-    bits[words["word"].to_numpy(np.int64)] = words["mask"].to_numpy(np.int64)
-    shared = spark.sparkContext.broadcast(bits.view(np.uint64))
 
-    @F.pandas_udf("boolean")
-    def hit(h: pd.Series) -> pd.Series:
-        x = h.to_numpy(np.int64)
-        return pd.Series((shared.value[x >> 6] >> (x & 63).astype(np.uint64)) & np.uint64(1) == 1)
+def _flagged(df: DataFrame, keys: DataFrame, on: list[str], log_bits: int) -> tuple[DataFrame, DataFrame]:
+    """(``df`` with __first and __second, distinct keys)."""
+    keys = keys.select(*on).dropna().distinct()
+    first = with_flag(df, keys, on, "__first", log_bits)
+    wrong = first.where("__first").select(*on).distinct().join(keys, on, "left_anti")
+    return with_flag(first, wrong, on, "__second", log_bits), keys
 
-    return hit(F.pmod(_hash([df[c] for c in on]), F.lit(1 << log_bits)))
 
+def semi_join(df: DataFrame, keys: DataFrame, on: list[str], log_bits: int = LOG_BITS) -> DataFrame:
+    """Rows of ``df`` with a partner in ``keys``."""
+    flagged, keys = _flagged(df, keys, on, log_bits)
+    unsure = flagged.where("__first and __second").join(keys, on, "left_semi")
+    return flagged.where("__first and not __second").unionByName(unsure).select(*df.columns)
 
-def semi_join(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
-    """Rows of ``df`` with a partner in ``keys`` (null keys have none)."""
-    return df.where(maybe_in(df, keys, on)).join(keys.select(*on), on, "left_semi")
 
-
-def anti_join(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
-    """Rows of ``df`` without a partner in ``keys``; most never shuffle."""
-    maybe = maybe_in(df, keys, on)
-    return df.where(~maybe).unionByName(df.where(maybe).join(keys.select(*on), on, "left_anti").select(*df.columns))
+def anti_join(df: DataFrame, keys: DataFrame, on: list[str], log_bits: int = LOG_BITS) -> DataFrame:
+    """Rows of ``df`` without a partner in ``keys``."""
+    flagged, keys = _flagged(df, keys, on, log_bits)
+    unsure = flagged.where("__first and __second").join(keys, on, "left_anti")
+    return flagged.where("not __first").unionByName(unsure).select(*df.columns)

@@ -5,9 +5,9 @@ Units are characters (any script, no tokenizer), n-grams of order ``ORDER``
 packed exactly into 64 bits: four 16-bit symbols, so context and suffix of a
 key are bit operations.  (Characters beyond U+EFFC share symbols.)
 
-1. Trusted texts (rows whose key is in the trusted table; a fixed-size bit
-   filter keeps the other texts out of the shuffle) give n-gram counts, one
-   row per n-gram and task.
+1. Trusted texts (rows whose key is in the trusted table, found by
+   fixed-size bit filters without a shuffle of the texts) give n-gram
+   counts, one row per n-gram and task.
 2. The model is built by grouped aggregation: counts of the highest order,
    continuation counts below, modified discounts from counts of counts; it
    is one table: key, discounted probability, back-off weight of the key as
@@ -48,8 +48,8 @@ ORDER = 4
 BOS, EOS, FIRST, SHARED = 1, 2, 3, 0xF000
 DRAW = 200
 BLOCK_ROWS = 8192
-CHARS_AT_ONCE = 3 << 20
-DENSE_CELLS = 1 << 25
+CHARS_AT_ONCE = 3 << 19
+DENSE_CELLS = 1 << 23
 OUTS = ("n_chars", "perplexity", "low", "high", "kept")
 
 
@@ -248,7 +248,7 @@ def score(docs: DataFrame, model: DataFrame, path: str, text: str = "text", carr
             for block, part in _runs(b):
                 for piece in _pieces(part):
                     sink = pa.BufferOutputStream()
-                    with pa.ipc.new_stream(sink, piece.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+                    with pa.ipc.new_stream(sink, piece.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))) as w:
                         w.write_batch(piece)
                     yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["block", "piece"])
 
