@@ -7,6 +7,7 @@ per worker) and the NFKC step.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -15,8 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kestrel.functions import text as tx
+from kestrel.operators import lsa
 from kestrel.operators import relational as rl
-from kestrel.session import keep  # noqa: E402
+from kestrel.operators.skew import hot_key_join
+from kestrel.session import keep
 
 # Default word pattern when no tokenizer plug-in is given: runs of
 # letters, combining marks, digits and underscore (same meaning in the JVM
@@ -25,19 +28,60 @@ WORD_PATTERN = r"[\p{L}\p{M}\p{N}_]+"
 
 
 def train_test_split(df: DataFrame, key: str, test_frac: float = 0.25, seed: int = 42,
-                     out: str = "split") -> DataFrame:
-    """Repeatable split without a shuffle: the first 32 bits of
-    md5('<key>:<seed>') below test_frac·2³² → 'test', else 'train'.
-    Sizes are approximate (binomial), membership is fixed per key."""
-    h = F.conv(F.substring(F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))), 1, 8),
-               16, 10).cast("bigint")
-    return df.withColumn(out, F.when(h < F.lit(int(test_frac * 2 ** 32)), F.lit("test"))
-                         .otherwise(F.lit("train")))
+                     out: str = "split", subset: str = "all") -> DataFrame:
+    """Repeatable split of exact sizes: of n rows the ceil(test_frac * n)
+    with the smallest hash of '<key>:<seed>' (then key) are 'test', the
+    rest 'train'.  Rows that share a key share a part, so with repeated
+    keys the border group may add rows to 'test'.  ``subset`` keeps 'train', 'test' or 'all' rows.
+
+    The border is found by counting: a histogram over 4096 ranges of the
+    hash, refined inside the range that holds it until that has few rows;
+    no sort and no shuffle of rows."""
+    if subset not in ("train", "test", "all"):
+        raise ValueError(f"subset is train, test or all, not {subset!r}")
+    name = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    h = F.conv(F.substring(F.md5(F.concat(name, F.lit(f":{seed}"))), 1, 15), 16, 10).cast("bigint")
+    keys = df.select(h.alias("h"), name.alias("k"))
+    lo, width, want = 0, 1 << 60, None
+    while True:
+        step = max(1, width >> 12)
+        hist = keys.where((F.col("h") >= lo) & (F.col("h") < lo + width)).groupBy(
+            F.floor((F.col("h") - lo) / step).cast("bigint").alias("c")).agg(F.count(F.lit(1)).alias("n")).collect()
+        cells = sorted((r["c"], r["n"]) for r in hist)  # at most 4096
+        if want is None:
+            want = math.ceil(sum(n for _, n in cells) * test_frac)
+        for c, n in cells:
+            if n >= want:
+                break
+            want -= n
+        else:
+            break
+        lo, width = lo + c * step, step
+        if n <= 10_000 or step == 1:
+            break
+    if want <= 0 or not cells:
+        edge = None
+    else:
+        near = keys.where((F.col("h") >= lo) & (F.col("h") < lo + width)).groupBy("h", "k").agg(
+            F.count(F.lit(1)).alias("n")).orderBy("h", "k").limit(want).collect()  # the border's range only
+        for r in near:
+            edge = r["h"], r["k"]
+            want -= r["n"]
+            if want <= 0:
+                break
+    test = F.lit(False) if edge is None else (h < edge[0]) | ((h == edge[0]) & (name <= edge[1]))
+    parts = df.withColumn(out, F.when(test, F.lit("test")).otherwise(F.lit("train")))
+    return parts if subset == "all" else parts.where(F.col(out) == subset)
+
+
+def shuffle_key(keys: list[str], seed: int = 0) -> Column:
+    """A hash of the keys and the seed to order by."""
+    return F.md5(F.concat(F.concat_ws("/", *[F.col(k).cast("string") for k in keys]), F.lit(f":{seed}")))
 
 
 def shuffle_rows(df: DataFrame, keys: list[str], seed: int = 0) -> DataFrame:
     """Random but repeatable row order: sort by a seeded hash of the keys."""
-    return df.orderBy(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed)))
+    return df.orderBy(shuffle_key(keys, seed), *keys)
 
 
 def _builtin_tokens(text: Column, normalize: bool) -> Column:
@@ -123,25 +167,24 @@ def clean_reviews(df: DataFrame, tokenizer_factory=None, normalize: bool = True)
 
 def tfidf_weights(docs: DataFrame, key: str, tokens: str, smooth_idf_plus_one: bool = True) -> DataFrame:
     """Relational TF-IDF: one row (key, term, weight) per distinct term of
-    a document.  idf = ln((1+N)/(1+df)) (+1 with ``smooth_idf_plus_one``),
-    weight = tf·idf scaled to unit L2 norm per document.
-
-    Scale: explode → group (key, term) with partial aggregation, persisted
-    once (tokenising is the costly part and feeds two branches); document
-    frequencies group by term (partial aggregation, so a term found in
-    every document is one row per task) and join back (AQE splits a hot
-    term's partition); the norm is a window per document, whose size is
-    bounded by the vocabulary.  N is one counted number."""
+    a document (a row; keys are unique).  idf = ln((1+N)/(1+df)) (+1 with
+    ``smooth_idf_plus_one``), weight = tf·idf scaled to unit L2 norm.
+
+    Scale: terms are counted inside the row, so tokens are never shuffled;
+    document frequencies group by term with partial aggregation; a term
+    found in a large share of the documents is joined by broadcast (few
+    such can exist), the others by a shuffle on the term; the norm is a
+    window per document, bounded by its distinct terms."""
     n_docs = docs.select(key).count()
+    pairs = F.explode_outer(lsa.term_counts(F.col(tokens)))
     # explode_outer + explicit filter: an inner explode lets the optimizer
     # infer a size>0 filter and evaluate the token expression twice
-    tf = (docs.select(key, F.explode_outer(tokens).alias("term")).where(F.col("term").isNotNull())
-          .groupBy(key, "term").agg(F.count(F.lit(1)).cast("double").alias("tf")))
+    tf = docs.select(key, pairs.alias("e")).where(F.col("e").isNotNull()).select(key, "e.term", "e.tf")
     tf = keep(tf)
     plus = 1.0 if smooth_idf_plus_one else 0.0
-    idf = tf.groupBy("term").agg(
-        (F.ln(F.lit(float(n_docs + 1)) / (F.count(F.lit(1)) + 1)) + F.lit(plus)).alias("idf"))
-    w = tf.join(idf, "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("w"))
+    idf = keep(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))).withColumn(
+        "idf", F.ln(F.lit(float(n_docs + 1)) / (F.col("df") + 1)) + F.lit(plus))
+    w = hot_key_join(tf, idf, ["term"], "df").select(key, "term", (F.col("tf") * F.col("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
     return w.select(key, "term", (F.col("w") / norm).alias("weight"))
 

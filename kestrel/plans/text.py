@@ -37,17 +37,33 @@ def q_tokenize(spark, sf):
                     F.size("toks").alias("n_tokens"))
 
 
-@plan("nfkc_normalize", ops=(56,), sql="select doc_id, md5(text) as h from documents")
+@plan("nfkc_normalize", ops=(56,), sql="select doc_id, md5('ABC 12 ' || text) as h from documents")
 def q_nfkc(spark, sf):
-    """NFKC leaves these texts unchanged (composed forms only)."""
+    """Texts with ideographic spaces and a full-width head; NFKC gives the
+    plain text back (the texts hold composed forms only)."""
     d = table(spark, sf, "documents")
-    return d.select("doc_id", F.md5(tx.nfkc_normalize("text")).alias("h"))
+    wide = F.concat(F.lit("ＡＢＣ　１２　"), F.replace("text", F.lit(" "), F.lit("\u3000")))
+    return d.select("doc_id", F.md5(tx.nfkc_normalize(wide)).alias("h"))
+
+
+@plan("stoplist_filter", ops=(57,), sql=f"""
+select doc_id, cast(len(toks) as int) as n_tokens, md5(array_to_string(toks, '|')) as h
+from (select doc_id, list_filter(string_split(replace(replace(replace(text, ',', ' , '), '.', ' . '), ' the ', ' の '), ' '),
+                                 lambda x: not list_contains({_STOP_SQL}, x)) as toks from documents)""")
+def q_stoplist_filter(spark, sf):
+    """Punctuation as tokens of their own, and a listed word in place of
+    the most frequent one."""
+    t = F.col("text")
+    for a, b in ((",", " , "), (".", " . "), (" the ", " の ")):
+        t = F.replace(t, F.lit(a), F.lit(b))
+    d = table(spark, sf, "documents").select("doc_id", tx.stoplist_filter(F.split(t, " ")).alias("toks"))
+    return d.select("doc_id", F.size("toks").alias("n_tokens"), F.md5(F.array_join("toks", "|")).alias("h"))
 
 
 def review_input(spark, sf):
     d = table(spark, sf, "documents")
     lb = table(spark, sf, "labels")
-    j = d.join(lb, "doc_id")
+    j = d.join(lb, "doc_id", "left")  # every document; CORRECT may be NULL
     return j.select(
         F.col("doc_id").alias("ID"), F.col("source").alias("PRODUCT"),
         F.when(F.col("toxic") == 1, F.lit(None)).otherwise(F.col("lang")).alias("CUSTOMER"),
@@ -67,7 +83,7 @@ with r as (select d.doc_id as ID, d.source as PRODUCT, case when l.toxic = 1 the
                   d.text as VOC, case when l.quality = 0 then '<HTML>needs review<XML>' end as SUPPLEMENT,
                   'HTML follow-up <SGML>' as FOLLOWUP, d.lang as CLASS, cast(d.doc_id % 7 as varchar) as LV,
                   cast(l.quality as varchar) as CORRECT
-           from documents d join labels l on l.doc_id = d.doc_id),
+           from documents d left join labels l on l.doc_id = d.doc_id),
 c as (select cast(ID as varchar) as ID, coalesce(CUSTOMER, 'UNKNOWN') as CUSTOMER,
              strftime(strptime(SUBMITDATE, '%Y/%m/%d'), '%Y-%m-%d') as SUBMITDATE,
              case when LV in ('1','2','3') then 'LOW' when LV in ('4','5') then 'HIGH' else LV end as LV,
@@ -91,13 +107,21 @@ def q_clean_reviews(spark, sf):
                     "SUBJECT_MORPHEME_S")
 
 
-@plan("train_test_split", ops=(75,), sql="""
-select doc_id, case when ('0x' || substr(md5(cast(doc_id as varchar) || ':42'), 1, 8))::bigint < 1073741824
-                    then 'test' else 'train' end as split from documents""")
+_SPLIT_SQL = """case when row_number() over (order by substr(md5(doc_id || ':{seed}'), 1, 15), cast(doc_id as varchar))
+                     <= ceil(count(*) over () * {frac}) then 'test' else 'train' end"""
+
+
+@plan("train_test_split", ops=(75,), sql=f"select doc_id, {_SPLIT_SQL.format(seed=42, frac=0.25)} as split from documents")
 def q_train_test_split(spark, sf):
     return tm.train_test_split(table(spark, sf, "documents").select("doc_id"), "doc_id", 0.25, 42)
 
 
+@plan("train_test_subset", ops=(75,), sql=f"""
+select doc_id, split from (select doc_id, {_SPLIT_SQL.format(seed=42, frac=0.25)} as split from documents) where split = 'test'""")
+def q_train_test_subset(spark, sf):
+    return tm.train_test_split(table(spark, sf, "documents").select("doc_id"), "doc_id", 0.25, 42, subset="test")
+
+
 @plan("label_encode", ops=(76,), sql="""
 select doc_id, cast(dense_rank() over (order by case when quality = 1 then 'USE' else 'OMIT' end) - 1 as double) as label
 from labels""")
@@ -177,54 +201,96 @@ def q_prediction_table(spark, sf):
     return prediction_table(p, "ID", "label", "prediction")
 
 
-def _review_terms(spark, sf, ngram_max: int = 1):
-    from kestrel.operators.ml import drop_short_tokens
+def _reviews(spark, sf):
+    """Labelled documents as reviews: tokens, class, split."""
+    from kestrel.operators.ml import HOLDOUT, drop_short_tokens
     from kestrel.operators.relational import recode_correct
-    d = table(spark, sf, "documents").select("doc_id", "text")
     lb = table(spark, sf, "labels").select("doc_id", recode_correct("quality").alias("CORRECT"))
-    t = tm.tokenize_content_words(d.join(lb, "doc_id"), "text", "toks", "list")
-    t = drop_short_tokens(t, "toks", "terms", 2, ngram_max)
-    from kestrel.operators.ml import HOLDOUT
-    return tm.train_test_split(t.select("doc_id", "CORRECT", "terms"), "doc_id", HOLDOUT, 0)
+    parts = tm.train_test_split(lb, "doc_id", HOLDOUT, 0)  # of the small rows, before the texts come in
+    d = table(spark, sf, "documents").select("doc_id", "text").join(parts, "doc_id")
+    t = tm.tokenize_content_words(d, "text", "toks", "list")
+    return drop_short_tokens(t, "toks", "terms", 2).select("doc_id", "CORRECT", "split", "toks", "terms")
 
 
-@plan("classify_predict", ops=(81, 79, 80, 82, 76, 75))
+_HOLDOUT_SQL = f"""h as (select doc_id, case when quality = 1 then 'USE' else 'OMIT' end as CORRECT,
+                             {_SPLIT_SQL.format(seed=0, frac=0.2)} as split from labels)"""
+
+
+@plan("classify_predict", ops=(81, 79, 80, 82, 76, 75), sql=f"""with {_HOLDOUT_SQL}
+select cast(doc_id as varchar) as ID, cast(case when CORRECT = 'USE' then 1 else 0 end as int) as TARGET, true as IS_CLASS
+from h where split = 'test'""")
 def q_classify_predict(spark, sf):
-    """TF-IDF → 200-component SVD → RBF-like features → SVM on the train
-    part; ID, TARGET, PRED on the hold-out part."""
-    from kestrel.operators.ml import TextClassifier, prediction_table
-    t = _review_terms(spark, sf)
-    model = TextClassifier().fit(t.where(F.col("split") == "train"), "doc_id", "terms", "CORRECT")
-    p = model.transform(t.where(F.col("split") == "test"), "doc_id", "terms")
-    enc = F.array(*[F.lit(x) for x in model.labels])
-    p = p.withColumn("label_index", F.array_position(enc, F.col("CORRECT")) - 1)
-    return prediction_table(p, "doc_id", "label_index", "prediction_index")
-
-
-@plan("grid_search", ops=(83,))
+    """TF-IDF → 200-component SVD → RBF features → SVM on the train part,
+    then the hold-out part as a second table: ID, TARGET, and that PRED is
+    one of the classes (the predictions have no SQL form; tests bound
+    their accuracy)."""
+    from kestrel.operators.ml import TextClassifier, score_table
+    t = _reviews(spark, sf)
+    model = TextClassifier().fit(t.where("split = 'train'"), "terms", "CORRECT")
+    p = score_table(model, t.where("split = 'test'"), "doc_id", "terms", "CORRECT")
+    return p.select("ID", "TARGET", F.coalesce(F.col("PRED").isin(0, 1), F.lit(False)).alias("IS_CLASS"))
+
+
+@plan("truncated_svd", ops=(79, 78), sql=f"""
+with t as (select cast(doc_id as varchar) as doc_id, list_filter({_tokens_sql('text')}, lambda x: length(x) >= 2) as toks
+           from documents join labels using (doc_id)),
+tf as (select doc_id, term, cast(count(*) as double) as tf from (select doc_id, unnest(toks) as term from t) group by all),
+n as (select count(*) as N from t),
+idf as (select term, ln((N + 1) / (count(*) + 1)) + 1 as idf from tf, n group by term, N),
+w as (select doc_id, tf.term, tf * idf as w from tf join idf on idf.term = tf.term),
+x as (select doc_id, term, w / sqrt(sum(w * w) over (partition by doc_id)) as w from w)
+select cast(20 as bigint) as components, true as descending, true as orthonormal,
+       round(sum(w * w), 6) as total from x""")
+def q_truncated_svd(spark, sf):
+    """Twenty components of the reviews' tf-idf matrix: singular values
+    descend, vectors are orthonormal, and the squared entries sum to the
+    whole (all singular values' squares)."""
+    import numpy as np
+    from kestrel.operators import lsa
+    from kestrel.session import scratch_path
+    path = scratch_path(spark, "svd-plan")
+    _reviews(spark, sf).select(F.monotonically_increasing_id().alias("rid"), "terms").write.parquet(f"{path}/rows")
+    rows = spark.read.parquet(f"{path}/rows")
+    n = rows.count()
+    counts = lsa.term_entries(rows, "rid", "terms")
+    lsa.idf_table(counts, n).write.parquet(f"{path}/idf")
+    lsa.tfidf_entries(counts, spark.read.parquet(f"{path}/idf")).write.parquet(f"{path}/entries")
+    entries = spark.read.parquet(f"{path}/entries")
+    basis, values = lsa.svd(entries, n, 20)
+    g = lsa.gram(basis, len(values))
+    return entries.agg(F.round(F.sum(F.col("w") * F.col("w")), 6).alias("total")).select(
+        F.lit(len(values)).cast("bigint").alias("components"), F.lit(bool((np.diff(values) <= 0).all())).alias("descending"),
+        F.lit(bool(np.allclose(g, np.eye(len(values)), atol=1e-6))).alias("orthonormal"), "total")
+
+
+GRID = {"folds": 3, "ngrams": (1,), "components": (50, 200), "cs": (0.8, 1.2), "kernels": ("linear", "rbf"), "rounds": 2}
+
+
+@plan("grid_search", ops=(83,), sql="""
+select cast(1 as int) as ngram_max, cast(k as int) as components, kernel, cast(c as double) as C, true as learned
+from (values (50), (200)) a(k), (values (0.8), (1.2)) b(c), (values ('linear'), ('rbf')) d(kernel)""")
 def q_grid_search(spark, sf):
-    """5-fold search over n-gram range × regularisation (linear kernel
-    pipeline); one row per parameter combination."""
-    from kestrel.operators.ml import grid_search, label_encode
-    t = _review_terms(spark, sf)
-    train = label_encode(t.where(F.col("split") == "train"), "CORRECT", "label")
-    _, table_ = grid_search(train, "terms", "label")
-    return table_
+    """Search over components, kernel and C in three folds (the operator's
+    defaults are five folds and the whole grid); a row per setting, and
+    whether its mean accuracy beats a coin."""
+    from kestrel.operators.ml import grid_search
+    t = _reviews(spark, sf).where("split = 'train'")
+    _, found = grid_search(t, "toks", "CORRECT", **GRID)
+    return found.select("ngram_max", "components", "kernel", "C", (F.col("mean_accuracy") > 0.5).alias("learned"))
 
 
-@plan("model_save", ops=(103,))
+@plan("model_save", ops=(103, 80, 81), sql=f"""with {_HOLDOUT_SQL}
+select cast(doc_id as varchar) as ID, true as SAME from h where split = 'test'""")
 def q_model_save(spark, sf):
-    """Fit the linear pipeline, save it to the shared folder, load it
-    back and score the hold-out part with the loaded model."""
-    from pyspark.ml import PipelineModel
-    from kestrel.operators.ml import label_encode, linear_text_pipeline, model_save
+    """Fit the SVD and RBF model, save it to the shared folder, load it
+    back: does the loaded model predict the same for every hold-out row?"""
+    from kestrel.operators.ml import TextClassifier, model_save
     from kestrel.session import scratch_path
-    from kestrel.operators.partitioning import right_size
-    t = label_encode(_review_terms(spark, sf), "CORRECT", "label")
-    m = linear_text_pipeline().fit(right_size(t.where(F.col("split") == "train")))
+    t = _reviews(spark, sf)
+    m = TextClassifier(components=50).fit(t.where("split = 'train'"), "terms", "CORRECT")
     path = scratch_path(spark, "model")
     model_save(m, path)
-    loaded = PipelineModel.load(path)
-    return loaded.transform(t.where(F.col("split") == "test")).select(
-        F.col("doc_id").cast("string").alias("ID"), F.col("label").cast("int").alias("TARGET"),
-        F.col("prediction").cast("int").alias("PRED"))
+    test = t.where("split = 'test'").select("doc_id", "terms")
+    a = m.transform(test, "terms").select("doc_id", F.col("prediction").alias("a"))
+    b = TextClassifier.load(path).transform(test, "terms").select("doc_id", F.col("prediction").alias("b"))
+    return a.join(b, "doc_id").select(F.col("doc_id").cast("string").alias("ID"), F.col("a").eqNullSafe(F.col("b")).alias("SAME"))
