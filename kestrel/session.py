@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -33,26 +34,45 @@ def get_session(master: str | None = None, app: str = "kestrel",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set by the deployment (a folder every
-    executor can reach).  Only when it is unset -- local runs and tests --
-    a fresh private folder is created and registered."""
+    On a cluster it must be set by the deployment (a folder every executor
+    can reach); unset, this raises.  Only a local master, as in tests, gets
+    a fresh private folder."""
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
         if not d:
+            if not re.match(r"local(\[[^\]]*\])?$", sc.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             d = tempfile.mkdtemp(prefix="kestrel-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d
     return d
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique location under the shared checkpoint folder for a
     table the job writes and reads back (lineage cut that survives
     executor loss)."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/kestrel-{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/kestrel-{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def clean_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables made so far, once nothing reads them any
+    more; returns how many existed."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n
 
 
 def local_path(p: str) -> str:
