@@ -3,8 +3,8 @@
 ``Window.orderBy(k)`` with no ``partitionBy`` plans an
 ``Exchange SinglePartition``: every row goes through one task.  Here the
 key range is cut into buckets at approximate quantiles (one small
-aggregate job), each bucket is summed on its own (tiny table, at most
-``max_buckets`` rows, broadcast back), and the running sum inside a bucket
+aggregate job), each bucket is summed on its own (a row per bucket, joined
+back: Spark broadcasts it while it is small), and the running sum inside a bucket
 is a window partitioned by the bucket.  Buckets hold about the same number
 of distinct keys, so the work spreads over ``n_keys / keys_per_bucket``
 tasks.
@@ -21,31 +21,43 @@ import sys
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BUCKET = "_kestrel_bucket"
 DEFAULT_KEYS_PER_BUCKET = 2_000_000
 MIN_KEYS_PER_BUCKET = 50_000
-MAX_BUCKETS = 1024
+FINE = 256
 
 
-def bucket_splits(df: DataFrame, key: str, keys_per_bucket: int = DEFAULT_KEYS_PER_BUCKET,
-                  max_buckets: int = MAX_BUCKETS) -> list[float]:
+def known(df: DataFrame, col: str) -> Column:
+    """Neither NULL nor NaN."""
+    c = F.col(col)
+    floating = isinstance(df.schema[col].dataType, (T.FloatType, T.DoubleType))
+    return c.isNotNull() & ~F.isnan(c) if floating else c.isNotNull()
+
+
+def bucket_splits(df: DataFrame, key: str, keys_per_bucket: int = DEFAULT_KEYS_PER_BUCKET) -> list[float]:
     """Inner split points (strictly increasing) so that each bucket holds
     at most about ``keys_per_bucket`` keys, and -- while buckets keep at
     least MIN_KEYS_PER_BUCKET keys -- there are enough buckets to occupy
-    every core.  Two small jobs (a count, then only the needed quantiles);
-    the collected result is bounded by ``max_buckets`` numbers."""
-    n = df.count()
+    every core.  The number of buckets follows from the number of keys
+    alone.  One job gives count and quantiles together; only beyond
+    FINE buckets does a second one ask for finer quantiles."""
+    k = F.col(key).cast("double")
+
+    def quantiles(n: int):
+        probs = [i / n for i in range(1, n)]
+        r = df.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(k, probs, 10 * n).alias("q")).first()
+        return r["n"], r["q"] or []
+
+    n, fine = quantiles(FINE)
     cores = df.sparkSession.sparkContext.defaultParallelism
-    by_size = math.ceil(n / max(1, keys_per_bucket))
-    by_cores = min(cores, n // MIN_KEYS_PER_BUCKET)
-    nb = min(max_buckets, max(1, by_size, by_cores))
-    if nb <= 1:
-        return []
-    probs = [k / nb for k in range(1, nb)]
-    qs = df.agg(F.percentile_approx(F.col(key).cast("double"), probs, 100 * nb).alias("q")).first()["q"]
+    nb = max(1, math.ceil(n / max(1, keys_per_bucket)), min(cores, n // MIN_KEYS_PER_BUCKET))
+    if nb > FINE:
+        fine = quantiles(nb)[1]
     out: list[float] = []
-    for v in qs or []:
+    for i in range(1, nb):
+        v = fine[max(0, round(i * (len(fine) + 1) / nb) - 1)] if fine else None
         if v is not None and not math.isnan(v) and (not out or v > out[-1]):
             out.append(float(v))
     return out
@@ -102,10 +114,7 @@ def running_sums(df: DataFrame, key: str, values: dict[str, Column | str], *,
         *([F.sum(f"_t_{n}").over(whole).alias(f"{n}_total") for n in names] if with_totals else []))
 
     inside = Window.partitionBy(*group, BUCKET).orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
-    if group:
-        out = tagged.join(offsets, [*group, BUCKET])  # ≤ #groups × #buckets rows
-    else:
-        out = tagged.join(F.broadcast(offsets), BUCKET)  # at most MAX_BUCKETS rows
+    out = tagged.join(offsets, [*group, BUCKET])  # ≤ #groups × #buckets rows
     out = out.select("*", *[(F.col(f"_o_{n}") + F.sum(f"_v_{n}").over(inside)).alias(n) for n in names])
     drop = ([] if keep_bucket else [BUCKET]) + [f"_v_{n}" for n in names] + [f"_o_{n}" for n in names]
     return out.drop(*drop)

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kestrel.operators import prefix
+from kestrel.operators.skew import hot_key_join
 from kestrel.session import keep
 
 # ---------------------------------------------------------------------------
@@ -61,7 +62,7 @@ def classify_event(df: DataFrame, reason: str | Column = "REASON_KEY", out: str
 def hazard_table(df: DataFrame, cycle: str = "CYCLE", event: str = "EVENT",
                  failure: str = FAILURE, keys_per_bucket: int = prefix.DEFAULT_KEYS_PER_BUCKET,
                  by: tuple[str, ...] | list[str] = ()) -> DataFrame:
-    """One row per distinct non-NULL ``cycle``:
+    """One row per distinct ``cycle`` (NULL and NaN dropped):
 
     * ``n`` rows, ``d`` failures at that value,
     * ``risk`` = average descending rank = N_greater + (n+1)/2 (ties get
@@ -77,7 +78,7 @@ def hazard_table(df: DataFrame, cycle: str = "CYCLE", event: str = "EVENT",
     persists the grouped table; the result itself is lazy.
     """
     by = list(by)
-    g = (df.where(F.col(cycle).isNotNull())
+    g = (df.where(prefix.known(df, cycle))
          .groupBy(*by, cycle)
          .agg(F.count(F.lit(1)).cast("bigint").alias("n"),
               F.sum(F.when(F.col(event) == failure, 1).otherwise(0)).cast("bigint").alias("d")))
@@ -96,11 +97,12 @@ def hazard_table(df: DataFrame, cycle: str = "CYCLE", event: str = "EVENT",
 
 def hazard_rows(df: DataFrame, haz: DataFrame, cycle: str = "CYCLE", event: str = "EVENT",
                 failure: str = FAILURE, by: tuple[str, ...] | list[str] = ()) -> DataFrame:
-    """Per input row (NULL cycles removed): ``risk`` (average descending
+    """Per input row (NULL and NaN cycles removed): ``risk`` (average descending
     rank), and for failure rows ``hazard`` = 1/risk, ``H``, ``F`` =
     1-exp(-H), ``log_CYCLE``, ``log_H``.  Survivor rows keep NULL there."""
     is_f = F.col(event) == failure
-    j = df.where(F.col(cycle).isNotNull()).join(haz.select(*by, cycle, "risk", "H"), [*by, cycle])
+    keyed = haz.select(*by, cycle, "n", "risk", "H")
+    j = hot_key_join(df.where(prefix.known(df, cycle)), keyed.withColumnRenamed("n", "_n"), [*by, cycle], "_n")
     return (j.withColumn("hazard", F.when(is_f, F.lit(1.0) / F.col("risk")))
             .withColumn("H", F.when(is_f, F.col("H")))
             .withColumn("F", F.lit(1.0) - F.exp(-F.col("H")))

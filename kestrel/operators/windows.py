@@ -10,19 +10,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.operators import prefix
+from kestrel.operators.skew import hot_key_join
 from kestrel.session import keep
 
 
 def rank_average_desc(df: DataFrame, col: str, out: str = "rank",
                       keys_per_bucket: int = prefix.DEFAULT_KEYS_PER_BUCKET) -> DataFrame:
     """Descending rank with ties given the mean of their ranks
-    (N_greater + (n_equal+1)/2).  Rows with NULL ``col`` are dropped first."""
-    base = df.where(F.col(col).isNotNull())
+    (N_greater + (n_equal+1)/2).  Rows with NULL or NaN ``col`` are dropped
+    first."""
+    base = df.where(prefix.known(df, col))
     g = keep(base.groupBy(col).agg(F.count(F.lit(1)).alias("_n")))
     s = prefix.running_sums(g, col, {"_cum": "_n"}, keys_per_bucket=keys_per_bucket, with_totals=True)
-    r = s.select(col, ((F.col("_cum_total") - F.col("_cum")).cast("double")
-                       + (F.col("_n").cast("double") + 1.0) / 2.0).alias(out))
-    return base.join(r, col)
+    r = s.select(col, "_n", ((F.col("_cum_total") - F.col("_cum")).cast("double")
+                             + (F.col("_n").cast("double") + 1.0) / 2.0).alias(out))
+    return hot_key_join(base, r, [col], "_n")
 
 
 def cumulative_sum_ties(df: DataFrame, key: str, value: str | Column, out: str = "cum_sum",
@@ -32,10 +34,10 @@ def cumulative_sum_ties(df: DataFrame, key: str, value: str | Column, out: str =
     one total (RANGE frame semantics, unlike a row-wise cumsum).  One row
     per distinct key, or every input row when ``per_row``."""
     v = F.col(value) if isinstance(value, str) else value
-    base = df.where(F.col(key).isNotNull())
-    g = keep(base.groupBy(key).agg(F.sum(v).alias("_s")))
+    base = df.where(prefix.known(df, key))
+    g = keep(base.groupBy(key).agg(F.sum(v).alias("_s"), F.count(F.lit(1)).alias("_n")))
     s = prefix.running_sums(g, key, {out: "_s"}, keys_per_bucket=keys_per_bucket).drop("_s")
-    return base.join(s, key) if per_row else s
+    return hot_key_join(base, s, [key], "_n") if per_row else s.drop("_n")
 
 
 def dense_row_index(df: DataFrame, order: list[str | Column], out: str = "index") -> DataFrame:
