@@ -5,24 +5,24 @@ page → element text → chunks → vectors → collection; questions → vecto
 padded batches.
 
 Scale notes
-* Chunking and HTML extraction are per-row (Arrow batches); every text is
-  processed whole.
+* Chunking and HTML extraction are per-row (Arrow batches of a bounded
+  number of chunks); every text is processed whole.
 * Nearest-neighbour search never materialises (query, vector) pairs as
-  rows: each store partition scores all queries of a bounded block in
-  numpy and keeps only its own top-k candidates per query; a final
-  window over (#partitions × k) candidates per query picks the exact
-  top-k.  Query blocks are size-checked before they are shipped.
-* Context assembly joins on (conversation, turn) keys, so one long
+  rows: both sides are cut into bounded blocks, each pair of blocks gives
+  at most k rows per query, and a window over these picks the exact top-k.
+* Question/answer pairing joins on (conversation, turn) keys, so one long
   conversation cannot pile up in one task.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
@@ -66,13 +66,15 @@ LABEL_PAD = -100
 # ---- HTML ----------------------------------------------------------------
 
 class _FirstDivText(HTMLParser):
-    """Text of the first <div> whose class matches, nested divs included."""
+    """Text of the first <div> whose class matches, nested divs included,
+    the contents of script, style and template elements left out."""
 
     def __init__(self, class_name: str):
         super().__init__(convert_charrefs=True)
         self.want = class_name.split()
         self.depth = 0  # >0 while inside the matched div
         self.done = False
+        self.silent: str | None = None  # the open script or style element
         self.parts: list[str] = []
 
     def _matches(self, attrs) -> bool:
@@ -86,19 +88,23 @@ class _FirstDivText(HTMLParser):
         if self.done:
             return
         if self.depth:
+            if tag in ("script", "style", "template"):
+                self.silent = self.silent or tag
             if tag == "div":
                 self.depth += 1
         elif tag == "div" and self._matches(attrs):
             self.depth = 1
 
     def handle_endtag(self, tag):
+        if tag == self.silent:
+            self.silent = None
         if self.depth and tag == "div":
             self.depth -= 1
             if self.depth == 0:
                 self.done = True
 
     def handle_data(self, data):
-        if self.depth and not self.done:
+        if self.depth and not self.done and not self.silent:
             self.parts.append(data)
 
 
@@ -141,16 +147,60 @@ def text_documents(df: DataFrame, text: str, source: str) -> DataFrame:
 
 # ---- chunking ------------------------------------------------------------
 
+CHUNKS_PER_BATCH = 4096
+
+
+def _chunk_rows(df: DataFrame, text: str, cols: list[str], chunks_of: Callable[[str], Iterator[str]],
+                out: str) -> DataFrame:
+    """``cols`` with chunk_no (int) and ``out``: the chunks of each text, in
+    Arrow batches of a bounded number of chunks (a text's chunks may span
+    several)."""
+    ensure_shipped(df.sparkSession)
+    schema = T.StructType([*[df.schema[c] for c in cols], T.StructField("chunk_no", T.IntegerType()),
+                           T.StructField(out, T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            at, numbers, chunks = [], [], []
+
+            def batch(b=b):
+                rows = pa.array(at, pa.int64())
+                return pa.RecordBatch.from_arrays([*[c.take(rows) for c in b.columns[1:]], pa.array(numbers, pa.int32()),
+                                                   pa.array(chunks, pa.string())], names=[*cols, "chunk_no", out])
+
+            for i in range(b.num_rows):
+                t = b.column(0)[i].as_py()
+                if t is None:
+                    continue
+                for n, c in enumerate(chunks_of(t)):
+                    at.append(i)
+                    numbers.append(n)
+                    chunks.append(c)
+                    if len(chunks) == CHUNKS_PER_BATCH:
+                        yield batch()
+                        at, numbers, chunks = [], [], []
+            if chunks:
+                yield batch()
+
+    return df.select(F.col(text).cast("string"), *cols).mapInArrow(run, schema)
+
+
 def fixed_chunks(df: DataFrame, text: str, size: int, overlap: int, out: str = "chunk") -> DataFrame:
     """Plain character windows of ``size`` starting every size-overlap
-    characters (built-in expressions; one row per chunk, ``chunk_no``
-    from 0)."""
+    characters: the columns of ``df`` but the text, ``chunk_no`` (from 0)
+    and ``out``.  Each text is walked once, so the time is linear in its
+    length."""
     if not 0 <= overlap < size:
         raise ValueError("need 0 <= overlap < size")
-    df = spread(df)
-    starts = F.sequence(F.lit(0), F.greatest(F.length(text) - 1, F.lit(0)), F.lit(size - overlap))
-    pieces = F.transform(starts, lambda i: F.substring(F.col(text), i + 1, size))
-    return df.select("*", F.posexplode(pieces).alias("chunk_no", out)).where(F.length(out) > 0)
+    step = size - overlap
+
+    def windows(t: str) -> Iterator[str]:
+        for i in range(0, len(t), step):
+            yield t[i:i + size]
+
+    return _chunk_rows(spread(df), text, [c for c in df.columns if c not in (text, "chunk_no", out)], windows, out)
 
 
 def _split_keep(text: str, sep: str) -> list[str]:
@@ -214,26 +264,7 @@ def recursive_chunks(df: DataFrame, key: str, text: str, size: int = 100, overla
                      keep: tuple[str, ...] = (), length: Callable[[str], int] = len) -> DataFrame:
     """One row per chunk: key, kept columns, ``chunk_no``, ``chunk``.
     Runs the splitter per document inside Arrow batches."""
-    fields = [df.schema[key]] + [df.schema[c] for c in keep]
-    schema = T.StructType(fields + [T.StructField("chunk_no", T.IntegerType()),
-                                    T.StructField("chunk", T.StringType())])
-    cols = [key, *keep]
-    ensure_shipped(df.sparkSession)
-    df = spread(df)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            recs = []
-            for row in b.itertuples(index=False):
-                d = row._asdict()
-                t = d.pop(text)
-                if t is None:
-                    continue
-                for i, c in enumerate(recursive_split(t, size, overlap, SEPARATORS, length)):
-                    recs.append((*[d[c2] for c2 in cols], i, c))
-            yield pd.DataFrame.from_records(recs, columns=[*cols, "chunk_no", "chunk"])
-
-    return df.select(*cols, text).mapInPandas(run, schema)
+    return _chunk_rows(spread(df), text, [key, *keep], lambda t: recursive_split(t, size, overlap, SEPARATORS, length), "chunk")
 
 
 # ---- vectors -------------------------------------------------------------
@@ -266,16 +297,19 @@ def embed_text(df: DataFrame, text: str, out: str = "embedding", dim: int = 64,
 
 
 def assign_chunk_id(df: DataFrame, collection: str | Column, doc: str, chunk_no: str,
-                    out: str = "id", random_uuid: bool = False) -> DataFrame:
+                    out: str = "id", random_uuid: bool = False, content: str | None = None) -> DataFrame:
     """Repeatable id: sha256 of 'collection/doc/chunk_no' (re-runs give
-    the same ids, so appends can skip rows already stored).  With
+    the same ids, so appends can skip rows already stored), with
+    ``content`` also of that column's MD5, so an edited chunk is a new row.  With
     ``random_uuid`` a fresh UUID per row instead (the non-repeatable
     behaviour; re-running an insert then stores copies)."""
     if random_uuid:
         return df.withColumn(out, F.expr("uuid()"))
     coll = F.lit(collection) if isinstance(collection, str) else collection
-    return df.withColumn(out, F.sha2(F.concat_ws("/", coll, F.col(doc).cast("string"),
-                                                 F.col(chunk_no).cast("string")), 256))
+    parts = [coll, F.col(doc).cast("string"), F.col(chunk_no).cast("string")]
+    if content is not None:
+        parts.append(F.md5(F.coalesce(F.col(content), F.lit(""))))
+    return df.withColumn(out, F.sha2(F.concat_ws("/", *parts), 256))
 
 
 def dimension_guard(df: DataFrame, vec: str = "embedding", dim: int | None = None,
@@ -292,79 +326,120 @@ def dimension_guard(df: DataFrame, vec: str = "embedding", dim: int | None = Non
 
 # ---- search --------------------------------------------------------------
 
-MAX_QUERY_BLOCK_BYTES = 64 * 1024 * 1024
+BLOCK_ROWS = 8192  # rows of a block of either side
+TILE_CELLS = 2_000_000  # scores held at once
 
 
-def _scores(metric: str, q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Distance (smaller = nearer) of every query to every row: q (m×d), x (n×d)."""
-    if metric == "l2":
-        out = np.empty((q.shape[0], x.shape[0]))
-        step = max(1, int(2_000_000 // max(1, x.shape[0] * x.shape[1])))
-        for s in range(0, q.shape[0], step):
-            diff = q[s:s + step, None, :] - x[None, :, :]
-            out[s:s + step] = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
-        return out
+def _approximate(metric: str, q: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(scores, smaller = nearer, by matrix products; a bound of their error per query)."""
+    qq, xx = np.einsum("ij,ij->i", q, q), np.einsum("ij,ij->i", x, x)
+    dot = q @ x.T
+    if metric == "l2":  # squared distance
+        scale = qq + (xx.max() if len(xx) else 0)
+        return qq[:, None] + xx[None, :] - 2 * dot, 1e-12 * scale
     if metric == "cosine":
-        qn = q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-300)
-        xn = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
-        return 1.0 - qn @ xn.T
+        n = np.maximum(np.sqrt(qq)[:, None] * np.sqrt(xx)[None, :], 1e-300)
+        return 1.0 - dot / n, np.full(len(q), 1e-12)
     if metric == "ip":
-        return -(q @ x.T)
-    raise ValueError(metric)
+        return -dot, 1e-12 * (np.sqrt(qq) * np.sqrt(xx.max() if len(xx) else 0) + 1e-300)
+    raise ValueError(f"metric is l2, cosine or ip, not {metric!r}")
+
+
+def _exact(metric: str, q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Distances of one query to rows, each by the same operations, so equal
+    rows get equal distances."""
+    if metric == "l2":
+        d = x - q
+        return np.sqrt((d * d).sum(axis=1))
+    dot = (x * q).sum(axis=1)
+    if metric == "cosine":
+        return 1.0 - dot / np.maximum(np.sqrt((q * q).sum()) * np.sqrt((x * x).sum(axis=1)), 1e-300)
+    return -dot
+
+
+def nearest(metric: str, q: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(query, places in x, distances) of the k nearest rows, ties by id
+    place.  Matrix products find who can be among them, exact distances
+    decide; memory is bounded by TILE_CELLS scores."""
+    step = max(1, TILE_CELLS // max(1, len(x)))
+    for a in range(0, len(q), step):
+        score, error = _approximate(metric, q[a:a + step], x)
+        kk = min(k, len(x))
+        kth = np.partition(score, kk - 1, axis=1)[:, kk - 1]
+        for i in range(len(score)):
+            near = np.flatnonzero(score[i] <= kth[i] + 2 * error[i])
+            d = _exact(metric, q[a + i], x[near])
+            order = np.lexsort((ids[near], d))[:kk]
+            yield a + i, near[order], d[order]
 
 
 def similarity_search(store: DataFrame, queries: DataFrame, k: int = DEFAULT_K, metric: str = "l2",
                       store_id: str = "id", store_vec: str = "embedding", query_id: str = "qid",
                       query_vec: str = "embedding", keep: tuple[str, ...] = (),
-                      round_digits: int = 5) -> DataFrame:
+                      round_digits: int | None = 5) -> DataFrame:
     """Exact k nearest store rows per query: (qid, store id, kept store
-    columns, ``dist``, ``rank`` 1..k), ties broken by the rounded distance
-    then id.  Queries are collected in blocks whose size is checked
-    (each block goes to the tasks as a task-side constant); the store is
-    never shuffled before its per-partition top-k cut."""
-    dim = queries.select(F.max(F.size(query_vec))).first()[0] or 0
-    nq = queries.count()
-    block = max(1, int(MAX_QUERY_BLOCK_BYTES // max(1, dim * 8)))
-    sid_type = store.schema[store_id].dataType
-    qid_type = queries.schema[query_id].dataType
-    keep_fields = [store.schema[c] for c in keep]
-    schema = T.StructType([T.StructField("qid", qid_type), T.StructField(store_id, sid_type), *keep_fields,
-                           T.StructField("dist", T.DoubleType())])
-    margin = 10.0 ** (-round_digits)
-    ensure_shipped(store.sparkSession)
-    ordered = queries.select(query_id, query_vec).orderBy(query_id)
-    results = []
-    for start in range(0, nq, block):
-        qrows = ordered.offset(start).limit(block).collect()  # bounded: ≤ block rows of `dim` floats
-        qids = [r[0] for r in qrows]
-        qmat = np.array([np.asarray(r[1], dtype=np.float64) for r in qrows])
-
-        def topk(it: Iterator[pd.DataFrame], qids=qids, qmat=qmat) -> Iterator[pd.DataFrame]:
-            for b in it:
-                if len(b) == 0:
-                    continue
-                x = np.stack(b[store_vec].map(lambda v: np.asarray(v, dtype=np.float64)).to_numpy())
-                d = _scores(metric, qmat, x)
-                kk = min(k, d.shape[1])
-                kth = np.partition(d, kk - 1, axis=1)[:, kk - 1:kk]
-                qi, xi = np.nonzero(d <= kth + margin)
-                out = pd.DataFrame({"qid": [qids[i] for i in qi]})
-                out[store_id] = b[store_id].to_numpy()[xi]
-                for c in keep:
-                    out[c] = b[c].to_numpy()[xi]
-                out["dist"] = d[qi, xi]
-                yield out
-
-        cand = spread(store.select(store_id, store_vec, *keep)).mapInPandas(topk, schema)
-        results.append(cand)
-    if not results:
-        return store.sparkSession.createDataFrame([], schema.add("rank", T.IntegerType()))
-    cand = results[0]
-    for r in results[1:]:
-        cand = cand.unionByName(r)
-    w = Window.partitionBy("qid").orderBy(F.round("dist", round_digits), store_id)
+    columns, ``dist``, ``rank`` 1..k), ranked by the raw distance, then id;
+    only the shown ``dist`` is rounded.
+
+    Both sides stay distributed: they are cut into blocks by a hash of the
+    id, every pair of blocks is one group that returns at most k rows per
+    query, and the blocks' results are merged per query.  Vectors that are
+    NULL, hold NULL or non-finite numbers, or differ in length from the
+    most frequent length of the store take no part (``dimension_guard``
+    lists them)."""
+    spark = store.sparkSession
+    ensure_shipped(spark)
+
+    def fit(df, vec):
+        return df.where(F.col(vec).isNotNull() & F.forall(F.col(vec).cast("array<double>"), lambda x: F.coalesce(
+            ~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False))))
+
+    sizes = fit(store, store_vec).groupBy(F.size(store_vec).alias("d")).agg(F.count(F.lit(1)).alias("n")).where("d > 0")
+    top = sizes.orderBy(F.desc("n"), "d").first()
+    kept = [F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)]
+    sid, qid = store.schema[store_id].dataType, queries.schema[query_id].dataType
+    out = T.StructType([T.StructField("qid", qid), T.StructField(store_id, sid), *[store.schema[c] for c in keep],
+                        T.StructField("dist", T.DoubleType()), T.StructField("rank", T.IntegerType())])
+    if top is None:
+        return spark.createDataFrame([], out)
+    dim, n = top["d"], top["n"]
+    s = fit(store, store_vec).where(F.size(store_vec) == dim).select(
+        F.col(store_id).alias("sid"), F.col(store_vec).cast("array<double>").alias("v"), *kept)
+    q = fit(queries, query_vec).where(F.size(query_vec) == dim).select(
+        F.col(query_id).alias("qid"), F.col(query_vec).cast("array<double>").alias("v"))
+    sb, qb = max(1, -(-n // BLOCK_ROWS)), max(1, -(-q.count() // BLOCK_ROWS))
+
+    def blocks(df, key, own, others, name, against):
+        return df.withColumn(name, F.pmod(F.xxhash64(key, "v"), F.lit(own))).withColumn(
+            against, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(others - 1).cast("bigint"))))
+
+    names = [f"keep_{i}" for i in range(len(keep))]
+    found = T.StructType([T.StructField("qid", qid), T.StructField("sid", sid),
+                          *[T.StructField(f"keep_{i}", store.schema[c].dataType) for i, c in enumerate(keep)],
+                          T.StructField("d", T.DoubleType())])
+
+    def matrix(t: pa.Table) -> np.ndarray:
+        return t.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+
+    def tile(left: pa.Table, right: pa.Table) -> pa.Table:
+        at, to, dist = [], [], []
+        if left.num_rows and right.num_rows:
+            right = right.sort_by("sid")
+            for i, near, d in nearest(metric, matrix(left), matrix(right), np.arange(right.num_rows), k):
+                at += [i] * len(near)
+                to += near.tolist()
+                dist += d.tolist()
+        rows = right.take(pa.array(to, pa.int64()))
+        return pa.table([left.column("qid").take(pa.array(at, pa.int64())), rows.column("sid"),
+                         *[rows.column(c) for c in names], pa.array(dist, pa.float64())], names=["qid", "sid", *names, "d"])
+
+    cand = (blocks(q, "qid", qb, sb, "qb", "sb").groupBy("qb", "sb")
+            .cogroup(blocks(s, "sid", sb, qb, "sb", "qb").groupBy("qb", "sb")).applyInArrow(tile, found))
+    w = Window.partitionBy("qid").orderBy("d", "sid")
+    dist = F.col("d") if round_digits is None else F.round("d", round_digits)
     return (cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-            .withColumn("dist", F.round("dist", round_digits) + F.lit(0.0)))  # -0.0 → 0.0
+            .select("qid", F.col("sid").alias(store_id), *[F.col(f"keep_{i}").alias(c) for i, c in enumerate(keep)],
+                    (dist + F.lit(0.0)).alias("dist"), "rank"))  # -0.0 → 0.0
 
 
 def retrieval_compare(a: DataFrame, b: DataFrame, store_id: str = "id") -> DataFrame:
@@ -380,13 +455,29 @@ def retrieval_compare(a: DataFrame, b: DataFrame, store_id: str = "id") -> DataF
 
 # ---- prompts and training rows --------------------------------------------
 
+#: What a Python repr escapes beyond quotes and backslash: separators other
+#: than the space, control, format, private-use, surrogate and unassigned code points.
+_UNPRINTED = r"[\p{Z}\p{C}&&[^ ]]"
+
+
 def py_str_repr(c: Column) -> Column:
     """Python repr of a string: double quotes when the text has a single
     quote and no double quote, else single quotes with \\' escaped;
-    backslash, newline, carriage return and tab escaped."""
+    backslashes, control characters and other unprinted characters (such
+    as U+3000) escaped."""
     esc = F.replace(c, F.lit("\\"), F.lit("\\\\"))
     for a, b in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
         esc = F.replace(esc, F.lit(a), F.lit(b))
+
+    def one(ch: Column) -> Column:
+        code = F.ascii(ch)
+        h = F.lower(F.hex(code))
+        return F.when(F.rlike(ch, F.lit(_UNPRINTED)), F.when(code < 256, F.concat(F.lit("\\x"), F.lpad(h, 2, "0")))
+                      .when(code < 65536, F.concat(F.lit("\\u"), F.lpad(h, 4, "0")))
+                      .otherwise(F.concat(F.lit("\\U"), F.lpad(h, 8, "0")))).otherwise(ch)
+
+    # characters one by one only where there is something to escape
+    esc = F.when(F.rlike(esc, F.lit(_UNPRINTED)), F.array_join(F.transform(F.split(esc, ""), one), "")).otherwise(esc)
     dq = F.contains(c, F.lit("'")) & ~F.contains(c, F.lit('"'))
     return F.when(dq, F.concat(F.lit('"'), esc, F.lit('"'))).otherwise(
         F.concat(F.lit("'"), F.replace(esc, F.lit("'"), F.lit("\\'")), F.lit("'")))
@@ -398,11 +489,10 @@ def py_list_repr(texts: Column) -> Column:
 
 
 def fill_template(template: str, **parts: Column) -> Column:
-    """Replace each {name} of the template with the given column."""
-    out = F.lit(template)
-    for name, col in parts.items():
-        out = F.replace(out, F.lit("{" + name + "}"), col)
-    return out
+    """The template with each {name} replaced by the given column.  The
+    template is cut once, so braces inside the values stay as they are."""
+    pieces = re.split(r"\{(" + "|".join(map(re.escape, parts)) + r")\}", template)
+    return F.concat(*[parts[p] if i % 2 else F.lit(p) for i, p in enumerate(pieces)])
 
 
 def prompt_build(hits: DataFrame, questions: DataFrame, qid: str = "qid", question: str = "question",
@@ -418,25 +508,30 @@ def prompt_build(hits: DataFrame, questions: DataFrame, qid: str = "qid", questi
 
 
 def qa_pairs(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",
-             text: str = "text", ask: str = "user", answer: str = "assistant",
-             context_turns: int = 4) -> DataFrame:
+             text: str = "text", ask: str = "user", answer: str = "assistant") -> DataFrame:
     """Question/answer rows: each ``ask`` turn with the next turn when it
-    is an ``answer`` turn, plus up to ``context_turns`` earlier turns as
-    context (list, oldest first).  Joins on (conversation, turn) keys."""
+    is an ``answer`` turn.  Joins on (conversation, turn) keys, so one long
+    conversation is spread like any others."""
     t = turns.select(F.col(conv).alias("_c"), F.col(turn).alias("_t"), F.col(role).alias("_r"),
                      F.col(text).alias("_x"))
     q = t.where(F.col("_r") == ask)
     a = t.where(F.col("_r") == answer).select("_c", (F.col("_t") - 1).alias("_t"), F.col("_x").alias("answer"))
-    qa = q.join(a, ["_c", "_t"])
-    prev = t.select("_c", "_x", F.col("_t").alias("_pt"),
-                    F.explode(F.sequence(F.lit(1), F.lit(context_turns))).alias("_d"))
-    prev = prev.select("_c", (F.col("_pt") + F.col("_d")).alias("_t"), "_pt", "_x")
-    ctx = (qa.select("_c", "_t").join(prev, ["_c", "_t"])
-           .groupBy("_c", "_t").agg(F.array_sort(F.collect_list(F.struct("_pt", "_x"))).alias("_ctx")))
-    out = qa.join(ctx, ["_c", "_t"], "left")
-    return out.select(F.col("_c").alias(conv), F.col("_t").alias(turn), F.col("_x").alias("question"), "answer",
-                      F.coalesce(F.transform("_ctx", lambda s: s["_x"]), F.array().cast("array<string>"))
-                      .alias("context"))
+    return q.join(a, ["_c", "_t"]).select(F.col("_c").alias(conv), F.col("_t").alias(turn), F.col("_x").alias("question"), "answer")
+
+
+def with_context(pairs: DataFrame, store: DataFrame, keys: list[str], k: int = DEFAULT_K, store_id: str = "id",
+                 store_text: str = "text", vec: str = "embedding", metric: str = "l2") -> DataFrame:
+    """Adds ``context``: the k store texts nearest to each question, nearest
+    first (a list bounded by k).  Both sides carry their vector (see
+    ``embed_text``); ``keys`` identify a question."""
+    qid = F.to_json(F.struct(*keys))
+    held = store.select(store_id, F.col(store_text).alias("_text"), F.col(vec).alias("_v"))
+    hits = similarity_search(held, pairs.select(qid.alias("qid"), F.col(vec).alias("_v")), k, metric, store_id=store_id,
+                             store_vec="_v", query_vec="_v", keep=("_text",))
+    ctx = hits.groupBy("qid").agg(F.array_sort(F.collect_list(F.struct("rank", "_text"))).alias("_hits"))
+    none = F.array().cast("array<string>")
+    return (pairs.withColumn("qid", qid).join(ctx, "qid", "left")
+            .withColumn("context", F.coalesce(F.transform("_hits", lambda s: s["_text"]), none)).drop("qid", "_hits"))
 
 
 def sft_examples(pairs: DataFrame, template: str = PROMPT_TEMPLATE_DIALOGUE) -> DataFrame:
@@ -446,10 +541,9 @@ def sft_examples(pairs: DataFrame, template: str = PROMPT_TEMPLATE_DIALOGUE) ->
                         F.col("answer").alias("labels"))
 
 
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
-def codepoint_ids(s: pd.Series) -> pd.Series:
+def codepoint_ids(text: Column) -> Column:
     """Default tokenizer: one id per Unicode code point."""
-    return pd.Series([None if t is None else [ord(c) for c in t] for t in s])
+    return F.transform(F.filter(F.split(text, ""), lambda c: c != ""), lambda c: F.ascii(c))
 
 
 def sft_tokenize(df: DataFrame, inputs: str = "inputs", labels: str = "labels", eos: str = "</s>",

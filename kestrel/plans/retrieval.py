@@ -36,10 +36,18 @@ def q_fixed_chunks_150(spark, sf):
     return rt.fixed_chunks(d, "text", 150, 20).select("doc_id", "chunk_no", "chunk")
 
 
-@plan("recursive_chunks", ops=(85,))
+@plan("recursive_chunks", ops=(85,), sql="""
+select doc_id, source, true as fits, true as numbered, substr(trim(text, chr(32) || chr(10)), 1, 1) as head,
+       right(trim(text, chr(32) || chr(10)), 1) as tail
+from documents where length(trim(text, chr(32) || chr(10))) > 0""")
 def q_recursive_chunks(spark, sf):
+    """Per document: every chunk fits, the numbers run from 0, the first
+    and last characters are the text's (tests compare whole splits)."""
     d = table(spark, sf, "documents").select("doc_id", "source", "text")
-    return rt.recursive_chunks(d, "doc_id", "text", 100, 10, keep=("source",))
+    c = rt.recursive_chunks(d, "doc_id", "text", 100, 10, keep=("source",))
+    return c.groupBy("doc_id", "source").agg(
+        (F.max(F.length("chunk")) <= 100).alias("fits"), (F.max("chunk_no") + 1 == F.count("chunk_no")).alias("numbered"),
+        F.min_by(F.substring("chunk", 1, 1), "chunk_no").alias("head"), F.max_by(F.right("chunk", F.lit(1)), "chunk_no").alias("tail"))
 
 
 @plan("assign_chunk_id", ops=(88,), sql="""
@@ -51,16 +59,27 @@ def q_assign_chunk_id(spark, sf):
     return rt.assign_chunk_id(c, "documents", "doc_id", "chunk_no").select("doc_id", "chunk_no", "id")
 
 
-@plan("embed_text", ops=(87,))
+@plan("embed_text", ops=(87,), sql="""
+select doc_id, 64 as dim, true as repeats, true as order_free from documents""")
 def q_embed_text(spark, sf):
+    """Whole texts by the default embedder: 64 dimensions, the same vector
+    for the same text and for its words in reverse order (a bag of words)."""
     d = table(spark, sf, "documents").select("doc_id", "text")
-    c = rt.recursive_chunks(d, "doc_id", "text", 150, 20)
-    return rt.embed_text(c, "chunk", dim=64).select("doc_id", "chunk_no", "embedding")
+    words = F.regexp_extract_all("text", F.lit(r"[\p{L}\p{M}\p{N}_]+"), 0)
+    back = d.select("doc_id", F.array_join(F.reverse(words), " ").alias("text"))
+    a = rt.embed_text(d, "text", "a", 64).select("doc_id", "a")
+    b = rt.embed_text(d, "text", "b", 64).select("doc_id", "b")
+    c = rt.embed_text(back, "text", "c", 64).select("doc_id", "c")
+    return a.join(b, "doc_id").join(c, "doc_id").select(
+        "doc_id", F.size("a").alias("dim"), (F.col("a") == F.col("b")).alias("repeats"), (F.col("a") == F.col("c")).alias("order_free"))
 
 
-@plan("dimension_guard", ops=(90,), sql="select vec_id from embeddings where len(embedding) != 64 or embedding is null")
+@plan("dimension_guard", ops=(90,), sql="select vec_id from embeddings where vec_id % 7 = 0 or vec_id % 11 = 0")
 def q_dimension_guard(spark, sf):
-    e = table(spark, sf, "embeddings")
+    """Every seventh vector cut short, every eleventh missing."""
+    e = table(spark, sf, "embeddings").withColumn(
+        "embedding", F.when(F.col("vec_id") % 11 == 0, F.lit(None)).when(F.col("vec_id") % 7 == 0, F.slice("embedding", 1, 63))
+        .otherwise(F.col("embedding")))
     return rt.dimension_guard(e, "embedding", 64).select("vec_id")
 
 
@@ -82,9 +101,9 @@ def q_collection_store(spark, sf):
 _KNN_SQL = """
 with q as (select vec_id as qid, cast(embedding as double[]) as qe from embeddings),
      s as (select vec_id, cast(embedding as double[]) as e from embeddings),
-     d as (select qid, vec_id, round({dist}, 5) + 0.0 as dist from q, s),
-     r as (select *, row_number() over (partition by qid order by dist, vec_id) as rank from d)
-select qid, vec_id, dist, cast(rank as int) as rank from r where rank <= 4"""
+     d as (select qid, vec_id, {dist} as raw from q, s),
+     r as (select *, row_number() over (partition by qid order by raw, vec_id) as rank from d)
+select qid, vec_id, round(raw, 5) + 0.0 as dist, cast(rank as int) as rank from r where rank <= 4"""
 _L2 = "list_distance(qe, e)"
 _COS = "1 - list_inner_product(qe, e) / (sqrt(list_inner_product(qe, qe)) * sqrt(list_inner_product(e, e)))"
 
@@ -116,40 +135,74 @@ def q_retrieval_compare(spark, sf):
     return rt.retrieval_compare(_knn(spark, sf, "l2"), _knn(spark, sf, "cosine"), "vec_id")
 
 
-@plan("prompt_build", ops=(92, 87, 77))
-def q_prompt_build(spark, sf):
-    """User turns as questions, ``benchmark`` passages as the store."""
-    b = rt.embed_text(table(spark, sf, "benchmark"), "text")
-    c = table(spark, sf, "conversations").where(F.col("role") == "user").select(
-        F.concat_ws("/", "conv_id", "turn").alias("qid"), F.col("text").alias("question"))
-    qv = rt.embed_text(c, "question")
-    hits = rt.similarity_search(b, qv.select("qid", "embedding"), 4, "l2", store_id="item_id", keep=("text",))
-    p = rt.prompt_build(hits, c, "qid", "question", "text")
-    return p.select("qid", "prompt")
-
-
 def _sql_repr(x: str) -> str:
-    e = f"replace(replace(replace(replace({x}, '\\', '\\\\'), chr(10), '\\n'), chr(13), '\\r'), chr(9), '\\t')"
+    """Python repr for texts whose unprinted characters are among newline,
+    return, tab, U+00A0 and U+3000."""
+    e = f"replace({x}, '\\', '\\\\')"
+    for code, shown in ((10, "\\n"), (13, "\\r"), (9, "\\t"), (160, "\\xa0"), (12288, "\\u3000")):
+        e = f"replace({e}, chr({code}), '{shown}')"
     return (f"case when contains({x}, '''') and not contains({x}, '\"') then '\"' || {e} || '\"' "
             f"else '''' || replace({e}, '''', '\\''') || '''' end")
 
 
-_QA_SQL = f"""
-qa as (select q.conv_id, q.turn, q.text as question, a.text as answer
+def _filled(template: str, context: str, question: str) -> str:
+    """The template as an SQL concatenation: values are never searched for markers."""
+    out = "'" + template.replace("'", "''") + "'"
+    return out.replace("{context}", f"' || {context} || '").replace("{question}", f"' || {question} || '")
+
+
+#: Benchmark passages as the store, by the embeddings of the same number;
+#: ideographic and no-break spaces, quotes and template markers in the texts.
+_STORE_SQL = """st as (select b.item_id, replace(replace(b.text, ', ', chr(12288)), ' of ', ' {question} ''of' || chr(160)) as text,
+                       cast(e.embedding as double[]) as v
+                from benchmark b join embeddings e on e.vec_id = b.item_id)"""
+
+
+def _store(spark, sf):
+    marked = F.replace(F.replace("text", F.lit(", "), F.lit("\u3000")), F.lit(" of "), F.lit(" {question} 'of\u00a0"))
+    e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("item_id"), "embedding")
+    return table(spark, sf, "benchmark").select("item_id", marked.alias("text")).join(e, "item_id")
+
+
+def _ctx_sql(asked: str, keys: str) -> str:
+    """ctx: the list of the four store texts nearest to each row of ``asked`` (keys, v)."""
+    return f"""near as (select {keys}, text, row_number() over (partition by {keys} order by list_distance({asked}.v, st.v), item_id) as rank
+                        from {asked}, st),
+ctx as (select {keys}, '[' || string_agg({_sql_repr('text')}, ', ' order by rank) || ']' as ctx, count(*) as n_ctx
+        from near where rank <= 4 group by {keys})"""
+
+
+@plan("prompt_build", ops=(92, 77), sql=f"""
+with {_STORE_SQL},
+qs as (select conv_id || '/' || turn as qid, c.text as question, cast(e.embedding as double[]) as v
+       from conversations c join embeddings e on e.vec_id = (conv_id * 31 + turn) % 50 where role = 'user'),
+{_ctx_sql('qs', 'qid')}
+select qid, md5({_filled(rt.PROMPT_TEMPLATE_TEXT, 'ctx', 'question')}) as h from qs join ctx using (qid)""")
+def q_prompt_build(spark, sf):
+    """User turns as questions; their vectors are stored ones."""
+    c = table(spark, sf, "conversations").where(F.col("role") == "user").select(
+        F.concat_ws("/", "conv_id", "turn").alias("qid"), F.col("text").alias("question"),
+        ((F.col("conv_id") * 31 + F.col("turn")) % 50).alias("vec_id"))
+    qv = c.join(table(spark, sf, "embeddings").select("vec_id", "embedding"), "vec_id")
+    hits = rt.similarity_search(_store(spark, sf), qv.select("qid", "embedding"), 4, "l2", store_id="item_id", keep=("text",))
+    return rt.prompt_build(hits, c, "qid", "question", "text").select("qid", F.md5("prompt").alias("h"))
+
+
+_QA_SQL = f"""{_STORE_SQL},
+qa as (select q.conv_id, q.turn, q.text as question, a.text as answer, cast(e.embedding as double[]) as v
        from conversations q join conversations a on a.conv_id = q.conv_id and a.turn = q.turn + 1
+       join embeddings e on e.vec_id = (q.conv_id * 31 + q.turn) % 50
        where q.role = 'user' and a.role = 'assistant'),
-cx as (select qa.conv_id, qa.turn, '[' || string_agg({_sql_repr('p.text')}, ', ' order by p.turn) || ']' as ctx,
-              count(*) as n_ctx
-       from qa join conversations p on p.conv_id = qa.conv_id and p.turn between qa.turn - 4 and qa.turn - 1
-       group by qa.conv_id, qa.turn),
-ex as (select qa.*, coalesce(cx.ctx, '[]') as ctx, coalesce(cx.n_ctx, 0) as n_ctx,
-              replace(replace('{rt.PROMPT_TEMPLATE_DIALOGUE}', '{{context}}', coalesce(cx.ctx, '[]')),
-                      '{{question}}', qa.question) as inputs, qa.answer as labels
-       from qa left join cx on cx.conv_id = qa.conv_id and cx.turn = qa.turn)"""
+{_ctx_sql('qa', 'conv_id, turn')},
+ex as (select qa.conv_id, qa.turn, ctx.n_ctx, answer as labels, {_filled(rt.PROMPT_TEMPLATE_DIALOGUE, 'ctx', 'question')} as inputs
+       from qa join ctx on ctx.conv_id = qa.conv_id and ctx.turn = qa.turn)"""
 
 
 def _examples(spark, sf):
-    return rt.sft_examples(rt.qa_pairs(table(spark, sf, "conversations")))
+    qa = rt.qa_pairs(table(spark, sf, "conversations"))
+    vec = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    qa = qa.withColumn("vec_id", (F.col("conv_id") * 31 + F.col("turn")) % 50).join(vec, "vec_id").drop("vec_id")
+    return rt.sft_examples(rt.with_context(qa, _store(spark, sf), ["conv_id", "turn"], store_id="item_id").drop("embedding"))
 
 
 @plan("sft_examples", ops=(93, 92), sql=f"""with {_QA_SQL}

@@ -1,47 +1,52 @@
-"""Vector collections: one Parquet folder partitioned by ``collection``."""
+"""Vector collections: one Parquet folder partitioned by ``collection`` and
+``shard`` (a hash of the id), so an append reads only the shards it touches."""
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+SHARDS = 64
+
+
+def _shard(id_col: str) -> Column:
+    return F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(SHARDS)).cast("int")
+
 
 def collection_scan(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Open one collection (the filter prunes to its partition folder)."""
-    return spark.read.parquet(root).where(F.col("collection") == name)
+    return spark.read.parquet(root).where(F.col("collection") == name).drop("shard")
 
 
-def _existing_ids(spark: SparkSession, root: str, name: str, id_col: str) -> DataFrame | None:
+def _existing_ids(spark: SparkSession, root: str, name: str, id_col: str, shards: list[int]) -> DataFrame | None:
     try:
-        return collection_scan(spark, root, name).select(id_col)
-    except AnalysisException:  # nothing stored yet
-        return None
+        stored = spark.read.parquet(root)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None  # nothing stored yet
+    return stored.where((F.col("collection") == name) & F.col("shard").isin(shards)).select(id_col)
 
 
 def collection_append(rows: DataFrame, root: str, name: str, id_col: str = "id",
                       dedupe: bool = True) -> None:
     """Create-if-missing and append.  With ``dedupe`` rows whose id is
-    already stored are skipped (left anti join against the collection's
-    own partition), so re-running an insert is idempotent."""
+    already stored are skipped (left anti join against the shards that the
+    new ids fall into), so re-running an insert is idempotent."""
     spark = rows.sparkSession
-    out = rows.withColumn("collection", F.lit(name))
+    out = rows.withColumn("collection", F.lit(name)).withColumn("shard", _shard(id_col))
     if dedupe:
-        old = _existing_ids(spark, root, name, id_col)
+        touched = [r["shard"] for r in out.select("shard").distinct().collect()]  # SHARDS at most
+        old = _existing_ids(spark, root, name, id_col, touched)
         out = out.dropDuplicates([id_col])
         if old is not None:
             out = out.join(old, id_col, "left_anti")
-    out.write.mode("append").partitionBy("collection").parquet(root)
+    out.write.mode("append").partitionBy("collection", "shard").parquet(root)
 
 
-def collection_overwrite(rows: DataFrame, root: str, name: str) -> None:
-    """Rebuild one collection (e.g. after an embedding-model change):
-    dynamic partition overwrite replaces only that collection's folder."""
-    spark = rows.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        rows.withColumn("collection", F.lit(name)).write.mode("overwrite") \
-            .partitionBy("collection").parquet(root)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+def collection_overwrite(rows: DataFrame, root: str, name: str, id_col: str = "id") -> None:
+    """Rebuild one collection (e.g. after an embedding-model change): only
+    its own folder is replaced, with all its shards."""
+    rows.withColumn("shard", _shard(id_col)).write.mode("overwrite").partitionBy("shard").parquet(
+        f"{root.rstrip('/')}/collection={name}")

@@ -22,7 +22,7 @@ def document_chunks_stream(spark: SparkSession, src: str, size: int = 100, overl
     """Streaming DataFrame of (doc_id, chunk_no, chunk, id, embedding)."""
     s = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(src)
     c = rt.fixed_chunks(s.select("doc_id", "text", "source"), "text", size, overlap)
-    c = rt.assign_chunk_id(c, collection, "doc_id", "chunk_no")
+    c = rt.assign_chunk_id(c, collection, "doc_id", "chunk_no", content="chunk")
     return rt.embed_text(c, "chunk", dim=dim).select("doc_id", "source", "chunk_no", "chunk", "id", "embedding")
 
 

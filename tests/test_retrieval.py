@@ -12,6 +12,7 @@ def test_html_nested_and_class_tokens(spark):
     assert rt.element_text(html, "entry-content main-entry") == "AB & CD"
     assert rt.element_text('<div class="ad big">t</div>', "ad") == "t"
     assert rt.element_text("<p>none</p>", "ad") is None
+    assert rt.element_text('<div class="ad">a<script>var x = "<div>";</script><style>p {}</style>b</div>c', "ad") == "ab"
     df = spark.createDataFrame([(1, html), (2, "<p/>")], "page_id int, html string")
     out = {r.page_id: r.content for r in rt.html_element_text(df, "entry-content main-entry").collect()}
     assert out == {1: "AB & CD", 2: None}
@@ -55,7 +56,35 @@ def test_similarity_search_exact(spark, metric):
     else:
         d = 1 - (qd / np.linalg.norm(qd, axis=1, keepdims=True)) @ (xd / np.linalg.norm(xd, axis=1, keepdims=True)).T
     for i in range(9):
-        assert list(got[got.qid == i]["id"]) == list(np.lexsort((np.arange(700), np.round(d[i], 5)))[:4])
+        assert list(got[got.qid == i]["id"]) == list(np.lexsort((np.arange(700), d[i]))[:4])
+
+
+@pytest.mark.parametrize("metric", ["l2", "cosine", "ip"])
+def test_similarity_search_close_vectors_copies_and_blocks(spark, monkeypatch, metric):
+    """Vectors 1e-6 apart rank by the raw distance, copies by id, over more
+    queries and rows than a block holds; odd vectors take no part."""
+    monkeypatch.setattr(rt, "BLOCK_ROWS", 40)
+    monkeypatch.setattr(rt, "TILE_CELLS", 100)
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(60, 8))
+    x = np.concatenate([base, base + 1e-6 * rng.normal(size=base.shape), base, base[:1].repeat(50, 0)])
+    rows = [(int(i), [float(v) for v in r]) for i, r in enumerate(x)]
+    odd = [(9001, None), (9002, [1.0]), (9003, [float("nan")] * 8), (9004, [None] * 8)]
+    df = spark.createDataFrame(rows + odd, "id long, embedding array<double>").repartition(5)
+    qs = df.withColumnRenamed("id", "qid")
+    got = rt.similarity_search(df, qs, 5, metric, round_digits=None).toPandas()
+    assert set(got.qid) == set(range(len(x))) and set(got["rank"]) == {1, 2, 3, 4, 5}
+    for i in (0, 1, 59, 60, 130, 229):
+        d = rt._exact(metric, x[i], x)
+        assert list(got[got.qid == i].sort_values("rank")["id"]) == list(np.lexsort((np.arange(len(x)), d))[:5])
+    assert rt.similarity_search(df.where("id > 9002"), qs, 5, metric).count() == 0
+
+
+def test_search_against_rounding(spark):
+    """The nearest vector wins although both distances round to zero."""
+    store = spark.createDataFrame([(1, [4e-6, 0.0]), (2, [0.0, 0.0])], "id long, embedding array<double>")
+    q = spark.createDataFrame([(7, [0.0, 0.0])], "qid long, embedding array<double>")
+    assert [(r.id, r.dist) for r in rt.similarity_search(store, q, 2).orderBy("rank").collect()] == [(2, 0.0), (1, 0.0)]
 
 
 def test_prompt_golden_text(spark):
@@ -69,8 +98,37 @@ def test_prompt_golden_text(spark):
     assert got == rt.PROMPT_TEMPLATE_TEXT.format(context=str(ctx), question=q)
 
 
+def test_markers_inside_values_stay(spark):
+    hits = spark.createDataFrame([("q", 1, "see {question} and {context}")], "qid string, rank int, chunk string")
+    qs = spark.createDataFrame([("q", "what is {context}?")], "qid string, question string")
+    got = rt.prompt_build(hits, qs).first().prompt
+    assert got == rt.PROMPT_TEMPLATE_TEXT.format(context=["see {question} and {context}"], question="what is {context}?")
+
+
+def test_chunks_of_a_long_text_take_linear_time(spark):
+    import time
+    took = []
+    for n in (600_000, 600_000, 1_200_000):
+        df = spark.createDataFrame([(1, "あいうえお\n" * (n // 6))], "k int, t string")
+        start = time.time()
+        c = rt.fixed_chunks(df, "t", 100, 10)
+        assert c.agg(F.sum(F.length("chunk"))).first()[0] > n
+        took.append(time.time() - start)
+    assert took[2] < 3.5 * took[1] + 1
+
+
+def test_chunk_batches_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(rt, "CHUNKS_PER_BATCH", 7)
+    df = spark.createDataFrame([(1, "ab " * 300, "x"), (2, None, "y"), (3, "", "z"), (4, "tiny", "w")], "k int, t string, chunk string")
+    c = rt.recursive_chunks(df.drop("chunk"), "k", "t", 20, 5).collect()
+    assert [r.chunk for r in c if r.k == 1] == rt.recursive_split("ab " * 300, 20, 5) and [r.chunk for r in c if r.k == 4] == ["tiny"]
+    f = rt.fixed_chunks(df, "t", 20, 5)
+    assert f.columns == ["k", "chunk_no", "chunk"] and f.where("k in (2, 3)").count() == 0
+
+
 def test_py_repr_quotes(spark):
-    for s in ["a'b", 'a"b', "a'b\"c", "tab\tnl\n", "back\\slash"]:
+    for s in ["a'b", 'a"b', "a'b\"c", "tab\tnl\n", "back\\slash", "wide\u3000space", "\x00\x1f\x7f\xa0\xad", "\u200b\u2028\ufeff",
+              "é文😀", "\U000e0001 \ue000"]:
         got = spark.range(1).select(rt.py_str_repr(F.lit(s)).alias("r")).first().r
         assert got == repr(s)
 
@@ -81,9 +139,17 @@ def test_qa_pairs_context_and_tokens(spark):
                                   "conv_id int, turn int, role string, text string")
     p = {(r.conv_id, r.turn): r for r in rt.qa_pairs(turns).collect()}
     assert set(p) == {(1, 1), (1, 3)}
-    assert p[(1, 3)].context == ["sys", "q1", "a1"] and p[(1, 3)].answer == "a2"
-    ex = rt.sft_tokenize(rt.sft_examples(rt.qa_pairs(turns)), max_length=50)
+    assert p[(1, 3)].question == "q2" and p[(1, 3)].answer == "a2"
+    pairs = rt.qa_pairs(turns).withColumn("embedding", F.when(F.col("turn") == 1, F.array(F.lit(1.0), F.lit(0.0))).otherwise(
+        F.array(F.lit(0.0), F.lit(1.0))))
+    store = spark.createDataFrame([(1, "x", [1.0, 0.1]), (2, "y", [0.1, 1.0]), (3, "z", [5.0, 5.0])], "id int, text string, embedding array<double>")
+    ctx = rt.with_context(pairs, store, ["conv_id", "turn"], k=2)
+    assert {r.turn: r.context for r in ctx.collect()} == {1: ["x", "y"], 3: ["y", "x"]}
+    examples = rt.sft_examples(ctx)
+    assert {r.turn: r.inputs for r in examples.collect()}[1] == rt.PROMPT_TEMPLATE_DIALOGUE.format(context=["x", "y"], question="q1")
+    ex = rt.sft_tokenize(examples, max_length=50)
     for r in ex.collect():
+        assert r.input_ids == [ord(c) for c in r.inputs + r.labels + "</s>"][:50]
         assert len(r.input_ids) <= 50 and r.attention_mask == [1] * len(r.input_ids)
     b = rt.collate_batches(ex, ["conv_id", "turn"], batch_rows=12).collect()
     assert len({len(r.input_ids) for r in b}) == 1
@@ -96,7 +162,24 @@ def test_collection_append_idempotent(spark, tmp_path):
     root = str(tmp_path / "store")
     collection_append(rows, root, "col")
     collection_append(rows, root, "col")
-    assert collection_scan(spark, root, "col").count() == 2
+    assert collection_scan(spark, root, "col").count() == 2 and "shard" not in collection_scan(spark, root, "col").columns
+    # an edited chunk is a new row where the id covers the content
+    texts = spark.createDataFrame([(1, 0, "a"), (1, 0, "edited")], "d int, c int, t string")
+    ids = [r.id for r in rt.assign_chunk_id(texts, "col", "d", "c", content="t").collect()]
+    assert len(set(ids)) == 2
+    from kestrel.sources.collection import collection_overwrite
+    collection_append(rows, root, "other")
+    collection_overwrite(rows.limit(1), root, "col")
+    assert collection_scan(spark, root, "col").count() == 1 and collection_scan(spark, root, "other").count() == 2
+    # a broken store is an error, not an empty one
+    import pathlib
+    from py4j.protocol import Py4JError
+    from pyspark.errors import PySparkException
+    (pathlib.Path(root) / "collection=col" / "shard=1").mkdir(exist_ok=True)
+    for f in pathlib.Path(root).rglob("*.parquet"):
+        f.write_bytes(b"not parquet")
+    with pytest.raises((PySparkException, Py4JError)):
+        collection_append(rows, root, "col")
 
 
 def test_embed_text_dimension(spark):
