@@ -16,10 +16,25 @@ def round_half_even(c: str | Column, digits: int = 1) -> Column:
     return F.bround(_c(c), digits)
 
 
+def scientific_text(c: str | Column, decimals: int = 2) -> Column:
+    """'1.23E+06': mantissa and exponent of two digits at least, ties to even."""
+    x = _c(c).cast("double")
+    guess = F.floor(F.log10(F.abs(x)))
+    # the logarithm may be off by one next to a power of ten
+    low = F.abs(x) / F.pow(F.lit(10.0), guess)
+    e = guess + F.when(low >= 10, 1).when(low < 1, -1).otherwise(0)
+    m = F.bround(x / F.pow(F.lit(10.0), e), decimals)
+    over = F.abs(m) >= 10  # 9.999 rounds up to the next power
+    m, e = F.when(over, m / 10).otherwise(m), e + F.when(over, 1).otherwise(0)
+    zero = "0" + ("." + "0" * decimals if decimals else "") + "E+00"
+    return F.when(x == 0, zero).when(x.isNotNull(), F.format_string(f"%.{decimals}fE%s%02d", m, F.when(e < 0, "-").otherwise("+"), F.abs(e)))
+
+
 def number_report_text(c: str | Column, decimals: int = 0) -> Column:
-    """'1,234,568 (1.23E+06)' style: grouped fixed point plus scientific."""
+    """'1,234,568 (1.23E+06)' style: grouped fixed point plus scientific,
+    ties to even."""
     x = _c(c)
-    return F.format_string(f"%,.{decimals}f (%.2E)", x, x)
+    return F.concat(F.format_string(f"%,.{decimals}f (", F.bround(x, decimals)), scientific_text(x), F.lit(")"))
 
 
 def date_to_text(c: str | Column, fmt: str = "yyyy/MM/dd") -> Column:

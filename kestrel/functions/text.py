@@ -108,4 +108,4 @@ def join_tokens(tokens: str | Column, result_type: str = "str") -> Column:
         return _c(tokens)
     if result_type == "str":
         return F.array_join(_c(tokens), " ")
-    raise ValueError(f"unexpected: result_type={result_type}")
+    raise ValueError(f"result_type must be 'str' or 'list', got {result_type!r}")

@@ -13,15 +13,38 @@ def _quoted(c: Column) -> Column:
     return F.concat(F.lit('"'), F.replace(F.coalesce(c, F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
 
 
-def csv_lines(df: DataFrame, sep: str = ",", date_format: str = "yyyy/MM/dd HH:mm:ss") -> DataFrame:
+def double_text(c: Column) -> Column:
+    """A double as the shortest text that reads back equal, written the
+    common scripting way: plain from 1e-4 to below 1e16, else 1.5e+16,
+    1e-05; nan and inf in lower case."""
+    digits = c.cast("string")  # shortest digits, but with E from 1e7 on
+    d = digits.cast("double")
+    plain = ((F.abs(d) >= 1e-4) & (F.abs(d) < 1e16)) | (d == 0)
+    fixed = F.when(F.contains(digits, F.lit("E")), F.regexp_replace(F.regexp_replace(
+        d.cast("decimal(38,20)").cast("string"), r"0+$", ""), r"\.$", ".0")).otherwise(digits)
+    mantissa = F.regexp_replace(F.substring_index(digits, "E", 1), r"\.0$", "")
+    power = F.substring_index(digits, "E", -1).cast("int")
+    size = F.abs(power).cast("string")
+    scientific = F.concat(mantissa, F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+")),
+                          F.when(F.abs(power) < 10, F.lpad(size, 2, "0")).otherwise(size))
+    return (F.when(F.isnan(d), F.lit("nan")).when(d == float("inf"), F.lit("inf")).when(d == float("-inf"), F.lit("-inf"))
+            .when(plain, fixed).otherwise(scientific))
+
+
+def csv_lines(df: DataFrame, sep: str = ",", date_format: str = "yyyy-MM-dd",
+              timestamp_format: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
     """One ``value`` line per row: numbers bare, every other value (and
     every NULL) in double quotes with inner quotes doubled, no header."""
     parts = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, NUMERIC):
+        if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
+            parts.append(F.when(c.isNull(), F.lit('""')).otherwise(double_text(c)))
+        elif isinstance(f.dataType, NUMERIC):
             parts.append(F.when(c.isNull(), F.lit('""')).otherwise(c.cast("string")))
-        elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+            parts.append(_quoted(F.date_format(c, timestamp_format)))
+        elif isinstance(f.dataType, T.DateType):
             parts.append(_quoted(F.date_format(c, date_format)))
         else:
             parts.append(_quoted(c.cast("string")))
@@ -52,9 +75,10 @@ def staging_overwrite(df: DataFrame, target: str, fmt: str = "parquet", jdbc_url
         df.write.mode("overwrite").format(fmt).save(target)
 
 
-def text_write(df: DataFrame, col: str, path: str) -> None:
-    """Plain text, one line per row."""
-    df.select(F.col(col).alias("value")).write.mode("overwrite").text(path)
+def text_write(df: DataFrame, col: str, path: str, rows_per_file: int = 0) -> None:
+    """Plain text, one line per row; with ``rows_per_file`` in files of at
+    most so many rows (files that are read whole stay small)."""
+    df.select(F.col(col).alias("value")).write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).text(path)
 
 
 def parameter_output(df: DataFrame, path: str) -> None:

@@ -14,6 +14,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Fixed layout: the 20 columns of the staging table, in file order
+STAGING_SCHEMA = T.StructType([
+    T.StructField("INDEX", T.LongType()),
+    T.StructField("SERIAL", T.StringType()),
+    T.StructField("PARTS_CD", T.StringType()),
+    T.StructField("PARTS_NAME", T.StringType()),
+    T.StructField("PARTS_TRADEPRICE", T.LongType()),
+    T.StructField("OBSERVDAY", T.StringType()),
+    T.StructField("REPORT_HEADER_ID", T.StringType()),
+    T.StructField("REPORT_DETAIL_ID", T.StringType()),
+    T.StructField("PRODUCT", T.StringType()),
+    T.StructField("NUMBER_OF_ITEMS", T.LongType()),
+    T.StructField("REASON_BODY", T.StringType()),
+    T.StructField("UMSM", T.StringType()),
+    T.StructField("METER_TOTAL", T.LongType()),
+    T.StructField("REASON_KEY", T.StringType()),
+    T.StructField("OBSERVDAY_DT", T.StringType()),
+    T.StructField("METER_TOTAL_DIFF", T.DoubleType()),
+    T.StructField("CYCLE", T.DoubleType()),
+    T.StructField("COLOR", T.StringType()),
+    T.StructField("OBSERVDAY_DATE", T.StringType()),
+    T.StructField("OBSERVDAY_DT_TZ", T.StringType())])
+
 NATIVE = {"utf-8", "utf8", "utf-16", "utf-16le", "utf-16be", "utf-32", "iso-8859-1", "latin1", "us-ascii"}
 
 
@@ -26,11 +49,13 @@ def redecode(encoding: str):
 
 def delimited_scan(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
                    sep: str = "\t", header: bool = True, encoding: str = "cp932",
-                   timestamp_format: str | None = None) -> DataFrame:
-    """Header + delimited rows with a declared schema (no inference pass)."""
+                   timestamp_format: str | None = None, mode: str = "FAILFAST") -> DataFrame:
+    """Header + delimited rows with a declared schema (no inference pass).
+    A malformed row (wrong number of fields, unreadable value) fails the
+    query; ``mode`` takes Spark's other choices."""
     native = encoding.lower() in NATIVE
-    r = (spark.read.option("sep", sep).option("header", header).option("escape", '"')
-         .option("encoding", encoding if native else "iso-8859-1").option("mode", "PERMISSIVE"))
+    r = (spark.read.option("sep", sep).option("header", header).option("escape", '"').option("enforceSchema", False)
+         .option("encoding", encoding if native else "iso-8859-1").option("mode", mode))
     if timestamp_format:
         r = r.option("timestampFormat", timestamp_format).option("timestampNTZFormat", timestamp_format)
     if schema is not None:

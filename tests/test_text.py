@@ -61,13 +61,32 @@ def test_builtin_tokens(spark):
     assert tm.tokenize_content_words(df, "t", "w", "list").first().w == ["élan", "the", "café", "s", "42", "x"]
 
 
-def test_split_is_repeatable_disjoint_complete(spark):
-    df = spark.range(5000).withColumnRenamed("id", "k")
-    a = tm.train_test_split(df, "k", 0.25, 42)
-    b = tm.train_test_split(df.repartition(7), "k", 0.25, 42)
-    assert a.join(b, "k").where(a.split != b.split).count() == 0
-    n_test = a.where("split = 'test'").count()
-    assert 1100 < n_test < 1400 and a.count() == 5000
+def test_split_is_repeatable_disjoint_exact(spark):
+    import math
+    for n, frac in ((5000, 0.25), (30_001, 0.2), (7, 0.5), (3, 0.0), (3, 1.0), (0, 0.3)):
+        df = spark.range(n).withColumnRenamed("id", "k")
+        a = tm.train_test_split(df, "k", frac, 42)
+        b = tm.train_test_split(df.repartition(7), "k", frac, 42)
+        assert a.join(b, "k").where(a.split != b.split).count() == 0
+        assert a.where("split = 'test'").count() == math.ceil(n * frac) and a.count() == n
+        assert tm.train_test_split(df, "k", frac, 42, subset="train").count() == n - math.ceil(n * frac)
+    with pytest.raises(ValueError):
+        tm.train_test_split(df, "k", subset="dev")
+
+
+def test_split_with_repeated_and_null_keys(spark):
+    df = spark.createDataFrame([(None,)] * 3 + [("a",)] * 4 + [("b",), ("c",)], "k string")
+    parts = tm.train_test_split(df, "k", 0.4, 1)
+    assert parts.count() == 9 and parts.where("split = 'test'").count() >= 4
+    assert parts.groupBy("k").agg(F.count_distinct("split").alias("n")).where("n > 1").count() == 0
+
+
+def test_integral_columns_are_checked(spark):
+    from pyspark.errors import PySparkException
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "v double")
+    assert [r.v for r in rl.nan_to_null(df, integral={"v": True}).collect()] == [1, None, None]
+    with pytest.raises(PySparkException, match="not integral"):
+        rl.nan_to_null(spark.createDataFrame([(1.5,)], "v double"), integral={"v": True}).collect()
 
 
 def test_tfidf_unit_norm_and_idf(spark):
@@ -101,4 +120,12 @@ def test_typed_report_and_types(spark):
 
 def test_number_report_text(spark):
     assert _one(spark, fmt.number_report_text(F.lit(1234567.891), 0)) == "1,234,568 (1.23E+06)"
+    assert _one(spark, fmt.number_report_text(F.lit(2.5), 0)) == "2 (2.50E+00)"
     assert _one(spark, fmt.round_half_even(F.lit(2.5), 0)) == 2.0
+
+
+def test_scientific_text_is_the_script_form(spark):
+    values = [0.0, 1.0, 316.5, -316.5, 9.996, 999.95, 1e5, 99999.5, 1.239e-7, 1e100, 5e-5, 123456789.0, 2.5, 0.125]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for r in df.select("v", fmt.scientific_text("v").alias("t")).collect():
+        assert r.t == f"{r.v:.2E}"
