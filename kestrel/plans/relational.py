@@ -136,12 +136,24 @@ def q_assert_domain(spark, sf):
 
 
 @plan("assert_count", ops=(26, 75), sql="""
-select cast(count(*) as bigint) as split_total, cast(count(*) as bigint) as total, true as ok from documents""")
+select cast(count(*) as bigint) as split_total, cast(count(*) as bigint) as total, true as ok from documents
+union all select cast(count(*) - ceil(count(*) * 0.25) as bigint), cast(count(*) as bigint), false from documents""")
 def q_assert_count(spark, sf):
+    """The parts of an exact split against all rows, and one part alone."""
     from kestrel.operators.textml import train_test_split
     d = table(spark, sf, "documents").select("doc_id")
     parts = train_test_split(d, "doc_id", 0.25, 42)
-    return rl.assert_count(parts, "split")
+    return rl.assert_count(parts, "split").union(rl.assert_count(parts, "split", ("train",)))
+
+
+@plan("zip_columns", ops=(30, 20), sql="""
+select o_orderkey as ID, o_totalprice as price, n_lines from orders
+join (select l_orderkey, count(*) as n_lines from lineitem where l_shipdate is not null group by l_orderkey) on l_orderkey = o_orderkey""")
+def q_zip_columns(spark, sf):
+    left = table(spark, sf, "orders").select(F.col("o_orderkey").alias("ID"), F.col("o_totalprice").alias("price"))
+    lines = rl.filter_not_null(table(spark, sf, "lineitem"), "l_shipdate")
+    right = lines.groupBy(F.col("l_orderkey").alias("ID")).agg(F.count(F.lit(1)).alias("n_lines"))
+    return rl.zip_columns(left, right, "ID")
 
 
 @plan("semi_join_split", ops=(29,), sql="""
@@ -208,11 +220,15 @@ def q_order_by(spark, sf):
         F.desc("o_totalprice"), "o_orderkey")
 
 
-@plan("shuffle_rows", ops=(47,), sql="select conv_id, turn, role from conversations")
+@plan("shuffle_rows", ops=(47, 24), sql="""
+select conv_id, turn, role, row_number() over (order by md5(conv_id || '/' || turn || ':7'), conv_id, turn) - 1 as pos
+from conversations""")
 def q_shuffle_rows(spark, sf):
-    from kestrel.operators.textml import shuffle_rows
+    """The shuffled order as row numbers."""
+    from kestrel.operators.textml import shuffle_key
     c = table(spark, sf, "conversations").select("conv_id", "turn", "role")
-    return shuffle_rows(c, ["conv_id", "turn"], seed=7)
+    order = [shuffle_key(["conv_id", "turn"], 7), F.col("conv_id"), F.col("turn")]
+    return windows.dense_row_index(c, order, "pos")
 
 
 # ---- scalar text / date / number functions (whole texts) ----
@@ -220,25 +236,36 @@ def q_shuffle_rows(spark, sf):
 @plan("strip_markers", ops=(49,), sql="""
 select doc_id, md5(replace(replace(replace(text, '<HTML>', ''), '<XML>', ''), '<SGML>', '')) as h,
        md5(replace(replace(replace(text, 'HTML', ''), '<XML>', ''), '<SGML>', '')) as h_followup
-from documents""")
+from (select doc_id, replace(replace(text, ' the ', ' <HTML> '), ' de ', '<XML>HTML<SGML>') as text from documents)""")
 def q_strip_markers(spark, sf):
-    d = table(spark, sf, "documents")
+    marked = F.replace(F.replace("text", F.lit(" the "), F.lit(" <HTML> ")), F.lit(" de "), F.lit("<XML>HTML<SGML>"))
+    d = table(spark, sf, "documents").withColumn("text", marked)
     return d.select("doc_id", F.md5(tx.strip_markers("text")).alias("h"),
                     F.md5(tx.strip_markers("text", tx.FOLLOWUP_MARKERS)).alias("h_followup"))
 
 
-_PRESPLIT_SQL = "lower(text)"
-for _a, _b in tx.PRESPLIT_RULES:
-    _PRESPLIT_SQL = f"replace({_PRESPLIT_SQL}, '{_a}', '{_b}')"
-_PRESPLIT_SQL = f"replace({_PRESPLIT_SQL}, chr(10), '。')".replace("'\n'", "chr(10)")
+#: Every pre-split case, after each text.
+_CASES = "。)x>。y。<z。。w>。。<v<HTML>u<XML>t<SGML>"
+
+
+def _presplit_sql(e: str) -> str:
+    for x, y in tx.PRESPLIT_RULES:
+        y = "chr(10)" if y == "\n" else f"'{y}'"
+        e = f"replace({e}, '{x}', {y})"
+    return f"replace({e}, chr(10), '。')"
+
+
+_CASED = f"text || '{_CASES}'"
 
 
 @plan("presplit_text", ops=(50,), sql=f"""
-select doc_id, md5({_PRESPLIT_SQL}) as h, cast(length({_PRESPLIT_SQL}) as int) as n from documents""")
+select doc_id, md5({_presplit_sql(f"lower({_CASED})")}) as h_lower, md5({_presplit_sql(_CASED)}) as h,
+       cast(length({_presplit_sql(_CASED)}) as int) as n from documents""")
 def q_presplit_text(spark, sf):
-    d = table(spark, sf, "documents")
-    p = tx.presplit_text(F.lower("text"))
-    return d.select("doc_id", F.md5(p).alias("h"), F.length(p).alias("n"))
+    t = F.concat("text", F.lit(_CASES))
+    p = tx.presplit_text(t)
+    return table(spark, sf, "documents").select(
+        "doc_id", F.md5(tx.presplit_text(F.lower(t))).alias("h_lower"), F.md5(p).alias("h"), F.length(p).alias("n"))
 
 
 @plan("lower_strip", ops=(51,), sql="""
@@ -314,11 +341,14 @@ def q_round_half_even(spark, sf):
 
 
 @plan("number_report_text", ops=(64,), sql="""
-select o_orderpriority, printf('%,.2f (%.2E)', round(avg(o_totalprice), 4), round(avg(o_totalprice), 4)) as avg_text
+select o_orderpriority, printf('%,.2f (%.2E)', round(avg(o_totalprice), 4), round(avg(o_totalprice), 4)) as avg_text,
+       printf('%,.0f (%.2E)', round_even(count(*) + 0.5, 0), count(*) + 0.5::double) as tie_text
 from orders group by o_orderpriority""")
 def q_number_report_text(spark, sf):
-    o = table(spark, sf, "orders").groupBy("o_orderpriority").agg(F.round(F.avg("o_totalprice"), 4).alias("a"))
-    return o.select("o_orderpriority", fmt.number_report_text("a", 2).alias("avg_text"))
+    o = table(spark, sf, "orders").groupBy("o_orderpriority").agg(
+        F.round(F.avg("o_totalprice"), 4).alias("a"), (F.count(F.lit(1)) + F.lit(0.5)).cast("double").alias("t"))
+    return o.select("o_orderpriority", fmt.number_report_text("a", 2).alias("avg_text"),
+                    fmt.number_report_text("t", 0).alias("tie_text"))
 
 
 @plan("typed_report", ops=(65, 27), sql="""

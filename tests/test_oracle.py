@@ -1,15 +1,12 @@
 """Every registered plan with an SQL form agrees with DuckDB (sf0.001);
 plans without one run and return rows."""
 
-import os
-
 import pytest
 
 from kestrel.plans import all_plans
 from tests.conftest import SF001
 
 PLANS = all_plans()
-SLOW = {"classify_predict", "grid_search", "model_save"}
 
 
 @pytest.fixture(scope="module")
@@ -27,8 +24,6 @@ def test_plan_matches_duckdb(spark, con, name):
 
 @pytest.mark.parametrize("name", sorted(n for n, p in PLANS.items() if not p.sql))
 def test_plan_without_sql_runs(spark, name):
-    if name in SLOW and not os.environ.get("KESTREL_SLOW"):
-        pytest.skip("slow ML plan; set KESTREL_SLOW=1")
     assert PLANS[name].fn(spark, SF001).count() >= 1
 
 

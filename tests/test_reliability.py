@@ -159,3 +159,13 @@ def test_release_cached(spark):
     rel.hazard_table(df).count()
     assert release_cached() >= 2
     assert release_cached() == 0
+
+
+def test_nan_cycles_are_not_at_risk(spark):
+    df = spark.createDataFrame([(1.0, rel.FAILURE), (2.0, rel.FAILURE), (float("nan"), rel.SURVIVOR), (None, rel.SURVIVOR)], "CYCLE double, EVENT string")
+    h = rel.hazard_table(df).orderBy("CYCLE").collect()
+    assert [(r.CYCLE, r.risk, r.H) for r in h] == [(1.0, 2.0, 0.5), (2.0, 1.0, 1.5)]
+    rows = rel.hazard_rows(df, rel.hazard_table(df))
+    assert rows.count() == 2
+    from kestrel.operators import windows
+    assert windows.rank_average_desc(df, "CYCLE").count() == 2
