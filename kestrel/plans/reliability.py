@@ -155,7 +155,8 @@ def q_classify_event(spark, sf):
 @plan("filter_not_null", ops=(20,), sql="""
 select l_orderkey, l_linenumber, l_extendedprice as CYCLE from lineitem where l_extendedprice is not null""")
 def q_filter_not_null(spark, sf):
-    return weibull_input(spark, sf).where(F.col("CYCLE").isNotNull()).select(
+    from kestrel.operators.relational import filter_not_null
+    return filter_not_null(weibull_input(spark, sf), "CYCLE").select(
         "l_orderkey", "l_linenumber", "CYCLE")
 
 

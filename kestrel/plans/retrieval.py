@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 from kestrel.operators import retrieval as rt
 from kestrel.plans.registry import plan
 from kestrel.sources.tables import table
+from kestrel.sources.text import page_scan
 
 
 @plan("html_element_text", ops=(84, 8), sql="""
 select page_id, url, 'ad' as class_name, regexp_extract(html, '(?s)<div class="ad">(.*?)</div>', 1) as content
 from pages""")
 def q_html_element_text(spark, sf):
-    return rt.html_element_text(table(spark, sf, "pages"), "ad").select("page_id", "url", "class_name", "content")
+    pages = page_scan(spark, f"{sf.rstrip('/')}/pages.parquet")
+    return rt.html_element_text(pages, "ad").select("page_id", "url", "class_name", "content")
 
 
 def _fixed_sql(size, overlap):

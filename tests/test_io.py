@@ -116,3 +116,28 @@ def test_sequence_source(spark):
     a = s.collect()
     assert len(a) == 1000 and abs(sum(r.y for r in a) / 1000 - 10) < 0.2
     assert a == sequence_source(spark, 1000, seed=3, partitions=4).collect()
+
+
+def test_jdbc_reads_in_one_task_only_if_asked(spark):
+    from kestrel.sources.jdbc import jdbc_query_scan
+    for kw in ({}, {"sql": "select 1", "table": "t"}, {"sql": "select 1"}, {"table": "t", "partition_column": "k"}):
+        with pytest.raises(ValueError):
+            jdbc_query_scan(spark, "jdbc:none:", **kw)
+
+
+def test_page_folder(spark, tmp_path):
+    from kestrel.sources.text import page_scan
+    (tmp_path / "a.html").write_text("<p>é</p>", encoding="utf-8")
+    (tmp_path / "b.txt").write_text("no page")
+    got = page_scan(spark, str(tmp_path), "files").collect()
+    assert [(r.url.rpartition("/")[2], r.html) for r in got] == [("a.html", "<p>é</p>")]
+
+
+def test_entry_frees_what_earlier_queries_kept(spark):
+    import __spark_entry__ as e
+    from kestrel import session
+    from tests.conftest import SF001
+    e.queries()["mean_median"](spark, SF001)
+    kept = list(session._KEPT)
+    e.queries()["row_count"](spark, SF001)
+    assert kept and not session._KEPT and not any(df.storageLevel.useMemory for df in kept)
