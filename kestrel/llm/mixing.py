@@ -95,82 +95,79 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), budget: float =
     target, pass (from 0), shard and position in the shard; a document that
     is not drawn has one row with null pass, shard and position.  Sources
     take ``weights`` in turn, by code point, null last.  ``__row`` (a struct)
-    is unique per input row."""
+    is unique per input row.
+
+    Everything is decided on light rows (two hashes of id, source and text,
+    and the number of a repeated row); the documents' columns meet the
+    placements in one join."""
     spark = docs.sparkSession
     ensure_shipped(spark)
     keep = [c for c in docs.columns if c not in OUTS]
-    body = F.col(text).cast("string")
-    h = F.xxhash64(F.lit(seed), F.col(id_col), body)
-    base = docs.select(*keep, F.regexp_count(F.coalesce(body, F.lit("")), F.lit(WORD)).cast("long").alias("size"),
-                       F.shiftrightunsigned(h, 1).alias("__u"))
+    body, src = F.col(text).cast("string"), F.col(source).cast("string")
+    item = [F.xxhash64(F.lit(seed + i), F.col(id_col), src, body).alias(f"__h{i}") for i in (0, 1)]
+    numbered = F.row_number().over(Window.partitionBy("__h0", "__h1").orderBy(F.lit(0))).alias("__j")
 
-    # sizes once, without texts
     path = scratch_path(spark, "mixing")
-    base.select(F.col(source).cast("string").alias("src"), "size", F.col("__u").alias("u")).write.parquet(f"{path}/sizes")
+    (docs.select(src.alias("src"), F.regexp_count(F.coalesce(body, F.lit("")), F.lit(WORD)).cast("long").alias("size"), *item)
+     .write.parquet(f"{path}/sizes"))
     sizes = spark.read.parquet(f"{path}/sizes")
     by_source = sizes.groupBy("src").agg(F.sum("size").alias("words"), F.count("*").alias("docs")).collect()
     by_source.sort(key=lambda r: (r["src"] is None, r["src"] or ""))  # str order is code-point order
     if not by_source:
-        return base.select(*keep, "size", *[F.lit(None).cast(t).alias(c) for c, t in (
-            ("source_size", "long"), ("target", "double"), ("pass", "int"), ("shard", "int"), ("position", "long"))],
-            F.struct("__u").alias("__row"))
+        nothing = [F.lit(None).cast(t).alias(c) for c, t in zip(OUTS, ("long", "long", "double", "int", "int", "long"))]
+        return docs.select(*keep, *nothing, F.struct(*item).alias("__row"))
     words = [int(r["words"]) for r in by_source]
     goal = targets(words, [weights[i % len(weights)] for i in range(len(words))], budget, most)
-    total = sum(goal)
-    block = max(block_words, math.ceil(total / 100_000_000))
-    params = []
+    block = max(block_words, math.ceil(sum(goal) / 100_000_000))
+    params = []  # a row for each source
     for i, (r, w, t) in enumerate(zip(by_source, words, goal)):
         per = max(1, min(block, w // 512))  # small sources get finer blocks
         n = max(1, math.ceil(w / per))
         full = int(t // w) if w else 0
         rest = t - full * w
         last = max(1, math.ceil(rest / per)) if rest > 0 else 0
-        params.append((r["src"], i, w, t, max(1, math.ceil(r["docs"] / 4096)), per, n, full, float(rest), last))
-    # one row per source
+        params.append((r["src"], i, w, t, max(1, math.ceil(r["docs"] / 4096)), per, n, full, float(rest), last, _step(n, seed)))
     p = spark.createDataFrame(params, "src string, sid int, source_size long, target double, buckets long, per long, "
-                                      "blocks long, full int, rest double, last long")
-
-    def bucketed(df: DataFrame) -> DataFrame:
-        at = F.floor(F.col("__u").cast("double") / F.lit(2.0 ** 63) * F.col("buckets"))
-        return df.withColumn("bucket", F.least(at, F.col("buckets") - 1).cast("long"))
+                                      "blocks long, full int, rest double, last long, step long")
 
-    ordered = bucketed(sizes.withColumnRenamed("u", "__u").join(p, sizes["src"].eqNullSafe(p["src"])).drop("src"))
-    sums = ordered.groupBy("sid", "bucket").agg(F.sum("size").alias("w"))
+    # the random stream of each source: hash order, in buckets
+    u = F.shiftrightunsigned("__h0", 1).cast("double") / F.lit(2.0 ** 63)
+    light = (sizes.select("*", numbered).join(p.select("src", "sid", "buckets", "per", "blocks", "rest"), sizes["src"].eqNullSafe(p["src"])).drop("src")
+             .withColumn("bucket", F.least(F.floor(u * F.col("buckets")), F.col("buckets") - 1).cast("long")))
+    sums = light.groupBy("sid", "bucket").agg(F.sum("size").alias("w"))
     up_to = Window.partitionBy("sid").orderBy("bucket")  # a row for every 4096 documents
     starts = sums.select("sid", "bucket", (F.sum("w").over(up_to) - F.col("w")).alias("before"))
-    inside = Window.partitionBy("sid", "bucket").orderBy("__u", "size").rowsBetween(Window.unboundedPreceding, 0)
-
-    def streamed(df: DataFrame) -> DataFrame:
-        """Place in the source's stream, and whether the partial pass has it."""
-        df = df.join(starts, ["sid", "bucket"])
-        df = df.withColumn("start", F.col("before") + F.sum("size").over(inside) - F.col("size"))
-        return df.withColumn("inside", (F.col("rest") > 0) & (F.col("start") + F.col("size") / 2 <= F.col("rest")))
-
-    # what the whole documents leave open, and single documents that close it
+    inside = Window.partitionBy("sid", "bucket").orderBy(F.shiftrightunsigned("__h0", 1), "__h0", "__h1", "__j").rowsBetween(Window.unboundedPreceding, 0)
+    stream = light.join(starts, ["sid", "bucket"]).withColumn("start", F.col("before") + F.sum("size").over(inside) - F.col("size"))
+    stream.select("sid", "__h0", "__h1", "__j", "size",
+                  F.least(F.floor(F.col("start") / F.col("per")).cast("long"), F.col("blocks") - 1).alias("block"),
+                  ((F.col("rest") > 0) & (F.col("start") + F.col("size") / 2 <= F.col("rest"))).alias("inside")).write.parquet(f"{path}/stream")
+    stream = spark.read.schema("sid int, __h0 long, __h1 long, __j int, size long, block long, inside boolean").parquet(f"{path}/stream")
+
+    # what whole documents leave open, and single documents that close it
+    rests = {q[1]: q[8] for q in params if q[8] > 0}
+    took = stream.where("inside").groupBy("sid").agg(F.sum("size").alias("w")).collect()
+    gaps = rests | {r["sid"]: rests[r["sid"]] - r["w"] for r in took}
     flips: dict[int, list[int]] = {}
-    streamed(ordered).where("rest > 0").select("sid", "__u", "size", "inside", "rest").write.parquet(f"{path}/partial")
-    light = spark.read.schema("sid int, __u long, size long, inside boolean, rest double").parquet(f"{path}/partial")
-    gaps = {r["sid"]: r["rest"] - r["w"] for r in light.groupBy("sid", "rest").agg(
-        F.sum(F.when(F.col("inside"), F.col("size")).otherwise(0)).alias("w")).collect()}
     for _ in range(4):
-        open_gaps = [(s, float(g)) for s, g in gaps.items() if abs(g) >= 1]
-        if not open_gaps:
+        still = [(s, float(g)) for s, g in gaps.items() if abs(g) >= 1]
+        if not still:
             break
-        g = spark.createDataFrame(open_gaps, "sid int, gap double")
-        done = F.array(*[F.lit(u) for us in flips.values() for u in us]).cast("array<bigint>")
+        done = F.array(*[F.lit(h) for hs in flips.values() for h in hs]).cast("array<bigint>")
         left = F.abs(F.abs("gap") - F.col("size"))
-        best = (light.join(g, "sid").where((F.col("inside") == (F.col("gap") < 0)) & (F.col("size") > 0))
-                .where((left < F.abs("gap")) & ~F.array_contains(done, F.col("__u")))
-                .groupBy("sid").agg(F.min(F.struct(left.alias("left"), "__u", "size")).alias("b")).collect())
+        best = (stream.join(spark.createDataFrame(still, "sid int, gap double"), "sid")
+                .where((F.col("inside") == (F.col("gap") < 0)) & (F.col("size") > 0) & (left < F.abs("gap")))
+                .where(~F.array_contains(done, F.col("__h0")))
+                .groupBy("sid").agg(F.min(F.struct(left.alias("left"), "__h0", "size")).alias("b")).collect())
+        if not best:
+            break
         for r in best:
-            flips.setdefault(r["sid"], []).append(r["b"]["__u"])
+            flips.setdefault(r["sid"], []).append(r["b"]["__h0"])
             gaps[r["sid"]] += r["b"]["size"] if gaps[r["sid"]] < 0 else -r["b"]["size"]
-    swapped = spark.createDataFrame([(s, u) for s, us in flips.items() for u in us], "sid int, swap long").groupBy("sid").agg(
-        F.collect_list("swap").alias("swaps"))  # four at most for each source
 
     # block quotas, and which run of slots each shard draws
     slots_by = np.array([q[7] * q[6] + q[9] for q in params], np.int64)
-    shards = max(1, min(max_shards, math.ceil(total / shard_words)))
+    shards = max(1, min(max_shards, math.ceil(sum(goal) / shard_words)))
 
     def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -181,31 +178,32 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), budget: float =
                      pa.array(offset, pa.int64()), pa.array(quota, pa.int64())], names=["shard", "sid", "offset", "quota"])
 
     quotas = spark.range(shards).mapInArrow(leaves, "shard int, sid int, offset long, quota long").where("quota > 0")
-    slots = quotas.select("shard", F.col("sid").alias("__sid"), F.explode(
-        F.sequence("offset", F.col("offset") + F.col("quota") - 1)).alias("__slot"))
-
-    rows = base.join(p, F.col(source).cast("string").eqNullSafe(p["src"])).drop("src")
-    rows = streamed(bucketed(rows)).join(swapped, "sid", "left")
-    rows = rows.withColumn("inside", F.col("inside") != F.coalesce(F.array_contains("swaps", F.col("__u")), F.lit(False)))
-    rows = rows.withColumns({
-        "n": F.row_number().over(Window.partitionBy("sid", "bucket").orderBy("__u", "size")),
-        "block": F.least(F.floor(F.col("start") / F.col("per")).cast("long"), F.col("blocks") - 1)})
+    slots = quotas.select("shard", "sid", F.explode(F.sequence("offset", F.col("offset") + F.col("quota") - 1)).alias("slot"))
+
     # pass k < full: block b sits in slot k * blocks + permuted b; the partial
     # pass runs along the (already random) stream
-    params_by = {q[1]: q for q in params}
-    steps = spark.createDataFrame([(i, _step(q[6], seed)) for i, q in params_by.items()], "sid int, step long")
-    rows = rows.join(steps, "sid")
+    # a row for each source; four swaps at most
+    more = spark.createDataFrame([(q[1], q[2], q[3], q[6], q[7], q[9], q[10], flips.get(q[1], [])) for q in params],
+                                 "sid int, source_size long, target double, blocks long, full int, last long, step long, swaps array<long>")
+    rows = stream.join(more, "sid")
+    drawn = F.col("inside") != F.array_contains("swaps", F.col("__h0"))
     slot_of = lambda k: k * F.col("blocks") + F.pmod(F.col("block") * F.col("step") + k * 7919 + seed, F.col("blocks"))
-    full_passes = F.when(F.col("full") > 0, F.transform(F.sequence(F.lit(0), F.col("full") - 1), lambda k: F.struct(
-        k.cast("int").alias("pass"), slot_of(k.cast("long")).alias("slot")))).otherwise(F.array())
-    partial = F.when(F.col("inside"), F.array(F.struct(F.col("full").cast("int").alias("pass"), (
-        F.col("full") * F.col("blocks") + F.least("block", F.col("last") - 1)).cast("long").alias("slot")))).otherwise(F.array())
     kind = "array<struct<pass:int,slot:bigint>>"
+    full_passes = F.when(F.col("full") > 0, F.transform(F.sequence(F.lit(0), F.col("full") - 1), lambda k: F.struct(
+        k.cast("int").alias("pass"), slot_of(k.cast("long")).alias("slot")))).otherwise(F.array().cast(kind))
+    partial = F.when(drawn, F.array(F.struct(F.col("full").cast("int").alias("pass"), (
+        F.col("full") * F.col("blocks") + F.least("block", F.col("last") - 1)).cast("long").alias("slot")))).otherwise(F.array().cast(kind))
     rows = rows.withColumn("draw", F.explode_outer(F.concat(full_passes.cast(kind), partial.cast(kind))))
-    rows = rows.select(*keep, "size", "source_size", "target", F.col("draw.pass").alias("pass"), F.col("draw.slot").alias("__slot"),
-                       F.col("sid").alias("__sid"), F.struct("sid", "bucket", "n").alias("__row"), "__u")
+    rows = rows.select("sid", "__h0", "__h1", "__j", "size", "source_size", "target", "draw.pass", "draw.slot")
     # merge: the planner knows nothing of the exploded slots' size
-    placed = rows.join(slots.hint("merge"), ["__sid", "__slot"], "left")
-    local = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed), "shard", "pass", "__u"), "pass", "__row")
+    placed = rows.join(slots.hint("merge"), ["sid", "slot"], "left").drop("sid", "slot")
+    # rows that are not drawn have no shard and need no order: anywhere will do
+    spread = F.when(F.col("shard").isNull(), F.pmod("__h0", F.lit(4096)))
+    local = Window.partitionBy("shard", spread).orderBy(F.xxhash64(F.lit(seed), "shard", "pass", "__h0"), "__h0", "__h1", "__j", "pass")
     placed = placed.withColumn("position", F.when(F.col("shard").isNotNull(), F.row_number().over(local)).cast("long"))
-    return placed.select(*keep, *OUTS, "__row")
+
+    wide = docs.select(*keep, *item).select("*", numbered)
+    # repeated rows share their hashes: their number decides, after the join on the hashes
+    placed = placed.withColumnRenamed("__j", "__k")
+    out = wide.join(placed.hint("merge"), ["__h0", "__h1"]).where(F.col("__j") - F.col("__k") == 0)
+    return out.select(*keep, *OUTS, F.struct("__h0", "__h1", "__j").alias("__row"))
