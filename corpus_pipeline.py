@@ -21,7 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import bitfilter, mixing, ngramjoin, ngramlm, outliers, packing, queries
+from kestrel.llm import bitfilter, mixing, ngramjoin, ngramlm, outliers, packing
+from kestrel.llm.inputs import tokenizer, trusted
 from kestrel.session import scratch_path
 from kestrel.sources.tables import table
 
@@ -35,7 +36,7 @@ def _text_md5() -> Column:
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # the verdict depends on language and text alone
     keyed = docs.withColumn(KEY, F.concat_ws("\u0001", F.coalesce("lang", F.lit("\u0002")), _text_md5()))
-    judged = ngramlm.quality(keyed, queries.trusted(spark, sf_dir), carry=[KEY])
+    judged = ngramlm.quality(keyed, trusted(spark, sf_dir), carry=[KEY])
     rejected = judged.where("not kept").select(KEY).distinct()
     return bitfilter.anti_join(keyed, rejected, [KEY]).select(*docs.columns)
 
@@ -71,7 +72,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs, queries.tokenizer("word_bpe_49k.json"), keep_ids=False)
+    return packing.pack_documents(docs, tokenizer("word_bpe_49k.json"), keep_ids=False)
 
 
 STAGES = [

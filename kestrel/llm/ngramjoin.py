@@ -38,6 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.llm import workercache
 from kestrel.llm.components import components
 from kestrel.session import ensure_shipped, scratch_path
 
@@ -93,13 +94,8 @@ class Grams:
         return out
 
 
-_GRAMS: dict[int, Grams] = {}
-
-
 def grams(n: int) -> Grams:
-    if n not in _GRAMS:
-        _GRAMS[n] = Grams(n)
-    return _GRAMS[n]
+    return workercache.kept(("grams", n), lambda: Grams(n))
 
 
 def band_hashes(sets: list[np.ndarray], bands: int, rows: int) -> np.ndarray:
@@ -268,6 +264,7 @@ def ngram_join(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: floa
     tiles = placed.join(sets, "key").repartition(*tile).sortWithinPartitions(*tile)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        workercache.drop()
         names = ("key", "side", "copies", "bands", "grams")
         now, rows, out = None, {}, []
         for b in batches:

@@ -41,6 +41,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.llm import workercache
 from kestrel.llm.bitfilter import semi_join
 from kestrel.session import ensure_shipped, scratch_path
 
@@ -122,6 +123,7 @@ def _sum_by_key(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.nd
 def count_grams(texts: DataFrame) -> DataFrame:
     """(key, n) of the highest order over the only column, a row per n-gram and task."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        workercache.drop()
         keys: list[np.ndarray] = []
         counts: list[np.ndarray] = []
         for b in batches:
@@ -216,6 +218,7 @@ def score(docs: DataFrame, model: DataFrame, path: str, text: str = "text", carr
 
     def requests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Distinct n-grams of every order, by block."""
+        workercache.drop()
         have: dict[int, list[np.ndarray]] = {}
 
         def rows(block: int) -> pa.RecordBatch:
@@ -244,6 +247,7 @@ def score(docs: DataFrame, model: DataFrame, path: str, text: str = "text", carr
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Compressed pieces of blocks."""
+        workercache.drop()
         for b in batches:
             for block, part in _runs(b):
                 for piece in _pieces(part):

@@ -34,10 +34,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.llm import workercache
 from kestrel.session import ensure_shipped, scratch_path
 
-WORDS_KEPT = 1_000_000
-BYTES_AT_ONCE = 8 << 20
+WORDS_KEPT = 700_000
+BYTES_AT_ONCE = 5 << 20
 FIRST_FAN, FAN = 4, 16  # partitions, then groups, that merge their open windows
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "ids binary, open boolean, part long")
@@ -179,13 +180,8 @@ class WordIds:
             yield flat[cuts[i]:cuts[i + 1]]
 
 
-_BY_PATH: dict[str, WordIds] = {}
-
-
 def word_ids(path: str) -> WordIds:
-    if path not in _BY_PATH:
-        _BY_PATH[path] = WordIds(path)
-    return _BY_PATH[path]
+    return workercache.kept(("packing", path), lambda: WordIds(path))
 
 
 class Windows:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.llm import mixing, ngramjoin, ngramlm, outliers, packing, tokens, topk, toxicity, urlfilter, warc
+from kestrel.llm.inputs import tokenizer, trusted
 from kestrel.sources.tables import table
 
 #: Fixed values of the query: domain rules, and the globs of hosts to block.
@@ -14,11 +15,6 @@ RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org
 GLOBS = ["*cheap-pills*/**", "*casino*/**", "*adult*/**", "*spam-*/**", "*free-bets*/**", "*ads-track*/**"]
 
 
-def tokenizer(name: str) -> str:
-    import public_tokenizers
-    return public_tokenizers.path(name)
-
-
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = [urlfilter.Rule(v, r) for v, r in RULES] + [urlfilter.Rule("block", g, glob=True) for g in GLOBS]
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -69,11 +65,6 @@ select page_id, n::bigint as payload_bytes, digest as payload_digest,
 from k"""
 
 
-def trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ids of the documents labelled as good."""
-    return table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-
-
 def op3_quality_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     return ngramlm.quality(docs, trusted(spark, sf_dir), carry=["doc_id", "lang"])

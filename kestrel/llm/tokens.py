@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.llm import workercache
 from kestrel.session import ensure_shipped, scratch_path
 
 CACHE_SCHEMA = "tokenizer string, digest binary, n_tokens long"
@@ -122,14 +123,8 @@ def tokenizer_digest(path: str) -> str:
         return hashlib.sha256(path.rpartition(".")[2].encode() + b"\0" + f.read()).hexdigest()
 
 
-_COUNTERS: dict[str, TokenCounter] = {}
-
-
 def counter(path: str) -> TokenCounter:
-    """One per worker process, kept between tasks."""
-    if path not in _COUNTERS:
-        _COUNTERS[path] = TokenCounter(path)
-    return _COUNTERS[path]
+    return workercache.kept(("tokens", path), lambda: TokenCounter(path))
 
 
 def stored_counts(spark, cache: str, version: str) -> DataFrame:

@@ -36,12 +36,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.llm import workercache
 from kestrel.session import ensure_shipped
 
 HASH_BITS = 26
 PREFIXES = (4, 5)
-WORDS_KEPT = 400_000
-BYTES_AT_ONCE = 4 << 20
+WORDS_KEPT = 800_000
+BYTES_AT_ONCE = 8 << 20
 OUTS = ("score", "predicted")
 
 
@@ -167,6 +168,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Texts, and toxic texts, by bucket."""
+        workercache.drop()
         for b in batches:
             y_all, a = b.column(0).to_numpy(), 0
             for texts in _slices(b.column(1)):
@@ -236,6 +238,7 @@ def score(docs: DataFrame, machine: Machine, text: str = "text", carry: list[str
     out = ", ".join([*[f"`{c}` {kinds[c]}" for c in carry], "score double"])
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        workercache.drop()
         finder = TermFinder(machine.numbers)
         for b in batches:
             got = [machine.scores(*finder.pairs(t), len(t)) for t in _slices(b.column(0))]
