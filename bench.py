@@ -23,6 +23,7 @@ HEADLINE = [
     "mean_median", "dense_row_index", "tfidf", "tokenize_content_words", "clean_reviews",
     "classification_report", "fixed_chunks", "recursive_chunks", "html_element_text",
     "similarity_search", "sft_tokenize", "csv_export", "log_histogram", "grouped_bar_table",
+    "similarity_search_cosine", "retrieval_compare", "collate_batches", "collection_store", "stream_ingest",
 ]
 
 
