@@ -41,8 +41,8 @@ from kestrel.session import ensure_shipped
 
 HASH_BITS = 26
 PREFIXES = (4, 5)
-WORDS_KEPT = 800_000
-BYTES_AT_ONCE = 8 << 20
+WORDS_KEPT = 500_000
+BYTES_AT_ONCE = 4 << 20
 OUTS = ("score", "predicted")
 
 
@@ -128,32 +128,41 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def fit(doc: np.ndarray, term: np.ndarray, label: np.ndarray, terms: int, factors: int = 8, steps: int = 400,
-        rate: float = 0.05, l2: float = 2e-4, seed: int = 7) -> Machine:
-    """Logistic loss with L2, whole-batch Adam; (doc, term) pairs are the ones of a 0/1 matrix."""
-    n = len(label)
+def fit(patterns: list[tuple[int, ...]], rows: np.ndarray, toxic: np.ndarray, terms: int, factors: int = 8,
+        steps: int = 300, rate: float = 0.05, l2: float = 2e-4, seed: int = 7) -> Machine:
+    """Logistic loss with L2, whole-batch Adam.  Texts with the same terms are
+    one pattern: its ``rows`` texts, of which ``toxic`` are toxic."""
+    n = rows.sum()
     rng = np.random.default_rng(seed)
-    share = np.clip(label.mean(), 1e-6, 1 - 1e-6)
-    m = Machine(float(np.log(share / (1 - share))), np.zeros(terms), rng.normal(0, 0.05, (terms, factors)))
-    params = [np.array([m.bias]), m.weight, m.factors]
+    share = np.clip(toxic.sum() / n, 1e-6, 1 - 1e-6)
+    params = [np.array([np.log(share / (1 - share))]), np.zeros(terms), rng.normal(0, 0.05, (terms, factors))]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
-    order = np.argsort(doc, kind="stable")
-    doc, term = doc[order], term[order]
+    size = np.fromiter(map(len, patterns), np.int64, len(patterns))
+    some = np.flatnonzero(size)
+    first = (np.cumsum(size) - size)[some]  # of each pattern with terms
+    doc = np.repeat(np.arange(len(patterns)), size)
+    term = np.fromiter((t for p in patterns for t in p), np.int64, int(size.sum()))
+    by_term = np.argsort(term, kind="stable")
+    used, at = np.unique(term[by_term], return_index=True)
     for step in range(1, steps + 1):
-        m.bias = float(params[0][0])
-        err = (m.scores(doc, term, n) - label) / n
-        v = m.factors[term]
-        total = np.stack([np.bincount(doc, v[:, k], n) for k in range(factors)], 1)
-        slope = err[doc][:, None] * (total[doc] - v)
-        grads = [np.array([err.sum()]),
-                 np.bincount(term, err[doc], terms) + l2 * m.weight,
-                 np.stack([np.bincount(term, slope[:, k], terms) for k in range(factors)], 1) + l2 * m.factors]
+        bias, w, v = params
+        x = np.full(len(patterns), bias[0])
+        vt = v[term]
+        total = np.zeros((len(patterns), factors))
+        if len(term):
+            total[some] = np.add.reduceat(vt, first)
+            x[some] += np.add.reduceat(w[term] - (vt * vt).sum(1) / 2, first) + (total[some] ** 2).sum(1) / 2
+        err = (rows / (1 + np.exp(-np.clip(x, -30, 30))) - toxic) / n
+        grads = [np.array([err.sum()]), l2 * w, l2 * v]
+        if len(term):
+            slope = err[doc]
+            grads[1][used] += np.add.reduceat(slope[by_term], at)
+            grads[2][used] += np.add.reduceat((slope[:, None] * (total[doc] - vt))[by_term], at)
         for p, g, (a, b) in zip(params, grads, moments):
             a += 0.1 * (g - a)
             b += 0.001 * (g * g - b)
             p -= rate * (a / (1 - 0.9 ** step)) / (np.sqrt(b / (1 - 0.999 ** step)) + 1e-8)
-    m.bias = float(params[0][0])
-    return m
+    return Machine(float(params[0][0]), params[1], params[2])
 
 
 def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
@@ -220,12 +229,11 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
                     names=["y", "terms"])
                 a += len(texts)
 
-    # the bounded sample as its kept terms, in an order of its own
-    got = rows.mapInArrow(terms, "y int, terms array<long>").orderBy("y", "terms").collect()
-    label_of = np.array([r["y"] for r in got], float)
-    doc = np.repeat(np.arange(len(got)), [len(r["terms"]) for r in got])
-    term = np.array([t for r in got for t in r["terms"]], np.int64)
-    m = fit(doc, term, label_of, len(numbers))
+    # the bounded sample as patterns of kept terms
+    got = (rows.mapInArrow(terms, "y int, terms array<long>").groupBy("terms")
+           .agg(F.count("*").alias("n"), F.sum("y").alias("toxic")).collect())
+    got.sort(key=lambda r: r["terms"])
+    m = fit([tuple(r["terms"]) for r in got], np.array([r["n"] for r in got], float), np.array([r["toxic"] for r in got], float), len(numbers))
     m.numbers = numbers
     return m
 

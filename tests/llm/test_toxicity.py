@@ -19,13 +19,12 @@ def test_scores_equal_the_formula():
 
 
 def test_learns_a_pure_interaction():
-    # either term alone is harmless, both together are toxic, and so is neither's absence: no additive weights can do it
-    rows = [(0, []), (1, [0, 1]), (0, [0]), (0, [1])] * 50
-    label = np.array([1.0 if len(t) != 1 else 0.0 for _, t in rows])
-    doc = np.repeat(np.arange(len(rows)), [len(t) for _, t in rows])
-    term = np.array([x for _, t in rows for x in t])
-    m = toxicity.fit(doc, term, label, 2)
-    assert ((m.scores(doc, term, len(rows)) >= 0.5) == (label == 1)).all()
+    # either term alone is harmless, both together are toxic, and so is neither: no additive weights can do it
+    patterns = [(), (0, 1), (0,), (1,)]
+    m = toxicity.fit(patterns, np.full(4, 50.0), np.array([50.0, 50, 0, 0]), 2)
+    doc = np.repeat(np.arange(4), [len(p) for p in patterns])
+    term = np.array([t for p in patterns for t in p])
+    assert (m.scores(doc, term, 4) >= 0.5).tolist() == [True, True, False, False]
 
 
 def corpus(spark, n=900):
