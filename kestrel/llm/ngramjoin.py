@@ -42,8 +42,8 @@ from kestrel.llm import workercache
 from kestrel.llm.components import components
 from kestrel.session import ensure_shipped, scratch_path
 
-WORDS_KEPT = 600_000
-GRAMS_AT_ONCE = 1 << 20
+WORDS_KEPT = 200_000
+BYTES_AT_ONCE = 2 << 20
 CHUNK_ROWS, CHUNK_GRAMS = 512, 2_000_000
 
 
@@ -308,7 +308,7 @@ def _parts(batch: pa.RecordBatch, text_column: int) -> Iterator[pa.RecordBatch]:
     a = 0
     while a < batch.num_rows:
         start = ends[a - 1] if a else 0
-        b = max(a + 1, int(np.searchsorted(ends, start + 6 * GRAMS_AT_ONCE, side="right")))
+        b = max(a + 1, int(np.searchsorted(ends, start + BYTES_AT_ONCE, side="right")))
         yield batch.slice(a, b - a)
         a = b
 

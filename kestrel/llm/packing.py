@@ -38,7 +38,7 @@ from kestrel.llm import workercache
 from kestrel.session import ensure_shipped, scratch_path
 
 WORDS_KEPT = 1_000_000
-BYTES_AT_ONCE = 6 << 20
+BYTES_AT_ONCE = 3 << 20
 FIRST_FAN, FAN = 4, 16  # partitions, then groups, that merge their open windows
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "ids binary, open boolean, part long")

@@ -7,9 +7,13 @@ does a task that needs none: a worker's memory stays that of one operator.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Hashable
 from typing import Any
 
+import pyarrow as pa
+
 _KEPT: dict[Hashable, Any] = {}
 
 
@@ -21,7 +25,11 @@ def kept(name: Hashable, make: Callable[[], Any]) -> Any:
 
 
 def drop() -> None:
-    if _KEPT:
-        import gc
-        _KEPT.clear()
-        gc.collect()
+    """Forget the table and give freed memory back to the system: allocators
+    keep it otherwise, and the next task's worker may be another operator's."""
+    _KEPT.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim is not None:
+        trim(0)
