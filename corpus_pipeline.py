@@ -20,13 +20,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from kestrel.llm import bitfilter, mixing, ngramjoin, ngramlm, outliers, packing
 from kestrel.llm.inputs import tokenizer, trusted
 from kestrel.session import scratch_path
 from kestrel.sources.tables import table
 
-KEY = "__pipeline_key"
+KEY, MAYBE, NUMBER = "__pipeline_key", "__pipeline_maybe", "__pipeline_number"
 
 
 def _text_md5() -> Column:
@@ -37,7 +38,9 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     # the verdict depends on language and text alone
     keyed = docs.withColumn(KEY, F.concat_ws("\u0001", F.coalesce("lang", F.lit("\u0002")), _text_md5()))
     judged = ngramlm.quality(keyed, trusted(spark, sf_dir), carry=[KEY])
-    rejected = judged.where("not kept").select(KEY).distinct()
+    path = scratch_path(spark, "rejected")
+    judged.where("not kept").select(KEY).distinct().write.parquet(path)
+    rejected = spark.read.schema(f"{KEY} string").parquet(path)
     return bitfilter.anti_join(keyed, rejected, [KEY]).select(*docs.columns)
 
 
@@ -58,12 +61,15 @@ def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     members = members.join(first, "group").select(
         key(F.col("doc_id"), F.lower(F.hex("text_key"))).alias(KEY), "rows",
         F.struct("no_id", "doc_id", "text_key").eqNullSafe(F.col("first")).alias("stays"))
-    keyed = docs.withColumn(KEY, key(F.col("doc_id"), _text_md5()))
-    left = bitfilter.anti_join(keyed, members.where("not stays"), [KEY])
-    # equal rows of the one that stays
-    twice = members.where("stays and rows > 1").select(KEY)
-    once = bitfilter.semi_join(left, twice, [KEY]).dropDuplicates([KEY])
-    return bitfilter.anti_join(left, twice, [KEY]).unionByName(once).select(*docs.columns)
+    members.write.parquet(f"{path}-judged")
+    members = spark.read.schema(f"{KEY} string, rows long, stays boolean").parquet(f"{path}-judged")
+    # rows that go, and those that stay but have equal rows, by key; others never shuffle
+    judged = members.where("not stays or rows > 1").select(KEY, "stays")
+    keyed = bitfilter.with_flag(docs.withColumn(KEY, key(F.col("doc_id"), _text_md5())), judged, [KEY], MAYBE)
+    first_of = F.row_number().over(Window.partitionBy(KEY).orderBy(F.lit(0)))
+    some = keyed.where(MAYBE).join(judged, KEY, "left").where(F.coalesce("stays", F.lit(True)))
+    some = some.withColumn(NUMBER, F.when(F.col("stays"), first_of).otherwise(1)).where(F.col(NUMBER) == 1)
+    return keyed.where(~F.col(MAYBE)).select(*docs.columns).unionByName(some.select(*docs.columns))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -47,7 +47,9 @@ def semi_join(df: DataFrame, keys: DataFrame, on: list[str], log_bits: int = LOG
 
 
 def anti_join(df: DataFrame, keys: DataFrame, on: list[str], log_bits: int = LOG_BITS) -> DataFrame:
-    """Rows of ``df`` without a partner in ``keys``."""
-    flagged, keys = _flagged(df, keys, on, log_bits)
-    unsure = flagged.where("__first and __second").join(keys, on, "left_anti")
+    """Rows of ``df`` without a partner in ``keys``, for keys that few rows
+    have: only rows that pass the first filter are shuffled."""
+    keys = keys.select(*on).dropna().distinct()
+    flagged = with_flag(df, keys, on, "__first", log_bits)
+    unsure = flagged.where("__first").join(keys, on, "left_anti")
     return flagged.where("not __first").unionByName(unsure).select(*df.columns)

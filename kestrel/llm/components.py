@@ -40,4 +40,5 @@ def components(edges: DataFrame, path: str) -> DataFrame:
         p = spark.read.schema(f"key {kind}, to {kind}").parquet(f"{path}/p{k}")
         labels = (p.join(labels.select(F.col("key").alias("to"), "label"), "to", "left")
                   .select("key", F.coalesce("label", "to").alias("label")))
-    return labels
+    labels.write.parquet(f"{path}/labels")  # read more than once, and a long chain of joins
+    return spark.read.schema(f"key {kind}, label {kind}").parquet(f"{path}/labels")

@@ -294,8 +294,10 @@ def ngram_join(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: floa
              .select("key", "copies", "first_id", F.coalesce("label", "key").alias("group"), F.coalesce("links", F.lit(0)).alias("links")))
     # only linked classes share a group: the others are their own smallest id
     shared = found.join(labels.select("key"), "key", "left_semi").groupBy("group").agg(F.min("first_id").alias("class_id"))
-    found = found.join(shared, "group", "left").select(
-        "key", "group", F.coalesce("class_id", "first_id").alias("class_id"), (F.col("links") + F.col("copies") - 1).alias("n_links"))
+    found.join(shared, "group", "left").select(
+        "key", "group", F.coalesce("class_id", "first_id").alias("class_id"), (F.col("links") + F.col("copies") - 1).alias("n_links")
+    ).write.parquet(f"{path}/found")
+    found = spark.read.schema("key binary, group binary, class_id long, n_links long").parquet(f"{path}/found")
     return (hashed.select("doc_id", "text_key", "key").join(found, "key", "left")
             .select("doc_id", "text_key", "group", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
                     F.coalesce("n_links", F.lit(0)).alias("n_links")))
