@@ -21,7 +21,8 @@ key are bit operations.  (Characters beyond U+EFFC share symbols.)
 4. A text's bits per character, drawn to its language's usual value by
    ``DRAW`` characters (short texts say little), is compared with quantiles
    of the trusted texts of its language; languages with fewer than
-   ``min_trusted`` trusted texts use those of all.
+   ``min_trusted`` trusted texts have no limits and stay undecided: the
+   model hardly knows them, and limits of other languages would reject them.
 
 Cases: null and empty texts consist of the end symbol alone and so score near
 the usual value; null languages are a language of their own; repeated rows
@@ -309,7 +310,8 @@ def quality(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str
     """The ``carry`` columns (default all but the text) with n_chars,
     perplexity, the limits low and high (as perplexities) and kept.  The
     limits are the ``tail`` and 1 - ``tail`` quantiles of the language's
-    trusted texts, widened by ``slack`` of their distance from its median."""
+    trusted texts, widened by ``slack`` of their distance from its median;
+    null, and every row kept, in languages with fewer than ``min_trusted``."""
     spark = docs.sparkSession
     ensure_shipped(spark)
     path = path or scratch_path(spark, "ngram-lm")
@@ -324,30 +326,18 @@ def quality(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str
     known = scores.join(trusted.withColumnRenamed(key, "__key"), "__key", "left_semi").where("not isnan(bits)")
     rate = F.col("bits") / F.col("n_chars")
 
-    def levels(df: DataFrame) -> DataFrame:
-        """Each language and, as null with all = true, every text."""
-        return df.select("*", F.explode(F.array(F.lit(False), F.lit(True))).alias("all")).withColumn(
-            "__lang", F.when(F.col("all"), F.lit(None)).otherwise(F.col("__lang")))
-
-    mids = levels(known).groupBy("__lang", "all").agg(F.percentile_approx(rate, 0.5, 10_000).alias("mid"), F.count("*").alias("texts"))
-    mids.write.parquet(f"{path}/mids")  # a row for each language
+    mids = known.groupBy("__lang").agg(F.percentile_approx(rate, 0.5, 10_000).alias("mid"), F.count("*").alias("texts")).where(F.col("texts") >= min_trusted)
+    mids.select(F.col("__lang").alias("l"), "mid").write.parquet(f"{path}/mids")  # a row for each language
     mids = spark.read.parquet(f"{path}/mids")
     drawn = (F.col("bits") + DRAW * F.col("mid")) / (F.col("n_chars") + DRAW)
-    m = mids.withColumnsRenamed({"__lang": "l", "all": "w"})
-    at_level = levels(known)
-    with_mid = at_level.join(m, at_level["__lang"].eqNullSafe(m["l"]) & (at_level["all"] == m["w"]))
-    quant = with_mid.groupBy("__lang", "all", "mid", "texts").agg(F.percentile_approx(drawn, [tail, 1 - tail], 10_000).alias("q"))
-    limits = quant.select("__lang", "all", "mid", "texts",
+    with_mid = known.join(mids, known["__lang"].eqNullSafe(mids["l"]))
+    quant = with_mid.groupBy("l", "mid").agg(F.percentile_approx(drawn, [tail, 1 - tail], 10_000).alias("q"))
+    limits = quant.select("l", "mid",
                           (F.col("q")[0] - slack * (F.col("mid") - F.col("q")[0])).alias("lo"),
                           (F.col("q")[1] + slack * (F.col("q")[1] - F.col("mid"))).alias("hi"))
     limits.write.parquet(f"{path}/limits")
     limits = spark.read.parquet(f"{path}/limits")
-    whole = limits.where("all").first()  # one row
-    own = limits.where((~F.col("all")) & (F.col("texts") >= min_trusted)).select(
-        F.col("__lang").alias("l"), F.col("mid").alias("m"), F.col("lo").alias("a"), F.col("hi").alias("b"))
-    judged = scores.join(own, scores["__lang"].eqNullSafe(own["l"]), "left")
-    pick = lambda c, name: F.coalesce(c, F.lit(whole[name] if whole else None).cast("double"))
-    judged = judged.withColumns({"mid": pick("m", "mid"), "lo": pick("a", "lo"), "hi": pick("b", "hi")})
+    judged = scores.join(limits, scores["__lang"].eqNullSafe(limits["l"]), "left")
     inside: Column = F.coalesce((drawn >= F.col("lo")) & (drawn <= F.col("hi")), F.lit(True))
     return judged.select(*carry, "n_chars", F.when(~F.isnan("bits"), F.pow(F.lit(2.0), rate)).alias("perplexity"),
                          F.pow(F.lit(2.0), "lo").alias("low"), F.pow(F.lit(2.0), "hi").alias("high"),

@@ -91,6 +91,19 @@ def test_junk_goes_clean_text_stays(spark):
     assert set(range(300, 302)).isdisjoint(kept) and len(kept) >= 298
 
 
+@pytest.mark.parametrize("known", [0, 5])
+def test_clean_language_with_few_trusted_texts_stays(spark, known):
+    rng = random.Random(5)
+    other = [" ".join(rng.choice(["ŵyr", "ĝis", "ħobż", "ňuch", "žlutý"]) for _ in range(rng.randint(20, 90))) for _ in range(60)]
+    rows = ([(i, t, "en") for i, t in enumerate(corpus(120))] + [(1000 + i, t, "xx") for i, t in enumerate(other)]
+            + [(2000, "XQ#ZK!! " * 30, "en"), (2001, "zzzz qqqq " * 40, "en")])
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    trusted = spark.createDataFrame([(i,) for i in [*range(100), *range(1000, 1000 + known)]], "doc_id long")
+    got = {r.doc_id: r for r in ngramlm.quality(docs, trusted).collect()}
+    assert all(got[1000 + i].kept and got[1000 + i].perplexity > 0 for i in range(60))
+    assert not got[2000].kept and not got[2001].kept
+
+
 def test_edges(spark):
     docs = spark.createDataFrame([(1, "a", None), (None, None, "en"), (1, "a", None)], "doc_id long, text string, lang string")
     none = spark.createDataFrame([], "doc_id long")
