@@ -20,7 +20,11 @@ key are bit operations.  (Characters beyond U+EFFC share symbols.)
    n-gram has more rows than there are blocks.
 4. A text's bits per character, drawn to its language's usual value by
    ``DRAW`` characters (short texts say little), is compared with quantiles
-   of the trusted texts of its language; languages with fewer than
+   of the trusted texts of its language, once scored by a model that did not
+   count them and once by the whole one; the wider limits hold, for unseen
+   texts and seen ones (or their copies).  The models without a fold of the
+   trusted texts (by a hash of the text, so exact copies are in one fold)
+   come from the same counts.  Languages with fewer than
    ``min_trusted`` trusted texts have no limits and stay undecided: the
    model hardly knows them, and limits of other languages would reject them.
 
@@ -52,6 +56,8 @@ DRAW = 200
 BLOCK_ROWS = 8192
 CHARS_AT_ONCE = 3 << 19
 DENSE_CELLS = 1 << 23
+FOLDS = 5  # models 1 to FOLDS lack a fold of the trusted texts, model 0 none
+MODEL_BITS = 3
 OUTS = ("n_chars", "perplexity", "low", "high", "kept")
 
 
@@ -122,65 +128,72 @@ def _sum_by_key(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.nd
 
 
 def count_grams(texts: DataFrame) -> DataFrame:
-    """(key, n) of the highest order over the only column, a row per n-gram and task."""
+    """(m, key, n) of the highest order over (text, fold): counts of each model."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         workercache.drop()
-        keys: list[np.ndarray] = []
-        counts: list[np.ndarray] = []
+        keys: list[list[np.ndarray]] = [[] for _ in range(FOLDS)]
+        counts: list[list[np.ndarray]] = [[] for _ in range(FOLDS)]
         for b in batches:
-            for part in _slices(b.column(0)):
-                sym, _ = symbols(part)
-                found, at = coded(sym)
-                n = np.bincount(at, minlength=len(found[-1]))
-                real = (found[-1] & np.uint64(0xFFFF)) != BOS
-                keys.append(found[-1][real])
-                counts.append(n[real])
-                if len(keys) == 16:
-                    keys, counts = [[x] for x in _sum_by_key(keys, counts)]
-        if keys:
-            k, n = _sum_by_key(keys, counts)
-            for a in range(0, len(k), 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(k[a:a + (1 << 16)].view(np.int64)), pa.array(n[a:a + (1 << 16)])], names=["key", "n"])
-
-    return texts.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+            fold = b.column(1).to_numpy()
+            for f in np.unique(fold):
+                for part in _slices(b.column(0).filter(pa.array(fold == f))):
+                    sym, _ = symbols(part)
+                    found, at = coded(sym)
+                    n = np.bincount(at, minlength=len(found[-1]))
+                    real = (found[-1] & np.uint64(0xFFFF)) != BOS
+                    keys[f].append(found[-1][real])
+                    counts[f].append(n[real])
+                    if len(keys[f]) == 16:
+                        keys[f], counts[f] = [[x] for x in _sum_by_key(keys[f], counts[f])]
+        for f in range(FOLDS):
+            if keys[f]:
+                k, n = _sum_by_key(keys[f], counts[f])
+                for a in range(0, len(k), 1 << 16):
+                    part = k[a:a + (1 << 16)].view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), f, np.int32)), pa.array(part), pa.array(n[a:a + (1 << 16)])], names=["fold", "key", "n"])
+
+    own = [F.sum(F.when(F.col("fold") == f, F.col("n")).otherwise(0)) for f in range(FOLDS)]
+    by_key = texts.mapInArrow(count, "fold int, key long, n long").groupBy("key").agg(
+        F.array(F.sum("n"), *[F.sum("n") - x for x in own]).alias("models"))
+    return by_key.select("key", F.posexplode("models").alias("m", "n")).where("n > 0").select("m", "key", "n")
 
 
 def build_model(grams: DataFrame, path: str) -> DataFrame:
-    """(key, a, g): discounted probability of each n-gram of every order and
-    back-off weight of each context, from the highest order's counts."""
+    """(m, key, a, g): for each model m the discounted probability of each
+    n-gram of every order and the back-off weight of each context, from the
+    highest order's counts."""
     spark = grams.sparkSession
-    grams.select(F.lit(ORDER).alias("k"), "key", "n").write.parquet(f"{path}/order{ORDER}")
+    grams.select(F.lit(ORDER).alias("k"), "m", "key", "n").write.parquet(f"{path}/order{ORDER}")
     for k in range(ORDER - 1, 0, -1):  # continuation counts: distinct left neighbours
         above = spark.read.parquet(f"{path}/order{k + 1}")
         mask = (1 << (16 * k)) - 1
-        (above.groupBy(F.col("key").bitwiseAND(F.lit(mask)).alias("key")).agg(F.count("*").alias("n"))
-         .select(F.lit(k).alias("k"), "key", "n").write.parquet(f"{path}/order{k}"))
+        (above.groupBy("m", F.col("key").bitwiseAND(F.lit(mask)).alias("key")).agg(F.count("*").alias("n"))
+         .select(F.lit(k).alias("k"), "m", "key", "n").write.parquet(f"{path}/order{k}"))
     rows = spark.read.parquet(*[f"{path}/order{k}" for k in range(1, ORDER + 1)])
-    times = {r["k"]: r for r in rows.groupBy("k").agg(
+    times = {(r["m"], r["k"]): r for r in rows.groupBy("m", "k").agg(
         *[F.sum((F.col("n") == i).cast("long")).alias(f"n{i}") for i in (1, 2, 3, 4)]).collect()}
-    discount = F.lit(0.0)
-    by_order = {}
-    for k, r in times.items():  # a row for each order
+    if not times:
+        return spark.createDataFrame([], "m int, key long, a double, g double")
+    discounts = []
+    for (m, k), r in times.items():  # a row for each model and order
         n1, n2, n3, n4 = (r[f"n{i}"] for i in (1, 2, 3, 4))
         y = n1 / (n1 + 2 * n2) if n1 else 0.5
         d = [i - (i + 1) * y * b / a if a and b else 0.5 * i for i, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
-        by_order[k] = [min(max(x, 0.05), i + 0.95) for i, x in enumerate(d)]
-    for k, d in by_order.items():
-        discount = F.when(F.col("k") == k, F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])).otherwise(discount)
-    rows = rows.withColumns({"ctx": F.shiftrightunsigned("key", 16), "d": discount})
-    context = rows.where("k > 1").groupBy("ctx").agg(F.sum("n").alias("total"), F.sum("d").alias("mass"))
-    total1 = rows.where("k = 1").agg(F.sum("n").alias("total"), F.sum("d").alias("mass"), F.count("*").alias("v")).first()
-    if not total1["total"]:
-        return spark.createDataFrame([], "key long, a double, g double")
-    with_ctx = rows.join(context, "ctx", "left").select(
-        "key", ((F.col("n") - F.col("d")) / F.when(F.col("k") == 1, total1["total"]).otherwise(F.col("total"))).alias("a"))
-    # order 1 backs off to the uniform distribution over the symbols and one unknown
-    uniform = total1["mass"] / total1["total"] / (total1["v"] + 1)
-    model = with_ctx.join(context.select(F.col("ctx").alias("key"), (F.col("mass") / F.col("total")).alias("g")), "key", "full_outer")
-    model = model.select("key", F.coalesce("a", F.lit(0.0)).alias("a"), F.coalesce("g", F.lit(1.0)).alias("g"))
-    # key 0, the empty context: what an unseen symbol gets
-    model.union(spark.createDataFrame([(0, uniform, 1.0)], "key long, a double, g double")).write.parquet(f"{path}/model")
-    return spark.read.schema("key long, a double, g double").parquet(f"{path}/model")
+        discounts.append((m, k, *[min(max(x, 0.05), i + 0.95) for i, x in enumerate(d)]))
+    discount = spark.createDataFrame(discounts, "m int, k int, d1 double, d2 double, d3 double")
+    rows = rows.join(F.broadcast(discount), ["m", "k"]).select(
+        "m", "k", "key", "n", F.shiftrightunsigned("key", 16).alias("ctx"),
+        F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3")).alias("d"))
+    # the context of order 1 is empty: key 0
+    context = rows.groupBy("m", "ctx").agg(F.sum("n").alias("total"), F.sum("d").alias("mass"), F.count("*").alias("v"))
+    with_ctx = rows.join(context, ["m", "ctx"]).select("m", "key", ((F.col("n") - F.col("d")) / F.col("total")).alias("a"))
+    model = with_ctx.join(context.where("ctx <> 0").select("m", F.col("ctx").alias("key"), (F.col("mass") / F.col("total")).alias("g")), ["m", "key"], "full_outer")
+    model = model.select("m", "key", F.coalesce("a", F.lit(0.0)).alias("a"), F.coalesce("g", F.lit(1.0)).alias("g"))
+    # key 0, the empty context: what an unseen symbol gets, as order 1 backs off
+    # to the uniform distribution over the symbols and one unknown
+    unseen = context.where("ctx = 0").select("m", F.lit(0).cast("long").alias("key"), (F.col("mass") / F.col("total") / (F.col("v") + 1)).alias("a"), F.lit(1.0).alias("g"))
+    model.unionByName(unseen).write.parquet(f"{path}/model")
+    return spark.read.schema("m int, key long, a double, g double").parquet(f"{path}/model")
 
 
 def probabilities(keys: list[np.ndarray], known: np.ndarray, a: np.ndarray, g: np.ndarray) -> np.ndarray:
@@ -200,21 +213,21 @@ def probabilities(keys: list[np.ndarray], known: np.ndarray, a: np.ndarray, g: n
 
 
 def _in_files(docs: DataFrame, path: str) -> DataFrame:
-    """``docs`` with block, by file and row number: the same in every reading."""
+    """``docs`` with block, by file and row number: the same in every reading.
+    Its lowest bits, zero, are for the number of the model."""
     place = F.col("_metadata.file_path"), F.floor(F.col("_metadata.row_index") / BLOCK_ROWS)
     try:
-        return docs.select(*docs.columns, F.xxhash64(*place).alias("__block"))
+        return docs.select(*docs.columns, F.shiftleft(F.xxhash64(*place), MODEL_BITS).alias("__block"))
     except AnalysisException:  # not read from Parquet files: put it there
         docs.write.parquet(f"{path}/docs")
         stored = docs.sparkSession.read.parquet(f"{path}/docs")
-        return stored.select(*stored.columns, F.xxhash64(*place).alias("__block"))
+        return stored.select(*stored.columns, F.shiftleft(F.xxhash64(*place), MODEL_BITS).alias("__block"))
 
 
-def score(docs: DataFrame, model: DataFrame, path: str, text: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """The ``carry`` columns with n_chars (end mark included) and bits."""
-    carry = [c for c in docs.columns if c != text] if carry is None else carry
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
-    placed = _in_files(docs.select(*dict.fromkeys([*carry, text])), path)
+def score(placed: DataFrame, model: DataFrame, carry: list[str], text: str = "text") -> DataFrame:
+    """The ``carry`` columns with n_chars (end mark included) and bits, by the
+    model that a row's block names."""
+    kinds = {f.name: f.dataType.simpleString() for f in placed.schema}
     placed = placed.select("__block", placed[text].cast("string").alias("__text"), *carry)
 
     def requests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,7 +257,8 @@ def score(docs: DataFrame, model: DataFrame, path: str, text: str = "text", carr
     asked = placed.select("__block", "__text").mapInArrow(requests, "block long, key long").distinct()
     blocks = placed.select(F.col("__block").alias("block")).distinct()
     always = blocks.select("block", F.explode(F.array(*[F.lit(x).cast("long") for x in [0, *begin]])).alias("key"))
-    answers = asked.unionByName(always).join(model, "key").select("block", "key", "a", "g")
+    asked = asked.unionByName(always).withColumn("m", F.col("block").bitwiseAND(F.lit((1 << MODEL_BITS) - 1)).cast("int"))
+    answers = asked.join(model, ["m", "key"]).select("block", "key", "a", "g")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Compressed pieces of blocks."""
@@ -289,9 +303,14 @@ def score(docs: DataFrame, model: DataFrame, path: str, text: str = "text", carr
 
 
 def _runs(b: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
-    """Maximal runs of rows of one block (the first column)."""
+    """Maximal runs of rows of one block (the first column); rows of mixed
+    blocks are sorted first."""
     block = b.column(0).to_numpy()
     cuts = np.flatnonzero(np.diff(block)) + 1 if len(block) else []
+    if len(cuts) >= len(np.unique(block)):
+        order = np.argsort(block, kind="stable")
+        b, block = b.take(pa.array(order)), block[order]
+        cuts = np.flatnonzero(np.diff(block)) + 1
     for lo, hi in zip([0, *cuts], [*cuts, len(block)]):
         if hi > lo:
             yield int(block[lo]), b.slice(lo, hi - lo)
@@ -310,31 +329,38 @@ def quality(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str
     """The ``carry`` columns (default all but the text) with n_chars,
     perplexity, the limits low and high (as perplexities) and kept.  The
     limits are the ``tail`` and 1 - ``tail`` quantiles of the language's
-    trusted texts, widened by ``slack`` of their distance from its median;
+    trusted texts, as unseen and as seen texts, widened by ``slack`` of their
+    distance from the median of unseen ones;
     null, and every row kept, in languages with fewer than ``min_trusted``."""
     spark = docs.sparkSession
     ensure_shipped(spark)
     path = path or scratch_path(spark, "ngram-lm")
     carry = [c for c in (docs.columns if carry is None else carry) if c not in (*OUTS, text)]
     trusted = trusted.where(F.col(key).isNotNull()).select(key).distinct()
-    texts = semi_join(docs.select(key, text), trusted, [key]).select(F.col(text).cast("string"))
-    model = build_model(count_grams(texts), path)
     rows = docs.select(docs[text], docs[key].alias("__key"), docs[lang].cast("string").alias("__lang"), *[docs[c] for c in carry if c != text])
-    score(rows, model, path, text, ["__key", "__lang", *carry]).write.parquet(f"{path}/scores")
+    placed = _in_files(rows, path)
+    keys = trusted.withColumnRenamed(key, "__key")
+    fold = F.pmod(F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))), F.lit(FOLDS))
+    texts = semi_join(placed.select("__key", "__lang", "__block", text), keys, ["__key"])
+    model = build_model(count_grams(texts.select(F.col(text).cast("string"), fold.cast("int").alias("fold"))), path)
+    score(placed, model, ["__key", "__lang", *carry], text).write.parquet(f"{path}/scores")
     scores = spark.read.parquet(f"{path}/scores")
+    unseen = texts.withColumn("__block", F.col("__block").bitwiseOR(fold + 1))
+    score(unseen, model, ["__lang"], text).where("not isnan(bits)").write.parquet(f"{path}/unseen")
+    unseen = spark.read.schema("__lang string, n_chars long, bits double").parquet(f"{path}/unseen")
 
-    known = scores.join(trusted.withColumnRenamed(key, "__key"), "__key", "left_semi").where("not isnan(bits)")
     rate = F.col("bits") / F.col("n_chars")
-
-    mids = known.groupBy("__lang").agg(F.percentile_approx(rate, 0.5, 10_000).alias("mid"), F.count("*").alias("texts")).where(F.col("texts") >= min_trusted)
+    mids = unseen.groupBy("__lang").agg(F.percentile_approx(rate, 0.5, 10_000).alias("mid"), F.count("*").alias("texts")).where(F.col("texts") >= min_trusted)
     mids.select(F.col("__lang").alias("l"), "mid").write.parquet(f"{path}/mids")  # a row for each language
     mids = spark.read.parquet(f"{path}/mids")
     drawn = (F.col("bits") + DRAW * F.col("mid")) / (F.col("n_chars") + DRAW)
-    with_mid = known.join(mids, known["__lang"].eqNullSafe(mids["l"]))
-    quant = with_mid.groupBy("l", "mid").agg(F.percentile_approx(drawn, [tail, 1 - tail], 10_000).alias("q"))
-    limits = quant.select("l", "mid",
-                          (F.col("q")[0] - slack * (F.col("mid") - F.col("q")[0])).alias("lo"),
-                          (F.col("q")[1] + slack * (F.col("q")[1] - F.col("mid"))).alias("hi"))
+    seen = scores.join(keys, "__key", "left_semi").where("not isnan(bits)").select("__lang", "n_chars", "bits", F.lit(True).alias("seen"))
+    both = unseen.withColumn("seen", F.lit(False)).unionByName(seen)
+    with_mid = both.join(mids, both["__lang"].eqNullSafe(mids["l"]))
+    quant = with_mid.groupBy("l", "mid", "seen").agg(F.percentile_approx(drawn, [tail, 1 - tail], 10_000).alias("q"))
+    limits = quant.groupBy("l", "mid").agg(
+        F.min(F.col("q")[0] - slack * (F.col("mid") - F.col("q")[0])).alias("lo"),
+        F.max(F.col("q")[1] + slack * (F.col("q")[1] - F.col("mid"))).alias("hi"))
     limits.write.parquet(f"{path}/limits")
     limits = spark.read.parquet(f"{path}/limits")
     judged = scores.join(limits, scores["__lang"].eqNullSafe(limits["l"]), "left")

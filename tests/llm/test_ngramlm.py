@@ -104,6 +104,20 @@ def test_clean_language_with_few_trusted_texts_stays(spark, known):
     assert not got[2000].kept and not got[2001].kept
 
 
+def test_limits_suit_unseen_texts(spark):
+    """Texts the model did not count are as good as those it did."""
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abcdefghijklmnoprstuvw") for _ in range(rng.randint(2, 9))) for _ in range(4000)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(40, 120))) for _ in range(500)]
+    junk = ["XQ#ZK!! " * 30, "zzzz qqqq " * 40]
+    rows = [(i, t, "en") for i, t in enumerate(texts + junk)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    trusted = spark.createDataFrame([(i,) for i in range(200)], "doc_id long")
+    gone = {r.doc_id for r in ngramlm.quality(docs, trusted).where("not kept").collect()}
+    assert {500, 501} <= gone
+    assert len(gone & set(range(200))) <= 1 and len(gone & set(range(200, 500))) <= 6
+
+
 def test_edges(spark):
     docs = spark.createDataFrame([(1, "a", None), (None, None, "en"), (1, "a", None)], "doc_id long, text string, lang string")
     none = spark.createDataFrame([], "doc_id long")
