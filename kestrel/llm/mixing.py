@@ -148,21 +148,23 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), budget: float =
     rests = {q[1]: q[8] for q in params if q[8] > 0}
     took = stream.where("inside").groupBy("sid").agg(F.sum("size").alias("w")).collect()
     gaps = rests | {r["sid"]: rests[r["sid"]] - r["w"] for r in took}
-    flips: dict[int, list[int]] = {}
+    row_id = F.struct("__h0", "__h1", "__j")  # a swap moves one row, not its repeats
+    kind_of_id = "struct<__h0:bigint,__h1:bigint,__j:int>"
+    flips: dict[int, list[tuple[int, int, int]]] = {}
     for _ in range(4):
         still = [(s, float(g)) for s, g in gaps.items() if abs(g) >= 1]
         if not still:
             break
-        done = F.array(*[F.lit(h) for hs in flips.values() for h in hs]).cast("array<bigint>")
+        done = F.array(*[F.struct(*map(F.lit, x)) for xs in flips.values() for x in xs]).cast(f"array<{kind_of_id}>")
         left = F.abs(F.abs("gap") - F.col("size"))
         best = (stream.join(spark.createDataFrame(still, "sid int, gap double"), "sid")
                 .where((F.col("inside") == (F.col("gap") < 0)) & (F.col("size") > 0) & (left < F.abs("gap")))
-                .where(~F.array_contains(done, F.col("__h0")))
-                .groupBy("sid").agg(F.min(F.struct(left.alias("left"), "__h0", "size")).alias("b")).collect())
+                .where(~F.array_contains(done, row_id))
+                .groupBy("sid").agg(F.min(F.struct(left.alias("left"), "__h0", "__h1", "__j", "size")).alias("b")).collect())
         if not best:
             break
         for r in best:
-            flips.setdefault(r["sid"], []).append(r["b"]["__h0"])
+            flips.setdefault(r["sid"], []).append((r["b"]["__h0"], r["b"]["__h1"], r["b"]["__j"]))
             gaps[r["sid"]] += r["b"]["size"] if gaps[r["sid"]] < 0 else -r["b"]["size"]
 
     # block quotas, and which run of slots each shard draws
@@ -184,9 +186,9 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), budget: float =
     # pass runs along the (already random) stream
     # a row for each source; four swaps at most
     more = spark.createDataFrame([(q[1], q[2], q[3], q[6], q[7], q[9], q[10], flips.get(q[1], [])) for q in params],
-                                 "sid int, source_size long, target double, blocks long, full int, last long, step long, swaps array<long>")
+                                 f"sid int, source_size long, target double, blocks long, full int, last long, step long, swaps array<{kind_of_id}>")
     rows = stream.join(more, "sid")
-    drawn = F.col("inside") != F.array_contains("swaps", F.col("__h0"))
+    drawn = F.col("inside") != F.array_contains("swaps", row_id)
     slot_of = lambda k: k * F.col("blocks") + F.pmod(F.col("block") * F.col("step") + k * 7919 + seed, F.col("blocks"))
     kind = "array<struct<pass:int,slot:bigint>>"
     full_passes = F.when(F.col("full") > 0, F.transform(F.sequence(F.lit(0), F.col("full") - 1), lambda k: F.struct(

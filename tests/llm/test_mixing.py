@@ -75,3 +75,14 @@ def test_edges(spark):
     assert {r.target for r in out if r.source == "s"} == {0.0}
     assert len({r["__row"] for r in out}) == len(rows)
     assert mix(df.limit(0)).count() == 0
+
+
+def test_swap_moves_one_of_repeated_rows(spark):
+    """A swap of a repeated row closes the gap by one row's size."""
+    rows = [(k, f"s{s}", " ".join(["w"] * 100)) for s in range(8) for k in range(40)] + [(None, f"s{s}", "w " * 7) for s in range(8) for _ in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    taken, target = Counter(), {}
+    for r in mix(df).collect():
+        target[r.source] = r.target
+        taken[r.source] += r.size if r.shard is not None else 0
+    assert all(abs(taken[s] - target[s]) <= 50 for s in target)  # half a large document at most
