@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import mixing, ngramjoin, ngramlm, outliers, packing, tokens, topk, toxicity, urlfilter, warc
+from kestrel.llm import dialogue, mixing, ngramjoin, ngramlm, outliers, packing, tokens, topk, toxicity, urlfilter, warc
 from kestrel.llm.inputs import tokenizer, trusted
 from kestrel.sources.tables import table
 
@@ -128,6 +128,70 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op13_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return dialogue.report(dialogue.repair(dialogue.damage(turns), keep_turns=False)).select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
+def _op13_sql() -> str:
+    def then(x: str, cost: str, edits: str, role: str = "", text: str = "''") -> str:
+        """State ``x`` after an edit that adds a line of ``role``, if any."""
+        line = f"case when {x}.t = '' then '' else {x}.t || chr(10) end || {role} || ':' || {text}" if role else f"{x}.t"
+        return f"{{'c': {x}.c + {cost}, 'e': {x}.e || '{edits}', 't': {line}}}"
+
+    def least(*ways: str) -> str:
+        return f"list_sort([{', '.join(ways)}])[1]"
+
+    def stay(role: str, kept: str, *states: str) -> list[str]:
+        """Ways to keep or rerole a row; far too dear where it may not stay."""
+        far = "case when fault in (1, 2) then 1000000000000 else 0 end + case when fault = 3 then 3 else 0 end"
+        keep = f"{far} + case when left(role, 1) = '{role}' then 0 else 1000000000000 end"
+        return [w for x in states for w in (then(x, keep, "K", "role", "text"), then(x, f"{far} + 3", "R", f"'{kept}'", "text"))]
+
+    none = "{'c': 1000000000000::bigint, 'e': '', 't': ''}"
+    keep_s = then("s0", "case when fault in (1, 2) or left(role, 1) <> 's' then 1000000000000 when fault = 3 then 3 else 0 end", "K", "role", "text")
+    return rf"""
+with recursive crcs as (
+  select list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as crc_of),
+rows as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+         xor(list_reduce([4294967295] || list_transform(string_split(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''), lambda h: ascii(h)::bigint),
+           lambda c, b: xor(c >> 8, crc_of[(xor(c, b) & 255) + 1])), 4294967295) % 20 as k
+  from conversations, crcs),
+ids as (select conv_id, row_number() over () as g from (select distinct conv_id from conversations)),
+hurt as (
+  select g, turn, case when k = 4 then 'user' else role end as role,
+         case when k = 1 then '' when k = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+         unnest(range(case when k = 0 then 0 when k = 3 then 2 else 1 end)) as copy
+  from rows join ids on rows.conv_id is not distinct from ids.conv_id),
+placed as (select *, row_number() over (partition by g order by turn nulls first, role, text) as i from hurt),
+faulty as (
+  select *, case when not regexp_matches(text, '[^ 	-]') then 1
+                 when row_number() over (partition by g, role, text order by i) > 1 then 2
+                 when not regexp_matches(text, '[.!?][ 	-]*$') then 3 else 0 end as fault,
+         left(lag(role) over (partition by g order by i), 1) || left(role, 1) as pair
+  from placed),
+states as (
+  select g, 0::bigint as i, {{'c': 0::bigint, 'e': '', 't': ''}} as s0, {none} as s1, {none} as u, {none} as a from ids
+  union all
+  select g, i, {then('s0', '4', 'D')}, {least(then('s1', '4', 'D'), keep_s)},
+         {least(then('u', '4', 'D'), *stay('u', 'user', 's0', 's1', 'a'))}, {least(then('a', '4', 'D'), *stay('a', 'assistant', 'u'))}
+  from (select * replace ({least('a', then('u', '3', 'I', "'assistant'"))} as a) from (
+    select f.g, f.i, role, text, fault, s0, s1, {least('u', *(then(x, '3', 'I', "'user'") for x in ('s0', 's1', 'a')))} as u, a
+    from states join faulty f on f.g = states.g and f.i = states.i + 1))),
+ends as (
+  select g, arg_max({least('s0', 'a', then('u', '3', 'I', "'assistant'"),
+                           then('s2', '3', 'I', "'assistant'"))}, i) as best
+  from (select *, {then('s1', '3', 'I', "'user'")} as s2 from states) group by g)
+select ids.conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0)::bigint as gaps,
+       count(*) filter (fault = 1) as blank, count(*) filter (fault = 2) as duplicate, count(*) filter (fault = 3) as truncated,
+       count(*) filter (pair is not null and pair not in ('su', 'ua', 'au')) as illegal,
+       any_value(best.c) as cost, any_value(best.e) as audit, sha256(any_value(best.t)) as repaired_sha256
+from ids join ends using (g) left join faulty using (g) group by ids.conv_id, g"""
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_warc": op2_warc,
@@ -139,10 +203,12 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_exact_topk": op9_exact_topk,
     "op10_token_counts": op10_token_counts,
+    "op13_dialogue_repair": op13_dialogue_repair,
 }
 
 ORACLE_SQL = {
     "op1_url_filter": _op1_sql(),
     "op2_warc": OP2_SQL,
     "op9_exact_topk": OP9_SQL,
+    "op13_dialogue_repair": _op13_sql(),
 }
