@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import dialogue, mixing, ngramjoin, ngramlm, outliers, packing, tokens, topk, toxicity, urlfilter, warc
+from kestrel.llm import dialogue, grouping, mixing, ngramjoin, ngramlm, outliers, packing, tokens, topk, toxicity, urlfilter, warc
 from kestrel.llm.inputs import tokenizer, trusted
 from kestrel.sources.tables import table
 
@@ -128,6 +128,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op11_group_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return grouping.group_pack(docs, tokenizer("word_bpe_49k.json"), capacity=2048, end_id=0, keep_ids=False)
+
+
 def op13_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return dialogue.report(dialogue.repair(dialogue.damage(turns), keep_turns=False)).select(
@@ -168,9 +173,11 @@ hurt as (
   from rows join ids on rows.conv_id is not distinct from ids.conv_id),
 placed as (select *, row_number() over (partition by g order by turn nulls first, role, text) as i from hurt),
 faulty as (
-  select *, case when not regexp_matches(text, '[^ 	-]') then 1
+  select *, case when not regexp_matches(text, '[^ 	-
+]') then 1
                  when row_number() over (partition by g, role, text order by i) > 1 then 2
-                 when not regexp_matches(text, '[.!?][ 	-]*$') then 3 else 0 end as fault,
+                 when not regexp_matches(text, '[.!?][ 	-
+]*$') then 3 else 0 end as fault,
          left(lag(role) over (partition by g order by i), 1) || left(role, 1) as pair
   from placed),
 states as (
@@ -203,6 +210,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_exact_topk": op9_exact_topk,
     "op10_token_counts": op10_token_counts,
+    "op11_group_packing": op11_group_packing,
     "op13_dialogue_repair": op13_dialogue_repair,
 }
 
