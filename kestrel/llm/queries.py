@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import dialogue, grouping, mixing, ngramjoin, ngramlm, outliers, packing, tokens, topk, toxicity, urlfilter, warc
+from kestrel.llm import alignment, dialogue, grouping, mixing, ngramjoin, ngramlm, outliers, packing, tokens, topk, toxicity, urlfilter, warc
 from kestrel.llm.inputs import tokenizer, trusted
 from kestrel.sources.tables import table
 
@@ -133,6 +133,12 @@ def op11_group_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouping.group_pack(docs, tokenizer("word_bpe_49k.json"), capacity=2048, end_id=0, keep_ids=False)
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return alignment.align(docs, tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model")).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def op13_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return dialogue.report(dialogue.repair(dialogue.damage(turns), keep_turns=False)).select(
@@ -211,6 +217,7 @@ QUERIES = {
     "op9_exact_topk": op9_exact_topk,
     "op10_token_counts": op10_token_counts,
     "op11_group_packing": op11_group_packing,
+    "op12_token_alignment": op12_token_alignment,
     "op13_dialogue_repair": op13_dialogue_repair,
 }
 
