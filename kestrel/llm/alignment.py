@@ -40,7 +40,7 @@ from kestrel.llm import workercache
 from kestrel.session import ensure_shipped, scratch_path
 
 PIECES_KEPT, LONGEST_KEPT = 250_000, 200
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES, GROUP_BYTES = 4 << 20, 4 << 20
 MEASURES = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 _UNSAFE = re.compile(r"\s | \s|^ | $")
 _BLOCKS = pa.schema([("block", pa.int64()), ("digests", pa.list_(pa.binary())), ("n_a", pa.list_(pa.int64())), ("n_b", pa.list_(pa.int64())),
@@ -65,6 +65,25 @@ def _byte_level(vocab: dict[str, int]) -> list[bytes]:
     return out
 
 
+def _spread(flat: np.ndarray, first: np.ndarray, size: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The stretches ``at`` of ``flat``, one after another."""
+    n = size[at]
+    ends = np.cumsum(n)
+    return flat[np.repeat(first[at] - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)]
+
+
+class _Strings:
+    """Byte strings by number, in one flat array."""
+
+    def __init__(self, strings: list[bytes]):
+        self.size = np.array([len(b) for b in strings], np.int64)
+        self.first = np.cumsum(self.size) - self.size
+        self.flat = np.frombuffer(b"".join(strings), np.uint8)
+
+    def joined(self, at: np.ndarray) -> np.ndarray:
+        return _spread(self.flat, self.first, self.size, at)
+
+
 class Side:
     """One tokenizer: ids of texts without special tokens, and ids' bytes."""
 
@@ -75,7 +94,7 @@ class Side:
             sp = sentencepiece.SentencePieceProcessor(model_file=path)
             n = sp.get_piece_size()
             pieces = [sp.id_to_piece(i) for i in range(n)]
-            self.bytes = [bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+            self.bytes = _Strings([bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)])
             self.encode: Callable[[list[str]], list[list[int]]] = lambda texts: sp.encode(texts, num_threads=1)  # adds the space
             self.by_piece = not any(re.search("[^▁]▁", p) for p in pieces)
         else:
@@ -88,13 +107,21 @@ class Side:
             t.encode_special_tokens = True
             run = getattr(t, "encode_batch_fast", t.encode_batch)
             self.encode = lambda texts: [x.ids for x in run([" " + x for x in texts], add_special_tokens=False)]
-            self.bytes = _byte_level(t.get_vocab(with_added_tokens=True))
+            self.bytes = _Strings(_byte_level(t.get_vocab(with_added_tokens=True)))
             with open(path, encoding="utf-8") as f:
                 spec = json.load(f)
             pre = spec.get("pre_tokenizer") or {}
             self.by_piece = (pre.get("type") == "ByteLevel" and bool(pre.get("use_regex", True)) and not pre.get("add_prefix_space")
                              and spec.get("normalizer") is None)
-        self.sizes = np.array([len(b) for b in self.bytes], np.int64)
+
+    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, the bytes each text's ids stand for)."""
+        found = self.encode(texts)
+        n = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter((i for x in found for i in x), np.int64, int(n.sum()))
+        ends = np.concatenate([[0], np.cumsum(self.bytes.size[flat])])
+        cuts = np.concatenate([[0], np.cumsum(n)])
+        return flat, np.diff(ends[cuts])
 
 
 class Aligner:
@@ -103,66 +130,69 @@ class Aligner:
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = Side(path_a), Side(path_b)
         self.by_piece = self.a.by_piece and self.b.by_piece
-
-    def align(self, texts: list[str]) -> list[tuple[int, int, bytes, np.ndarray] | None]:
-        """(n_a, n_b, groups, pairs) of each text, None if it has no tokens."""
-        ids_a, ids_b = self.a.encode(texts), self.b.encode(texts)
-        flat_a = np.fromiter((i for x in ids_a for i in x), np.int64)
-        flat_b = np.fromiter((i for x in ids_b for i in x), np.int64)
-        len_a, len_b = np.fromiter(map(len, ids_a), np.int64, len(texts)), np.fromiter(map(len, ids_b), np.int64, len(texts))
-        out: list[tuple[int, int, bytes, np.ndarray] | None] = []
-        bytes_a, bytes_b = self.a.bytes, self.b.bytes
-        all_a, all_b = self.a.sizes[flat_a], self.b.sizes[flat_b]
-        at_a, at_b = 0, 0
-        for text, a, b, na, nb in zip(texts, ids_a, ids_b, len_a.tolist(), len_b.tolist()):
-            size_a, size_b = all_a[at_a:at_a + na], all_b[at_b:at_b + nb]
-            at_a, at_b = at_a + na, at_b + nb
-            body = b" " + text.encode()
-            if not text or b"".join([bytes_a[i] for i in a]) != body or b"".join([bytes_b[i] for i in b]) != body:
-                out.append(None)
-            elif na == nb == 1:
-                out.append((1, 1, b"%d|%d" % (a[0], b[0]), np.array([a[0] << 32 | b[0]], np.int64)))
-            elif na * nb < 400:
-                out.append(self._small(a, b, size_a.tolist(), size_b.tolist()))
-            else:
-                out.append(self._large(np.array(a, np.int64), np.array(b, np.int64), size_a, size_b))
-        return out
-
-    @staticmethod
-    def _small(a: list[int], b: list[int], size_a: list[int], size_b: list[int]) -> tuple[int, int, bytes, np.ndarray]:
-        i = j = first_a = first_b = 0
-        end_a, end_b = size_a[0], size_b[0]
-        pairs, groups = [], []
-        while True:
-            pairs.append(a[i] << 32 | b[j])
-            if end_a == end_b:
-                groups.append(",".join(map(str, a[first_a:i + 1])) + "|" + ",".join(map(str, b[first_b:j + 1])))
-                i, j = i + 1, j + 1
-                if i == len(a):
-                    break
-                first_a, first_b = i, j
-                end_a, end_b = end_a + size_a[i], end_b + size_b[j]
-            elif end_a < end_b:
-                i += 1
-                end_a += size_a[i]
-            else:
-                j += 1
-                end_b += size_b[j]
-        return len(a), len(b), ";".join(groups).encode(), np.array(pairs, np.int64)
-
-    @staticmethod
-    def _large(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> tuple[int, int, bytes, np.ndarray]:
-        ends_a, ends_b = np.cumsum(size_a), np.cumsum(size_b)
-        ends = np.union1d(ends_a, ends_b)
-        pairs = a[np.searchsorted(ends_a, ends)] << 32 | b[np.searchsorted(ends_b, ends)]
-        both = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        cut_a, cut_b = np.searchsorted(ends_a, both) + 1, np.searchsorted(ends_b, both) + 1
-        text_a, text_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        groups, i, j = [], 0, 0
-        for m, n in zip(cut_a.tolist(), cut_b.tolist()):
-            groups.append(",".join(text_a[i:m]) + "|" + ",".join(text_b[j:n]))
-            i, j = m, n
-        return len(a), len(b), ";".join(groups).encode(), pairs
+        self.decimals = _Strings([b"%d" % i for i in range(max(len(self.a.bytes.size), len(self.b.bytes.size)))])
+
+    def align(self, texts: list[str], pieces: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(rows of n_a, n_b, number of pairs, bytes of groups; pairs; groups,
+        each closed by ``;``), zeros for texts without tokens.  ``pieces``: the
+        texts hold no space and no token reaches from one to the next, so all
+        are encoded as one text."""
+        raw = [b" " + x.encode() for x in texts]
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        body = np.frombuffer(b"".join(raw), np.uint8)
+        out = np.zeros((len(texts), 4), np.int64)
+        valid = None
+        if pieces and texts:
+            ids = [side.ids([" ".join(texts)])[0] for side in (self.a, self.b)]
+            if all(np.array_equal(side.bytes.joined(x), body) for side, x in zip((self.a, self.b), ids)):
+                valid = np.ones(len(texts), bool)
+        if valid is None:
+            found = [side.ids(texts) for side in (self.a, self.b)]
+            valid = (found[0][1] == size) & (found[1][1] == size) & (size > 1)
+            ids = []
+            starts = np.cumsum(size) - size
+            for side, (flat, held) in zip((self.a, self.b), found):  # byte by byte, where the lengths agree
+                ends = np.cumsum(side.bytes.size[flat])
+                of = np.searchsorted(np.cumsum(held), ends, side="left")  # each id's text
+                keep = np.flatnonzero(valid)
+                mine = side.bytes.joined(flat[valid[of]])
+                want = _spread(body, starts, size, keep)
+                wrong = np.flatnonzero(mine != want)
+                if len(wrong):
+                    valid[keep[np.searchsorted(np.cumsum(size[keep]), wrong, side="right")]] = False
+                ids.append((flat, of))
+            ids = [flat[valid[of]] for flat, of in ids]
+        if not valid.any():
+            return out, np.empty(0, np.int64), np.empty(0, np.uint8)
+        a, b = ids
+        ends = np.cumsum(size[valid])
+        ends_a, ends_b = np.cumsum(self.a.bytes.size[a]), np.cumsum(self.b.bytes.size[b])
+        mark = np.zeros(int(ends[-1]) + 1, np.uint8)
+        mark[ends_a] = 1
+        mark[ends_b] += 2
+        cut = np.flatnonzero(mark)  # every stretch between ends is one link
+        kind = mark[cut].astype(np.int64)
+        one, two = kind & 1, kind >> 1
+        pairs = a[np.cumsum(one) - one] << 32 | b[np.cumsum(two) - two]
+        both = cut[kind == 3]
+        group_a, group_b = np.searchsorted(both, ends_a), np.searchsorted(both, ends_b)
+        last_a, last_b = np.diff(group_a, append=-1) != 0, np.diff(group_b, append=-1) != 0
+        # a group's A ids come before its B ids
+        number, mark_after = np.empty(len(a) + len(b), np.int64), np.empty(len(a) + len(b), np.uint8)
+        place_a = np.arange(len(a)) + np.searchsorted(group_b, group_a, side="left")
+        place_b = np.arange(len(b)) + np.searchsorted(group_a, group_b, side="right")
+        number[place_a], number[place_b] = a, b
+        mark_after[place_a] = np.where(last_a, ord("|"), ord(","))
+        mark_after[place_b] = np.where(last_b, ord(";"), ord(","))
+        written = np.cumsum(self.decimals.size[number] + 1)
+        text = np.empty(int(written[-1]), np.uint8)
+        digit = np.ones(len(text), bool)
+        digit[written - 1] = False
+        text[written - 1], text[digit] = mark_after, self.decimals.joined(number)
+        per = [np.diff(np.searchsorted(e, ends, side="right"), prepend=0) for e in (ends_a, ends_b, cut)]
+        out[valid, 0], out[valid, 1], out[valid, 2] = per
+        out[valid, 3] = np.diff(written[np.cumsum(per[0] + per[1]) - 1], prepend=0)
+        return out, pairs, text
 
 
 class _Table:
@@ -174,43 +204,43 @@ class _Table:
 
     def _clear(self) -> None:
         self.index: dict[str, int] = {}
-        self.numbers = np.zeros((1 << 12, 4), np.int64)  # n_a, n_b, first pair, number of pairs (0: no tokens)
-        self.groups: list[bytes] = []
+        self.n = 0
+        self.numbers = np.zeros((1 << 12, 4), np.int64)  # n_a, n_b, number of pairs (0: no tokens), bytes of groups
+        self.first = np.zeros((1 << 12, 2), np.int64)  # of the pairs and of the groups
         self.pairs, self.used = np.zeros(1 << 14, np.int64), 0
-
-    def _store(self, found: list[tuple[int, int, bytes, np.ndarray] | None]) -> None:
-        n = len(self.groups)
-        while n + len(found) > len(self.numbers):
-            self.numbers = np.resize(self.numbers, (2 * len(self.numbers), 4))
-        for k, x in enumerate(found):
-            if x is None:
-                self.numbers[n + k] = 0
-                self.groups.append(b"")
-                continue
-            na, nb, groups, pairs = x
-            while self.used + len(pairs) > len(self.pairs):
-                self.pairs = np.resize(self.pairs, 2 * len(self.pairs))
-            self.numbers[n + k] = (na, nb, self.used, len(pairs))
-            self.pairs[self.used:self.used + len(pairs)] = pairs
-            self.used += len(pairs)
-            self.groups.append(groups)
-
-    def places(self, pieces: list[str]) -> np.ndarray:
-        """Where the pieces' alignments lie; the table stays as it is until ``fit``."""
+        self.groups, self.written = np.zeros(1 << 16, np.uint8), 0
+
+    def _store(self, numbers: np.ndarray, pairs: np.ndarray, groups: np.ndarray) -> None:
+        n = len(numbers)
+        while self.n + n > len(self.numbers):
+            self.numbers, self.first = (np.resize(x, (2 * len(x), x.shape[1])) for x in (self.numbers, self.first))
+        while self.used + len(pairs) > len(self.pairs):
+            self.pairs = np.resize(self.pairs, 2 * len(self.pairs))
+        while self.written + len(groups) > len(self.groups):
+            self.groups = np.resize(self.groups, 2 * len(self.groups))
+        self.numbers[self.n:self.n + n] = numbers
+        self.first[self.n:self.n + n, 0] = self.used + np.cumsum(numbers[:, 2]) - numbers[:, 2]
+        self.first[self.n:self.n + n, 1] = self.written + np.cumsum(numbers[:, 3]) - numbers[:, 3]
+        self.pairs[self.used:self.used + len(pairs)] = pairs
+        self.groups[self.written:self.written + len(groups)] = groups
+        self.n, self.used, self.written = self.n + n, self.used + len(pairs), self.written + len(groups)
+
+    def places(self, texts: list[str], pieces: bool) -> np.ndarray:
+        """Where the alignments of distinct texts lie; the table only grows until ``fit``."""
         get = self.index.get
-        at = np.fromiter((get(w, -1) for w in pieces), np.int64, len(pieces))
+        at = np.fromiter((get(w, -1) for w in texts), np.int64, len(texts)) if pieces else np.full(len(texts), -1)
         new = np.flatnonzero(at < 0)
-        need = [pieces[k] for k in new]
-        for k in range(0, len(need), 4096):
-            part = need[k:k + 4096]
-            at[new[k:k + len(part)]] = np.arange(len(self.groups), len(self.groups) + len(part))
-            self._store(self.aligner.align(part))
-        self.index.update((w, int(k)) for w, k in zip(need, at[new]) if len(w) <= LONGEST_KEPT)
+        at[new] = self.n + np.arange(len(new))
+        need = [texts[k] for k in new]
+        for k in range(0, len(need), 8192 if pieces else 16):
+            self._store(*self.aligner.align(need[k:k + (8192 if pieces else 16)], pieces))
+        if pieces:
+            self.index.update((w, k) for w, k in zip(need, at[new].tolist()) if len(w) <= LONGEST_KEPT)
         return at
 
     def fit(self) -> None:
         """Between blocks: forget all when too much is held."""
-        if len(self.groups) > PIECES_KEPT or self.used > 16 * PIECES_KEPT:
+        if self.n > PIECES_KEPT or self.used > 16 * PIECES_KEPT:
             self._clear()
 
 
@@ -221,34 +251,40 @@ def table(path_a: str, path_b: str) -> _Table:
 def _block(t: _Table, texts: list[str], rows: list[int], digests: list[bytes], number: int) -> dict:
     """One block: its texts' numbers, their pieces and the pieces' pairs."""
     t.fit()
-    whole = [not t.aligner.by_piece or bool(_UNSAFE.search(x)) for x in texts]
+    whole = np.array([not t.aligner.by_piece or bool(_UNSAFE.search(x)) for x in texts])
     cut = pc.split_pattern(pa.array([None if w else x for x, w in zip(texts, whole)], pa.string()), " ")
     coded = cut.flatten().dictionary_encode()
-    at = t.places(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
-    lone = t.places([x for x, w in zip(texts, whole) if w])
+    at = t.places(coded.dictionary.to_pylist(), True)[coded.indices.to_numpy()]
+    lone = t.places([x for x, w in zip(texts, whole) if w], False)
     per_text = np.where(whole, 1, pc.fill_null(pc.list_value_length(cut), 0).to_numpy(zero_copy_only=False)).astype(np.int64)
     ends = np.cumsum(per_text)
     places = np.empty(int(ends[-1]), np.int64)
     alone = np.zeros(len(places), bool)
-    alone[(ends - 1)[np.array(whole)]] = True
+    alone[(ends - 1)[whole]] = True
     places[alone], places[~alone] = lone, at
     used, local = np.unique(places, return_inverse=True)
     numbers = t.numbers[used]
-    valid = np.logical_and.reduceat(numbers[local, 3] > 0, ends - per_text)  # each text has a piece
+    valid = np.logical_and.reduceat(numbers[local, 2] > 0, ends - per_text)  # each text has a piece
     # the pieces' pairs, as places among the block's distinct pairs
-    size = numbers[:, 3]
+    size = numbers[:, 2]
     piece_ends = np.cumsum(size)
-    flat = t.pairs[np.repeat(numbers[:, 2] - (piece_ends - size), size) + np.arange(int(piece_ends[-1]) if len(size) else 0)]
-    pairs, of = np.unique(flat, return_inverse=True)
+    pairs, of = np.unique(_spread(t.pairs, t.first[:, 0], t.numbers[:, 2], used), return_inverse=True)
     weight = np.zeros(len(used), np.int64)
     np.add.at(weight, local, np.repeat(np.where(valid, rows, 0), per_text))
     counts = np.zeros(len(pairs), np.int64)
     np.add.at(counts, of, np.repeat(weight, size))
-    groups = [t.groups[k] for k in used]
-    sums = {c: np.where(valid, np.add.reduceat(numbers[local, k], ends - per_text), 0) for c, k in (("n_a", 0), ("n_b", 1), ("n_links", 3))}
+    sums = {c: np.where(valid, np.add.reduceat(numbers[local, k], ends - per_text), 0) for c, k in (("n_a", 0), ("n_b", 1), ("n_links", 2))}
+    # the texts' groups, some megabytes at a time
+    written = np.add.reduceat(numbers[local, 3], ends - per_text)
+    so_far = np.cumsum(written)
     sha, a = [], 0
-    for b, ok in zip(ends.tolist(), valid.tolist()):
-        sha.append(hashlib.sha256(b";".join([groups[k] for k in local[a:b].tolist()])).hexdigest() if ok else "")
+    while a < len(texts):
+        b = max(a + 1, int(np.searchsorted(so_far, (so_far[a - 1] if a else 0) + GROUP_BYTES, side="right")))
+        groups = memoryview(_spread(t.groups, t.first[:, 1], t.numbers[:, 3], places[ends[a] - per_text[a]:ends[b - 1]]))
+        at = 0
+        for ok, n in zip(valid[a:b].tolist(), written[a:b].tolist()):
+            sha.append(hashlib.sha256(groups[at:at + n - 1]).hexdigest() if ok else "")
+            at += n
         a = b
     return {"block": number, "digests": digests, "n_a": sums["n_a"], "n_b": sums["n_b"], "n_links": sums["n_links"],
             # stretches between ends: every end of either side once
