@@ -1,18 +1,22 @@
 """Quality rules: fixed base rules, then robust multivariate outliers.
 
 Every text gives a vector of transformed statistics.  Per (language,
-source) a minimum-covariance-determinant estimate (location and scatter of
-the ``subset`` share of documents that lie closest together) is found by
-concentration steps from a median/quartile start; documents whose squared
-Mahalanobis distance is above a chi-square quantile are rejected.  Groups
-with fewer than ``min_group`` documents use their language's estimate, and
-those of small languages one over all documents.
+source) and per language a minimum-covariance-determinant estimate (location
+and scatter of the ``subset`` share of documents that lie closest together) is
+found by concentration steps: from seven robust starts, all for two steps, the
+two of smallest determinant until it stays the same, the smaller one counts.
+Documents whose squared Mahalanobis distance is above a chi-square quantile are
+rejected.  An estimate over n documents is drawn to the next wider one (source
+to language, language to all languages) with the weight of ``prior`` documents,
+at every n alike.
 
 DataFrame functions only.  Texts are read once: the statistics are written
 to the shared folder, the steps run on that table by partial aggregation
-(a hot group is a few rows per task), with a row per group as the state
-between steps.  The subset's border is taken from exact counts in a fixed
-logarithmic grid of distances, so reruns agree.
+(a hot group is a few rows per task), with a row per group and start as the
+state between steps: location and inverse factor of the scatter as two arrays.
+The subset holds exactly its share: distances are counted in a fixed
+logarithmic grid, and the rows of the cell where the share ends weigh what is
+missing to it.
 
 Cases: null text counts as empty; texts without words have 0 in all counts
 and fail the base rules; null languages or sources are groups of their own;
@@ -120,70 +124,160 @@ def chi2_quantile(p: float, dof: int) -> float:
     return lo
 
 
-def _cholesky(moment) -> dict[str, Column]:
-    """Columns l_i_j of the lower factor of a covariance given by moment(i, j)."""
-    names = list(FEATURES)
-    out: dict[tuple[int, int], Column] = {}
-    for i in range(len(names)):
-        for j in range(i + 1):
-            s = moment(names[i], names[j])
-            for k in range(j):
-                s = s - F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}")
-            out[i, j] = F.sqrt(F.greatest(s, F.lit(1e-12))) if i == j else s / F.col(f"l_{j}_{j}")
-    return {f"l_{i}_{j}": c for (i, j), c in out.items()}
-
-
-def _with_factor(moments: DataFrame, moment) -> DataFrame:
-    for name, c in _cholesky(moment).items():  # each column uses those before it
-        moments = moments.withColumn(name, c)
-    return moments.select("gid", *[f"m_{x}" for x in FEATURES],
-                          *[f"l_{i}_{j}" for i in range(len(FEATURES)) for j in range(i + 1)])
-
-
-def _with_distance(df: DataFrame, params: DataFrame, how: str = "inner") -> DataFrame:
-    """Adds d2 by forward substitution; params has a row for each group."""
-    df = df.join(params, "gid", how)
-    for i, x in enumerate(FEATURES):
-        s = F.col(x) - F.col(f"m_{x}")
-        for j in range(i):
-            s = s - F.col(f"l_{i}_{j}") * F.col(f"y_{j}")
-        df = df.withColumn(f"y_{i}", s / F.col(f"l_{i}_{i}"))
-    d2 = F.lit(0.0)
-    for i in range(len(FEATURES)):
-        d2 = d2 + F.col(f"y_{i}") * F.col(f"y_{i}")
-    return df.withColumn("d2", d2).drop(*[c for c in params.columns if c != "gid"], *[f"y_{i}" for i in range(len(FEATURES))])
-
-
-def mcd(stats: DataFrame, path: str, subset: float = 0.75, steps: int = 4) -> DataFrame:
-    """Rows gid, m_*, l_*_*: location and lower factor of the scatter of each
-    group of ``stats`` (columns gid and the features)."""
-    spark = stats.sparkSession
-    floors = {x: f * f for x, f in FEATURES.items()}
-    quart = stats.groupBy("gid").agg(*[F.percentile_approx(x, [0.25, 0.5, 0.75], 10_000).alias(x) for x in FEATURES])
-    start = quart.select("gid", *[F.col(x)[1].alias(f"m_{x}") for x in FEATURES],
-                         *[F.pow((F.col(x)[2] - F.col(x)[0]) / 1.349, 2).alias(f"v_{x}") for x in FEATURES])
-    _with_factor(start, lambda a, b: F.col(f"v_{a}") + floors[a] if a == b else F.lit(0.0)).write.parquet(f"{path}/mcd0")
+def _at(i: int, j: int) -> int:
+    """Place of (i, j <= i) in a lower triangle stored by rows."""
+    return i * (i + 1) // 2 + j
+
+
+P = len(FEATURES)
+PAIRS = [(i, j) for i in range(P) for j in range(i + 1)]
+_X = [f"x{i}" for i in range(P)]
+STARTS = 7
+_ROW, _COL = (f"array({', '.join(str(p[k]) for p in PAIRS)})" for k in (0, 1))
+
+
+def _factor(cov: Column) -> Column:
+    """Lower Cholesky factor of a scatter, both stored by rows."""
+    def value(rows: Column, k: Column) -> Column:
+        i, j = F.get(F.expr(_ROW), k), F.get(F.expr(_COL), k)
+        row = lambda r: (r * (r + 1) / 2).cast("int")
+        both = F.zip_with(F.slice(rows, row(i) + 1, j), F.slice(rows, row(j) + 1, j), lambda a, b: a * b)
+        left = F.get(cov, k) - F.aggregate(both, F.lit(0.0), lambda s, x: s + x)
+        return F.when(i == j, F.sqrt(F.greatest(left, F.lit(1e-12)))).otherwise(left / F.get(rows, row(j) + j))
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(len(PAIRS) - 1)), F.array().cast("array<double>"),
+                       lambda rows, k: F.concat(rows, F.array(value(rows, k))))
+
+
+def _inverse(factor: Column) -> Column:
+    """Inverse of a lower factor, both stored by rows."""
+    def value(rows: Column, k: Column) -> Column:
+        i, j = F.get(F.expr(_ROW), k), F.get(F.expr(_COL), k)
+        row = lambda r: (r * (r + 1) / 2).cast("int")
+        below = F.aggregate(F.sequence(j, F.greatest(i - 1, j)), F.lit(0.0),
+                            lambda s, t: s + F.get(factor, row(i) + t) * F.get(rows, row(t) + j))
+        diagonal = F.get(factor, row(i) + i)
+        return F.when(i == j, 1 / diagonal).otherwise(-below / diagonal)
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(len(PAIRS) - 1)), F.array().cast("array<double>"),
+                       lambda rows, k: F.concat(rows, F.array(value(rows, k))))
+
+
+def _state(moments: DataFrame, *keep: str) -> DataFrame:
+    """keep, m, c (scatter with its floors of 1), w (inverse factor) and
+    logdet from ``m`` and the scatter ``c``."""
+    floored = F.array(*[F.get("c", k) + (1.0 if i == j else 0.0) for k, (i, j) in enumerate(PAIRS)])
+    with_factor = moments.select(*keep, "m", floored.alias("c")).withColumn("__l", _factor(F.col("c")))
+    logdet = sum((2 * F.log(F.get("__l", _at(i, i))) for i in range(P)), F.lit(0.0))
+    return with_factor.select(*keep, "m", "c", _inverse(F.col("__l")).alias("w"), logdet.alias("logdet"))
+
+
+def distance(m: str = "m", w: str = "w") -> Column:
+    """Squared distance of x0, x1, ... as one expression over the arrays."""
+    d = [F.col(x) - F.get(m, i) for i, x in enumerate(_X)]
+    y = [sum((F.get(w, _at(i, j)) * d[j] for j in range(1, i + 1)), F.get(w, _at(i, 0)) * d[0]) for i in range(P)]
+    return sum((v * v for v in y[1:]), y[0] * y[0])
+
+
+def _moments(rows: DataFrame, weight: Column, *by: str, also: tuple[Column, ...] = ()) -> DataFrame:
+    """m and c of the weighted rows, by group."""
+    rows = rows.withColumn("__w", weight)
+    x = F.col
+    total = F.sum("__w").alias("__n")
+    first = F.array(*[F.sum(x("__w") * x(a)) for a in _X]).alias("__1")
+    second = F.array(*[F.sum(x("__w") * x(_X[i]) * x(_X[j])) for i, j in PAIRS]).alias("__2")
+    sums = rows.groupBy(*by).agg(total, first, second, *also).where(x("__n") > 0)
+    sums = sums.withColumn("m", F.transform("__1", lambda v: v / F.col("__n")))
+    c = F.array(*[F.get("__2", k) / x("__n") - F.get("m", i) * F.get("m", j) for k, (i, j) in enumerate(PAIRS)])
+    return sums.withColumn("c", c).drop("__1", "__2", "__n")
+
+
+def _starts(pool: DataFrame, path: str) -> DataFrame:
+    """gid, start, m, c: moments under six weights that fall with the distance
+    from the medians, and the quartiles themselves."""
+    spark = pool.sparkSession
+    quart = pool.groupBy("gid").agg(F.array(*[F.percentile_approx(x, [0.25, 0.5, 0.75], 10_000) for x in _X]).alias("q"))
+    quart = quart.select("gid", F.transform("q", lambda v: v[1]).alias("m"),
+                         F.transform("q", lambda v: F.sqrt(F.pow((v[2] - v[0]) / 1.349, 2) + 1)).alias("__s"))
+    quart.write.parquet(f"{path}/quartiles")
+    quart = spark.read.schema("gid string, m array<double>, __s array<double>").parquet(f"{path}/quartiles")
+    z = [(F.col(x) - F.get("m", i)) / F.get("__s", i) for i, x in enumerate(_X)]
+    far = sum((v * v for v in z[1:]), z[0] * z[0])
+    most = F.greatest(*[F.abs(v) for v in z])
+    seen = pool.join(quart, "gid").select("gid", *_X, far.alias("__far"), most.alias("__most"))
+    r = F.col("__far")
+    weights = [F.lit(1.0), 1 / (1 + r / P), 1 / (r + 0.1), F.when(F.col("__most") <= 2.5, 1.0).otherwise(1e-9),
+               F.when(r <= P, 1.0).otherwise(1e-9), F.exp(-r / (2 * P))]
+    seen = seen.select("gid", *_X, F.posexplode(F.array(*weights)).alias("start", "__v"))
+    diagonal = F.array(*[F.pow(F.get("__s", i), 2) - 1 if i == j else F.lit(0.0) for i, j in PAIRS])
+    return _moments(seen, F.col("__v"), "gid", "start").unionByName(
+        quart.select("gid", F.lit(STARTS - 1).alias("start"), "m", diagonal.alias("c")))
+
+
+_STATE = "gid string, start int, n long, last double, m array<double>, c array<double>, w array<double>, logdet double"
+
+
+def mcd(pool: DataFrame, path: str, subset: float = 0.75, steps: int = 30, still: float = 1e-6) -> DataFrame:
+    """Rows gid, n, m, c, w, logdet: location, scatter and inverse factor of each
+    group of ``pool`` (columns gid and x0, x1, ..., in units of their floors)."""
+    spark = pool.sparkSession
     # the scatter of the closest share is too small by this factor (chi-square)
-    p = len(FEATURES)
-    factor = subset / _gamma_p(p / 2 + 1, chi2_quantile(subset, p) / 2)
-    names = list(FEATURES)
-    for k in range(steps):
-        rows = _with_distance(stats, spark.read.parquet(f"{path}/mcd{k}"))
-        rows = rows.withColumn("cell", F.floor(16 * F.log2(F.col("d2") + 1e-6)))
-        cells = rows.groupBy("gid", "cell").agg(F.count("*").alias("n"))  # a few hundred cells a group
-        whole, so_far = Window.partitionBy("gid"), Window.partitionBy("gid").orderBy("cell")
-        border = (cells.select("gid", "cell", F.sum("n").over(so_far).alias("upto"), F.sum("n").over(whole).alias("all"))
-                  .where(F.col("upto") >= subset * F.col("all")).groupBy("gid").agg(F.min("cell").alias("border")))
-        border.write.parquet(f"{path}/border{k}")  # a row for each group: its true size decides the join
-        near = rows.join(spark.read.parquet(f"{path}/border{k}"), "gid").where("cell <= border")
-        sums = near.groupBy("gid").agg(*[F.avg(x).alias(f"m_{x}") for x in names],
-                                       *[F.covar_pop(a, b).alias(f"c_{a}_{b}") for i, a in enumerate(names) for b in names[:i + 1]])
-        _with_factor(sums, lambda a, b: F.col(f"c_{a}_{b}") * factor + (floors[a] if a == b else 0.0)).write.parquet(f"{path}/mcd{k + 1}")
-    return spark.read.parquet(f"{path}/mcd{steps}")
+    factor = subset / _gamma_p(P / 2 + 1, chi2_quantile(subset, P) / 2)
+    first = _state(_starts(pool, path), "gid", "start")
+    first.select("gid", "start", F.lit(0).cast("long").alias("n"), F.lit(None).cast("double").alias("last"), "m", "c", "w", "logdet").write.parquet(f"{path}/state0")
+    cell = F.floor(16 * F.log2(F.col("__d2") + 1e-6))
+    by = ("gid", "start")
+
+    def step(state: DataFrame, k: int) -> DataFrame:
+        rows = pool.join(state.select(*by, "m", "w"), "gid").select(*by, *_X, distance().alias("__d2"))
+        cells = rows.groupBy(*by, cell.alias("cell")).agg(F.count("*").alias("n"))  # a few hundred cells a group
+        whole, so_far = Window.partitionBy(*by), Window.partitionBy(*by).orderBy("cell")
+        cells = cells.select(*by, "cell", "n", F.sum("n").over(so_far).alias("upto"), F.sum("n").over(whole).alias("all"))
+        share = F.ceil(subset * F.col("all") - 1e-9)
+        border = cells.where(F.col("upto") >= share).groupBy(*by).agg(
+            F.min(F.struct("cell", ((share - F.col("upto") + F.col("n")) / F.col("n")).alias("part"), "all")).alias("b"))
+        border.join(state, list(by)).select(*by, F.col("b.all").alias("n"), F.col("b.cell").alias("cell"), F.col("b.part").alias("part"),
+                                            F.col("logdet").alias("last"), "m", "w").write.parquet(f"{path}/border{k}")
+        border = spark.read.schema("gid string, start int, n long, cell long, part double, last double, m array<double>, w array<double>").parquet(f"{path}/border{k}")
+        rows = pool.join(border, "gid").select(*by, "n", "last", "cell", "part", *_X, distance().alias("__d2")).where(cell <= F.col("cell"))
+        sums = _moments(rows, F.when(cell < F.col("cell"), 1.0).otherwise(F.col("part")), *by,
+                        also=(F.first("n").alias("n"), F.first("last").alias("last")))
+        sums = sums.withColumn("c", F.transform("c", lambda v: v * factor))
+        _state(sums, *by, "n", "last").select(*by, "n", "last", "m", "c", "w", "logdet").write.parquet(f"{path}/state{k}")
+        return spark.read.schema(_STATE).parquet(f"{path}/state{k}")
+
+    state = spark.read.schema(_STATE).parquet(f"{path}/state0")
+    for k in (1, 2):
+        state = step(state, k)
+    best = Window.partitionBy("gid").orderBy("logdet", "start")
+    state = state.withColumn("__r", F.row_number().over(best)).where("__r <= 2").drop("__r")
+    moving = F.abs(F.col("logdet") - F.col("last")) > still
+    done = [state]
+    for k in range(3, steps + 1):
+        if k > 3 and not state.where(moving).limit(1).count():
+            break
+        state = step(state if k == 3 else state.where(moving), k)
+        done.append(state)
+    latest = done[0].withColumn("__k", F.lit(0))
+    for k, s in enumerate(done[1:], 1):
+        latest = latest.unionByName(s.withColumn("__k", F.lit(k)))
+    found = F.struct("__k", "n", "m", "c", "w", "logdet")
+    latest = latest.groupBy("gid", "start").agg(F.max(found).alias("f"))
+    chosen = latest.groupBy("gid").agg(F.min(F.struct("f.logdet", "start", "f")).alias("b")).select("gid", "b.f.*").drop("__k")
+    chosen.write.parquet(f"{path}/mcd")
+    return spark.read.schema("gid string, n long, m array<double>, c array<double>, w array<double>, logdet double").parquet(f"{path}/mcd")
+
+
+def _drawn(own: DataFrame, wide: DataFrame, prior: float, on: list[str], *keep: str) -> DataFrame:
+    """``own`` (m, c, n) drawn to ``wide`` (wm, wc) with the weight of ``prior`` documents."""
+    joined = own.join(wide, on) if on else own.crossJoin(F.broadcast(wide))  # on nothing: ``wide`` is one row
+    n = F.col("n")
+    draw = lambda a, b: F.zip_with(a, b, lambda x, y: (n * x + prior * y) / (n + prior))
+    return joined.select(*keep, draw("m", "wm").alias("m"), draw("c", "wc").alias("c"))
 
 
 def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source",
-                  carry: list[str] | None = None, min_group: int = 60, tail: float = 1e-9) -> DataFrame:
+                  carry: list[str] | None = None, prior: float = 30.0, tail: float = 1e-9) -> DataFrame:
     """The ``carry`` columns (default all) with the counts, base_failed,
     distance (squared, null if base_failed) and kept."""
     spark = docs.sparkSession
@@ -199,33 +293,25 @@ def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang", sourc
         *[c(f"c.{x}").cast("long").alias(x) for x in ("n_symbols", "n_upper", "n_marks")])
     stats = stats.withColumn("base_failed", (c("n_words") < 20) | (100 * c("n_repeat_words") > 30 * c("n_words")))
     good = ~c("base_failed")
-    stats = stats.withColumns(_features())
-
-    # the level whose estimate a group uses
+    features = _features()
     null = F.lit("\u0001")
     la, so = F.coalesce("lang", null), F.coalesce("source", null)
-    sizes = stats.where(good).groupBy("lang", "source").agg(F.count("*").alias("n"))
-    of_lang = sizes.groupBy("lang").agg(F.sum("n").alias("ln"))
-    gid = F.when(c("n") >= min_group, F.concat(la, F.lit("\u0002"), so)).when(c("ln") >= min_group, la).otherwise("")
-    groups = (sizes.join(of_lang, sizes["lang"].eqNullSafe(of_lang["lang"])).drop(of_lang["lang"])
-              .select("lang", "source", gid.alias("gid"), la.alias("lid")))
-    groups.write.parquet(f"{path}/groups")
-    groups = spark.read.parquet(f"{path}/groups").withColumnsRenamed({"lang": "__l", "source": "__s"})
-
-    def grouped(df: DataFrame) -> DataFrame:
-        return df.join(groups, df["lang"].eqNullSafe(groups["__l"]) & df["source"].eqNullSafe(groups["__s"]), "left").drop("__l", "__s")
-
-    # each level that is used is estimated over all its documents
-    named = grouped(stats.where(good)).select(*FEATURES, "gid", "lid")
-    used = [r["gid"] for r in groups.where(~c("gid").contains("\u0002")).select("gid").distinct().limit(1).collect()]
-    pool = named.select(*FEATURES, "gid").where(c("gid").contains("\u0002"))
-    if used:  # some group leans on a language or on everything
-        levels = groups.where(~c("gid").contains("\u0002")).select(c("gid").alias("level")).distinct()
-        wide = named.select(*FEATURES, F.explode(F.array("lid", F.lit(""))).alias("level")).join(levels, "level")
-        pool = pool.unionByName(wide.select(*FEATURES, c("level").alias("gid")))
-    params = mcd(pool, path)
-    scored = _with_distance(grouped(stats), params, "left")  # base_failed rows may be in no group
-    limit = chi2_quantile(1 - tail, len(FEATURES))
+    stats = stats.withColumns({x: features[f] / floor for x, (f, floor) in zip(_X, FEATURES.items())}
+                              | {"lid": la, "gid": F.concat(la, F.lit("\u0002"), so)})
+
+    pool = stats.where(good).select(F.explode(F.array("gid", "lid")).alias("gid"), *_X)
+    found = mcd(pool, path)
+    of_source = found.where(c("gid").contains("\u0002")).withColumn("lid", F.substring_index("gid", "\u0002", 1))
+    of_lang = found.where(~c("gid").contains("\u0002")).withColumnRenamed("gid", "lid")
+    mean = lambda a, size: F.array(*[F.sum(c("n") * F.get(a, k)) / F.sum("n") for k in range(size)])
+    overall = of_lang.agg(mean("m", P).alias("wm"), mean("c", len(PAIRS)).alias("wc")).where("wm[0] is not null")
+    wide = _drawn(of_lang, overall, prior, [], "lid").select("lid", c("m").alias("wm"), c("c").alias("wc"))
+    # floors are in the scatters already
+    bare = F.array(*[F.get("c", k) - (1.0 if i == j else 0.0) for k, (i, j) in enumerate(PAIRS)])
+    _state(_drawn(of_source, wide, prior, ["lid"], "gid").withColumn("c", bare), "gid").select("gid", "m", "w").write.parquet(f"{path}/params")
+    params = spark.read.schema("gid string, m array<double>, w array<double>").parquet(f"{path}/params")
+    scored = stats.join(params, "gid", "left").withColumn("d2", distance())  # base_failed rows may be in no group
+    limit = chi2_quantile(1 - tail, P)
     inside = F.coalesce(c("d2") <= limit, F.lit(True))
     return scored.select(*[c(f"row.{x}").alias(x) for x in carry], *COUNTS, "base_failed",
                          (good & inside).alias("kept"), F.when(good, c("d2")).alias("distance"))
