@@ -24,9 +24,9 @@ key are bit operations.  (Characters beyond U+EFFC share symbols.)
    count them and once by the whole one; the wider limits hold, for unseen
    texts and seen ones (or their copies).  The models without a fold of the
    trusted texts (by a hash of the text, so exact copies are in one fold)
-   come from the same counts.  Languages with fewer than
-   ``min_trusted`` trusted texts have no limits and stay undecided: the
-   model hardly knows them, and limits of other languages would reject them.
+   come from the same counts.  The spread around a language's median is drawn
+   to that of all languages by its number of trusted texts, and doubt about
+   the median widens it; a language without trusted texts stays undecided.
 
 Cases: null and empty texts consist of the end symbol alone and so score near
 the usual value; null languages are a language of their own; repeated rows
@@ -45,6 +45,7 @@ import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kestrel.llm import workercache
 from kestrel.llm.bitfilter import semi_join
@@ -225,9 +226,9 @@ def _in_files(docs: DataFrame, path: str) -> DataFrame:
 
 
 def score(placed: DataFrame, model: DataFrame, carry: list[str], text: str = "text") -> DataFrame:
-    """The ``carry`` columns with n_chars (end mark included) and bits, by the
-    model that a row's block names."""
-    kinds = {f.name: f.dataType.simpleString() for f in placed.schema}
+    """The ``carry`` columns with __n (characters, end mark included) and __bits,
+    by the model that a row's block names."""
+    out = T.StructType([*[placed.schema[c] for c in carry], T.StructField("__n", T.LongType()), T.StructField("__bits", T.DoubleType())])
     placed = placed.select("__block", placed[text].cast("string").alias("__text"), *carry)
 
     def requests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,7 +273,6 @@ def score(placed: DataFrame, model: DataFrame, carry: list[str], text: str = "te
                     yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["block", "piece"])
 
     pieces = placed.mapInArrow(pack, "block long, piece binary")
-    out = ", ".join([*[f"`{c}` {kinds[c]}" for c in carry], "n_chars long", "bits double"])
 
     def judge(piece: pa.Table, answer: pa.Table) -> pa.Table:
         t = answer
@@ -296,7 +296,7 @@ def score(placed: DataFrame, model: DataFrame, carry: list[str], text: str = "te
                         bits.append(np.full(len(full), np.nan))
                     sizes.append(full - (ORDER - 1))
                 done.append(pa.table({**{c: b.column(b.schema.get_field_index(c)) for c in carry},
-                                      "n_chars": pa.array(np.concatenate(sizes)), "bits": pa.array(np.concatenate(bits))}))
+                                      "__n": pa.array(np.concatenate(sizes)), "__bits": pa.array(np.concatenate(bits))}))
         return pa.concat_tables(done)
 
     return pieces.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(judge, out)
@@ -324,47 +324,60 @@ def _pieces(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 
 def quality(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
-            carry: list[str] | None = None, tail: float = 0.001, slack: float = 0.25, min_trusted: int = 50,
+            carry: list[str] | None = None, tail: float = 0.001, slack: float = 0.25, prior: float = 50.0, doubt: float = 2.0,
             path: str | None = None) -> DataFrame:
     """The ``carry`` columns (default all but the text) with n_chars,
-    perplexity, the limits low and high (as perplexities) and kept.  The
-    limits are the ``tail`` and 1 - ``tail`` quantiles of the language's
-    trusted texts, as unseen and as seen texts, widened by ``slack`` of their
-    distance from the median of unseen ones;
-    null, and every row kept, in languages with fewer than ``min_trusted``."""
+    perplexity, the limits low and high (as perplexities) and kept.
+
+    A language's limits lie around the median of its n trusted texts as unseen
+    ones, at the ``tail`` and 1 - ``tail`` quantiles of their deviations from it,
+    drawn to the quantiles over all languages with the weight of ``prior`` texts,
+    widened by ``slack`` and, for what n texts say about a median, by
+    ``doubt`` / sqrt(n).  Languages without trusted texts have no limits (null)
+    and keep every row."""
     spark = docs.sparkSession
     ensure_shipped(spark)
     path = path or scratch_path(spark, "ngram-lm")
     carry = [c for c in (docs.columns if carry is None else carry) if c not in (*OUTS, text)]
-    trusted = trusted.where(F.col(key).isNotNull()).select(key).distinct()
-    rows = docs.select(docs[text], docs[key].alias("__key"), docs[lang].cast("string").alias("__lang"), *[docs[c] for c in carry if c != text])
+    trusted = trusted.where(F.col(key).isNotNull()).select(F.col(key).alias("__key")).distinct()
+    # the caller's columns travel as one struct: no name of theirs meets one of these
+    rows = docs.select(docs[text].cast("string").alias("__doc"), docs[key].alias("__key"), docs[lang].cast("string").alias("__lang"),
+                       F.struct(F.lit(0).alias("__0"), *[docs[c] for c in carry]).alias("__row"))
     placed = _in_files(rows, path)
-    keys = trusted.withColumnRenamed(key, "__key")
-    fold = F.pmod(F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))), F.lit(FOLDS))
-    texts = semi_join(placed.select("__key", "__lang", "__block", text), keys, ["__key"])
-    model = build_model(count_grams(texts.select(F.col(text).cast("string"), fold.cast("int").alias("fold"))), path)
-    score(placed, model, ["__key", "__lang", *carry], text).write.parquet(f"{path}/scores")
+    fold = F.pmod(F.xxhash64(F.coalesce("__doc", F.lit(""))), F.lit(FOLDS))
+    texts = semi_join(placed.select("__key", "__lang", "__block", "__doc"), trusted, ["__key"])
+    model = build_model(count_grams(texts.select("__doc", fold.cast("int").alias("fold"))), path)
+    score(placed, model, ["__key", "__lang", "__row"], "__doc").write.parquet(f"{path}/scores")
     scores = spark.read.parquet(f"{path}/scores")
     unseen = texts.withColumn("__block", F.col("__block").bitwiseOR(fold + 1))
-    score(unseen, model, ["__lang"], text).where("not isnan(bits)").write.parquet(f"{path}/unseen")
-    unseen = spark.read.schema("__lang string, n_chars long, bits double").parquet(f"{path}/unseen")
-
-    rate = F.col("bits") / F.col("n_chars")
-    mids = unseen.groupBy("__lang").agg(F.percentile_approx(rate, 0.5, 10_000).alias("mid"), F.count("*").alias("texts")).where(F.col("texts") >= min_trusted)
-    mids.select(F.col("__lang").alias("l"), "mid").write.parquet(f"{path}/mids")  # a row for each language
-    mids = spark.read.parquet(f"{path}/mids")
-    drawn = (F.col("bits") + DRAW * F.col("mid")) / (F.col("n_chars") + DRAW)
-    seen = scores.join(keys, "__key", "left_semi").where("not isnan(bits)").select("__lang", "n_chars", "bits", F.lit(True).alias("seen"))
-    both = unseen.withColumn("seen", F.lit(False)).unionByName(seen)
-    with_mid = both.join(mids, both["__lang"].eqNullSafe(mids["l"]))
-    quant = with_mid.groupBy("l", "mid", "seen").agg(F.percentile_approx(drawn, [tail, 1 - tail], 10_000).alias("q"))
-    limits = quant.groupBy("l", "mid").agg(
-        F.min(F.col("q")[0] - slack * (F.col("mid") - F.col("q")[0])).alias("lo"),
-        F.max(F.col("q")[1] + slack * (F.col("q")[1] - F.col("mid"))).alias("hi"))
+    score(unseen, model, ["__lang"], "__doc").where("not isnan(__bits)").write.parquet(f"{path}/unseen")
+    unseen = spark.read.schema("__lang string, __n long, __bits double").parquet(f"{path}/unseen")
+
+    rate = F.col("__bits") / F.col("__n")
+    mids = unseen.groupBy("__lang").agg(F.percentile_approx(rate, 0.5, 10_000).alias("__mid"), F.count("*").alias("__texts"))
+    mids.select(F.col("__lang").alias("__l"), "__mid", "__texts").write.parquet(f"{path}/mids")  # a row for each language
+    mids = spark.read.schema("__l string, __mid double, __texts long").parquet(f"{path}/mids")
+    # a text's rate drawn to the usual one, as a deviation from it
+    off = (F.col("__bits") - F.col("__n") * F.col("__mid")) / (F.col("__n") + DRAW)
+    seen = scores.join(trusted, "__key", "left_semi").where("not isnan(__bits)").select("__lang", "__n", "__bits", F.lit(True).alias("__seen"))
+    both = unseen.withColumn("__seen", F.lit(False)).unionByName(seen)
+    both = both.join(mids, both["__lang"].eqNullSafe(mids["__l"])).select("__l", "__mid", "__texts", "__seen", off.alias("__off"))
+    ends = F.percentile_approx("__off", [tail, 1 - tail], 10_000)
+    of_all = both.groupBy("__seen").agg(ends.alias("q")).agg(F.min(F.get("q", 0)).alias("__lo"), F.max(F.get("q", 1)).alias("__hi"))
+    own = both.groupBy("__l", "__mid", "__texts", "__seen").agg(ends.alias("q")).groupBy("__l", "__mid", "__texts").agg(
+        F.min(F.get("q", 0)).alias("__own_lo"), F.max(F.get("q", 1)).alias("__own_hi"))
+    n = F.col("__texts")
+    wide = 1 + slack + doubt / F.sqrt(n)
+
+    def limit(a: str, b: str) -> Column:
+        return wide * (n * F.col(a) + prior * F.col(b)) / (n + prior)
+
+    limits = own.crossJoin(F.broadcast(of_all)).select("__l", "__mid", limit("__own_lo", "__lo").alias("__low"), limit("__own_hi", "__hi").alias("__high"))  # one row
     limits.write.parquet(f"{path}/limits")
-    limits = spark.read.parquet(f"{path}/limits")
-    judged = scores.join(limits, scores["__lang"].eqNullSafe(limits["l"]), "left")
-    inside: Column = F.coalesce((drawn >= F.col("lo")) & (drawn <= F.col("hi")), F.lit(True))
-    return judged.select(*carry, "n_chars", F.when(~F.isnan("bits"), F.pow(F.lit(2.0), rate)).alias("perplexity"),
-                         F.pow(F.lit(2.0), "lo").alias("low"), F.pow(F.lit(2.0), "hi").alias("high"),
-                         F.when(F.isnan("bits"), True).otherwise(inside).alias("kept"))
+    limits = spark.read.schema("__l string, __mid double, __low double, __high double").parquet(f"{path}/limits")
+    judged = scores.join(limits, scores["__lang"].eqNullSafe(limits["__l"]), "left")
+    inside: Column = F.coalesce((off >= F.col("__low")) & (off <= F.col("__high")), F.lit(True))
+    return judged.select(*[F.col("__row").getField(c).alias(c) for c in carry], F.col("__n").alias("n_chars"),
+                         F.when(~F.isnan("__bits"), F.pow(F.lit(2.0), rate)).alias("perplexity"),
+                         F.pow(F.lit(2.0), F.col("__mid") + F.col("__low")).alias("low"), F.pow(F.lit(2.0), F.col("__mid") + F.col("__high")).alias("high"),
+                         F.when(F.isnan("__bits"), True).otherwise(inside).alias("kept"))

@@ -91,7 +91,7 @@ def test_junk_goes_clean_text_stays(spark):
     assert set(range(300, 302)).isdisjoint(kept) and len(kept) >= 298
 
 
-@pytest.mark.parametrize("known", [0, 5])
+@pytest.mark.parametrize("known", [0, 1, 5, 49])
 def test_clean_language_with_few_trusted_texts_stays(spark, known):
     rng = random.Random(5)
     other = [" ".join(rng.choice(["ŵyr", "ĝis", "ħobż", "ňuch", "žlutý"]) for _ in range(rng.randint(20, 90))) for _ in range(60)]
@@ -102,6 +102,16 @@ def test_clean_language_with_few_trusted_texts_stays(spark, known):
     got = {r.doc_id: r for r in ngramlm.quality(docs, trusted).collect()}
     assert all(got[1000 + i].kept and got[1000 + i].perplexity > 0 for i in range(60))
     assert not got[2000].kept and not got[2001].kept
+    assert all((got[1000 + i].low is None) == (known == 0) for i in range(60))  # one trusted text gives limits
+
+
+def test_columns_named_like_its_own(spark):
+    names = ["bits", "mid", "lo", "hi", "l", "n", "q", "block", "rate", "seen", "texts", "fold", "key", "a b"]
+    rows = [(i, t, "en", *range(len(names))) for i, t in enumerate(corpus(60))]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "lang", *names])
+    out = ngramlm.quality(docs, spark.createDataFrame([(i,) for i in range(50)], "doc_id long"))
+    assert out.columns == ["doc_id", "lang", *names, *ngramlm.OUTS]
+    assert {tuple(r)[2:2 + len(names)] for r in out.collect()} == {tuple(range(len(names)))}
 
 
 def test_limits_suit_unseen_texts(spark):
