@@ -31,10 +31,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from kestrel.llm.bitfilter import with_flag
 from kestrel.session import ensure_shipped, scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -80,17 +81,31 @@ def shard_quotas(totals: np.ndarray, shards: int, shard: int, seed: int) -> tupl
     return offset, have
 
 
-def _step(m: int, seed: int) -> int:
-    """A multiplier coprime to m, near its golden section."""
-    a = max(1, int(m * 0.6180339887) + seed % 7)
-    while math.gcd(a, m) > 1:
-        a += 1
-    return a
+def permuted(x: Column, m: Column, key: Column) -> Column:
+    """A keyed bijection of 0..m-1, another one for each key: Feistel rounds on
+    a grid of a x b >= m cells, walking on from cells beyond m (fewer than a
+    of them; a walk of over 40 steps raises)."""
+    a = F.floor(F.sqrt(m.cast("double"))).cast("long") + 1
+    b = F.floor((m + a - 1) / a).cast("long")
+
+    def mixed(v: Column, k: Column) -> Column:
+        return F.shiftrightunsigned(F.xxhash64(v, k, key), 1)
+
+    def turn(s: Column, k: Column) -> Column:
+        low = F.pmod(s["l"] + F.pmod(mixed(s["r"], 2 * k), a), a)
+        return F.struct(low.alias("l"), F.pmod(s["r"] + F.pmod(mixed(low, 2 * k + 1), b), b).alias("r"))
+
+    def once(v: Column) -> Column:
+        start = F.struct(F.floor(v / b).cast("long").alias("l"), F.pmod(v, b).alias("r"))
+        return F.aggregate(F.array(*[F.lit(k) for k in range(3)]), start, turn, lambda s: s["l"] * b + s["r"])
+
+    walk = F.aggregate(F.sequence(F.lit(1), F.lit(40)), once(x.cast("long")), lambda v, _: F.when(v < m, v).otherwise(once(v)))
+    return F.when(walk < m, walk).otherwise(F.raise_error(F.lit("no place found within the walk")).cast("long"))
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), budget: float = 1.5, most: float = 2.0,
         source: str = "source", text: str = "text", id_col: str = "doc_id", block_words: int = 1024,
-        shard_words: int = 1 << 18, max_shards: int = 100_000, seed: int = 17) -> DataFrame:
+        shard_words: int = 1 << 18, seed: int = 17) -> DataFrame:
     """One row per placement of a document: its columns, size, source_size,
     target, pass (from 0), shard and position in the shard; a document that
     is not drawn has one row with null pass, shard and position.  Sources
@@ -105,7 +120,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), budget: float =
     keep = [c for c in docs.columns if c not in OUTS]
     body, src = F.col(text).cast("string"), F.col(source).cast("string")
     item = [F.xxhash64(F.lit(seed + i), F.col(id_col), src, body).alias(f"__h{i}") for i in (0, 1)]
-    numbered = F.row_number().over(Window.partitionBy("__h0", "__h1").orderBy(F.lit(0))).alias("__j")
+    numbered = F.row_number().over(Window.partitionBy("__h0", "__h1").orderBy(F.lit(0)))
 
     path = scratch_path(spark, "mixing")
     (docs.select(src.alias("src"), F.regexp_count(F.coalesce(body, F.lit("")), F.lit(WORD)).cast("long").alias("size"), *item)
@@ -126,13 +141,13 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), budget: float =
         full = int(t // w) if w else 0
         rest = t - full * w
         last = max(1, math.ceil(rest / per)) if rest > 0 else 0
-        params.append((r["src"], i, w, t, max(1, math.ceil(r["docs"] / 4096)), per, n, full, float(rest), last, _step(n, seed)))
+        params.append((r["src"], i, w, t, max(1, math.ceil(r["docs"] / 4096)), per, n, full, float(rest), last))
     p = spark.createDataFrame(params, "src string, sid int, source_size long, target double, buckets long, per long, "
-                                      "blocks long, full int, rest double, last long, step long")
+                                      "blocks long, full int, rest double, last long")
 
     # the random stream of each source: hash order, in buckets
     u = F.shiftrightunsigned("__h0", 1).cast("double") / F.lit(2.0 ** 63)
-    light = (sizes.select("*", numbered).join(p.select("src", "sid", "buckets", "per", "blocks", "rest"), sizes["src"].eqNullSafe(p["src"])).drop("src")
+    light = (sizes.select("*", numbered.alias("__j")).join(p.select("src", "sid", "buckets", "per", "blocks", "rest"), sizes["src"].eqNullSafe(p["src"])).drop("src")
              .withColumn("bucket", F.least(F.floor(u * F.col("buckets")), F.col("buckets") - 1).cast("long")))
     sums = light.groupBy("sid", "bucket").agg(F.sum("size").alias("w"))
     up_to = Window.partitionBy("sid").orderBy("bucket")  # a row for every 4096 documents
@@ -169,7 +184,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), budget: float =
 
     # block quotas, and which run of slots each shard draws
     slots_by = np.array([q[7] * q[6] + q[9] for q in params], np.int64)
-    shards = max(1, min(max_shards, math.ceil(sum(goal) / shard_words)))
+    shards = max(1, math.ceil(sum(goal) / shard_words))
 
     def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -185,11 +200,11 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), budget: float =
     # pass k < full: block b sits in slot k * blocks + permuted b; the partial
     # pass runs along the (already random) stream
     # a row for each source; four swaps at most
-    more = spark.createDataFrame([(q[1], q[2], q[3], q[6], q[7], q[9], q[10], flips.get(q[1], [])) for q in params],
-                                 f"sid int, source_size long, target double, blocks long, full int, last long, step long, swaps array<{kind_of_id}>")
+    more = spark.createDataFrame([(q[1], q[2], q[3], q[6], q[7], q[9], flips.get(q[1], [])) for q in params],
+                                 f"sid int, source_size long, target double, blocks long, full int, last long, swaps array<{kind_of_id}>")
     rows = stream.join(more, "sid")
     drawn = F.col("inside") != F.array_contains("swaps", row_id)
-    slot_of = lambda k: k * F.col("blocks") + F.pmod(F.col("block") * F.col("step") + k * 7919 + seed, F.col("blocks"))
+    slot_of = lambda k: k * F.col("blocks") + permuted(F.col("block"), F.col("blocks"), F.xxhash64(F.lit(seed), "sid", k))
     kind = "array<struct<pass:int,slot:bigint>>"
     full_passes = F.when(F.col("full") > 0, F.transform(F.sequence(F.lit(0), F.col("full") - 1), lambda k: F.struct(
         k.cast("int").alias("pass"), slot_of(k.cast("long")).alias("slot")))).otherwise(F.array().cast(kind))
@@ -204,8 +219,16 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), budget: float =
     local = Window.partitionBy("shard", spread).orderBy(F.xxhash64(F.lit(seed), "shard", "pass", "__h0"), "__h0", "__h1", "__j", "pass")
     placed = placed.withColumn("position", F.when(F.col("shard").isNotNull(), F.row_number().over(local)).cast("long"))
 
-    wide = docs.select(*keep, *item).select("*", numbered)
-    # repeated rows share their hashes: their number decides, after the join on the hashes
-    placed = placed.withColumnRenamed("__j", "__k")
-    out = wide.join(placed.hint("merge"), ["__h0", "__h1"]).where(F.col("__j") - F.col("__k") == 0)
-    return out.select(*keep, *OUTS, F.struct("__h0", "__h1", "__j").alias("__row"))
+    placed = placed.select("__h0", "__h1", "__j", *OUTS)
+    placed.write.parquet(f"{path}/placed")
+    placed = spark.read.schema("__h0 long, __h1 long, __j int, size long, source_size long, target double, pass int, shard int, position long").parquet(f"{path}/placed")
+    # rows that repeat need their number; the others (no bit set) are the only one of their hashes
+    sizes.groupBy("__h0", "__h1").agg(F.count("*").alias("n")).where("n > 1").select("__h0", "__h1").write.parquet(f"{path}/repeats")
+    repeats = spark.read.schema("__h0 long, __h1 long").parquet(f"{path}/repeats")
+    key, maybe = ["__h0", "__h1"], "__maybe"
+    wide = with_flag(docs.select(F.struct(F.lit(0).alias("__0"), *[docs[c] for c in keep]).alias("__in"), *item), repeats, key, maybe)
+    placed = with_flag(placed, repeats, key, maybe)
+    once = wide.where(~F.col(maybe)).drop(maybe).join(placed.where(~F.col(maybe)).drop(maybe).hint("merge"), key)
+    several = wide.where(maybe).drop(maybe).withColumn("__j", numbered).join(placed.where(maybe).drop(maybe), [*key, "__j"])
+    out = once.unionByName(several)
+    return out.select(*[F.col("__in").getField(c).alias(c) for c in keep], *OUTS, F.struct("__h0", "__h1", "__j").alias("__row"))

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from kestrel.llm.mixing import mix, shard_quotas, targets
+from kestrel.llm.mixing import mix, permuted, shard_quotas, targets
 
 
 def test_targets():
@@ -86,3 +86,30 @@ def test_swap_moves_one_of_repeated_rows(spark):
         target[r.source] = r.target
         taken[r.source] += r.size if r.shard is not None else 0
     assert all(abs(taken[s] - target[s]) <= 50 for s in target)  # half a large document at most
+
+
+def test_columns_named_like_its_own(spark):
+    names = ["__h0", "__h1", "__j", "__row", "src", "sid", "gap", "slot", "block", "start", "inside", "a b"]
+    docs = spark.createDataFrame([(i, "s", "w " * (i % 9 + 1), *range(len(names))) for i in range(40)], ["doc_id", "source", "text", *names])
+    out = mix(docs)
+    assert out.columns[:3 + len(names)] == docs.columns
+    assert {tuple(r)[3:3 + len(names)] for r in out.collect()} == {tuple(range(len(names)))} and out.select("doc_id").distinct().count() == 40
+
+
+def test_many_repeats_of_one_row(spark):
+    """Each repeat is drawn on its own, without pairs of repeats."""
+    df = spark.createDataFrame([(1, "s", "one two three")] * 5000 + [(k, "s", "w " * 10) for k in range(2, 500)], "doc_id long, source string, text string").repartition(6)
+    out = mix(df, weights=(1,), budget=1.5, most=2.0).collect()
+    times = Counter(tuple(r["__row"]) for r in out)
+    assert len(times) == 5498 and max(times.values()) <= 2
+    taken = sum(r["size"] for r in out if r.shard is not None)
+    assert abs(taken - out[0].target) < 4
+
+
+@pytest.mark.parametrize("m", [1, 2, 3, 4, 10, 97, 1000])
+def test_permutation_is_keyed_and_whole(spark, m):
+    rows = spark.range(m).select(*[permuted(F.col("id"), F.lit(m).cast("long"), F.lit(k).cast("long")).alias(f"p{k}") for k in (1, 2)]).collect()
+    assert all(sorted(r[k] for r in rows) == list(range(m)) for k in (0, 1))
+    if m > 90:
+        p = [r[0] for r in rows]
+        assert p != [r[1] for r in rows] and len({b - a for a, b in zip(p, p[1:])}) > m / 3  # no stride
