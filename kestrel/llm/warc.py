@@ -9,11 +9,17 @@ only and refers to it.  ``read_archives`` parses the files by their lengths
 (never by searching for separators inside payloads), recomputes size and
 SHA-1 of every stored payload and fails on a mismatch.
 
+Files are bounded by records and by bytes, and read as a stream, a record at a
+time.  Which payloads are shared is decided on digests; only pages whose digest
+passes a bit filter of fixed size are shuffled with their bodies.
+
 ``merge_index``: every reading task emits its captures as locally sorted
-runs; the runs are range-partitioned by (URL key, timestamp, page id), and
-each range is merged k-way by a loser tree.  Ranges come from Spark's own
-sampled range partitioner on the whole composite key, so one hot URL is
-split too.  (range, position) is the global order; ``capture_rank`` numbers
+runs, written to the shared folder; the runs are range-partitioned by (URL key,
+timestamp, page id, place), and each range is merged k-way by a loser tree.
+The number of ranges follows from the number of captures, so a task holds about
+``RANGE_ROWS`` of them (no payloads) whatever the size of the whole.  Ranges
+come from Spark's own sampled range partitioner on the whole composite key, so
+one hot URL is split too, and so are repeated rows.  (range, position) is the global order; ``capture_rank`` numbers
 it from 1.
 
 Cases: null html is an empty payload; payloads under ``min_revisit`` bytes
@@ -28,36 +34,49 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kestrel.llm.bitfilter import with_flag
 from kestrel.session import ensure_shipped, scratch_path
 
 EPOCH = 1_704_067_200  # 2024-01-01, the capture time of page 0 where no time is given
 RUN_ROWS = 50_000
+RANGE_ROWS = 200_000  # captures of a range, about: what a merging task holds
 CAPTURES = ("page_id long, url string, url_key string, captured string, record_type string, refers_to long, "
             "payload_bytes long, payload_digest string, file string, offset long, length long")
-_ORDER = ("url_key", "captured", "page_id")
+_ORDER = ("url_key", "captured", "page_id", "file", "offset")
 _ARROW = pa.schema([(n, pa.int64() if t == "long" else pa.string())
                     for n, t in (c.split() for c in CAPTURES.split(", "))])
 
 
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url",
                    html_col: str = "html", captured: str | None = None, min_revisit: int = 1000,
-                   records_per_file: int = 20_000) -> None:
-    """Writes the archive files under ``path`` (a shared folder)."""
+                   records_per_file: int = 20_000, bytes_per_file: int = 64 << 20) -> None:
+    """Writes the archive files under ``path`` (a shared folder), of at most
+    ``records_per_file`` records and about ``bytes_per_file`` bytes."""
     seconds = F.lit(EPOCH) + F.coalesce(F.pmod(F.col("id"), F.lit(1_000_000_000)), F.lit(0))
     when = F.col("at") if captured else F.timestamp_seconds(seconds)
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"),
                         F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("body"),
                         *([F.col(captured).cast("timestamp").alias("at")] if captured else []))
     rows = rows.withColumns({"n": F.octet_length("body"), "digest": F.sha1("body")})
-    shared = (rows.where(F.col("n") >= min_revisit).groupBy("digest")
-              .agg(F.count("*").alias("copies"), F.max("id").alias("first_id")).where("copies > 1").drop("copies"))
-    rows = rows.join(shared, "digest", "left").withColumn(
+    # pages with a shared payload are found by their digests; other bodies stay where they are
+    spark = pages.sparkSession
+    digests = scratch_path(spark, "shared-payloads")
+    sizes = rows.groupBy("digest").agg(F.count("*").alias("copies"), F.max("id").alias("first_id"), F.max("n").alias("n"))
+    sizes.write.parquet(digests)
+    sizes = spark.read.schema("digest string, copies long, first_id long, n long").parquet(digests)
+    shared = sizes.where((F.col("copies") > 1) & (F.col("n") >= min_revisit)).select("digest", "first_id")
+    flagged = with_flag(rows, shared, ["digest"], "__maybe")
+    rows = flagged.where(~F.col("__maybe")).withColumn("first_id", F.lit(None).cast("long")).unionByName(
+        flagged.where("__maybe").join(shared, "digest", "left").select(*flagged.columns, "first_id"))
+    mean = sizes.agg(F.sum(F.col("n") * F.col("copies")) / F.sum("copies")).first()[0] or 0
+    records_per_file = max(1, min(records_per_file, int(bytes_per_file / (mean + 500))))
+    rows = rows.withColumn(
         "revisit", F.col("first_id").isNotNull() & ~F.col("id").eqNullSafe(F.col("first_id")) & (F.col("n") >= min_revisit))
     nl = F.lit("\r\n")
     uri = F.regexp_replace("url", r"[\x00-\x20\x7f]", "")
@@ -89,22 +108,55 @@ def url_key(url: str | None) -> str:
     return ",".join(reversed(host.split("."))) + ")" + rest[end:]
 
 
-def parse_records(data: bytes) -> Iterator[tuple[dict, bytes, int, int]]:
-    """(headers, block, offset, length) of each record of an archive."""
-    at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        first, *lines = data[at:end].decode("utf-8").split("\r\n")
+def inflated(data: pa.Buffer | bytes, step: int = 1 << 20) -> Iterator[bytes]:
+    """A gzip file (of any number of members) piece by piece."""
+    view, at, d = memoryview(data), 0, zlib.decompressobj(wbits=31)
+    while True:
+        raw = d.unconsumed_tail or bytes(view[at:at + step])
+        if raw is not d.unconsumed_tail:
+            at += len(raw)
+        if not raw:
+            break
+        while raw:
+            yield d.decompress(raw, step)
+            raw = d.unconsumed_tail
+            if d.eof:
+                raw, d = d.unused_data, zlib.decompressobj(wbits=31)
+    yield d.flush()
+
+
+def parse_records(data: bytes | Iterable[bytes]) -> Iterator[tuple[dict, bytes, int, int]]:
+    """(headers, block, offset, length) of each record of an archive, which
+    comes whole or in pieces; one record and one piece are held at a time."""
+    pieces = iter([data] if isinstance(data, bytes) else data)
+    held, at = bytearray(), 0  # ``held`` starts at byte ``at`` of the archive
+
+    def more() -> bool:
+        piece = next(pieces, None)
+        if piece is not None:
+            held.extend(piece)
+        return piece is not None
+
+    while held or more():
+        if not held:
+            continue
+        searched = 0
+        while (end := held.find(b"\r\n\r\n", searched)) < 0:
+            searched = max(0, len(held) - 3)
+            if not more():
+                raise ValueError(f"record at byte {at} has no end of its headers")
+        first, *lines = held[:end].decode("utf-8").split("\r\n")
         if not first.startswith("WARC/"):
             raise ValueError(f"no record at byte {at}: {first[:40]!r}")
         head = dict(x.split(": ", 1) if ": " in x else (x.rstrip(":"), "") for x in lines)
-        size = int(head["Content-Length"])
-        block = data[end + 4:end + 4 + size]
-        after = end + 4 + size
-        if len(block) != size or data[after:after + 4] != b"\r\n\r\n":
+        after = end + 4 + int(head["Content-Length"])
+        while len(held) < after + 4 and more():
+            pass
+        if held[after:after + 4] != b"\r\n\r\n":
             raise ValueError(f"record at byte {at} is cut or has a wrong length")
-        yield head, block, at, after + 4 - at
-        at = after + 4
+        yield head, bytes(held[end + 4:after]), at, after + 4
+        del held[:after + 4]
+        at += after + 4
 
 
 def _page(urn: str | None) -> int | None:
@@ -141,8 +193,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         for b in batches:
             for i in range(b.num_rows):
                 file = b.column(0)[i].as_py().rpartition("/")[2]
-                data = zlib.decompress(b.column(1)[i].as_buffer(), wbits=31)
-                for head, block, offset, length in parse_records(data):
+                for head, block, offset, length in parse_records(inflated(b.column(1)[i].as_buffer())):
                     run.append(_capture(head, block, file, offset, length))
                     if len(run) == RUN_ROWS:
                         yield _table(sorted(run, key=_key))
@@ -225,7 +276,8 @@ def merge_index(captures: DataFrame, path: str) -> DataFrame:
         if out:
             yield _placed(out)
 
-    ranges = spark.read.schema(CAPTURES).parquet(runs).repartitionByRange(*_ORDER)
+    stored = spark.read.schema(CAPTURES).parquet(runs)
+    ranges = stored.repartitionByRange(max(spark.sparkContext.defaultParallelism, -(-stored.count() // RANGE_ROWS)), *_ORDER)
     merged = ranges.mapInArrow(merge, CAPTURES + ", part int, pos long")
     merged.write.parquet(f"{path}/merged")
     index = spark.read.schema(CAPTURES + ", part int, pos long").parquet(f"{path}/merged")

@@ -27,6 +27,27 @@ def test_cut_record_fails():
         list(warc.parse_records(rec))
 
 
+def test_records_from_pieces():
+    import gzip
+    recs = [(f"WARC/1.1\r\nWARC-Record-ID: {k}\r\nContent-Length: {n}\r\n\r\n".encode() + bytes([65 + k]) * n + b"\r\n\r\n") for k, n in enumerate([0, 5, 70_000, 1])]
+    whole = list(warc.parse_records(b"".join(recs)))
+    assert [len(b) for _, b, _, _ in whole] == [0, 5, 70_000, 1] and [o for *_, o, _ in whole] == [sum(map(len, recs[:k])) for k in range(4)]
+    members = gzip.compress(recs[0] + recs[1]) + gzip.compress(recs[2]) + gzip.compress(recs[3])
+    for step in (1, 7, 1000, 1 << 20):
+        assert list(warc.parse_records(warc.inflated(members, step))) == whole
+    with pytest.raises(ValueError):
+        list(warc.parse_records([recs[0], recs[2][:500]]))
+
+
+def test_files_are_bounded_by_bytes(spark):
+    import os
+    df = spark.createDataFrame([(k, f"http://h.org/{k}", "z" * 100_000 + str(k)) for k in range(60)], "page_id long, url string, html string").coalesce(1)
+    path = scratch_path(spark, "t")
+    warc.write_archives(df, f"{path}/a", bytes_per_file=1 << 20)
+    files = [f for f in os.listdir(path.removeprefix("file:") + "/a") if f.startswith("part-")]
+    assert len(files) >= 6 and warc.read_archives(spark, f"{path}/a").count() == 60
+
+
 def test_round_trip(spark):
     big = "x\r\n\r\nWARC/1.1\r\n" * 100 + "é€"
     rows = [(1, "http://B.com/a", big), (2, "http://a.com/", None), (3, "http://a.com/", ""), (4, None, big), (5, "http://b.com/a\r\nX: y", big),
