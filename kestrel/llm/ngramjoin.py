@@ -3,7 +3,7 @@ have a Jaccard similarity of at least a threshold.
 
 Words are the white-space separated parts of the lower-cased text, without
 the marks at their ends; a text of 1 to n-1 words has one n-gram of all of
-them, a text without words has none and is linked to nothing.
+them, a text without words has none and is linked to equal texts alone.
 
 1. One pass over the texts gives each row its set's 128-bit digest and its
    band hashes: MinHash bands whose count and rows follow from the wanted
@@ -199,8 +199,8 @@ def _tile(rows: dict[str, list], band: int, threshold: float) -> Iterator[tuple[
 def ngram_join(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: float = 0.99999, band_rows: int = 4,
                id_col: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
     """One row per input row: doc_id, text_key (MD5 of the text), group
-    (equal for near copies; null without words), class_id (the group's
-    smallest doc_id; without words the own one) and n_links."""
+    (equal for near copies), class_id (the group's smallest doc_id) and
+    n_links."""
     spark = docs.sparkSession
     ensure_shipped(spark)
     path = path or scratch_path(spark, "ngram-join")
@@ -215,7 +215,8 @@ def ngram_join(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: floa
                 sets = g.sets(b.column(2).to_pylist())
                 at = [k for k, s in enumerate(sets) if len(s)]
                 got = band_hashes([sets[k] for k in at], bands, band_rows).view(np.int64) if at else np.zeros((0, bands), np.int64)
-                keys: list = [None] * len(sets)
+                # texts without words: equal texts are one class, without bands
+                keys: list = [b"-" + x for x in b.column(1).to_pylist()]
                 rows: list = [None] * len(sets)
                 for k, r in zip(at, got):
                     keys[k], rows[k] = xxhash.xxh3_128_digest(sets[k].tobytes()), r
@@ -225,7 +226,7 @@ def ngram_join(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: floa
 
     texts.mapInArrow(hashes, "doc_id long, text_key binary, key binary, size int, bands array<long>").write.parquet(f"{path}/hashes")
     hashed = spark.read.parquet(f"{path}/hashes")
-    (hashed.where("key is not null").groupBy("key").agg(
+    (hashed.groupBy("key").agg(
         F.count("*").alias("copies"), F.min("text_key").alias("text_key"), F.min("doc_id").alias("first_id"),
         F.first("size").alias("size"), F.first("bands").alias("bands")).write.parquet(f"{path}/classes"))
     classes = spark.read.parquet(f"{path}/classes")
@@ -299,8 +300,7 @@ def ngram_join(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: floa
     ).write.parquet(f"{path}/found")
     found = spark.read.schema("key binary, group binary, class_id long, n_links long").parquet(f"{path}/found")
     return (hashed.select("doc_id", "text_key", "key").join(found, "key", "left")
-            .select("doc_id", "text_key", "group", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-                    F.coalesce("n_links", F.lit(0)).alias("n_links")))
+            .select("doc_id", "text_key", "group", "class_id", "n_links"))
 
 
 def _parts(batch: pa.RecordBatch, text_column: int) -> Iterator[pa.RecordBatch]:

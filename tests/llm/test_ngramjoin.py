@@ -18,7 +18,7 @@ def grams(text, n=5):
 
 
 def brute(texts, ids, threshold):
-    sets = [grams(t) for t in texts]
+    sets = [grams(t) or {("no words", t or "")} for t in texts]  # equal texts alone
     links, root = [0] * len(texts), list(range(len(texts)))
 
     def find(x):
@@ -42,7 +42,7 @@ def brute(texts, ids, threshold):
     for i in range(len(texts)):
         if ids[i] is not None:
             first[find(i)] = min(first.get(find(i), ids[i]), ids[i])
-    return {k: (first.get(find(k)) if sets[k] else ids[k], links[k]) for k in range(len(texts))}
+    return {k: (first.get(find(k)), links[k]) for k in range(len(texts))}
 
 
 def near_copies(rng, groups, copies):
@@ -62,7 +62,7 @@ def test_equals_all_pairs(spark, monkeypatch, chunk):
     monkeypatch.setattr(ngramjoin, "CHUNK_ROWS", chunk)
     rng = random.Random(chunk)
     texts = near_copies(rng, 60, 6) + near_copies(rng, 1, 1) * 40 + near_copies(random.Random(5), 2, 90)
-    texts += ["", None, "one two", "One, two.", "...", "a b c d e", "A b c, d e!", "word " * 20_000]
+    texts += ["", None, " \t", " \t", "...", "one two", "One, two.", "...", "a b c d e", "A b c, d e!", "word " * 20_000]
     df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, group string").repartition(5)
     out = ngramjoin.ngram_join(df).collect()
     want = brute(texts, list(range(len(texts))), 0.8)
@@ -73,7 +73,7 @@ def test_null_and_repeated_ids(spark):
     rows = [(None, "a b c d e f"), (3, "a b c d e f"), (3, "a b c d e f"), (None, "q w e r t y"), (9, None), (9, None)]
     out = ngramjoin.ngram_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted([(r.doc_id, r.class_id, r.n_links) for r in out], key=str) == sorted(
-        [(None, 3, 2), (3, 3, 2), (3, 3, 2), (None, None, 0), (9, 9, 0), (9, 9, 0)], key=str)
+        [(None, 3, 2), (3, 3, 2), (3, 3, 2), (None, None, 0), (9, 9, 1), (9, 9, 1)], key=str)
 
 
 def test_empty_table(spark):
