@@ -52,7 +52,7 @@ def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     def key(doc_id: Column, md5: Column) -> Column:
         return F.concat_ws("\u0001", F.coalesce(doc_id.cast("string"), F.lit("\u0002")), md5)
 
-    found = ngramjoin.ngram_join(docs).where("group is not null")
+    found = ngramjoin.ngram_join(docs)
     members = found.groupBy("group", F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key").agg(F.count("*").alias("rows"))
     path = scratch_path(spark, "near-copies")
     members.write.parquet(path)  # without texts
