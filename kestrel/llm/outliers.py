@@ -133,91 +133,87 @@ P = len(FEATURES)
 PAIRS = [(i, j) for i in range(P) for j in range(i + 1)]
 _X = [f"x{i}" for i in range(P)]
 STARTS = 7
-_ROW, _COL = (f"array({', '.join(str(p[k]) for p in PAIRS)})" for k in (0, 1))
+# What follows is written as SQL text: thousands of small column objects would cost the driver more than the work.
+_ROW, _COL = (f"get(array({', '.join(str(p[k]) for p in PAIRS)}), k)" for k in (0, 1))
+_TRIANGLE = "cast(({0} * ({0} + 1)) div 2 as int)"
 
 
-def _factor(cov: Column) -> Column:
-    """Lower Cholesky factor of a scatter, both stored by rows."""
-    def value(rows: Column, k: Column) -> Column:
-        i, j = F.get(F.expr(_ROW), k), F.get(F.expr(_COL), k)
-        row = lambda r: (r * (r + 1) / 2).cast("int")
-        both = F.zip_with(F.slice(rows, row(i) + 1, j), F.slice(rows, row(j) + 1, j), lambda a, b: a * b)
-        left = F.get(cov, k) - F.aggregate(both, F.lit(0.0), lambda s, x: s + x)
-        return F.when(i == j, F.sqrt(F.greatest(left, F.lit(1e-12)))).otherwise(left / F.get(rows, row(j) + j))
+def _bound(value: str, name: str, body: str) -> str:
+    """``body`` with ``value`` computed once: an expression repeated inside a lambda is computed each time."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(len(PAIRS) - 1)), F.array().cast("array<double>"),
-                       lambda rows, k: F.concat(rows, F.array(value(rows, k))))
 
+def _factor(cov: str) -> str:
+    """Lower Cholesky factor of a scatter, both stored by rows."""
+    row_i, row_j = _TRIANGLE.format(_ROW), _TRIANGLE.format(_COL)
+    dot = f"aggregate(zip_with(slice(l, {row_i} + 1, {_COL}), slice(l, {row_j} + 1, {_COL}), (a, b) -> a * b), 0D, (s, x) -> s + x)"
+    left = f"(get({cov}, k) - {dot})"
+    value = f"case when {_ROW} = {_COL} then sqrt(greatest({left}, 1e-12D)) else {left} / get(l, {row_j} + {_COL}) end"
+    return f"aggregate(sequence(0, {len(PAIRS) - 1}), cast(array() as array<double>), (l, k) -> concat(l, array({value})))"
 
-def _inverse(factor: Column) -> Column:
-    """Inverse of a lower factor, both stored by rows."""
-    def value(rows: Column, k: Column) -> Column:
-        i, j = F.get(F.expr(_ROW), k), F.get(F.expr(_COL), k)
-        row = lambda r: (r * (r + 1) / 2).cast("int")
-        below = F.aggregate(F.sequence(j, F.greatest(i - 1, j)), F.lit(0.0),
-                            lambda s, t: s + F.get(factor, row(i) + t) * F.get(rows, row(t) + j))
-        diagonal = F.get(factor, row(i) + i)
-        return F.when(i == j, 1 / diagonal).otherwise(-below / diagonal)
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(len(PAIRS) - 1)), F.array().cast("array<double>"),
-                       lambda rows, k: F.concat(rows, F.array(value(rows, k))))
+def _inverse(factor: str) -> str:
+    """Inverse of a lower factor, both stored by rows."""
+    row_i = _TRIANGLE.format(_ROW)
+    below = (f"aggregate(sequence({_COL}, greatest({_ROW} - 1, {_COL})), 0D, "
+             f"(s, t) -> s + get({factor}, {row_i} + t) * get(v, {_TRIANGLE.format('t')} + {_COL}))")
+    diagonal = f"get({factor}, {row_i} + {_ROW})"
+    value = f"case when {_ROW} = {_COL} then 1 / {diagonal} else -{below} / {diagonal} end"
+    return f"aggregate(sequence(0, {len(PAIRS) - 1}), cast(array() as array<double>), (v, k) -> concat(v, array({value})))"
 
 
 def _state(moments: DataFrame, *keep: str) -> DataFrame:
     """keep, m, c (scatter with its floors of 1), w (inverse factor) and
     logdet from ``m`` and the scatter ``c``."""
-    floored = F.array(*[F.get("c", k) + (1.0 if i == j else 0.0) for k, (i, j) in enumerate(PAIRS)])
-    with_factor = moments.select(*keep, "m", floored.alias("c")).withColumn("__l", _factor(F.col("c")))
-    logdet = sum((2 * F.log(F.get("__l", _at(i, i))) for i in range(P)), F.lit(0.0))
-    return with_factor.select(*keep, "m", "c", _inverse(F.col("__l")).alias("w"), logdet.alias("logdet"))
+    floored = "array(" + ", ".join(f"get(c, {k}) + {1 if i == j else 0}D" for k, (i, j) in enumerate(PAIRS)) + ")"
+    logdet = "2 * (" + " + ".join(f"ln(get(low, {_at(i, i)}))" for i in range(P)) + ")"
+    found = f"named_struct('c', cov, 'w', {_inverse('low')}, 'logdet', {logdet})"
+    found = _bound(floored, "cov", _bound(_factor("cov"), "low", found))
+    return moments.select(*keep, "m", F.expr(found).alias("__f")).select(*keep, "m", "__f.c", "__f.w", "__f.logdet")
+
+
+def distance() -> Column:
+    """Squared distance of x0, x1, ... by m and w, as one expression."""
+    y = (" + ".join(f"get(w, {_at(i, j)}) * (x{j} - get(m, {j}))" for j in range(i + 1)) for i in range(P))
+    return F.expr(" + ".join(f"power({v}, 2)" for v in y))
 
 
-def distance(m: str = "m", w: str = "w") -> Column:
-    """Squared distance of x0, x1, ... as one expression over the arrays."""
-    d = [F.col(x) - F.get(m, i) for i, x in enumerate(_X)]
-    y = [sum((F.get(w, _at(i, j)) * d[j] for j in range(1, i + 1)), F.get(w, _at(i, 0)) * d[0]) for i in range(P)]
-    return sum((v * v for v in y[1:]), y[0] * y[0])
+def _sums(rows: DataFrame, weight: str, *by: str) -> DataFrame:
+    """__n, __1 and __2: weighted numbers, sums and products of the rows, by group."""
+    first = ", ".join(f"sum({weight} * {x})" for x in _X)
+    second = ", ".join(f"sum({weight} * {_X[i]} * {_X[j]})" for i, j in PAIRS)
+    return rows.groupBy(*by).agg(F.expr(f"sum({weight})").alias("__n"), F.expr(f"array({first})").alias("__1"), F.expr(f"array({second})").alias("__2"))
 
 
-def _moments(rows: DataFrame, weight: Column, *by: str, also: tuple[Column, ...] = ()) -> DataFrame:
-    """m and c of the weighted rows, by group."""
-    rows = rows.withColumn("__w", weight)
-    x = F.col
-    total = F.sum("__w").alias("__n")
-    first = F.array(*[F.sum(x("__w") * x(a)) for a in _X]).alias("__1")
-    second = F.array(*[F.sum(x("__w") * x(_X[i]) * x(_X[j])) for i, j in PAIRS]).alias("__2")
-    sums = rows.groupBy(*by).agg(total, first, second, *also).where(x("__n") > 0)
-    sums = sums.withColumn("m", F.transform("__1", lambda v: v / F.col("__n")))
-    c = F.array(*[F.get("__2", k) / x("__n") - F.get("m", i) * F.get("m", j) for k, (i, j) in enumerate(PAIRS)])
-    return sums.withColumn("c", c).drop("__1", "__2", "__n")
+def _moments(sums: DataFrame) -> DataFrame:
+    """m and c from the sums."""
+    sums = sums.where("__n > 0").withColumn("m", F.expr("transform(__1, v -> v / __n)"))
+    c = ", ".join(f"get(__2, {k}) / __n - get(m, {i}) * get(m, {j})" for k, (i, j) in enumerate(PAIRS))
+    return sums.withColumn("c", F.expr(f"array({c})")).drop("__1", "__2", "__n")
 
 
 def _starts(pool: DataFrame, path: str) -> DataFrame:
     """gid, start, m, c: moments under six weights that fall with the distance
     from the medians, and the quartiles themselves."""
     spark = pool.sparkSession
-    quart = pool.groupBy("gid").agg(F.array(*[F.percentile_approx(x, [0.25, 0.5, 0.75], 10_000) for x in _X]).alias("q"))
-    quart = quart.select("gid", F.transform("q", lambda v: v[1]).alias("m"),
-                         F.transform("q", lambda v: F.sqrt(F.pow((v[2] - v[0]) / 1.349, 2) + 1)).alias("__s"))
-    quart.write.parquet(f"{path}/quartiles")
+    quart = pool.groupBy("gid").agg(F.expr("array(" + ", ".join(f"percentile_approx({x}, array(0.25, 0.5, 0.75), 10000)" for x in _X) + ")").alias("q"))
+    quart.select("gid", F.expr("transform(q, v -> v[1])").alias("m"), F.expr("transform(q, v -> sqrt(power((v[2] - v[0]) / 1.349D, 2) + 1))").alias("__s")
+                 ).write.parquet(f"{path}/quartiles")
     quart = spark.read.schema("gid string, m array<double>, __s array<double>").parquet(f"{path}/quartiles")
-    z = [(F.col(x) - F.get("m", i)) / F.get("__s", i) for i, x in enumerate(_X)]
-    far = sum((v * v for v in z[1:]), z[0] * z[0])
-    most = F.greatest(*[F.abs(v) for v in z])
-    seen = pool.join(quart, "gid").select("gid", *_X, far.alias("__far"), most.alias("__most"))
-    r = F.col("__far")
-    weights = [F.lit(1.0), 1 / (1 + r / P), 1 / (r + 0.1), F.when(F.col("__most") <= 2.5, 1.0).otherwise(1e-9),
-               F.when(r <= P, 1.0).otherwise(1e-9), F.exp(-r / (2 * P))]
-    seen = seen.select("gid", *_X, F.posexplode(F.array(*weights)).alias("start", "__v"))
-    diagonal = F.array(*[F.pow(F.get("__s", i), 2) - 1 if i == j else F.lit(0.0) for i, j in PAIRS])
-    return _moments(seen, F.col("__v"), "gid", "start").unionByName(
-        quart.select("gid", F.lit(STARTS - 1).alias("start"), "m", diagonal.alias("c")))
+    z = [f"(({x} - get(m, {i})) / get(__s, {i}))" for i, x in enumerate(_X)]
+    seen = pool.join(quart, "gid").select("gid", *_X, F.expr(" + ".join(f"power({v}, 2)" for v in z)).alias("r"),
+                                          F.expr(f"greatest({', '.join(f'abs({v})' for v in z)})").alias("most"))
+    weights = f"1D, 1 / (1 + r / {P}), 1 / (r + 0.1D), if(most <= 2.5D, 1D, 1e-9D), if(r <= {P}, 1D, 1e-9D), exp(-r / {2 * P})"
+    seen = seen.select("gid", *_X, F.expr(f"posexplode(array({weights}))").alias("start", "__v"))
+    diagonal = "array(" + ", ".join(f"power(get(__s, {i}), 2) - 1" if i == j else "0D" for i, j in PAIRS) + ")"
+    return _moments(_sums(seen, "__v", "gid", "start")).unionByName(
+        quart.select("gid", F.lit(STARTS - 1).alias("start"), "m", F.expr(diagonal).alias("c")))
 
 
 _STATE = "gid string, start int, n long, last double, m array<double>, c array<double>, w array<double>, logdet double"
 
 
-def mcd(pool: DataFrame, path: str, subset: float = 0.75, steps: int = 30, still: float = 1e-6) -> DataFrame:
+def mcd(pool: DataFrame, path: str, subset: float = 0.75, steps: int = 30, still: float = 1e-4) -> DataFrame:
     """Rows gid, n, m, c, w, logdet: location, scatter and inverse factor of each
     group of ``pool`` (columns gid and x0, x1, ..., in units of their floors)."""
     spark = pool.sparkSession
@@ -229,20 +225,19 @@ def mcd(pool: DataFrame, path: str, subset: float = 0.75, steps: int = 30, still
     by = ("gid", "start")
 
     def step(state: DataFrame, k: int) -> DataFrame:
+        """One scan: sums by cell of the distance, then those of the closest share."""
         rows = pool.join(state.select(*by, "m", "w"), "gid").select(*by, *_X, distance().alias("__d2"))
-        cells = rows.groupBy(*by, cell.alias("cell")).agg(F.count("*").alias("n"))  # a few hundred cells a group
+        cells = _sums(rows.withColumn("cell", cell), "1D", *by, "cell")  # a few hundred cells a group
         whole, so_far = Window.partitionBy(*by), Window.partitionBy(*by).orderBy("cell")
-        cells = cells.select(*by, "cell", "n", F.sum("n").over(so_far).alias("upto"), F.sum("n").over(whole).alias("all"))
-        share = F.ceil(subset * F.col("all") - 1e-9)
-        border = cells.where(F.col("upto") >= share).groupBy(*by).agg(
-            F.min(F.struct("cell", ((share - F.col("upto") + F.col("n")) / F.col("n")).alias("part"), "all")).alias("b"))
-        border.join(state, list(by)).select(*by, F.col("b.all").alias("n"), F.col("b.cell").alias("cell"), F.col("b.part").alias("part"),
-                                            F.col("logdet").alias("last"), "m", "w").write.parquet(f"{path}/border{k}")
-        border = spark.read.schema("gid string, start int, n long, cell long, part double, last double, m array<double>, w array<double>").parquet(f"{path}/border{k}")
-        rows = pool.join(border, "gid").select(*by, "n", "last", "cell", "part", *_X, distance().alias("__d2")).where(cell <= F.col("cell"))
-        sums = _moments(rows, F.when(cell < F.col("cell"), 1.0).otherwise(F.col("part")), *by,
-                        also=(F.first("n").alias("n"), F.first("last").alias("last")))
-        sums = sums.withColumn("c", F.transform("c", lambda v: v * factor))
+        n = F.col("__n")
+        cells = cells.withColumns({"all": F.sum(n).over(whole), "upto": F.sum(n).over(so_far)})
+        part = F.least(F.greatest((F.ceil(subset * F.col("all") - 1e-9) - F.col("upto") + n) / n, F.lit(0.0)), F.lit(1.0))
+        cells = cells.withColumn("__p", part).where("__p > 0")
+        total = lambda c, size: F.expr("array(" + ", ".join(f"sum(__p * get({c}, {i}))" for i in range(size)) + ")").alias(c)
+        near = cells.groupBy(*by).agg(F.first("all").cast("long").alias("n"), F.sum(F.col("__p") * n).alias("__n"),
+                                      total("__1", P), total("__2", len(PAIRS)))
+        sums = _moments(near).withColumn("c", F.expr(f"transform(c, v -> v * {factor!r}D)"))
+        sums = sums.join(state.select(*by, F.col("logdet").alias("last")), list(by))
         _state(sums, *by, "n", "last").select(*by, "n", "last", "m", "c", "w", "logdet").write.parquet(f"{path}/state{k}")
         return spark.read.schema(_STATE).parquet(f"{path}/state{k}")
 
@@ -303,11 +298,11 @@ def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang", sourc
     found = mcd(pool, path)
     of_source = found.where(c("gid").contains("\u0002")).withColumn("lid", F.substring_index("gid", "\u0002", 1))
     of_lang = found.where(~c("gid").contains("\u0002")).withColumnRenamed("gid", "lid")
-    mean = lambda a, size: F.array(*[F.sum(c("n") * F.get(a, k)) / F.sum("n") for k in range(size)])
+    mean = lambda a, size: F.expr("array(" + ", ".join(f"sum(n * get({a}, {k})) / sum(n)" for k in range(size)) + ")")
     overall = of_lang.agg(mean("m", P).alias("wm"), mean("c", len(PAIRS)).alias("wc")).where("wm[0] is not null")
     wide = _drawn(of_lang, overall, prior, [], "lid").select("lid", c("m").alias("wm"), c("c").alias("wc"))
     # floors are in the scatters already
-    bare = F.array(*[F.get("c", k) - (1.0 if i == j else 0.0) for k, (i, j) in enumerate(PAIRS)])
+    bare = F.expr("array(" + ", ".join(f"get(c, {k}) - {1 if i == j else 0}D" for k, (i, j) in enumerate(PAIRS)) + ")")
     _state(_drawn(of_source, wide, prior, ["lid"], "gid").withColumn("c", bare), "gid").select("gid", "m", "w").write.parquet(f"{path}/params")
     params = spark.read.schema("gid string, m array<double>, w array<double>").parquet(f"{path}/params")
     scored = stats.join(params, "gid", "left").withColumn("d2", distance())  # base_failed rows may be in no group
