@@ -8,8 +8,8 @@ Scale notes
 * Chunking and HTML extraction are per-row (Arrow batches of a bounded
   number of chunks); every text is processed whole.
 * Nearest-neighbour search never materialises (query, vector) pairs as
-  rows: both sides are cut into bounded blocks, each pair of blocks gives
-  at most k rows per query, and a window over these picks the exact top-k.
+  rows: queries meet the blocks of those cells only that can hold a nearer
+  row, and a window over at most k rows per query and block picks the top-k.
 * Question/answer pairing joins on (conversation, turn) keys, so one long
   conversation cannot pile up in one task.
 """
@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kestrel.operators.partitioning import spread
+from kestrel.operators.search import TILE_CELLS, cell_search  # noqa: F401
+from kestrel.operators.search import exact as _exact  # noqa: F401
 from kestrel.session import ensure_shipped
 
 # ---------------------------------------------------------------------------
@@ -327,63 +329,20 @@ def dimension_guard(df: DataFrame, vec: str = "embedding", dim: int | None = Non
 # ---- search --------------------------------------------------------------
 
 BLOCK_ROWS = 8192  # rows of a block of either side
-TILE_CELLS = 2_000_000  # scores held at once
-
-
-def _approximate(metric: str, q: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(scores, smaller = nearer, by matrix products; a bound of their error per query)."""
-    qq, xx = np.einsum("ij,ij->i", q, q), np.einsum("ij,ij->i", x, x)
-    dot = q @ x.T
-    if metric == "l2":  # squared distance
-        scale = qq + (xx.max() if len(xx) else 0)
-        return qq[:, None] + xx[None, :] - 2 * dot, 1e-12 * scale
-    if metric == "cosine":
-        n = np.maximum(np.sqrt(qq)[:, None] * np.sqrt(xx)[None, :], 1e-300)
-        return 1.0 - dot / n, np.full(len(q), 1e-12)
-    if metric == "ip":
-        return -dot, 1e-12 * (np.sqrt(qq) * np.sqrt(xx.max() if len(xx) else 0) + 1e-300)
-    raise ValueError(f"metric is l2, cosine or ip, not {metric!r}")
-
-
-def _exact(metric: str, q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Distances of one query to rows, each by the same operations, so equal
-    rows get equal distances."""
-    if metric == "l2":
-        d = x - q
-        return np.sqrt((d * d).sum(axis=1))
-    dot = (x * q).sum(axis=1)
-    if metric == "cosine":
-        return 1.0 - dot / np.maximum(np.sqrt((q * q).sum()) * np.sqrt((x * x).sum(axis=1)), 1e-300)
-    return -dot
-
-
-def nearest(metric: str, q: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(query, places in x, distances) of the k nearest rows, ties by id
-    place.  Matrix products find who can be among them, exact distances
-    decide; memory is bounded by TILE_CELLS scores."""
-    step = max(1, TILE_CELLS // max(1, len(x)))
-    for a in range(0, len(q), step):
-        score, error = _approximate(metric, q[a:a + step], x)
-        kk = min(k, len(x))
-        kth = np.partition(score, kk - 1, axis=1)[:, kk - 1]
-        for i in range(len(score)):
-            near = np.flatnonzero(score[i] <= kth[i] + 2 * error[i])
-            d = _exact(metric, q[a + i], x[near])
-            order = np.lexsort((ids[near], d))[:kk]
-            yield a + i, near[order], d[order]
 
 
 def similarity_search(store: DataFrame, queries: DataFrame, k: int = DEFAULT_K, metric: str = "l2",
                       store_id: str = "id", store_vec: str = "embedding", query_id: str = "qid",
                       query_vec: str = "embedding", keep: tuple[str, ...] = (),
-                      round_digits: int | None = 5) -> DataFrame:
+                      round_digits: int | None = 5, cells: int | None = None, evaluated=None) -> DataFrame:
     """Exact k nearest store rows per query: (qid, store id, kept store
     columns, ``dist``, ``rank`` 1..k), ranked by the raw distance, then id;
     only the shown ``dist`` is rounded.
 
-    Both sides stay distributed: they are cut into blocks by a hash of the
-    id, every pair of blocks is one group that returns at most k rows per
-    query, and the blocks' results are merged per query.  Vectors that are
+    Both sides stay distributed; queries visit the cells of a metric index in
+    order of their bounds until none can hold a nearer row (``search``).
+    ``cells`` sets their number, the accumulator ``evaluated`` counts the pairs
+    looked at.  Vectors that are
     NULL, hold NULL or non-finite numbers, or differ in length from the
     most frequent length of the store take no part (``dimension_guard``
     lists them)."""
@@ -407,39 +366,10 @@ def similarity_search(store: DataFrame, queries: DataFrame, k: int = DEFAULT_K,
         F.col(store_id).alias("sid"), F.col(store_vec).cast("array<double>").alias("v"), *kept)
     q = fit(queries, query_vec).where(F.size(query_vec) == dim).select(
         F.col(query_id).alias("qid"), F.col(query_vec).cast("array<double>").alias("v"))
-    sb, qb = max(1, -(-n // BLOCK_ROWS)), max(1, -(-q.count() // BLOCK_ROWS))
-
-    def blocks(df, key, own, others, name, against):
-        return df.withColumn(name, F.pmod(F.xxhash64(key, "v"), F.lit(own))).withColumn(
-            against, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(others - 1).cast("bigint"))))
-
-    names = [f"keep_{i}" for i in range(len(keep))]
-    found = T.StructType([T.StructField("qid", qid), T.StructField("sid", sid),
-                          *[T.StructField(f"keep_{i}", store.schema[c].dataType) for i, c in enumerate(keep)],
-                          T.StructField("d", T.DoubleType())])
-
-    def matrix(t: pa.Table) -> np.ndarray:
-        return t.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
-
-    def tile(left: pa.Table, right: pa.Table) -> pa.Table:
-        at, to, dist = [], [], []
-        if left.num_rows and right.num_rows:
-            right = right.sort_by("sid")
-            for i, near, d in nearest(metric, matrix(left), matrix(right), np.arange(right.num_rows), k):
-                at += [i] * len(near)
-                to += near.tolist()
-                dist += d.tolist()
-        rows = right.take(pa.array(to, pa.int64()))
-        return pa.table([left.column("qid").take(pa.array(at, pa.int64())), rows.column("sid"),
-                         *[rows.column(c) for c in names], pa.array(dist, pa.float64())], names=["qid", "sid", *names, "d"])
-
-    cand = (blocks(q, "qid", qb, sb, "qb", "sb").groupBy("qb", "sb")
-            .cogroup(blocks(s, "sid", sb, qb, "sb", "qb").groupBy("qb", "sb")).applyInArrow(tile, found))
-    w = Window.partitionBy("qid").orderBy("d", "sid")
+    best = cell_search(s, q, n, dim, k, metric, BLOCK_ROWS, cells, evaluated)
     dist = F.col("d") if round_digits is None else F.round("d", round_digits)
-    return (cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-            .select("qid", F.col("sid").alias(store_id), *[F.col(f"keep_{i}").alias(c) for i, c in enumerate(keep)],
-                    (dist + F.lit(0.0)).alias("dist"), "rank"))  # -0.0 → 0.0
+    return best.select("qid", F.col("sid").alias(store_id), *[F.col(f"keep_{i}").alias(c) for i, c in enumerate(keep)],
+                       (dist + F.lit(0.0)).alias("dist"), "rank")  # -0.0 → 0.0
 
 
 def retrieval_compare(a: DataFrame, b: DataFrame, store_id: str = "id") -> DataFrame:

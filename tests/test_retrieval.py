@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kestrel.operators import retrieval as rt
+from kestrel.operators import search
 
 
 def test_html_nested_and_class_tokens(spark):
@@ -59,6 +60,40 @@ def test_similarity_search_exact(spark, metric):
         assert list(got[got.qid == i]["id"]) == list(np.lexsort((np.arange(700), d[i]))[:4])
 
 
+@pytest.mark.parametrize("metric", ["l2", "cosine", "ip"])
+def test_similarity_search_cells(spark, monkeypatch, metric):
+    """Exact through the cell index, ties and zero vectors included, with a
+    small share of the pairs looked at where vectors cluster."""
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(40, 16)) * 20
+    x = (centres[rng.integers(0, 40, 6000)] + rng.normal(size=(6000, 16)) * 0.5).round(3)
+    x[100:2100] = x[7]  # a third in one place
+    x[50], x[5000] = 0, 0
+    monkeypatch.setattr(rt, "BLOCK_ROWS", 512)
+    store = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, embedding array<double>").repartition(6)
+    asked = [*range(0, 6000, 40), 50, 7]
+    qs = spark.createDataFrame([(None if i == 80 else i, x[i].tolist()) for i in asked], "qid long, embedding array<double>")
+    seen = spark.sparkContext.accumulator(0)
+    got = rt.similarity_search(store, qs, 5, metric, round_digits=None, cells=60, evaluated=seen).toPandas()
+    for i in asked:
+        d = search.exact(metric, x[i], x)
+        want = np.lexsort((np.arange(6000), d))[:5]
+        rows = got[got.qid.isna() if i == 80 else got.qid == i].sort_values("rank")
+        assert rows.id.tolist() == want.tolist() and np.array_equal(rows.dist.to_numpy(), d[want] + 0.0)
+    share = seen.value / (len(asked) * 6000)
+    print(f"{metric}: {share:.3f} of the pairs looked at")
+    assert share < (0.45 if metric == "ip" else 0.4)
+
+
+def test_similarity_search_cells_few_rows(spark):
+    """Fewer rows than k, than cells, and no rows."""
+    store = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(3)], "id long, embedding array<double>")
+    for cells in (1, 2, 7):
+        got = rt.similarity_search(store, store.withColumnRenamed("id", "qid"), 4, "l2", cells=cells).orderBy("qid", "rank").collect()
+        assert [(r.qid, r.id) for r in got] == [(0, 0), (0, 1), (0, 2), (1, 1), (1, 0), (1, 2), (2, 2), (2, 1), (2, 0)]
+        assert rt.similarity_search(store, store.limit(0).withColumnRenamed("id", "qid"), 4, "l2", cells=cells).count() == 0
+
+
 @pytest.mark.parametrize("metric", ["l2", "cosine", "ip"])
 def test_similarity_search_close_vectors_copies_and_blocks(spark, monkeypatch, metric):
     """Vectors 1e-6 apart rank by the raw distance, copies by id, over more
@@ -182,6 +217,74 @@ def test_collection_append_idempotent(spark, tmp_path):
         collection_append(rows, root, "col")
 
 
+def test_collection_versions(spark, tmp_path, monkeypatch):
+    """Growing shards, filters that spare reads, whole versions, merged segments."""
+    from kestrel.sources import collection as co
+    monkeypatch.setattr(co, "SHARD_ROWS", 100)
+    monkeypatch.setattr(co, "MOST_SEGMENTS", 4)
+    root = str(tmp_path / "store")
+
+    def rows(a, b, extra=False):
+        df = spark.range(a, b).select(F.concat(F.lit("k"), "id").alias("id"), (F.col("id") * 2).alias("v"), F.lit("x").alias("shard"))
+        return df.withColumn("more", F.lit(1)) if extra else df
+
+    folder = co._Folder(spark, root, "c")
+    co.collection_append(rows(0, 730), root, "c")
+    assert folder.version() == 1 and folder.segments(1)[0]["shards"] == 8
+    first = co.collection_scan(spark, root, "c")
+    # shards the filters do not hit are not read: broken ones do no harm
+    import pathlib
+    sizes = {p.name: spark.read.parquet(str(p)).count() for p in (pathlib.Path(root) / "collection=c").rglob("shard=*")}
+    assert sorted(sizes) == [f"shard={k}" for k in range(8)] and max(sizes.values()) < 160
+    touched = co._stored_ids(spark, folder, folder.segments(1), rows(700, 760), "id")
+    assert {f"k{k}" for k in range(700, 730)} <= {r.id for r in touched.collect()}
+    assert co._stored_ids(spark, folder, folder.segments(1), rows(5000, 5020), "id") is None
+    co.collection_append(rows(700, 760), root, "c")
+    assert co.collection_scan(spark, root, "c").count() == 760 and first.count() == 730  # an open version stays
+    # an append that dies before its manifest leaves no row
+    monkeypatch.setattr(co._Folder, "commit", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        co.collection_append(rows(760, 800), root, "c")
+    monkeypatch.undo()
+    monkeypatch.setattr(co, "SHARD_ROWS", 100)
+    monkeypatch.setattr(co, "MOST_SEGMENTS", 4)
+    assert co.collection_scan(spark, root, "c").count() == 760
+    # a version that exists is not replaced: the slower append starts again and sees the other's rows
+    assert not folder.commit(folder.version(), [])
+    real, raced = co._Folder.commit, []
+
+    def race(self, version, segments):
+        if not raced:
+            raced.append(1)
+            co.collection_append(rows(755, 770), root, "c")
+        return real(self, version, segments)
+
+    monkeypatch.setattr(co._Folder, "commit", race)
+    co.collection_append(rows(760, 765), root, "c")
+    monkeypatch.setattr(co._Folder, "commit", real)
+    assert sorted(int(r.id[1:]) for r in co.collection_scan(spark, root, "c").collect()) == list(range(770))
+    for k in range(4):
+        co.collection_append(rows(770 + k, 771 + k, extra=k == 2), root, "c")
+    assert len(folder.segments(folder.version())) <= 4
+    last = co.collection_scan(spark, root, "c")
+    assert last.count() == 774 and last.where("more = 1").count() == 1 and last.select("id").distinct().count() == 774
+    co.collection_append(rows(0, 774), root, "c")
+    assert co.collection_scan(spark, root, "c").count() == 774
+    co.collection_append(rows(0, 1), root, "c", dedupe=False)
+    assert co.collection_scan(spark, root, "c").count() == 775
+
+
+@pytest.mark.parametrize("shards", [1, 2, 3, 5, 8, 13])
+def test_linear_shards(spark, shards):
+    from kestrel.sources.collection import linear_shard
+    got = spark.range(2000).select(F.xxhash64("id").alias("h")).select(F.shiftrightunsigned("h", 1).alias("h")).select(
+        "h", linear_shard(F.col("h"), shards).alias("a"), linear_shard(F.col("h"), F.lit(shards).cast("long")).alias("b"),
+        linear_shard(F.col("h"), shards + 1).alias("c")).collect()
+    assert {r.a for r in got} == set(range(shards)) and all(r.a == r.b for r in got)
+    moved = {(r.a, r.c) for r in got if r.a != r.c}
+    assert all(c == shards for _, c in moved) and len(moved) <= 1  # a new shard splits one
+
+
 def test_embed_text_dimension(spark):
     df = spark.createDataFrame([("hello world",), ("",)], "t string")
     out = rt.embed_text(df, "t", dim=32).collect()
