@@ -15,17 +15,17 @@ unless the per-row table is asked for.
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 
 import numpy as np
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kestrel.operators import prefix
 from kestrel.operators.skew import hot_key_join
-from kestrel.session import keep
+from kestrel.session import ensure_shipped, keep
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the reference for equal results)
@@ -199,47 +199,75 @@ def _solve_box_ls(A: np.ndarray, r: np.ndarray, syy: np.ndarray,
     return best_p, best_s
 
 
-def _grid_eval(cells: np.ndarray, grid: np.ndarray):
-    """cells: rows of (w, sx, sxx, sy, sxy, syy) per grid cell in order
-    (cell i+1 = [grid[i], grid[i+1]), cell 0 below grid[0]).  Returns
-    params (b, a, d) and SSE for c = each grid point."""
-    cum = np.cumsum(cells, axis=0)
-    tot = cum[-1]
-    L = cum[: len(grid)]  # x < grid[i]  ↔ cells 0..i
-    R = tot - L
-    c = grid
-    nL, sxL, sxxL, syL, sxyL, _ = L.T
-    nR, sxR, sxxR, syR, sxyR, _ = R.T
-    n = tot[0] * np.ones_like(c)
-    su = sxL + c * nR
-    sv = sxR - c * nR
-    suu = sxxL + c * c * nR
-    suv = c * (sxR - c * nR)
-    svv = sxxR - 2 * c * sxR + c * c * nR
-    sy = tot[3] * np.ones_like(c)
-    suy = sxyL + c * syR
-    svy = sxyR - c * syR
-    A = np.stack([np.stack([n, su, sv], -1), np.stack([su, suu, suv], -1),
-                  np.stack([sv, suv, svv], -1)], 1)
-    r = np.stack([sy, suy, svy], -1)
-    lo = np.array([INTERCEPT_BOUNDS[0], SLOPE_BOUNDS[0], SLOPE_BOUNDS[0]])
-    hi = np.array([INTERCEPT_BOUNDS[1], SLOPE_BOUNDS[1], SLOPE_BOUNDS[1]])
-    return _solve_box_ls(A, r, tot[5] * np.ones_like(c), lo, hi)
-
-
-def _cell_sums(pts: DataFrame, grid: np.ndarray) -> np.ndarray:
-    """One aggregate job: weighted sums per grid cell (≤ len(grid)+1 rows)."""
-    b = Bucketizer(splits=[-math.inf, *[float(g) for g in grid], math.inf],
-                   inputCol="x", outputCol="cell")
-    w, x, y = F.col("w"), F.col("x"), F.col("y")
-    rows = (b.transform(pts).groupBy("cell")
-            .agg(F.sum(w).alias("w"), F.sum(w * x).alias("sx"), F.sum(w * x * x).alias("sxx"),
-                 F.sum(w * y).alias("sy"), F.sum(w * x * y).alias("sxy"), F.sum(w * y * y).alias("syy"))
-            .collect())
-    out = np.zeros((len(grid) + 1, 6))
-    for rw in rows:
-        out[int(rw["cell"])] = [rw["w"], rw["sx"], rw["sxx"], rw["sy"], rw["sxy"], rw["syy"]]
-    return out
+def _box_at(c: np.ndarray, left: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parameters (b, a, d) and squared error of the best bounded line with its
+    change point at each ``c``; ``left`` and ``total``: sums (w, x, xx, y, xy, yy)
+    of the points up to c and of all."""
+    nL, sxL, sxxL, syL, sxyL, _ = left.T
+    nR, sxR, sxxR, syR, sxyR, _ = (total - left).T
+    n, _, _, sy, _, syy = total.T
+    su, sv = sxL + c * nR, sxR - c * nR
+    suu, suv, svv = sxxL + c * c * nR, c * sv, sxxR - 2 * c * sxR + c * c * nR
+    A = np.stack([np.stack([n, su, sv], -1), np.stack([su, suu, suv], -1), np.stack([sv, suv, svv], -1)], 1)
+    r = np.stack([sy, sxyL + c * syR, sxyR - c * syR], -1)
+    return _solve_box_ls(A, r, syy, _LOW, _HIGH)
+
+
+_LOW = np.array([INTERCEPT_BOUNDS[0], SLOPE_BOUNDS[0], SLOPE_BOUNDS[0]])
+_HIGH = np.array([INTERCEPT_BOUNDS[1], SLOPE_BOUNDS[1], SLOPE_BOUNDS[1]])
+
+
+def _free_line(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(slope, squared error) of each row of sums, no bounds (one x: slope 0)."""
+    n, sx, sxx, sy, sxy, syy = sums.T
+    n = np.maximum(n, 1e-300)
+    vx, vy, vxy = sxx - sx * sx / n, syy - sy * sy / n, sxy - sx * sy / n
+    some = vx > 1e-12 * np.maximum(sxx, 1e-300)
+    slope = np.where(some, vxy / np.where(some, vx, 1), 0)
+    return slope, np.maximum(vy - slope * vxy, 0)
+
+
+def _left_line(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(intercept, slope) of the bounded line through each row of sums."""
+    n, sx, sxx, sy, sxy, _ = sums.T
+    A = np.stack([np.stack([n, sx], -1), np.stack([sx, sxx], -1)], 1)
+    A3 = np.zeros((len(n), 3, 3))
+    A3[:, :2, :2], A3[:, 2, 2] = A, 1.0
+    p, _ = _solve_box_ls(A3, np.stack([sy, sxy, np.full(len(n), _LOW[2])], -1), np.zeros(len(n)), _LOW, _HIGH)
+    return p[:, 0], p[:, 1]
+
+
+def best_change(x: np.ndarray, nxt: np.ndarray, left: np.ndarray, total: np.ndarray, c_lo: float, c_hi: float,
+                chunk: int = 64) -> tuple[float, np.ndarray, float, int] | None:
+    """(c, (b, a, d), squared error, row) of the best change point between
+    ``x`` and ``nxt`` of each row.  A row's two free lines bound its error from
+    below, so rows come in that order until none can be better.  Within a row
+    the best c is an end, or where the bounded line of the left points meets
+    the line of the right ones."""
+    lo, hi = np.maximum(x, c_lo), np.minimum(nxt, c_hi)
+    rows = np.flatnonzero(lo <= hi)
+    if not len(rows):
+        return None
+    bound = _free_line(left[rows])[1] + _free_line(total[rows] - left[rows])[1]
+    order = np.argsort(bound, kind="stable")
+    best = None
+    for a in range(0, len(order), chunk):
+        if best is not None and bound[order[a]] > best[2] * (1 + 1e-12) + 1e-15:
+            break
+        at = rows[order[a:a + chunk]]
+        right = total[at] - left[at]
+        b, slope = _left_line(left[at])
+        d = np.clip(_free_line(right)[0], _LOW[2], _HIGH[2])
+        meet = (right[:, 3] - d * right[:, 1]) / np.maximum(right[:, 0], 1e-300) - b
+        with np.errstate(divide="ignore", invalid="ignore"):
+            meet = meet / (slope - d)
+        meet = np.clip(np.where(np.isfinite(meet), meet, lo[at]), lo[at], hi[at])
+        for c in (lo[at], hi[at], meet):
+            p, sse = _box_at(c, left[at], total[at])
+            i = int(np.argmin(sse))
+            if np.isfinite(sse[i]) and (best is None or (sse[i], c[i]) < (best[2], best[0])):
+                best = (float(c[i]), p[i], float(sse[i]), int(at[i]))
+    return best
 
 
 SEGMENTED_SCHEMA = T.StructType([T.StructField(n, T.DoubleType()) for n in (
@@ -247,59 +275,83 @@ SEGMENTED_SCHEMA = T.StructType([T.StructField(n, T.DoubleType()) for n in (
     "m", "intercept", "eta", "b10", "b50")])
 
 
-def weibull_segmented_fit(spark: SparkSession, haz: DataFrame, fit: DataFrame, cycle: str = "CYCLE",
-                          min_log_h: float = MIN_LOG_H, grid_size: int = 1024, rounds: int = 3) -> DataFrame:
+_SUMS = ("_w", "_sx", "_sxx", "_sy", "_sxy", "_syy")
+
+
+def weibull_segmented_fit(spark: SparkSession, haz: DataFrame, fit: DataFrame, cycle: str = "CYCLE", min_log_h: float = MIN_LOG_H,
+                          by: tuple[str, ...] | list[str] = (), keys_per_bucket: int = prefix.DEFAULT_KEYS_PER_BUCKET) -> DataFrame:
     """Continuous two-slope line y = b + a·min(x,c) + d·max(x-c,0) on the
     fitted points, a, d ∈ SLOPE_BOUNDS, b ∈ INTERCEPT_BOUNDS, c between
     (B1_Y-b0)/m0 and 10·ln(b50) of the plain fit (capped to the data).
 
-    For fixed c the model is linear, so the squared error at every grid
-    value of c follows from per-cell sums (one aggregate job per round,
-    ``grid_size+1`` rows), solved with the bounds on the driver over that
-    bounded table; each round narrows the grid around the best c.
-    Returns one row (SEGMENTED_SCHEMA); NULLs when the plain slope is
-    outside the slope bounds (no admissible start) or there are no points.
+    For fixed c the model is linear, and running sums of the points' moments
+    give those left and right of every c.  So the exact best change point
+    between each two neighbouring points follows from their row alone
+    (``best_change``); each task keeps its best row per group, and the least
+    of these is the answer: one pass, no grid.  One row (SEGMENTED_SCHEMA)
+    for each row of ``fit`` (one per ``by`` group); NULLs when the plain slope
+    is outside the slope bounds (no admissible start) or there are no points.
     """
-    f = fit.first()
-    pts = keep(_fit_points(haz, cycle, min_log_h))
-    ext = pts.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()
-    none = spark.createDataFrame([tuple([None] * len(SEGMENTED_SCHEMA))], SEGMENTED_SCHEMA)
-    if (f is None or f["m"] is None or ext["lo"] is None or not (SLOPE_BOUNDS[0] <= f["m"] <= SLOPE_BOUNDS[1])):
-        return none
-    m0, b0 = f["m"], f["intercept"]
-    c_lo = (B1_Y - b0) / m0
-    c_hi = min(10.0 * math.log(f["b50"]) if f["b50"] > 0 else math.inf, ext["hi"])
-    c_lo = max(c_lo, ext["lo"])
-    if not c_hi > c_lo:
-        c_hi = c_lo
-    lo, hi = c_lo, c_hi
-    best = None
-    for _ in range(rounds):
-        grid = np.linspace(lo, hi, grid_size + 1)
-        cells = _cell_sums(pts, grid)
-        params, sse = _grid_eval(cells, grid)
-        i = int(np.argmin(sse))
-        if not np.isfinite(sse[i]):
-            break
-        if best is None or sse[i] <= best[1]:
-            best = (float(grid[i]), float(sse[i]), params[i].copy())
-        step = (hi - lo) / grid_size
-        lo, hi = max(c_lo, grid[i] - step), min(c_hi, grid[i] + step)
-        if hi <= lo:
-            break
-    if best is None:
-        return none
-    c, sse, (b, a, d) = best
-    # single-line error on the same points
-    tot = cells.sum(axis=0)
-    n, sx, sxx, sy, sxy, syy = tot
-    m_l, b_l = _line_from_sums(n, sx, sy, sxx, sxy)
-    sse_line = syy - 2 * (b_l * sy + m_l * sxy) + (b_l * b_l * n + 2 * b_l * m_l * sx + m_l * m_l * sxx)
+    by = list(by)
+    pts = keep(_fit_points(haz, cycle, min_log_h, by).groupBy(*by, "x").agg(
+        F.sum("w").alias("w"), (F.sum(F.col("w") * F.col("y")) / F.sum("w")).alias("y"), F.sum(F.col("w") * F.col("y") * F.col("y")).alias("wyy")))
+    w, x, y = F.col("w"), F.col("x"), F.col("y")
+    sums = dict(zip(_SUMS, (w.cast("double"), w * x, w * x * x, w * y, w * x * y, F.col("wyy"))))
+    run = prefix.running_sums(pts.select(*by, "x", *[v.alias(f"{k}0") for k, v in sums.items()]), "x", {k: f"{k}0" for k in _SUMS},
+                              with_totals=True, group=by, keys_per_bucket=keys_per_bucket, keep_bucket=True)
+    run = run.drop(*[f"{k}0" for k in _SUMS])
+    # the next x: within the bucket, else the first of the group's next bucket
+    one = [F.lit(1)] if not by else []
+    firsts = run.groupBy(*by, prefix.BUCKET).agg(F.min("x").alias("_first"))
+    after = Window.partitionBy(*one, *by).orderBy(prefix.BUCKET)
+    firsts = firsts.select(*by, prefix.BUCKET, F.lead("_first").over(after).alias("_next"))
+    inside = Window.partitionBy(*by, prefix.BUCKET).orderBy("x")
+    run = run.join(firsts, [*by, prefix.BUCKET]).withColumn("_next", F.coalesce(F.lead("x").over(inside), "_next", "x"))
+    ends = pts.groupBy(*by).agg(F.min("x").alias("_lo"), F.max("x").alias("_hi"))
+    c_lo = F.greatest((F.lit(B1_Y) - F.col("intercept")) / F.col("m"), F.col("_lo"))
+    c_hi = F.least(F.when(F.col("b50") > 0, 10.0 * F.ln("b50")).otherwise(F.col("_hi")), F.col("_hi"))
+    admitted = fit.where(F.col("m").between(*SLOPE_BOUNDS))
+    limits = (admitted.join(ends, by) if by else admitted.crossJoin(ends))  # a row a group
+    limits = limits.select(*by, c_lo.alias("_c_lo"), F.greatest(c_hi, c_lo).alias("_c_hi"))
+    run = run.join(limits, by) if by else run.crossJoin(F.broadcast(limits))  # without groups: one row
+    key = F.to_json(F.struct(*by)) if by else F.lit("")
+    numbers = ["x", "_next", *_SUMS, *[f"{k}_total" for k in _SUMS], "_c_lo", "_c_hi"]
+    run = run.select(*by, key.alias("_key"), *numbers)
+    names = ["c", "b", "a", "d", "sse"]
+
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            get = lambda c: batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False)  # noqa: B023,E731
+            keys = batch.column(len(by)).dictionary_encode()
+            code, found, at = keys.indices.to_numpy(zero_copy_only=False), [], []
+            left, total = (np.stack([get(f"{k}{end}") for k in _SUMS], 1) for end in ("", "_total"))
+            for g in range(len(keys.dictionary)):
+                mine = np.flatnonzero(code == g)
+                best = best_change(get("x")[mine], get("_next")[mine], left[mine], total[mine], get("_c_lo")[mine[0]], get("_c_hi")[mine[0]])
+                if best is not None:
+                    c, (b, a, d), sse, row = best
+                    found.append((c, b, a, d, sse))
+                    at.append(mine[row])
+            kept = batch.select([*by, *[f"{k}_total" for k in _SUMS]]).take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*kept.columns, *[pa.array([f[i] for f in found], pa.float64()) for i in range(5)]],
+                                             names=[*kept.schema.names, *names])
+
+    ensure_shipped(spark)
+    schema = T.StructType([*[run.schema[c] for c in by], *[run.schema[f"{k}_total"] for k in _SUMS], *[T.StructField(n, T.DoubleType()) for n in names]])
+    totals = [f"{k}_total" for k in _SUMS]
+    best = run.mapInArrow(local, schema).groupBy(*by).agg(F.min(F.struct("sse", "c", "b", "a", "d", *totals)).alias("_best"))
+    out = fit.join(best, by, "left") if by else fit.join(best, F.lit(True), "left")
+    f = lambda n: F.col(f"_best.{n}")
+    n, sx, sxx, sy, sxy, syy = (f(t) for t in totals)
+    slope = (n * sxy - sx * sy) / (n * sxx - sx * sx)
+    icept = (sy - slope * sx) / n
+    line = syy - 2 * (icept * sy + slope * sxy) + icept * icept * n + 2 * icept * slope * sx + slope * slope * sxx
+    a, b, c, d = f("a"), f("b"), f("c"), f("d")
     i2 = (a - d) * c + b
-    row = (c, a, b, d, sse, float(sse_line), a, b, math.exp(-b / a), d, i2, math.exp(-i2 / d),
-           f["m"], f["intercept"], f["eta"], f["b10"], f["b50"])
-    pts.unpersist()
-    return spark.createDataFrame([tuple(float(v) for v in row)], SEGMENTED_SCHEMA)
+    columns = {"c": c, "a": a, "b": b, "d": d, "sse": f("sse"), "sse_line": line, "m1": a, "intercept1": b, "eta1": F.exp(-b / a),
+               "m2": d, "intercept2": i2, "eta2": F.exp(-i2 / d), **{k: F.col(k) for k in ("m", "intercept", "eta", "b10", "b50")}}
+    there = F.col("_best").isNotNull()
+    return out.select(*by, *[F.when(there, columns[k.name].cast("double")).alias(k.name) for k in SEGMENTED_SCHEMA])
 
 
 def weibull_parameter_table(seg: DataFrame) -> DataFrame:

@@ -84,6 +84,49 @@ def shuffle_rows(df: DataFrame, keys: list[str], seed: int = 0) -> DataFrame:
     return df.orderBy(shuffle_key(keys, seed), *keys)
 
 
+#: Fixed numbers of the round function (a prime and two multipliers).
+_PRIME, _BY_VALUE, _BY_ROUND = 2_147_483_647, 48_271, 69_621
+_ROUNDS, _WALK = 4, 64
+
+
+def permuted(index: Column, n: int, seed: int = 0) -> Column:
+    """The place of row ``index`` (0..n-1) in a random order of n rows, as a
+    column expression: a bijection for every n, so any slice of the order can
+    be found without sorting the rest.
+
+    The index is a cell of a grid of a x b >= n cells; Feistel rounds add a hash
+    of the column to the row and of the row to the column.  A place beyond n
+    walks on until it is inside: fewer than a cells are outside, so a step
+    leaves one with probability below 1 / b; more than _WALK steps raise."""
+    a = math.isqrt(max(n - 1, 0)) + 1
+    b = max(1, -(-n // a))
+    whole = lambda x: x.cast("bigint")
+
+    def mix(x: Column, k: Column | int) -> Column:
+        m = (x * _BY_VALUE + k * _BY_ROUND + seed) % _PRIME
+        return F.element_at(F.transform(F.array(m), lambda v: (v * v + v) % _PRIME), 1)
+
+    def turn(s: Column, k: Column) -> Column:
+        down = (s["l"] + mix(s["r"], 2 * k)) % a
+        return F.struct(whole(down).alias("l"), whole((s["r"] + mix(down, 2 * k + 1)) % b).alias("r"))
+
+    def once(x: Column) -> Column:
+        start = F.struct(whole(F.floor(x / b)).alias("l"), whole(x % b).alias("r"))
+        return F.aggregate(F.sequence(F.lit(0).cast("bigint"), F.lit(_ROUNDS - 1).cast("bigint")), start, turn, lambda s: s["l"] * b + s["r"])
+
+    first = once(whole(index))
+    walk = F.aggregate(F.sequence(F.lit(1), F.lit(_WALK)), first, lambda x, _: F.when(x < n, x).otherwise(once(x)))
+    return F.when(walk < n, walk).otherwise(F.raise_error(F.lit("no place found within the walk")).cast("bigint"))
+
+
+def shuffle_positions(df: DataFrame, keys: list[str], seed: int = 0, out: str = "position", index: str | None = None) -> DataFrame:
+    """Adds each row's place 0..n-1 in a random, repeatable order: its dense
+    index over ``keys`` (or the column ``index``, if there is one) permuted."""
+    from kestrel.operators.windows import dense_row_index
+    rows = dense_row_index(df, keys, "_shuffle_index") if index is None else df.withColumn("_shuffle_index", F.col(index))
+    return rows.withColumn(out, permuted(F.col("_shuffle_index"), rows.count(), seed)).drop("_shuffle_index")
+
+
 def _builtin_tokens(text: Column, normalize: bool) -> Column:
     t = tx.presplit_text(F.lower(text))
     if normalize:

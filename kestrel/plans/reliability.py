@@ -252,3 +252,52 @@ def q_weibull_fit_by_product(spark, sf):
     f = rel.weibull_fit(haz, by=["PRODUCT"])
     return f.select("PRODUCT", "n", F.round("m", 6).alias("m"), F.round("intercept", 6).alias("intercept"),
                     F.round("eta", 3).alias("eta"), F.round("b10", 3).alias("b10"))
+
+
+def _stage_by(k: int, source: str, lo: str, hi: str) -> str:
+    """As _stage, for every product of ``source``."""
+    return f"""grid{k} as (select p, {lo} + ({hi} - {lo}) * i / 400 as c, ({hi} - {lo}) / 400 as step from {source}, range(401) t(i)),
+s{k} as (select p, c, any_value(step) as step, sum(w) as n, sum(w * least(x, c)) as su, sum(w * greatest(x - c, 0)) as sv, sum(w * y) as sy,
+                sum(w * least(x, c) * least(x, c)) as suu, sum(w * greatest(x - c, 0) * greatest(x - c, 0)) as svv,
+                sum(w * least(x, c) * greatest(x - c, 0)) as suv, sum(w * least(x, c) * y) as suy,
+                sum(w * greatest(x - c, 0) * y) as svy, sum(w * y * y) as syy from wp join grid{k} using (p) group by p, c),
+m{k} as (select *, suu - su * su / n as uu, svv - sv * sv / n as vv, suv - su * sv / n as uv, suy - su * sy / n as uy,
+                svy - sv * sy / n as vy, syy - sy * sy / n as yy from s{k}),
+q{k} as (select *, (uy * vv - vy * uv) / (uu * vv - uv * uv) as a, (vy * uu - uy * uv) / (uu * vv - uv * uv) as d from m{k} where uu * vv > uv * uv),
+o{k} as (select p, c, step, a, d, (sy - a * su - d * sv) / n as b, yy - a * uy - d * vy as sse from q{k}
+         qualify row_number() over (partition by p order by yy - a * uy - d * vy) = 1)"""
+
+
+@plan("weibull_segmented_by_product", ops=(71, 96), sql=f"""with {_G_BY}, {_R_BY}, {_H_BY},
+pt as (select h.p, ln(h.c) as x, ln(h.H) as y from lineitem l join h on h.c = l.l_extendedprice and h.p = l.l_linestatus
+       where l.l_returnflag = 'R' and h.c > 0 and h.H > 0 and ln(h.H) > -7),
+f as (select p, regr_slope(y, x) as m, regr_intercept(y, x) as b, min(x) as x0, max(x) as x1 from pt group by p),
+wp as (select p, x, y, count(*) as w from pt group by 1, 2, 3),
+lim as (select p, greatest((-5 - b) / m, x0) as lo, least(10 * (-0.366512921 - b) / m, x1) as hi from f),
+{_stage_by(1, 'lim', 'lo', 'hi')},
+{_stage_by(2, 'o1', '(c - step)', '(c + step)')},
+{_stage_by(3, 'o2', '(c - step)', '(c + step)')}
+select p as PRODUCT, round(c, 3) as c, round(a, 3) as a, round(b, 2) as b, round(d, 3) as d, round(sse, 3) as sse, true as better from o3""")
+def q_weibull_segmented_by_product(spark, sf):
+    """The two-slope fit of every product on its own risk set."""
+    haz = rel.hazard_table(weibull_input(spark, sf), by=["PRODUCT"])
+    seg = rel.weibull_segmented_fit(spark, haz, rel.weibull_fit(haz, by=["PRODUCT"]), by=["PRODUCT"]).where("c is not null")
+    return seg.select("PRODUCT", F.round("c", 3).alias("c"), F.round("a", 3).alias("a"), F.round("b", 2).alias("b"), F.round("d", 3).alias("d"),
+                      F.round("sse", 3).alias("sse"), (F.col("sse") < F.col("sse_line")).alias("better"))
+
+
+@plan("regression_p_value", ops=(36,), sql="""
+with s as (select c_nationkey, count(*) as n, regr_slope(c_acctbal, c_custkey) as slope, regr_sxx(c_acctbal, c_custkey) as sxx, regr_syy(c_acctbal, c_custkey) as syy
+           from customer where c_acctbal is not null group by c_nationkey),
+e as (select *, sqrt((syy / sxx - slope * slope) / (n - 2)) as std_err, (n - 2)::double as v from s where n > 2),
+t as (select *, abs(slope / std_err) as t, abs(slope / std_err) / 4000 as h from e)
+select c_nationkey, n, round(slope, 9) as slope, round(std_err, 9) as std_err,
+       round(1 - 2 * exp(lgamma((v + 1) / 2) - lgamma(v / 2)) / sqrt(v * pi()) * h / 3 * list_sum(list_transform(range(4001),
+         lambda i: (case when i = 0 or i = 4000 then 1 when i % 2 = 1 then 4 else 2 end) * pow(1 + (i * h) * (i * h) / v, -(v + 1) / 2))), 8) as p_value
+from t""")
+def q_regression_p_value(spark, sf):
+    """The p-value of account balances' slope over customer numbers, in each
+    nation (SQL integrates the t density; here it is a continued fraction)."""
+    from kestrel.operators.aggregate import linear_regression
+    r = linear_regression(table(spark, sf, "customer"), "c_custkey", "c_acctbal", ["c_nationkey"]).where("n > 2")
+    return r.select("c_nationkey", "n", F.round("slope", 9).alias("slope"), F.round("std_err", 9).alias("std_err"), F.round("p_value", 8).alias("p_value"))

@@ -201,34 +201,41 @@ def q_prediction_table(spark, sf):
     return prediction_table(p, "ID", "label", "prediction")
 
 
-def _reviews(spark, sf):
-    """Labelled documents as reviews: tokens, class, split."""
+def _reviews(spark, sf, by_language=False):
+    """Labelled documents as reviews: tokens, class, split.  The class is the
+    quality label or, ``by_language``, whether the text is English: one that a
+    classifier can learn from words, and a majority vote (three in five) cannot."""
     from kestrel.operators.ml import HOLDOUT, drop_short_tokens
     from kestrel.operators.relational import recode_correct
     lb = table(spark, sf, "labels").select("doc_id", recode_correct("quality").alias("CORRECT"))
     parts = tm.train_test_split(lb, "doc_id", HOLDOUT, 0)  # of the small rows, before the texts come in
-    d = table(spark, sf, "documents").select("doc_id", "text").join(parts, "doc_id")
+    d = table(spark, sf, "documents").select("doc_id", "text", "lang").join(parts, "doc_id")
+    if by_language:
+        d = d.withColumn("CORRECT", F.when(F.col("lang") == "en", "USE").otherwise("OMIT"))
     t = tm.tokenize_content_words(d, "text", "toks", "list")
     return drop_short_tokens(t, "toks", "terms", 2).select("doc_id", "CORRECT", "split", "toks", "terms")
 
 
-_HOLDOUT_SQL = f"""h as (select doc_id, case when quality = 1 then 'USE' else 'OMIT' end as CORRECT,
-                             {_SPLIT_SQL.format(seed=0, frac=0.2)} as split from labels)"""
+_HOLDOUT_SQL = f"""s as (select doc_id, {_SPLIT_SQL.format(seed=0, frac=0.2)} as split from labels),
+h as (select doc_id, case when lang = 'en' then 'USE' else 'OMIT' end as CORRECT, split from s join documents using (doc_id))"""
 
 
 @plan("classify_predict", ops=(81, 79, 80, 82, 76, 75), sql=f"""with {_HOLDOUT_SQL}
-select cast(doc_id as varchar) as ID, cast(case when CORRECT = 'USE' then 1 else 0 end as int) as TARGET, true as IS_CLASS
+select cast(doc_id as varchar) as ID, cast(case when CORRECT = 'USE' then 1 else 0 end as int) as TARGET, true as IS_CLASS, true as LEARNED
 from h where split = 'test'""")
 def q_classify_predict(spark, sf):
     """TF-IDF → 200-component SVD → RBF features → SVM on the train part,
-    then the hold-out part as a second table: ID, TARGET, and that PRED is
-    one of the classes (the predictions have no SQL form; tests bound
-    their accuracy)."""
+    then the hold-out part as a second table: ID, TARGET, that PRED is one of
+    the classes, and that over nine in ten are right (a constant is right in
+    six)."""
     from kestrel.operators.ml import TextClassifier, score_table
-    t = _reviews(spark, sf)
+    from kestrel.session import keep
+    t = _reviews(spark, sf, by_language=True)
     model = TextClassifier().fit(t.where("split = 'train'"), "terms", "CORRECT")
     p = score_table(model, t.where("split = 'test'"), "doc_id", "terms", "CORRECT")
-    return p.select("ID", "TARGET", F.coalesce(F.col("PRED").isin(0, 1), F.lit(False)).alias("IS_CLASS"))
+    p = keep(p)
+    right = p.agg(F.avg((F.col("PRED") == F.col("TARGET")).cast("int"))).first()[0] or 0
+    return p.select("ID", "TARGET", F.coalesce(F.col("PRED").isin(0, 1), F.lit(False)).alias("IS_CLASS"), F.lit(right > 0.9).alias("LEARNED"))
 
 
 @plan("truncated_svd", ops=(79, 78), sql=f"""
@@ -263,34 +270,125 @@ def q_truncated_svd(spark, sf):
         F.lit(bool(np.allclose(g, np.eye(len(values)), atol=1e-6))).alias("orthonormal"), "total")
 
 
-GRID = {"folds": 3, "ngrams": (1,), "components": (50, 200), "cs": (0.8, 1.2), "kernels": ("linear", "rbf"), "rounds": 2}
-
-
 @plan("grid_search", ops=(83,), sql="""
-select cast(1 as int) as ngram_max, cast(k as int) as components, kernel, cast(c as double) as C, true as learned
-from (values (50), (200)) a(k), (values (0.8), (1.2)) b(c), (values ('linear'), ('rbf')) d(kernel)""")
+select cast(g as int) as ngram_max, cast(k as int) as components, kernel, cast(c as double) as C, true as learned
+from (values (1), (2)) n(g), (values (50), (75), (100), (125), (150), (200)) a(k), (values (0.8), (0.9), (1.0), (1.1), (1.2)) b(c),
+     (values ('linear'), ('rbf')) d(kernel)""")
 def q_grid_search(spark, sf):
-    """Search over components, kernel and C in three folds (the operator's
-    defaults are five folds and the whole grid); a row per setting, and
-    whether its mean accuracy beats a coin."""
+    """The whole grid in five folds: a row per setting, and whether it tells
+    the languages apart (mean balanced accuracy over 0.8; a majority vote has 0.5)."""
     from kestrel.operators.ml import grid_search
-    t = _reviews(spark, sf).where("split = 'train'")
-    _, found = grid_search(t, "toks", "CORRECT", **GRID)
-    return found.select("ngram_max", "components", "kernel", "C", (F.col("mean_accuracy") > 0.5).alias("learned"))
+    t = _reviews(spark, sf, by_language=True).where("split = 'train'")
+    _, found = grid_search(t, "toks", "CORRECT")
+    return found.select("ngram_max", "components", "kernel", "C", (F.col("mean_balanced") > 0.8).alias("learned"))
 
 
 @plan("model_save", ops=(103, 80, 81), sql=f"""with {_HOLDOUT_SQL}
-select cast(doc_id as varchar) as ID, true as SAME from h where split = 'test'""")
+select cast(doc_id as varchar) as ID, true as SAME, true as LEARNED from h where split = 'test'""")
 def q_model_save(spark, sf):
     """Fit the SVD and RBF model, save it to the shared folder, load it
-    back: does the loaded model predict the same for every hold-out row?"""
+    back: does the loaded model predict the same for every hold-out row, and
+    over nine in ten right?"""
     from kestrel.operators.ml import TextClassifier, model_save
-    from kestrel.session import scratch_path
-    t = _reviews(spark, sf)
+    from kestrel.session import keep, scratch_path
+    t = _reviews(spark, sf, by_language=True)
     m = TextClassifier(components=50).fit(t.where("split = 'train'"), "terms", "CORRECT")
     path = scratch_path(spark, "model")
     model_save(m, path)
-    test = t.where("split = 'test'").select("doc_id", "terms")
-    a = m.transform(test, "terms").select("doc_id", F.col("prediction").alias("a"))
+    test = t.where("split = 'test'").select("doc_id", "CORRECT", "terms")
+    a = m.transform(test, "terms").select("doc_id", "CORRECT", F.col("prediction").alias("a"))
     b = TextClassifier.load(path).transform(test, "terms").select("doc_id", F.col("prediction").alias("b"))
-    return a.join(b, "doc_id").select(F.col("doc_id").cast("string").alias("ID"), F.col("a").eqNullSafe(F.col("b")).alias("SAME"))
+    both = keep(a.join(b, "doc_id"))
+    right = both.agg(F.avg((F.col("b") == F.col("CORRECT")).cast("int"))).first()[0] or 0
+    return both.select(F.col("doc_id").cast("string").alias("ID"), F.col("a").eqNullSafe(F.col("b")).alias("SAME"), F.lit(right > 0.9).alias("LEARNED"))
+
+
+def _permuted_sql(seed: int, walk: int = 8) -> str:
+    """The permutation of ``shuffle_positions`` step by step; a place beyond n
+    goes round again, ``walk`` times at most."""
+    def mix(x: str, k: int) -> str:
+        m = f"(({x} * 48271 + {k} * 69621 + {seed}) % 2147483647)"
+        return f"(({m} * {m} + {m}) % 2147483647)"
+
+    steps, last = [], "grid"
+    for w in range(walk):
+        steps.append(f"w{w}r0 as (select *, p // b as l, p % b as r from {last})")
+        for k in range(4):
+            steps.append(f"w{w}h{k} as (select * replace ((l + {mix('r', 2 * k)}) % a as l) from w{w}r{k})")
+            steps.append(f"w{w}r{k + 1} as (select * replace ((r + {mix('l', 2 * k + 1)}) % b as r) from w{w}h{k})")
+        moved = "l * b + r" if w == 0 else "case when p < n then p else l * b + r end"
+        steps.append(f"w{w} as (select id, n, a, b, {moved} as p from w{w}r4)")
+        last = f"w{w}"
+    return ",\n".join(steps) + f"\nselect id as doc_id, p::bigint as position from {last}"
+
+
+@plan("shuffle_positions", ops=(47,), sql=f"""
+with grid as (
+  select doc_id as id, row_number() over (order by doc_id) - 1 as p, count(*) over () as n,
+         floor(sqrt(count(*) over () - 1))::bigint + 1 as a,
+         ceil(count(*) over () / (floor(sqrt(count(*) over () - 1)) + 1))::bigint as b from documents),
+{_permuted_sql(7)}""")
+def q_shuffle_positions(spark, sf):
+    """Every document's place in a random order, found without sorting by it."""
+    return tm.shuffle_positions(table(spark, sf, "documents").select("doc_id"), ["doc_id"], 7)
+
+
+_LATTICE_SQL = r"""
+with recursive t as (select item_id, regexp_replace(lower(text), '\s+', '', 'g') as s from benchmark),
+words as (select distinct unnest(regexp_extract_all(lower(text), '[\p{L}\p{M}]{2,}')) as w from benchmark),
+size as (select ln(count(*))::double as cost, max(length(w)) as longest from words),
+places as (select item_id, s, unnest(range(length(s))) as a from t),
+kinds as (select *, case when regexp_matches(substr(s, a + 1, 1), '\p{N}') then 'n' when regexp_matches(substr(s, a + 1, 1), '[\p{L}\p{M}]') then 'l' else 'm' end as kind from places),
+marked as (select *, sum(case when kind is distinct from before then 1 else 0 end) over (partition by item_id order by a) as run
+           from (select *, lag(kind) over (partition by item_id order by a) as before from kinds)),
+ends as (select *, max(a) over (partition by item_id, run) + 1 as stop from marked),
+edges as (
+  select item_id, a + 1 as b, a, 14::double as cost from ends union all select item_id, stop, a, (12 + 2 * (stop - a))::double from ends
+  union all select c.item_id, c.a + c.n, c.a, size.cost from (select item_id, s, a, unnest(range(2, longest + 1)) as n from places, size) c
+            join words on w = substr(c.s, c.a + 1, c.n) and length(w) = c.n, size),
+into_b as (select item_id, b, list({'a': a, 'cost': cost::double}) as ways from edges group by item_id, b),
+steps as (
+  select item_id, 0::bigint as b, [0::double] as best from t
+  union all
+  select s.item_id, i.b, list_append(best, list_min(list_transform(i.ways, lambda e: best[e.a + 1] + e.cost)))
+  from steps s join into_b i on i.item_id = s.item_id and i.b = s.b + 1)
+select item_id, round(arg_max(best[-1], b), 6) as cost, length(any_value(s)) as n_chars from steps join t using (item_id) group by item_id"""
+
+
+@plan("lattice_tokens", ops=(73,), sql=_LATTICE_SQL)
+def q_lattice_tokens(spark, sf):
+    """Benchmark texts without their spaces, cut by a dictionary of the table's
+    words that all cost alike: the cost of the cheapest cut (SQL finds it place
+    by place), and the characters its words join up to."""
+    import pandas as pd
+    from kestrel.operators import lattice
+    from kestrel.session import ensure_shipped
+    ensure_shipped(spark)
+    rows = table(spark, sf, "benchmark").select("item_id", F.lower("text").alias("text"))
+    found = rows.select(F.explode(F.regexp_extract_all("text", F.lit(r"[\p{L}\p{M}]{2,}"), 0)).alias("surface")).distinct()
+    cutter = lattice.fit(rows, "text", found.select("surface", F.lit(lattice.NOUN).alias("pos"), F.col("surface").alias("base")), rounds=0)
+
+    def cut_texts(texts):
+        out = []
+        for t in texts.fillna(""):
+            edges = [(run, e) for run in lattice.runs(t) for e in cutter.cut(run)]
+            out.append((sum(cutter.cost(*e) for _, e in edges), sum(len(run[e[0]:e[1]]) for run, e in edges)))
+        return pd.DataFrame(out, columns=["cost", "n_chars"])
+
+    cut_texts.__annotations__ = {"texts": pd.Series, "return": pd.DataFrame}  # not as text: Spark reads them
+    cut = F.pandas_udf(cut_texts, "struct<cost: double, n_chars: long>")
+
+    unspaced = rows.select("item_id", cut(F.regexp_replace("text", r"\s+", "")).alias("c"))
+    return unspaced.select("item_id", F.round("c.cost", 6).alias("cost"), "c.n_chars")
+
+
+@plan("embed_fitted", ops=(87,), sql=r"""
+select doc_id, 16 as dim, case when regexp_matches(text, '[\p{L}\p{M}\p{N}_]') then 1::double else 0::double end as norm from documents""")
+def q_embed_fitted(spark, sf):
+    """Vectors of 16 numbers fitted to all documents: their length, and the
+    norm (0 without words; values against numpy in the tests)."""
+    from kestrel.operators import wordvec
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    v = wordvec.fit(d, "text", dim=16, window=2, rounds=2).embed(d, "text")
+    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x))
+    return v.select("doc_id", F.size("embedding").alias("dim"), F.round(norm, 6).alias("norm"))

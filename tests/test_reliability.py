@@ -122,6 +122,47 @@ def test_segmented_fit_recovers_truth_and_beats_line(spark):
     assert seg.sse <= best + 1e-6
 
 
+def test_change_point_is_exact_per_group(spark):
+    """Not above a dense grid refined around its best value, in each group and
+    over many buckets; bounds hold where they are active."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for p, (a, d, c) in {"steep": (0.5, 9.0, 5.0), "flat": (0.02, 2.0, 4.0), "kink": (3.0, 0.8, 5.5), "line": (1.3, 1.3, 5.0)}.items():
+        x = np.sort(rng.uniform(2, 8, 300))
+        y = -4 + a * np.minimum(x, c) + d * np.maximum(x - c, 0) + rng.normal(0, 0.3, 300)
+        rows += [(p, float(np.exp(u)), 1, int(rng.integers(1, 4)), float(np.exp(v))) for u, v in zip(x, y)]
+    haz = spark.createDataFrame(rows, "p string, CYCLE double, n long, d long, H double").repartition(5)
+    fit = rel.weibull_fit(haz, min_log_h=-50, by=["p"]).withColumn("m", F.lit(1.5)).withColumn("b50", F.exp(F.lit(7.0) / 10))
+    fit = fit.withColumn("intercept", F.lit(-5.0 - 1.5 * 2.5))  # change points between 2.5 and 7
+    for kpb in (10_000_000, 40):
+        got = {r.p: r for r in rel.weibull_segmented_fit(spark, haz, fit, min_log_h=-50, by=["p"], keys_per_bucket=kpb).collect()}
+        assert len(got) == 4
+        for p, r in got.items():
+            x, y, w = np.array([(np.log(t), np.log(h), n) for q, t, _, n, h in rows if q == p]).T
+            order = np.argsort(x)
+            x, y, w = x[order], y[order], w[order]
+            sums = np.stack([w, w * x, w * x * x, w * y, w * x * y, w * y * y], 1)
+            total, lo, hi, best = sums.sum(0), max(2.5, x[0]), min(7.0, x[-1]), np.inf
+            for _ in range(3):
+                grid = np.linspace(lo, hi, 2000)
+                left = np.concatenate([np.zeros((1, 6)), np.cumsum(sums, 0)])[np.searchsorted(x, grid, side="right")]
+                _, sse = rel._box_at(grid, left, np.tile(total, (len(grid), 1)))
+                i = int(sse.argmin())
+                best = min(best, sse[i])
+                lo, hi = grid[max(i - 1, 0)], grid[min(i + 1, len(grid) - 1)]
+            assert r.sse <= best * (1 + 1e-9) and r.sse > best * (1 - 1e-4)
+            model = r.b + r.a * np.minimum(x, r.c) + r.d * np.maximum(x - r.c, 0)
+            assert (w * (y - model) ** 2).sum() == pytest.approx(r.sse, rel=1e-6)
+            assert 0.1 <= r.a <= 5 and 0.1 <= r.d <= 5 and 2.5 <= r.c <= 7
+        assert got["steep"].d == 5 and got["flat"].a == pytest.approx(0.1)
+
+
+def test_change_point_without_admissible_slope(spark):
+    haz = spark.createDataFrame([(float(k), 1, 1, float(k)) for k in range(1, 9)], "CYCLE double, n long, d long, H double")
+    fit = rel.weibull_fit(haz, min_log_h=-50).withColumn("m", F.lit(7.0))
+    assert rel.weibull_segmented_fit(spark, haz, fit, min_log_h=-50).first().c is None
+
+
 def test_parameter_table_and_polyline(spark):
     haz, x, y = _seg_points(spark)
     fit = rel.weibull_fit(haz, min_log_h=-50)

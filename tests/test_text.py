@@ -129,3 +129,25 @@ def test_scientific_text_is_the_script_form(spark):
     df = spark.createDataFrame([(v,) for v in values], "v double")
     for r in df.select("v", fmt.scientific_text("v").alias("t")).collect():
         assert r.t == f"{r.v:.2E}"
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 16, 17, 99, 1000, 4097])
+def test_permutation_is_a_bijection(spark, n):
+    rows = spark.range(n).select("id", tm.permuted(F.col("id"), n, 3).alias("p"), tm.permuted(F.col("id"), n, 4).alias("q")).orderBy("id").collect()
+    for c in ("p", "q"):
+        assert sorted(r[c] for r in rows) == list(range(n))
+    if n > 90:
+        p = [r.p for r in rows]
+        assert p != [r.q for r in rows] and sum(abs(i - x) for i, x in enumerate(p)) > n * n / 5  # n * n / 3 expected
+        assert sum(b == a + 1 for a, b in zip(p, p[1:])) < n / 20
+    big = 10 ** 12 + 39  # places of a large table, found alone
+    far = spark.range(0, 1000).select(tm.permuted(F.col("id") * 999_999_937, big).alias("p")).collect()
+    assert len({r.p for r in far}) == 1000 and all(0 <= r.p < big for r in far)
+
+
+def test_shuffle_positions(spark):
+    df = spark.createDataFrame([(k, "x", 1) for k in range(300)], "k int, position string, _index int").repartition(7)
+    a = tm.shuffle_positions(df, ["k"], 5).orderBy("k").collect()
+    assert a == tm.shuffle_positions(df.repartition(3), ["k"], 5).orderBy("k").collect()
+    assert sorted(r.position for r in a) == list(range(300))
+    assert tm.shuffle_positions(df.limit(0), ["k"]).count() == 0
