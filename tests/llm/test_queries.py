@@ -29,12 +29,14 @@ def test_contract_columns(spark):
         "op7_quality_rules": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance"],
         "op8_mixing": ["doc_id", "size", "source_size", "target", "taken"],
         "op10_token_counts": ["doc_id", "n_bytes", "n_tokens", "over_limit"],
+        "op11_group_packing": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
+        "op12_token_alignment": ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
     }
     n = table(spark, SF001, "documents").count()
     for name, cols in want.items():
         df = QUERIES[name](spark, SF001)
         assert df.columns == cols
-        if name != "op6_packing":
+        if name not in ("op6_packing", "op11_group_packing"):
             assert df.count() == n
     assert set(QUERIES) == set(want) | set(ORACLE_SQL)
 
