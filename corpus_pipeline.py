@@ -18,6 +18,8 @@ the first four stages; an empty table passes through as an empty one.
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -30,11 +32,19 @@ from kestrel.sources.tables import table
 KEY, MAYBE, NUMBER = "__pipeline_key", "__pipeline_maybe", "__pipeline_number"
 
 
+def _settle(spark: SparkSession) -> None:
+    """Frees what the stage before left on the driver: plans that nothing holds
+    any more and the classes generated for them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def _text_md5() -> Column:
     return F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _settle(spark)
     # the verdict depends on language and text alone
     keyed = docs.withColumn(KEY, F.concat_ws("\u0001", F.coalesce("lang", F.lit("\u0002")), _text_md5()))
     judged = ngramlm.quality(keyed, trusted(spark, sf_dir), carry=[KEY])
@@ -45,10 +55,12 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _settle(spark)
     return outliers.quality_rules(docs).where("kept").select(*docs.columns)
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _settle(spark)
     def key(doc_id: Column, md5: Column) -> Column:
         return F.concat_ws("\u0001", F.coalesce(doc_id.cast("string"), F.lit("\u0002")), md5)
 
@@ -73,11 +85,13 @@ def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _settle(spark)
     placed = mixing.mix(docs).where("shard is not null")
     return placed.repartition("shard").sortWithinPartitions("shard", "position").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _settle(spark)
     return packing.pack_documents(docs, tokenizer("word_bpe_49k.json"), keep_ids=False)
 
 
