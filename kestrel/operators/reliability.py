@@ -237,22 +237,69 @@ def _left_line(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return p[:, 0], p[:, 1]
 
 
+def _joined_lines(c: np.ndarray, left: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Squared error of the best line with its change point at each ``c`` and
+    bounded slopes, the intercept free: inside the bounds, or on one of their
+    four edges."""
+    nL, sxL, sxxL, syL, sxyL, _ = left.T
+    nR, sxR, sxxR, syR, sxyR, _ = (total - left).T
+    n, _, _, sy, _, syy = total.T
+    su, sv = sxL + c * nR, sxR - c * nR
+    uu, vv = sxxL + c * c * nR - su * su / n, sxxR - 2 * c * sxR + c * c * nR - sv * sv / n
+    uv, uy, vy = c * sv - su * sv / n, sxyL + c * syR - su * sy / n, sxyR - c * syR - sv * sy / n
+    det = uu * vv - uv * uv
+    some = det > 1e-12 * np.abs(uu * vv)
+    lo, hi = _LOW[1:], _HIGH[1:]
+    gain = lambda a, d: 2 * (a * uy + d * vy) - (a * a * uu + 2 * a * d * uv + d * d * vv)
+    a, d = (uy * vv - vy * uv) / np.where(some, det, 1), (vy * uu - uy * uv) / np.where(some, det, 1)
+    best = np.where(some & (a >= lo[0]) & (a <= hi[0]) & (d >= lo[1]) & (d <= hi[1]), gain(a, d), -np.inf)
+    for at in (0, 1):
+        a, d = (lo[0], hi[0])[at], (lo[1], hi[1])[at]
+        best = np.maximum(best, gain(a, np.clip((vy - a * uv) / np.where(vv > 0, vv, np.inf), lo[1], hi[1])))
+        best = np.maximum(best, gain(np.clip((uy - d * uv) / np.where(uu > 0, uu, np.inf), lo[0], hi[0]), d))
+    return syy - sy * sy / n - best
+
+
+def _bounded_line(sums: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(intercept, slope within the ``k``-th bounds, squared error), the intercept free."""
+    n, sx, sxx, sy, sxy, syy = sums.T
+    m = np.clip(_free_line(sums)[0], _LOW[k], _HIGH[k])
+    n = np.maximum(n, 1e-300)
+    error = syy - sy * sy / n - 2 * m * (sxy - sx * sy / n) + m * m * (sxx - sx * sx / n)
+    return (sy - m * sx) / n, m, np.maximum(error, 0)
+
+
+def change_bounds(lo: np.ndarray, hi: np.ndarray, left: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """What the squared error of each row is at least, its change point
+    anywhere from ``lo`` to ``hi``: with bounded slopes and a free intercept the
+    best is at an end, or where the two lines meet."""
+    (i, a, ea), (j, d, ed) = _bounded_line(left, 1), _bounded_line(total - left, 2)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        meet = (j - i) / (a - d)
+        room = 1e-6 * (1 + np.abs(meet))
+        apart = (meet < lo - room) | (meet > hi + room)  # not so where undefined
+    ends = np.minimum(_joined_lines(lo, left, total), _joined_lines(hi, left, total))
+    return np.where(apart, ends, np.minimum(ends, ea + ed))
+
+
 def best_change(x: np.ndarray, nxt: np.ndarray, left: np.ndarray, total: np.ndarray, c_lo: float, c_hi: float,
-                chunk: int = 64) -> tuple[float, np.ndarray, float, int] | None:
+                chunk: int = 16, least: float = np.inf) -> tuple[float, np.ndarray, float, int] | None:
     """(c, (b, a, d), squared error, row) of the best change point between
-    ``x`` and ``nxt`` of each row.  A row's two free lines bound its error from
-    below, so rows come in that order until none can be better.  Within a row
-    the best c is an end, or where the bounded line of the left points meets
-    the line of the right ones."""
+    ``x`` and ``nxt`` of each row; None if all are worse than ``least``.  Fits
+    with a free intercept bound a row's error from below (``change_bounds``), so
+    rows come in that order until none can be better.  Within a row the best c
+    is an end, or where the bounded line of the left points meets the line of
+    the right ones."""
     lo, hi = np.maximum(x, c_lo), np.minimum(nxt, c_hi)
     rows = np.flatnonzero(lo <= hi)
     if not len(rows):
         return None
-    bound = _free_line(left[rows])[1] + _free_line(total[rows] - left[rows])[1]
+    bound = change_bounds(lo[rows], hi[rows], left[rows], total[rows])
+    slack = 1e-9 * total[rows[0], 5]  # rounding of the sums
     order = np.argsort(bound, kind="stable")
     best = None
     for a in range(0, len(order), chunk):
-        if best is not None and bound[order[a]] > best[2] * (1 + 1e-12) + 1e-15:
+        if bound[order[a]] > min(least, np.inf if best is None else best[2]) * (1 + 1e-12) + slack + 1e-15:
             break
         at = rows[order[a:a + chunk]]
         right = total[at] - left[at]
@@ -275,6 +322,7 @@ SEGMENTED_SCHEMA = T.StructType([T.StructField(n, T.DoubleType()) for n in (
     "m", "intercept", "eta", "b10", "b50")])
 
 
+LEAST_KEPT = 10_000  # groups whose best error so far a task remembers
 _SUMS = ("_w", "_sx", "_sxx", "_sy", "_sxy", "_syy")
 
 
@@ -307,31 +355,45 @@ def weibull_segmented_fit(spark: SparkSession, haz: DataFrame, fit: DataFrame, c
     firsts = firsts.select(*by, prefix.BUCKET, F.lead("_first").over(after).alias("_next"))
     inside = Window.partitionBy(*by, prefix.BUCKET).orderBy("x")
     run = run.join(firsts, [*by, prefix.BUCKET]).withColumn("_next", F.coalesce(F.lead("x").over(inside), "_next", "x"))
-    ends = pts.groupBy(*by).agg(F.min("x").alias("_lo"), F.max("x").alias("_hi"))
+    ends = pts.groupBy(*by).agg(F.min("x").alias("_lo"), F.max("x").alias("_hi"), F.count(F.lit(1)).alias("_points"))
+    if not by:  # one row each, as constants from here on
+        whole, span = fit.first(), ends.first()
+        fit = pts.sparkSession.createDataFrame([] if whole is None else [whole], fit.schema)
     c_lo = F.greatest((F.lit(B1_Y) - F.col("intercept")) / F.col("m"), F.col("_lo"))
     c_hi = F.least(F.when(F.col("b50") > 0, 10.0 * F.ln("b50")).otherwise(F.col("_hi")), F.col("_hi"))
     admitted = fit.where(F.col("m").between(*SLOPE_BOUNDS))
-    limits = (admitted.join(ends, by) if by else admitted.crossJoin(ends))  # a row a group
-    limits = limits.select(*by, c_lo.alias("_c_lo"), F.greatest(c_hi, c_lo).alias("_c_hi"))
-    run = run.join(limits, by) if by else run.crossJoin(F.broadcast(limits))  # without groups: one row
+    limits = admitted.join(ends, by) if by else admitted.select("*", *[F.lit(span[c]).cast("double").alias(c) for c in ("_lo", "_hi")])
+    limits = limits.select(*by, c_lo.alias("_c_lo"), F.greatest(c_hi, c_lo).alias("_c_hi"), *(["_points"] if by else []))
+    if by:  # a row a group; a group with many points keeps its tasks
+        run = hot_key_join(run, keep(limits), by, "_points")
+    else:
+        only = limits.first()
+        if only is None:
+            return fit.select(*[F.lit(None).cast("double").alias(k.name) for k in SEGMENTED_SCHEMA])
+        run = run.withColumns({c: F.lit(only[c]).cast("double") for c in ("_c_lo", "_c_hi")})
     key = F.to_json(F.struct(*by)) if by else F.lit("")
     numbers = ["x", "_next", *_SUMS, *[f"{k}_total" for k in _SUMS], "_c_lo", "_c_hi"]
     run = run.select(*by, key.alias("_key"), *numbers)
     names = ["c", "b", "a", "d", "sse"]
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least: dict[str, float] = {}  # of earlier batches
         for batch in batches:
             get = lambda c: batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False)  # noqa: B023,E731
             keys = batch.column(len(by)).dictionary_encode()
             code, found, at = keys.indices.to_numpy(zero_copy_only=False), [], []
             left, total = (np.stack([get(f"{k}{end}") for k in _SUMS], 1) for end in ("", "_total"))
-            for g in range(len(keys.dictionary)):
-                mine = np.flatnonzero(code == g)
-                best = best_change(get("x")[mine], get("_next")[mine], left[mine], total[mine], get("_c_lo")[mine[0]], get("_c_hi")[mine[0]])
+            x, nxt, lo, hi = (get(c) for c in ("x", "_next", "_c_lo", "_c_hi"))
+            order = np.argsort(code, kind="stable")
+            for mine in np.split(order, np.flatnonzero(np.diff(code[order])) + 1) if len(order) else []:
+                name = keys.dictionary[code[mine[0]]].as_py()
+                best = best_change(x[mine], nxt[mine], left[mine], total[mine], lo[mine[0]], hi[mine[0]], least=least.get(name, np.inf))
                 if best is not None:
                     c, (b, a, d), sse, row = best
                     found.append((c, b, a, d, sse))
                     at.append(mine[row])
+                    if len(least) < LEAST_KEPT:
+                        least[name] = min(sse, least.get(name, np.inf))
             kept = batch.select([*by, *[f"{k}_total" for k in _SUMS]]).take(pa.array(at, pa.int64()))
             yield pa.RecordBatch.from_arrays([*kept.columns, *[pa.array([f[i] for f in found], pa.float64()) for i in range(5)]],
                                              names=[*kept.schema.names, *names])
@@ -340,7 +402,8 @@ def weibull_segmented_fit(spark: SparkSession, haz: DataFrame, fit: DataFrame, c
     schema = T.StructType([*[run.schema[c] for c in by], *[run.schema[f"{k}_total"] for k in _SUMS], *[T.StructField(n, T.DoubleType()) for n in names]])
     totals = [f"{k}_total" for k in _SUMS]
     best = run.mapInArrow(local, schema).groupBy(*by).agg(F.min(F.struct("sse", "c", "b", "a", "d", *totals)).alias("_best"))
-    out = fit.join(best, by, "left") if by else fit.join(best, F.lit(True), "left")
+    # without groups: best is one row, the plain fit constants beside it
+    out = fit.join(best, by, "left") if by else best.select("*", *[F.lit(whole[c]).cast("double").alias(c) for c in ("m", "intercept", "eta", "b10", "b50")])
     f = lambda n: F.col(f"_best.{n}")
     n, sx, sxx, sy, sxy, syy = (f(t) for t in totals)
     slope = (n * sxy - sx * sy) / (n * sxx - sx * sx)

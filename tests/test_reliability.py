@@ -210,3 +210,43 @@ def test_nan_cycles_are_not_at_risk(spark):
     assert rows.count() == 2
     from kestrel.operators import windows
     assert windows.rank_average_desc(df, "CYCLE").count() == 2
+
+
+def _weibull_like(n=20_000, seed=3):
+    rng = np.random.default_rng(seed)
+    x = np.sort(np.log(rng.uniform(900, 100_000, n)))
+    y = np.log(np.cumsum(1 / (n - np.arange(n) + 0.5)))
+    sums = np.cumsum(np.stack([np.ones(n), x, x * x, y, x * y, y * y], 1), 0)
+    return x, np.append(x[1:], x[-1]), sums, np.tile(sums[-1], (n, 1))
+
+
+def test_change_point_solves_few_rows(monkeypatch):
+    """Bounds leave few of 20,000 rows to be solved, in a part far from the best
+    one too, and the best of all is among them."""
+    x, nxt, left, total = _weibull_like()
+    solved, box = [], rel._box_at
+    monkeypatch.setattr(rel, "_box_at", lambda c, le, t: solved.append(len(c)) or box(c, le, t))
+    best = rel.best_change(x, nxt, left, total, x[0], x[-1])
+    assert sum(solved) <= 3000
+    solved.clear()
+    for part in (slice(0, 2000), slice(18_000, 20_000)):
+        rel.best_change(x[part], nxt[part], left[part], total[part], x[0], x[-1])
+    assert sum(solved) <= 600
+    bound = rel.change_bounds(x, nxt, left, total)
+    for a in range(0, len(x), 4000):
+        _, sse = box(x[a:a + 4000], left[a:a + 4000], total[a:a + 4000])
+        assert (sse >= bound[a:a + 4000] - 1e-9 * total[0, 5]).all() and sse.min() >= best[2] * (1 - 1e-9)
+    assert rel.best_change(x, nxt, left, total, x[0], x[-1], least=best[2] / 2) is None
+
+
+def test_groups_with_many_points_keep_their_tasks(spark, monkeypatch):
+    """Two groups are searched by more than two tasks."""
+    from kestrel.operators import skew
+    monkeypatch.setattr(skew.hot_key_join, "__defaults__", (500,))
+    monkeypatch.setattr(rel.prefix, "MIN_KEYS_PER_BUCKET", 500)
+    x, _, _, total = _weibull_like(4000)
+    h = np.exp(np.log(np.cumsum(1 / (4000 - np.arange(4000) + 0.5))))
+    haz = spark.createDataFrame([("ab"[i % 2], float(np.exp(a)), 1, 1, float(b)) for i, (a, b) in enumerate(zip(x, h))], "p string, CYCLE double, n long, d long, H double")
+    seg = rel.weibull_segmented_fit(spark, haz, rel.weibull_fit(haz, by=["p"]), by=["p"])
+    assert seg.where("c is not null").count() == 2
+    assert "Union" in seg._jdf.queryExecution().toString()
