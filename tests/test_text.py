@@ -151,3 +151,21 @@ def test_shuffle_positions(spark):
     assert a == tm.shuffle_positions(df.repartition(3), ["k"], 5).orderBy("k").collect()
     assert sorted(r.position for r in a) == list(range(300))
     assert tm.shuffle_positions(df.limit(0), ["k"]).count() == 0
+
+
+def test_nfkc_holds_few_texts_as_python_strings(spark):
+    """A batch of 5,000 texts is normalised a slice at a time; ASCII, null and composed texts come out right."""
+    import tracemalloc
+    import unicodedata
+    import pyarrow as pa
+    from kestrel.functions import text as tx
+    batch = pa.array(["ＡＢＣ　" * 500 + str(i) for i in range(5000)])  # 20 MB as Python strings
+    tracemalloc.start()
+    got = tx.nfkc_normalize.func(batch)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3_000_000 and got[4999].as_py() == "ABC " * 500 + "4999"
+    texts = ["plain ASCII\n", "", None, "é", "ﬁ①", "ạ̇", "が", "x\x00\x7f"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").repartition(3)
+    out = {r.i: r.n for r in rows.select("i", tx.nfkc_normalize("t").alias("n")).collect()}
+    assert out == {i: t if t is None else unicodedata.normalize("NFKC", t) for i, t in enumerate(texts)}
