@@ -299,3 +299,20 @@ def test_chunk_ids_repeatable_or_random(spark):
     assert a == b and len(set(a)) == 2 and all(len(x) == 64 for x in a)
     u = [r.id for r in rt.assign_chunk_id(df, "col", "d", "c", random_uuid=True).collect()]
     assert len(set(u)) == 2 and all(len(x) == 36 for x in u)
+
+
+def test_requests_hold_a_query_once_in_its_own_precision(spark, monkeypatch, tmp_path):
+    """A round writes a row a query that still searches, whatever cells it asks for, and floats as floats."""
+    monkeypatch.setattr(search, "scratch_path", lambda _, name: f"{tmp_path}/{name}")
+    v = np.random.default_rng(8).normal(size=(600, 6)).astype(np.float32)
+    e = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, embedding array<float>")
+    q = e.where("id % 3 = 0").withColumnRenamed("id", "qid")
+    got = {(r.qid, r["rank"]): r.id for r in rt.similarity_search(e, q, 3, cells=12).collect()}
+    wide = v.astype(np.float64)
+    for i in range(0, 600, 3):
+        d = np.sqrt(((wide - wide[i]) ** 2).sum(1))
+        assert [got[i, k] for k in (1, 2, 3)] == np.lexsort((np.arange(600), d))[:3].tolist()
+    turns = sorted(p.name for p in (tmp_path / "cells").iterdir() if p.name.startswith("asked"))
+    rows = [spark.read.parquet(f"{tmp_path}/cells/{t}") for t in turns]
+    assert rows[0].count() == 200 and all(r.count() == r.select("qid").distinct().count() for r in rows)
+    assert rows[0].schema["v"].dataType.elementType.simpleString() == "float"
