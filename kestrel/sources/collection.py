@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -118,16 +119,28 @@ def _read(spark: SparkSession, paths: list[str], merge: bool = False) -> DataFra
     return spark.read.option("recursiveFileLookup", True).option("mergeSchema", merge).parquet(*paths)
 
 
-def _write_segment(rows: DataFrame, folder: _Folder, id_col: str, n: int) -> dict:
-    """Rows in shards, and the filters of the shards."""
-    path, shards = f"segment-{uuid.uuid4().hex[:16]}", max(1, -(-n // SHARD_ROWS))
+def _write_segment(rows: DataFrame, folder: _Folder, id_col: str, most: int, dedupe: bool = False,
+                   finish: Callable[[DataFrame], DataFrame] | None = None) -> dict:
+    """At most ``most`` rows in shards, and the filters of the shards.  Rows are
+    dealt once: equal ids (``dedupe``) meet in their shard, and what ``finish``
+    makes of a row, its id with it, is made there."""
+    spark = rows.sparkSession
+    path, shards = f"segment-{uuid.uuid4().hex[:16]}", max(1, -(-most // SHARD_ROWS))
     placed = rows.withColumn("shard", linear_shard(_hash(id_col), shards))
+    placed = placed.drop(id_col) if finish else placed
     # a shard is at most one task's file; few rows are one file
-    placed.repartition(shards, "shard").write.partitionBy("shard").parquet(f"{folder.path}/{path}/rows")
-    ids = placed.select("shard", F.explode(_probes(_hash(id_col))).alias("b"))
-    bits = ids.groupBy("shard", F.col("b.word").alias("word")).agg(F.bit_or("b.mask").alias("mask"))
+    placed = placed.repartition(shards, "shard")
+    placed = finish(placed) if finish else placed
+    if dedupe:
+        placed = placed.dropDuplicates(["shard", id_col])  # lie in one partition already
+    placed.write.partitionBy("shard").parquet(f"{folder.path}/{path}/rows")
+    columns = [c for c in placed.columns if c != "shard"]
+    ids = spark.read.schema(placed.select(id_col, "shard").schema).parquet(f"{folder.path}/{path}/rows")
+    n = ids.count()
+    bits = ids.select("shard", F.explode(_probes(_hash(id_col))).alias("b"))
+    bits = bits.groupBy("shard", F.col("b.word").alias("word")).agg(F.bit_or("b.mask").alias("mask"))
     bits.coalesce(max(1, shards)).write.parquet(f"{folder.path}/{path}/filters")
-    return {"path": path, "rows": n, "shards": shards, "columns": ",".join(sorted(rows.columns))}
+    return {"path": path, "rows": n, "shards": shards, "columns": ",".join(sorted(columns))}
 
 
 def _stored_ids(spark: SparkSession, folder: _Folder, segments: list[dict], new: DataFrame, id_col: str) -> DataFrame | None:
@@ -136,23 +149,28 @@ def _stored_ids(spark: SparkSession, folder: _Folder, segments: list[dict], new:
         return None
     table = F.array(*[F.struct(F.lit(i).alias("segment"), F.lit(s["shards"]).cast("long").alias("shards")) for i, s in enumerate(segments)])  # MOST_SEGMENTS + 1
     asked = new.select(id_col, _hash(id_col).alias("_h")).select(id_col, "_h", F.explode(table).alias("_s"))
-    asked = asked.select(id_col, F.col("_s.segment").alias("_segment"), linear_shard(F.col("_h"), F.col("_s.shards")).alias("_shard"), F.explode(_probes(F.col("_h"))).alias("_b"))
-    asked = asked.select(id_col, "_segment", "_shard", F.col("_b.word").alias("_word"), F.col("_b.mask").alias("_mask"))
+    asked = asked.select(id_col, F.col("_s.segment").alias("_segment"), linear_shard(F.col("_h"), F.col("_s.shards")).alias("_shard"), F.posexplode(_probes(F.col("_h"))).alias("_p", "_b"))
+    asked = asked.select(id_col, "_segment", "_shard", "_p", F.col("_b.word").alias("_word"), F.col("_b.mask").alias("_mask"))
     filters = None
     for i, s in enumerate(segments):
         one = spark.read.schema("shard int, word long, mask long").parquet(f"{folder.path}/{s['path']}/filters").select(
             F.lit(i).alias("_segment"), F.col("shard").alias("_shard"), F.col("word").alias("_word"), F.col("mask").alias("_bits"))
         filters = one if filters is None else filters.unionByName(one)
     hits = asked.join(filters, ["_segment", "_shard", "_word"]).where(F.col("_bits").bitwiseAND(F.col("_mask")) == F.col("_mask"))
-    hits = hits.groupBy(id_col, "_segment", "_shard").agg(F.count("*").alias("n")).where(F.col("n") == PROBES)
+    # an id may come more than once: which of its probes hit, not how many rows
+    hits = hits.groupBy(id_col, "_segment", "_shard").agg(F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("_p"))).alias("n"))
+    hits = hits.where(F.col("n") == (1 << PROBES) - 1)
     touched = hits.groupBy("_segment", "_shard").agg(F.count("*").alias("n")).collect()  # at most a row a shard
     paths = sorted(f"{folder.path}/{segments[r['_segment']]['path']}/rows/shard={r['_shard']}" for r in touched)
     return _read(spark, paths).select(id_col) if paths else None
 
 
-def collection_append(rows: DataFrame, root: str, name: str, id_col: str = "id", dedupe: bool = True) -> None:
+def collection_append(rows: DataFrame, root: str, name: str, id_col: str = "id", dedupe: bool = True,
+                      finish: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """Create-if-missing and append.  With ``dedupe`` rows whose id is
-    already stored are skipped, so re-running an insert is idempotent."""
+    already stored are skipped, so re-running an insert is idempotent.
+    ``finish`` gives dealt rows (without their id) the same id again and
+    further columns, as vectors, that need not travel."""
     spark = rows.sparkSession
     folder = _Folder(spark, root, name)
     held = keep(rows.drop(*_RESERVED))  # probed, then written
@@ -162,14 +180,13 @@ def collection_append(rows: DataFrame, root: str, name: str, id_col: str = "id",
             segments = folder.segments(version)
             out = held
             if dedupe:
-                out = out.dropDuplicates([id_col])
                 old = _stored_ids(spark, folder, segments, held, id_col)
                 if old is not None:
                     out = out.join(old, id_col, "left_anti")
-            n = out.count()
-            if not n and segments:
+            most = out.count()  # equal ids counted each
+            if not most and segments:
                 return
-            segments = [*segments, _write_segment(out, folder, id_col, n)]
+            segments = [*segments, _write_segment(out, folder, id_col, most, dedupe, finish)]
             if folder.commit(version + 1, segments):
                 break
         if len(segments) > MOST_SEGMENTS:

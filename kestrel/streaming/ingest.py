@@ -20,20 +20,29 @@ def document_chunks_stream(spark: SparkSession, src: str, size: int = 100, overl
                            collection: str = "documents", dim: int = 64,
                            schema: T.StructType = DOCUMENT_SCHEMA, max_files_per_trigger: int = 64) -> DataFrame:
     """Streaming DataFrame of (doc_id, chunk_no, chunk, id, embedding)."""
+    c = _chunks(spark, src, size, overlap, schema, max_files_per_trigger)
+    return _finished(c, collection, dim).select("doc_id", "source", "chunk_no", "chunk", "id", "embedding")
+
+
+def _chunks(spark: SparkSession, src: str, size: int, overlap: int, schema: T.StructType = DOCUMENT_SCHEMA, max_files_per_trigger: int = 64) -> DataFrame:
     s = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(src)
-    c = rt.fixed_chunks(s.select("doc_id", "text", "source"), "text", size, overlap)
-    c = rt.assign_chunk_id(c, collection, "doc_id", "chunk_no", content="chunk")
-    return rt.embed_text(c, "chunk", dim=dim).select("doc_id", "source", "chunk_no", "chunk", "id", "embedding")
+    return rt.fixed_chunks(s.select("doc_id", "text", "source"), "text", size, overlap)
+
+
+def _finished(chunks: DataFrame, collection: str, dim: int = 64) -> DataFrame:
+    """Chunks with id and vector."""
+    return rt.embed_text(rt.assign_chunk_id(chunks, collection, "doc_id", "chunk_no", content="chunk"), "chunk", dim=dim)
 
 
 def ingest_documents(spark: SparkSession, src: str, root: str, checkpoint: str, collection: str = "documents",
                      size: int = 100, overlap: int = 10, available_now: bool = True) -> StreamingQuery:
     """Chunk, id and embed arriving documents into a collection; each
     micro-batch is appended with id de-duplication (exactly-once effect)."""
-    chunks = document_chunks_stream(spark, src, size, overlap, collection)
+    chunks = rt.assign_chunk_id(_chunks(spark, src, size, overlap), collection, "doc_id", "chunk_no", content="chunk")
 
     def sink(batch: DataFrame, epoch_id: int) -> None:
-        collection_append(batch, root, collection, dedupe=True)
+        # vectors are made of the chunks once these are dealt to their shards
+        collection_append(batch, root, collection, dedupe=True, finish=lambda c: _finished(c, collection))
 
     w = chunks.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
