@@ -18,25 +18,31 @@ the first four stages; an empty table passes through as an empty one.
 
 from __future__ import annotations
 
-import gc
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kestrel.llm import bitfilter, mixing, ngramjoin, ngramlm, outliers, packing
+from kestrel.llm import bitfilter, mixing, ngramjoin, ngramlm, outliers, packing, workercache
 from kestrel.llm.inputs import tokenizer, trusted
-from kestrel.session import scratch_path
+from kestrel.session import ensure_shipped, free_shuffles, scratch_path
 from kestrel.sources.tables import table
 
 KEY, MAYBE, NUMBER = "__pipeline_key", "__pipeline_maybe", "__pipeline_number"
 
 
 def _settle(spark: SparkSession) -> None:
-    """Frees what the stage before left on the driver: plans that nothing holds
-    any more and the classes generated for them."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Frees what the stage before left: on the driver plans that nothing holds
+    any more and the classes generated for them; on the executors garbage, so
+    that heaps shrink to what is used, and tables kept by Python workers."""
+    free_shuffles(spark)
+    ensure_shipped(spark)
+
+    def forget(batches):
+        workercache.drop()
+        yield from batches
+
+    n = spark.sparkContext.defaultParallelism  # a task a core, on all executors
+    spark.range(0, n, 1, n).select(F.reflect(F.lit("java.lang.System"), F.lit("gc")).alias("gc")).mapInArrow(forget, "gc string").collect()
 
 
 def _text_md5() -> Column:

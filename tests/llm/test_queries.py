@@ -103,3 +103,24 @@ def test_pipeline_edges(spark):
             assert out.columns == docs.columns
             out.count()
         corpus_pipeline.STAGES[-1][1](spark, d, SF001).count()
+
+
+def test_stages_begin_with_empty_workers(spark):
+    """What Python workers kept for the stage before is gone when the next begins."""
+    from kestrel.llm import workercache
+    from kestrel.session import ensure_shipped
+    ensure_shipped(spark)
+
+    def kept(batches):
+        yield from batches
+        workercache.kept("test", lambda: [0])
+
+    def count(batches):
+        import pyarrow as pa
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(workercache._KEPT)] * b.num_rows, pa.int64())], names=["n"])
+
+    n = spark.sparkContext.defaultParallelism
+    spark.range(0, n, 1, n).mapInArrow(kept, "id long").collect()
+    corpus_pipeline._settle(spark)
+    assert sum(r.n for r in spark.range(0, n, 1, n).mapInArrow(count, "n long").collect()) == 0
