@@ -78,3 +78,25 @@ def test_empty(spark):
     model = wordvec.fit(none, "t")
     assert model.width == 0 and [r.embedding for r in model.embed(none, "t").collect()] == [[], []]
     assert wordvec.fit(none.limit(0), "t").width == 0
+
+
+def test_pairs_travel_in_cells_of_words(spark, monkeypatch):
+    """A row a cell, not a row a pair; several cells and chunks of words give what one gives."""
+    monkeypatch.setattr(wordvec, "CHUNK_WORDS", 150)
+    texts = ["a a b", "b a", *corpus(n=40)]
+    ids = spark.createDataFrame([(t,) for t in texts], "t string").repartition(3).select(wordvec.hashed_words("t").alias("ids"))
+    rows = wordvec.pair_counts(ids, 2, [4, 9, 11]).collect()
+    assert sorted(r.cell for r in rows) == [4, 9, 11]
+    got = Counter()
+    for r in rows:
+        names, partners = np.frombuffer(r.words, np.int64), np.frombuffer(r.ids, np.int64)
+        at, n = np.frombuffer(r.a, np.int32), np.frombuffer(r.n, np.int64)
+        own = np.repeat(names, np.frombuffer(r.lens, np.int32))
+        got.update({(int(a), int(b)): int(k) for a, b, k in zip(partners[at], own, n)})
+        assert np.array_equal(np.frombuffer(r.sums, np.int64), [n[own == w].sum() for w in names])
+    want = Counter()
+    for r in ids.collect():
+        for i, a in enumerate(r.ids):
+            for b in r.ids[i + 1:i + 3]:
+                want.update([(a, b), (b, a)])
+    assert got == want
